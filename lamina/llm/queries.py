@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import _io, chat, decontaminate, mixing, quality, shards, tokens, urls, warc
+from . import _io, chat, decontaminate, mixing, ngram_join, quality, shards, tokens, urls, warc
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 TOKEN_LIMIT = 1024
@@ -33,6 +33,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.duplicate_classes(_io.table(spark, sf_dir, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_io.table(spark, sf_dir, "pages"), RULES)
 
@@ -57,4 +61,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_formatted(chat.format_conversations(rows))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_token_counts, op5_url_filter, op6_shards, op7_mixing, op9_warc, op10_chat)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_token_counts, op4_ngram_join, op5_url_filter, op6_shards, op7_mixing, op9_warc, op10_chat)}

@@ -17,7 +17,7 @@ FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 
 _OP4 = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), i -> array_to_string(w[i:i + 4], chr(32)))) AS g FROM d WHERE len(w) > 0),
+s AS (SELECT doc_id, list_distinct([array_to_string(w[i:i + 4], chr(32)) for i in range(1, greatest(len(w) - 4, 1) + 1)]) AS g FROM d WHERE len(w) > 0),
 t AS (SELECT doc_id, len(g) AS n, unnest(g) AS k FROM s),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM t a JOIN t b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
 e AS (SELECT x, y FROM p UNION SELECT y, x FROM p),
