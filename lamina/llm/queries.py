@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import _io, chat, decontaminate, mixing, ngram_join, quality, shards, tokens, urls, warc
+from . import _io, chat, decontaminate, mixing, ngram_join, quality, shards, substrings, tokens, urls, warc
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 TOKEN_LIMIT = 1024
@@ -50,6 +50,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_io.table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_io.table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(_io.table(spark, sf_dir, "pages"))
 
@@ -61,4 +65,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_formatted(chat.format_conversations(rows))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_token_counts, op4_ngram_join, op5_url_filter, op6_shards, op7_mixing, op9_warc, op10_chat)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_token_counts, op4_ngram_join, op5_url_filter, op6_shards, op7_mixing, op8_substrings, op9_warc, op10_chat)}
