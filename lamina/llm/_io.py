@@ -51,3 +51,12 @@ def utf8_binary(column: str = "text"):
 def ddl(schema: pa.Schema) -> str:
     kinds = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.bool_(): "boolean", pa.float64(): "double", pa.binary(): "binary"}
     return ", ".join(f"{f.name} " + (f"array<{kinds[f.type.value_type]}>" if pa.types.is_list(f.type) else kinds[f.type]) for f in schema)
+
+
+FEW = 1_000_000  # rows of ids up to this counted number are broadcast (some 32 MB); more are joined by a shuffle
+
+
+def counted(ids: DataFrame, most: int = FEW) -> DataFrame:
+    """ids, materialised, and marked for broadcast only if a count shows that they are few."""
+    ids = cut(ids)
+    return F.broadcast(ids) if ids.count() <= most else ids

@@ -202,6 +202,6 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of docs, with all their columns, that hold no window of the benchmark; ids name documents."""
-    hit = find_contamination(docs, benchmark, window).filter(F.size("items") > 0).select(F.col("doc_id").alias("_hit")).distinct()
+    """The rows of docs, with all their columns, that hold no window of the benchmark; a row without an id stays."""
+    hit = _io.counted(find_contamination(docs, benchmark, window).filter(F.size("items") > 0).select(F.col("doc_id").alias("_hit")).distinct())
     return docs.join(hit, F.col("doc_id") == F.col("_hit"), "left_anti")

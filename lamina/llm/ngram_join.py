@@ -38,7 +38,6 @@ WORDS = 5
 LOCAL_MIN = 8  # a token is counted as frequent from so many documents of one task on
 FREQUENT = 1_000_000  # at most so many frequent tokens, the most frequent first, are broadcast (16 MB)
 MAX_L, COST_STEP = 4, 128
-BROADCAST_IDS = 1_000_000  # ids up to this counted number are broadcast
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("guard", pa.int64()), ("token", pa.int64()), ("count", pa.int64())])
 _PREFIX = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("meta", pa.int64())])
@@ -213,9 +212,8 @@ def may_link(a: str, b: str, l: Column) -> Column:
 def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, seed: int) -> DataFrame:
     """Those of the pairs (a, b) that link, by their whole sets."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    ids = _io.cut(classes.join(nodes, "node", "left_semi").select("first_id"))
-    few = ids.count() <= BROADCAST_IDS
-    near = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"] == ids["first_id"], "left_semi")
+    ids = _io.counted(classes.join(nodes, "node", "left_semi").select("first_id"))
+    near = docs.join(ids, F.col("doc_id") == F.col("first_id"), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offs in B.chunks(batches, "text"):
@@ -275,6 +273,16 @@ def duplicate_classes(docs: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, whose id is the smallest of their class; rows that repeat an id stay once."""
-    kept = duplicate_classes(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_of")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, F.col("doc_id") == F.col("_of"), "left_semi")
+    """The rows of docs, with all their columns, whose id is the smallest of their class.
+
+    Rows that repeat an id stay once; rows without an id stay.
+    """
+    judged = _io.cut(duplicate_classes(docs))
+    gone = _io.counted(judged.filter("doc_id != component_id").select(F.col("doc_id").alias("_of")).distinct())
+    out = docs.join(gone, F.col("doc_id") == F.col("_of"), "left_anti")
+    again = judged.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_of"))
+    if again.isEmpty():
+        return out
+    again = _io.counted(again)
+    same = F.col("doc_id") == F.col("_of")
+    return out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
