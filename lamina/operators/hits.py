@@ -113,7 +113,7 @@ def terms(df: DataFrame, column: str, sep: str, share: bool) -> DataFrame:
 
 def category_totals(hits: DataFrame, norms: dict[str, Column], kingdom: str, category: str) -> DataFrame:
     """Totals by norm, kingdom and category, all kingdoms together included, in one pass."""
-    each = F.explode(F.array(*[F.struct(F.lit(n).alias("norm"), F.nullif(c.cast("double"), F.lit(float("nan"))).alias("score")) for n, c in norms.items()])).alias("_n")
+    each = F.explode(F.array(*[F.named_struct(F.lit("norm"), F.lit(n), F.lit("score"), c.cast("double")) for n, c in norms.items()])).alias("_n")
     rows = hits.select(F.explode(F.array(F.col(kingdom).cast("string"), F.lit("ALL"))).alias("kingdom"), F.col(category).alias("category"), each)
     return rows.groupBy("_n.norm", "kingdom", "category").agg(F.sum("_n.score").alias("score"), F.count("*").alias("n"))
 

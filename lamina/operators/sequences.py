@@ -115,7 +115,7 @@ def cluster_genes(seqs: DataFrame, k: int = 11, bands: int = 16, rows: int = 4,
 def interleave(one: DataFrame, two: DataFrame) -> DataFrame:
     """Both mates of each read after one another: (id, mate, seq, qual)."""
     j = one.select("id", F.col("seq").alias("s1"), F.col("qual").alias("q1")).join(two.select("id", F.col("seq").alias("s2"), F.col("qual").alias("q2")), "id")
-    pair = F.explode(F.array(F.struct(F.lit(1).alias("mate"), F.col("s1").alias("seq"), F.col("q1").alias("qual")), F.struct(F.lit(2), F.col("s2"), F.col("q2")))).alias("p")
+    pair = F.explode(F.array(F.struct(F.lit(1).alias("mate"), F.col("s1").alias("seq"), F.col("q1").alias("qual")), F.struct(F.lit(2).alias("mate"), F.col("s2").alias("seq"), F.col("q2").alias("qual")))).alias("p")
     return j.select("id", pair).select("id", "p.mate", "p.seq", "p.qual")
 
 

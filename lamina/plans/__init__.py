@@ -1,6 +1,6 @@
 """Queries: the operators on the driver's tables, with the SQL that says the same."""
 
-from . import matrices
+from . import joins, matrices
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "matrices"]
+__all__ = ["QUERIES", "SQL", "joins", "matrices"]
