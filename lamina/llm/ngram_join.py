@@ -38,11 +38,12 @@ WORDS = 5
 LOCAL_MIN = 8  # a token is counted as frequent from so many documents of one task on
 FREQUENT = 1_000_000  # at most so many frequent tokens, the most frequent first, are broadcast (16 MB)
 MAX_L, COST_STEP = 4, 128
+GROUP_PAIRS = 64
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("guard", pa.int64()), ("token", pa.int64()), ("count", pa.int64())])
 _PREFIX = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("meta", pa.int64())])
 _MULTI = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("meta", pa.int64()), ("pivot", pa.int64()), ("pivot_meta", pa.int64())])
-_MEMBERS = pa.schema([("node", pa.int64()), ("members", pa.list_(pa.int64()))])
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,23 +211,40 @@ def may_link(a: str, b: str, l: Column) -> Column:
 
 
 def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, seed: int) -> DataFrame:
-    """Those of the pairs (a, b) that link, by their whole sets."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    ids = _io.counted(classes.join(nodes, "node", "left_semi").select("first_id"))
-    near = docs.join(ids, F.col("doc_id") == F.col("first_id"), "left_semi")
+    """Those of the pairs (a, b) that link, by their whole sets.
+
+    Texts meet in groups of one a and about GROUP_PAIRS of its b's: each b's text comes once
+    for each of its pairs, a's once for each group.
+    """
+    ids = classes.select("node", "first_id")
+    named = pairs.select("a", "b").join(ids.select(F.col("node").alias("a"), F.col("first_id").alias("ia")), "a").join(ids.select(F.col("node").alias("b"), F.col("first_id").alias("ib")), "b")
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_PAIRS).alias("groups"))
+    named = _io.cut(named.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups"))))
+    right = _io.counted(named.select(F.col("ib").alias("_id"), "a", "salt", "b"))
+    left = _io.counted(named.select(F.col("ia").alias("_id"), "a", "salt").distinct())
+    rows = docs.join(left, F.col("doc_id") == F.col("_id")).select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+    rows = rows.unionByName(docs.join(right, F.col("doc_id") == F.col("_id")).select("a", "salt", "b", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offs in B.chunks(batches, "text"):
+        lead, own = None, np.zeros(0, np.uint64)  # the open group's a and its set
+        for part, data, offs in B.chunks(batches, "text"):
             tokens, first = shingle_sets(data, offs)
             node, _ = fingerprints(tokens, first, seed)
-            yield _io.batch(_MEMBERS, node, pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(B.signed(tokens))))
-
-    sets = _io.cut(near.mapInArrow(run, _io.ddl(_MEMBERS)).dropDuplicates(["node"]))
-    one = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
-    two = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
-    both = pairs.select("a", "b").join(one, "b").join(two, "a")
-    shared = F.size(F.array_intersect("ma", "mb"))
-    return both.filter(100 * shared >= 80 * (F.size("ma") + F.size("mb") - shared)).select("a", "b")
+            a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
+            out: list[tuple[int, int]] = []
+            for i in range(len(a)):
+                mine = tokens[first[i] : first[i + 1]]
+                if b[i] is None:
+                    if node[i] == a[i]:
+                        lead, own = a[i], mine
+                elif node[i] == b[i] and lead == a[i]:
+                    at = np.searchsorted(own, mine)
+                    shared = int((own[np.minimum(at, len(own) - 1)] == mine).sum())
+                    if 100 * shared >= 80 * (len(own) + len(mine) - shared):
+                        out.append((a[i], b[i]))
+            yield _io.batch(_PAIRS, [x for x, _ in out], [x for _, x in out])
+
+    return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "b").mapInArrow(run, _io.ddl(_PAIRS)).distinct()
 
 
 def duplicate_classes(docs: DataFrame, seed: int = 0) -> DataFrame:
