@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from . import _bytes as B
 from . import _io
 
-LENGTH, Q, HOT = 100, 24, 256
-GROUP_BYTES = 4 << 20
+LENGTH, Q, HOT = 100, 24, 2048
+GROUP_BYTES = 2 << 20
 _LAST = (1 << 63) - 1
 
 _ANCHOR = pa.schema([("h", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("meta", pa.int64())])
@@ -85,9 +85,9 @@ def anchors(data: np.ndarray, offs: np.ndarray, length: int, q: int) -> tuple[np
     at, fresh = s[change], (enters & ~head)[change]
     place = at + w - 1
     look = np.flatnonzero(~fresh)
-    for a in range(0, len(look), 50_000):
-        part = at[look[a : a + 50_000]]
-        place[look[a : a + 50_000]] = part + (gram[part[:, None] + np.arange(w)] == low[part][:, None]).argmax(axis=1)
+    for a in range(0, len(look), 20_000):
+        part = at[look[a : a + 20_000]]
+        place[look[a : a + 20_000]] = part + (gram[part[:, None] + np.arange(w)] == low[part][:, None]).argmax(axis=1)
     count = np.diff(np.append(change, len(s)))
     # A run never goes over a row: every row's first string is a change.
     offset = place - at
@@ -201,7 +201,7 @@ def run_bytes(left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 def run_strings(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Every string of each asked run by its hash."""
+    """The strings of each asked run by their hash, of equal ones in the group only the earliest."""
     if not left.num_rows or not right.num_rows:
         return _STRING.empty_table()
     ids, data, offs = _table_bytes(left)
@@ -209,7 +209,12 @@ def run_strings(left: pa.Table, right: pa.Table) -> pa.Table:
     row = np.searchsorted(ids, right.column("doc").to_numpy())
     at = B.spread(offs[row] + start, count)
     value = B.span_hash(B.prefix_hash(data), at, at + LENGTH)
-    return pa.Table.from_arrays([pa.array(np.repeat(right.column("h").to_numpy(), count)), pa.array(B.signed(value)), pa.array(np.repeat(right.column("doc").to_numpy(), count)), pa.array(B.spread(start, count))], schema=_STRING)
+    h, doc, where = np.repeat(right.column("h").to_numpy(), count), np.repeat(right.column("doc").to_numpy(), count), B.spread(start, count)
+    order = np.lexsort((where, doc, value, h))
+    first = np.ones(len(order), dtype=bool)
+    first[1:] = (h[order][1:] != h[order][:-1]) | (value[order][1:] != value[order][:-1])
+    keep = order[first]
+    return pa.Table.from_arrays([pa.array(h[keep]), pa.array(B.signed(value[keep])), pa.array(doc[keep]), pa.array(where[keep])], schema=_STRING)
 
 
 def refine(data: np.ndarray, room: np.ndarray, length: int) -> np.ndarray:
