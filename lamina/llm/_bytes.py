@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21  # bytes of text that are worked on at once; a longer text is one chunk
+CHUNK = 1 << 20  # bytes of text that are worked on at once; a longer text is one chunk
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 5
