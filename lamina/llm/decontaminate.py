@@ -178,7 +178,8 @@ def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
 
 def _merged(spans: Column) -> Column:
     """Disjoint spans from begins and ends in turn of several passes over one document."""
-    pairs = F.array_sort(F.transform(F.sequence(F.lit(0), F.size(spans) / 2 - 1), lambda i: F.struct(F.get(spans, (2 * i).cast("int")).alias("b"), F.get(spans, (2 * i + 1).cast("int")).alias("e"))))
+    halves = F.sequence(F.lit(0), F.floor(F.size(spans) / 2).cast("int") - 1)
+    pairs = F.array_sort(F.transform(halves, lambda i: F.struct(F.get(spans, 2 * i).alias("b"), F.get(spans, 2 * i + 1).alias("e"))))
     joined = F.aggregate(pairs, F.array().cast("array<long>"), lambda done, p: F.when((F.size(done) > 0) & (F.get(done, F.size(done) - 1) >= p["b"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.greatest(F.get(done, F.size(done) - 1), p["e"])))).otherwise(F.concat(done, F.array(p["b"], p["e"]))))
     return F.when(F.size(spans) > 0, joined).otherwise(spans)
 
