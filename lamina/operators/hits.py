@@ -71,26 +71,37 @@ def best_hit(hits: DataFrame, key: str = "q", order: tuple[str, ...] = BEST, tie
 
 
 def best_hit_in_order(hits: DataFrame, order: str = "line_no") -> DataFrame:
-    """The best hit of each query when hits are met in file order, with the running bests that the rule names."""
-    schema = hits.schema
+    """The best hit of each query when hits are met in file order, with the running bests that the rule names.
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    Rows stream through a partition in the order of query and file; of a query only its best row is held.
+    """
+    names = hits.columns
+    at = {n: names.index(n) for n in ("q", "pident", "alen", "bits", "evalue", "has_cat")}
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best, ever_id, ever_len, found = None, -1.0, -1.0, False
-        for i, h in enumerate(group.sort_values(order).itertuples(index=False)):
-            if found and not h.has_cat:
-                continue
-            if best is None:
-                take = True
-            else:
-                close = best.pident - 5 < h.pident and best.evalue * 10 > h.evalue and h.pident >= 0.97 * best.pident and h.pident >= 0.92 * ever_id and h.alen >= 1.15 * ever_len
-                closer = h.pident >= 1.03 * ever_id and h.alen >= 0.9 * ever_len
-                take = close or closer or h.bits > best.bits or (not found and h.has_cat)
-            if take:
-                best, found = h, bool(h.has_cat)
-                ever_id, ever_len = max(ever_id, h.pident), max(ever_len, h.alen)
-        return pd.DataFrame([best], columns=group.columns)
-
-    return hits.groupBy("q").applyInPandas(run, schema)
+        for part in parts:
+            done = []
+            for h in part.itertuples(index=False, name=None):
+                q, pident, alen, bits, evalue, cat = (h[at[n]] for n in at)
+                if best is None or q != best[at["q"]]:
+                    if best is not None:
+                        done.append(best)
+                    best, ever_id, ever_len, found = h, pident, alen, bool(cat)
+                    continue
+                if found and not cat:
+                    continue
+                b_id, b_bits, b_e = best[at["pident"]], best[at["bits"]], best[at["evalue"]]
+                longer = b_id - 5 < pident and b_e * 10 > evalue and pident >= 0.97 * b_id and pident >= 0.92 * ever_id and alen >= 1.15 * ever_len
+                closer = pident >= 1.03 * ever_id and alen >= 0.9 * ever_len
+                if longer or closer or bits > b_bits or (cat and not found):
+                    best, found = h, bool(cat)
+                    ever_id, ever_len = max(ever_id, pident), max(ever_len, alen)
+            yield pd.DataFrame(done, columns=names)
+        if best is not None:
+            yield pd.DataFrame([best], columns=names)
+
+    return hits.repartition("q").sortWithinPartitions("q", order).mapInPandas(run, hits.schema)
 
 
 def best_without_ties(hits: DataFrame, key: str, score: str, group: str) -> DataFrame:

@@ -22,7 +22,7 @@ def pair_identity(msa: DataFrame) -> DataFrame:
     p = x.join(y, "gene").filter("a < b")
     marks = F.zip_with(F.split("sa", ""), F.split("sb", ""), lambda i, j: F.when(i.isin("", *MISSING) | j.isin("", *MISSING) | i.isNull() | j.isNull(), 0).when(i == j, 1).otherwise(2))
     p = p.withColumn("_m", marks)
-    equal, differ = (F.size(F.filter("_m", lambda m, k=k: m == k)) for k in (1, 2))
+    equal, differ = F.size(F.filter("_m", lambda m: m == 1)), F.size(F.filter("_m", lambda m: m == 2))
     return p.select("gene", "a", "b", (equal + differ).alias("valid"), equal.alias("equal"), F.when(equal + differ > 0, equal * 100.0 / (equal + differ)).alias("pid"))
 
 

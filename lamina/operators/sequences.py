@@ -98,9 +98,9 @@ def cluster_genes(seqs: DataFrame, k: int = 11, bands: int = 16, rows: int = 4,
     """
     need = identity**k / (2 - identity**k)
     sets = seqs.select("id", F.length("seq").alias("len"), F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("seq") - (k - 1), F.lit(1))), lambda i: F.xxhash64(F.substring("seq", i, F.lit(k))))).alias("set"))
-    sig = sets.select("id", "len", *[F.array_min(F.transform("set", lambda x, j=j: F.xxhash64(x, F.lit(j)))).alias(f"m{j}") for j in range(bands * rows)])
-    band = F.explode(F.array(*[F.struct(F.lit(b).alias("b"), F.xxhash64(*[f"m{b * rows + r}" for r in range(rows)]).alias("v")) for b in range(bands)])).alias("_b")
-    buckets = sig.select("id", "len", band).select("id", "len", "_b.b", "_b.v")
+    # One permutation: the least hash of each bin; rows bins make a band.
+    least = sets.select("id", "len", F.explode("set").alias("h")).groupBy("id", "len", F.pmod("h", F.lit(bands * rows)).alias("bin")).agg(F.min("h").alias("m"))
+    buckets = least.groupBy("id", "len", F.floor(F.col("bin") / rows).alias("b")).agg(F.xxhash64(F.array_sort(F.collect_list(F.struct("bin", "m")))).alias("v"))
     lead = buckets.groupBy("b", "v").agg(F.max(F.struct("len", "id")).alias("top"), F.count("*").alias("n")).filter("n > 1")
     pairs = buckets.join(lead, ["b", "v"]).select(F.col("top.id").alias("a"), F.col("id").alias("b")).filter("a != b").distinct()
     x, y = sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
