@@ -35,12 +35,13 @@ from . import _io
 from .components import components
 
 WORDS = 5
-LOCAL_MIN = 8  # a token is counted as frequent from so many documents of one task on
-FREQUENT = 1_000_000  # at most so many frequent tokens, the most frequent first, are broadcast (16 MB)
+LOCAL_MIN, TOTAL_MIN = 2, 8  # a token counts as frequent from so many documents of one task, and of all such tasks, on
+FREQUENT = 2_000_000  # at most so many frequent tokens, the most frequent first, are broadcast (32 MB)
 MAX_L, COST_STEP = 4, 128
-GROUP_PAIRS = 64
+BLOCK_NODES = 64
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("guard", pa.int64()), ("token", pa.int64()), ("count", pa.int64())])
+_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("guard", pa.int64())])
+_COUNTS = pa.schema([("token", pa.int64()), ("count", pa.int64())])
 _PREFIX = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("meta", pa.int64())])
 _MULTI = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("meta", pa.int64()), ("pivot", pa.int64()), ("pivot_meta", pa.int64())])
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -65,37 +66,38 @@ def fingerprints(tokens: np.ndarray, first: np.ndarray, seed: int) -> tuple[np.n
 
 
 def document_sets(docs: DataFrame, seed: int) -> DataFrame:
-    """Rows of documents (doc_id, n, node, guard), and rows of tokens that a task sees often (token, count)."""
+    """doc_id, n, node and guard of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counted, pending, held = [], [], 0
+        for rows, data, offs in B.chunks(batches, "text"):
+            tokens, first = shingle_sets(data, offs)
+            yield _io.batch(_SETS, rows.column("doc_id"), np.diff(first), *fingerprints(tokens, first, seed))
+
+    return docs.mapInArrow(run, _io.ddl(_SETS))
+
+
+def frequent_tokens(docs: DataFrame) -> DataFrame:
+    """(token, n): tokens that tasks see in LOCAL_MIN documents or more, with the counts of those tasks, from TOTAL_MIN on."""
 
-        def fold() -> None:
-            nonlocal pending, held, counted
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending, held = [], 0
+
+        def fold() -> pa.RecordBatch:
             tokens, many = np.unique(np.concatenate(pending), return_counts=True)
-            keep = many > 1
-            counted.append((tokens[keep], many[keep]))
-            pending, held = [], 0
+            often = many >= LOCAL_MIN
+            return _io.batch(_COUNTS, B.signed(tokens[often]), many[often])
 
-        for rows, data, offs in B.chunks(batches, "text"):
-            tokens, first = shingle_sets(data, offs)
-            node, guard = fingerprints(tokens, first, seed)
+        for _, data, offs in B.chunks(batches, "text"):
+            tokens, _ = shingle_sets(data, offs)
             pending.append(tokens)
             held += len(tokens)
-            if held > 4_000_000:
-                fold()
-            none = pa.nulls(rows.num_rows, pa.int64())
-            yield _io.batch(_SETS, rows.column("doc_id"), np.diff(first), node, guard, none, none)
+            if held > 6_000_000:
+                yield fold()
+                pending, held = [], 0
         if pending:
-            fold()
-        if counted:
-            tokens, at = np.unique(np.concatenate([t for t, _ in counted]), return_inverse=True)
-            total = np.bincount(at, weights=np.concatenate([c for _, c in counted]), minlength=len(tokens)).astype(np.int64)
-            often = total >= LOCAL_MIN
-            none = pa.nulls(int(often.sum()), pa.int64())
-            yield _io.batch(_SETS, none, none, none, none, B.signed(tokens[often]), total[often])
+            yield fold()
 
-    return docs.mapInArrow(run, _io.ddl(_SETS))
+    return docs.mapInArrow(run, _io.ddl(_COUNTS)).groupBy("token").agg(F.sum("count").alias("n")).filter(F.col("n") >= TOTAL_MIN)
 
 
 class Order:
@@ -213,50 +215,53 @@ def may_link(a: str, b: str, l: Column) -> Column:
 def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, seed: int) -> DataFrame:
     """Those of the pairs (a, b) that link, by their whole sets.
 
-    Texts meet in groups of one a and about GROUP_PAIRS of its b's: each b's text comes once
-    for each of its pairs, a's once for each group.
+    Nodes that share a least partner are cut into blocks of about BLOCK_NODES.  The pairs of two
+    blocks meet in one group, to which each of their texts comes once: a dense set of m nodes
+    sends m times m / BLOCK_NODES texts, not one for each pair, and no group grows with m.
     """
-    ids = classes.select("node", "first_id")
-    named = pairs.select("a", "b").join(ids.select(F.col("node").alias("a"), F.col("first_id").alias("ia")), "a").join(ids.select(F.col("node").alias("b"), F.col("first_id").alias("ib")), "b")
-    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_PAIRS).alias("groups"))
-    named = _io.cut(named.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups"))))
-    right = _io.counted(named.select(F.col("ib").alias("_id"), "a", "salt", "b"))
-    left = _io.counted(named.select(F.col("ia").alias("_id"), "a", "salt").distinct())
-    rows = docs.join(left, F.col("doc_id") == F.col("_id")).select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
-    rows = rows.unionByName(docs.join(right, F.col("doc_id") == F.col("_id")).select("a", "salt", "b", "text"))
+    ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("other")))
+    near = ends.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("near"))
+    size = near.groupBy("near").agg(F.ceil(F.count("*") / BLOCK_NODES).alias("blocks"))
+    block = near.join(size, "near").select("node", F.xxhash64("near", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block"))
+    named = block.join(classes.select("node", "first_id"), "node")
+    keyed = pairs.select("a", "b").join(named.select(F.col("node").alias("a"), F.col("block").alias("p"), F.col("first_id").alias("ia")), "a").join(named.select(F.col("node").alias("b"), F.col("block").alias("q"), F.col("first_id").alias("ib")), "b")
+    keyed = _io.cut(keyed.withColumn("key", F.xxhash64(F.least("p", "q"), F.greatest("p", "q"))))
+    asked = _io.counted(keyed.select("key", F.col("a").alias("node"), F.col("ia").alias("_id")).unionByName(keyed.select("key", F.col("b").alias("node"), F.col("ib").alias("_id"))).distinct())
+    rows = docs.join(asked, F.col("doc_id") == F.col("_id")).select("key", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text")
+    rows = rows.unionByName(keyed.select("key", "a", "b", F.lit(None).cast("binary").alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead, own = None, np.zeros(0, np.uint64)  # the open group's a and its set
+        # A group's texts come before its pairs; only the sets of the open group are held.
+        open_key, sets = None, {}
         for part, data, offs in B.chunks(batches, "text"):
             tokens, first = shingle_sets(data, offs)
             node, _ = fingerprints(tokens, first, seed)
-            a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
             out: list[tuple[int, int]] = []
-            for i in range(len(a)):
-                mine = tokens[first[i] : first[i + 1]]
-                if b[i] is None:
-                    if node[i] == a[i]:
-                        lead, own = a[i], mine
-                elif node[i] == b[i] and lead == a[i]:
-                    at = np.searchsorted(own, mine)
-                    shared = int((own[np.minimum(at, len(own) - 1)] == mine).sum())
-                    if 100 * shared >= 80 * (len(own) + len(mine) - shared):
-                        out.append((a[i], b[i]))
+            for i, (key, a, b) in enumerate(zip(*(part.column(n).to_pylist() for n in ("key", "a", "b")), strict=True)):
+                if key != open_key:
+                    open_key, sets = key, {}
+                if b is None:
+                    if node[i] == a:
+                        sets[a] = tokens[first[i] : first[i + 1]].copy()
+                elif a in sets and b in sets:
+                    x, y = sets[a], sets[b]
+                    shared = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+                    if 100 * shared >= 80 * (len(x) + len(y) - shared):
+                        out.append((a, b))
             yield _io.batch(_PAIRS, [x for x, _ in out], [x for _, x in out])
 
-    return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "b").mapInArrow(run, _io.ddl(_PAIRS)).distinct()
+    return rows.repartition("key").sortWithinPartitions("key", "b", "a").mapInArrow(run, _io.ddl(_PAIRS)).distinct()
 
 
 def duplicate_classes(docs: DataFrame, seed: int = 0) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach) of every row."""
     texts = _io.keyed(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), _io.utf8_binary())
-    both = _io.cut(document_sets(texts, seed))
-    frequent = both.filter("token is not null").groupBy("token").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
-    rows = both.filter("n is not null").select("doc_id", "n", "node", "guard")
+    rows = _io.cut(document_sets(texts, seed))
     classes = _io.cut(rows.filter("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("guard").alias("g"), F.max("guard").alias("h")))
     if not classes.filter("g != h").isEmpty():
         return duplicate_classes(docs, seed + 1)  # two sets share a fingerprint: take another
 
+    frequent = frequent_tokens(texts).orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
     order = Order(frequent["token"].to_numpy().astype(np.int64).view(np.uint64), frequent["n"].to_numpy().astype(np.int64))
     multi = _io.cut(shared_tokens(prefix_rows(texts.filter("doc_id is not null"), order, seed)))
 
