@@ -12,7 +12,8 @@ LENGTH bytes, and only where a bucket can hold more than one:
 3. What is left is refined by sorting: the bytes of the runs are put in buckets of 8-grams,
    and a bucket of n bytes is refined to 2n by sorting on the bucket identifiers at offset n,
    and so on, each round using the identifiers of the one before, up to LENGTH.
-4. A q-gram bucket with more than HOT different runs isn't sorted in one task: its strings go
+4. A q-gram bucket with more than HOT different runs (about a megabyte) isn't sorted in one
+   task: its strings go
    one by one to an aggregation that combines before the shuffle and tells each string's
    earliest place.
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from . import _bytes as B
 from . import _io
 
-LENGTH, Q, HOT = 100, 24, 2048
+LENGTH, Q, HOT = 100, 24, 8192
 GROUP_BYTES = 2 << 20
 _LAST = (1 << 63) - 1
 

@@ -296,7 +296,7 @@ def brute_removal(rows, length=100):
     return out
 
 
-@pytest.mark.parametrize("hot", [2048, 2])
+@pytest.mark.parametrize("hot", [8192, 2])
 def test_substrings(spark, rows, docs, hot):
     want = brute_removal([(d, t) for d, t, *_ in rows])
     assert {r.doc_id: tuple(r)[1:] for r in substrings.remove_repeats(docs, hot).collect()} == want
