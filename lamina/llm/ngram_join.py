@@ -13,7 +13,9 @@ prefix, and the more shared prefix tokens a pair needs (the lesser of its two l)
 
 Classes need no pair that is joined already.  So each prefix token first links its nodes to
 one pivot, the node in which the token comes earliest; what this leaves apart is then paired
-across classes only, counted, and verified on the whole sets.  Every link between
+across classes only, counted, and verified on the whole sets.  Nodes that a token of more than
+DENSE nodes ties together are compared in blocks by matrix products instead, so that a dense
+set of near misses makes no rows of pairs.  Every link between
 nodes of different classes is found in the second step, so that the classes are exact.
 
 Cases: words are [^ \\t-\\r]+ with A-Z lower-cased; with fewer than five words the whole sequence
@@ -39,6 +41,7 @@ LOCAL_MIN, TOTAL_MIN = 2, 8  # a token counts as frequent from so many documents
 FREQUENT = 2_000_000  # at most so many frequent tokens, the most frequent first, are broadcast (32 MB)
 MAX_L, COST_STEP = 4, 128
 BLOCK_NODES = 64
+DENSE, DENSE_BLOCK = 64, 256  # a token of more nodes makes its nodes a dense set, which is compared in blocks of so many nodes
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("guard", pa.int64())])
 _COUNTS = pa.schema([("token", pa.int64()), ("count", pa.int64())])
@@ -253,6 +256,71 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, seed: int) ->
     return rows.repartition("key").sortWithinPartitions("key", "b", "a").mapInArrow(run, _io.ddl(_PAIRS)).distinct()
 
 
+def block_links(own: list[tuple[int, int, np.ndarray]], split: int, columns: int = 1 << 14) -> list[tuple[int, int]]:
+    """Links between the first split and the other of (node, root, set), or among all if split is their number; roots differ.
+
+    Shared tokens are counted by products of 0/1 matrices over slices of the vocabulary.
+    """
+    size = np.array([len(t) for _, _, t in own], dtype=np.float64)
+    who = np.repeat(np.arange(len(own)), size.astype(np.int64))
+    tokens = np.concatenate([t for _, _, t in own]) if own else np.zeros(0, np.uint64)
+    order = np.argsort(tokens, kind="stable")
+    tokens, who = tokens[order], who[order]
+    new = np.ones(len(tokens), dtype=bool)
+    new[1:] = tokens[1:] != tokens[:-1]
+    number = np.cumsum(new) - 1
+    often = np.bincount(number) > 1
+    held = often[number]
+    number, who = (np.cumsum(often) - 1)[number[held]], who[held]
+    left = slice(0, split)
+    right = slice(split, None) if split < len(own) else left
+    shared = np.zeros((split, len(own) - split if split < len(own) else split))
+    for at in range(0, int(often.sum()), columns):
+        part = slice(*np.searchsorted(number, [at, at + columns]))
+        marks = np.zeros((len(own), columns), dtype=np.float32)
+        marks[who[part], number[part] - at] = 1
+        shared += marks[left] @ marks[right].T
+    root = np.array([r for _, r, _ in own])
+    ok = (100 * shared >= 80 * (size[left][:, None] + size[right][None, :] - shared)) & (root[left][:, None] != root[right][None, :])
+    base = split if split < len(own) else 0
+    return [(own[i][0], own[base + j][0]) for i, j in zip(*np.nonzero(ok), strict=True) if base or i < j]
+
+
+def verify_dense(members: DataFrame, docs: DataFrame, seed: int) -> DataFrame:
+    """Links between the nodes (node, root, first_id) of each dense set, by all pairs of blocks; no pair is a row unless it links."""
+    size = members.groupBy("dense").agg(F.ceil(F.count("*") / DENSE_BLOCK).alias("blocks"))
+    m = members.join(size, "dense").withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    m = m.select("node", "root", F.col("first_id").alias("_id"), "dense", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"))
+    side = F.when(F.col("i") <= F.col("j"), 0).otherwise(1)
+    asked = _io.counted(m.select("_id", "node", "root", F.xxhash64("dense", F.least("i", "j"), F.greatest("i", "j")).alias("key"), side.alias("side")))
+    rows = docs.join(asked, F.col("doc_id") == F.col("_id")).select("key", "side", "node", "root", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: dict = {"key": None, "own": [], "seen": set(), "split": 0}
+
+        def solve() -> list[tuple[int, int]]:
+            own, split = state["own"], state["split"]
+            return block_links(own, split) if len(own) > 1 and split else []
+
+        for part, data, offs in B.chunks(batches, "text"):
+            tokens, first = shingle_sets(data, offs)
+            node, _ = fingerprints(tokens, first, seed)
+            out: list[tuple[int, int]] = []
+            for i, (key, right, name, root) in enumerate(zip(*(part.column(n).to_pylist() for n in ("key", "side", "node", "root")), strict=True)):
+                if key != state["key"]:
+                    out += solve()
+                    state.update(key=key, own=[], seen=set(), split=0)
+                if node[i] == name and name not in state["seen"]:
+                    state["seen"].add(name)
+                    state["own"].append((name, root, tokens[first[i] : first[i + 1]].copy()))
+                    state["split"] += not right
+            yield _io.batch(_PAIRS, [x for x, _ in out], [x for _, x in out])
+        out = solve()
+        yield _io.batch(_PAIRS, [x for x, _ in out], [x for _, x in out])
+
+    return rows.repartition("key").sortWithinPartitions("key", "side", "node").mapInArrow(run, _io.ddl(_PAIRS))
+
+
 def duplicate_classes(docs: DataFrame, seed: int = 0) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach) of every row."""
     texts = _io.keyed(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), _io.utf8_binary())
@@ -273,12 +341,26 @@ def duplicate_classes(docs: DataFrame, seed: int = 0) -> DataFrame:
     placed = multi.select("token", "node", "meta")
     placed = placed.withColumn("root", F.col("node")) if joined is None else placed.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = _io.cut(placed)
-    apart = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token")
-    placed = placed.join(apart, "token", "left_semi")
-    x = placed.select("token", F.col("node").alias("a"), F.col("meta").alias("am"), F.col("root").alias("ar"))
-    y = placed.select("token", F.col("node").alias("b"), F.col("meta").alias("bm"), F.col("root").alias("br"))
+    apart = _io.cut(placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("nodes"), F.min("node").alias("lead")).filter("low < high"))
+
+    # A token of many nodes ties them to a dense set; its pairs aren't made, its blocks are compared.
+    thick = apart.filter(F.col("nodes") > DENSE).select("token", "lead")
+    dense = components(placed.join(thick, "token").select(F.col("lead").alias("a"), F.col("node").alias("b")), "a", "b")
+    if dense is not None:
+        dense = dense.withColumnRenamed("root", "dense")
+        members = placed.select("node", "root").distinct().join(dense, "node").join(classes.select("node", "first_id"), "node")
+        linked = linked.unionByName(_io.cut(verify_dense(members, texts, seed)))
+        placed = placed.join(dense, "node", "left")
+    else:
+        placed = placed.withColumn("dense", F.lit(None).cast("long"))
+
+    # All other pairs share no token of a dense set, so that the count over the rest is whole.
+    placed = placed.join(apart.filter(F.col("nodes") <= DENSE).select("token"), "token", "left_semi")
+    x = placed.select("token", F.col("node").alias("a"), F.col("meta").alias("am"), F.col("root").alias("ar"), F.col("dense").alias("ad"))
+    y = placed.select("token", F.col("node").alias("b"), F.col("meta").alias("bm"), F.col("root").alias("br"), F.col("dense").alias("bd"))
     least = F.least(_l("am"), _l("bm"))
-    met = x.join(y, "token").filter((F.col("ar") < F.col("br")) & may_link("am", "bm", least))
+    other = F.col("ad").isNull() | F.col("bd").isNull() | (F.col("ad") != F.col("bd"))
+    met = x.join(y, "token").filter((F.col("ar") < F.col("br")) & other & may_link("am", "bm", least))
     cross = met.groupBy("a", "b").agg(F.count("*").alias("n"), F.first(least).alias("l")).filter("n >= l")
     more = verify(_io.cut(cross.select("a", "b")), texts, classes, seed)
     links = linked.unionByName(more)
