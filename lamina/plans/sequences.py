@@ -94,7 +94,7 @@ def x15(t: Tables):
     return t.lineitem.select("l_orderkey", "l_linenumber", stats.round_half_up(F.col("l_extendedprice"), 1).alias("one"), F.col("l_extendedprice").cast("long").alias("whole"))
 
 
-@query("x17_sum_of_list", "SELECT l_orderkey, sum(l_linenumber) * 1.0 AS total FROM lineitem GROUP BY 1")
+@query("x17_sum_of_list", "SELECT l_orderkey, CAST(sum(l_linenumber) AS DOUBLE) AS total FROM lineitem GROUP BY 1")
 def x17(t: Tables):
     g = t.lineitem.groupBy("l_orderkey").agg(F.array_join(F.collect_list(F.col("l_linenumber").cast("string")), ",").alias("c"))
     return g.select("l_orderkey", S.sum_list(F.col("c")).alias("total"))
