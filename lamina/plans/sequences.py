@@ -204,7 +204,7 @@ def a26(t: Tables):
 def j13(t: Tables):
     m = msa(t)
     ref = m.select((F.col("id") - 1).alias("contig"), "seq")
-    pos = m.select(F.col("id").alias("contig"), F.explode(F.sequence(F.lit(1), F.lit(199), F.lit(7))).alias("pos"))
+    pos = m.select(F.col("id").alias("contig"), F.explode(F.sequence(F.lit(1), F.greatest(F.length("seq"), F.lit(1)))).alias("pos"))
     return V.consensus_differences(m.select(F.col("id").alias("contig"), "seq"), ref, pos).filter("ref != ''")
 
 

@@ -10,3 +10,9 @@ def test_co_exclusion_over_all_orders(spark, tmp_path):
     # Nations 0 and 1 meet in 1 % 7 = 15 % 7 only.
     spark.createDataFrame([(1, 3), (1, 1), (2, 4), (2, 15), (3, 2)], "o_custkey long, o_orderkey long").selectExpr("*", "'P' AS o_orderpriority").write.parquet(str(tmp_path / "orders.parquet"))
     assert sorted(tuple(r) for r in QUERIES["j15_co_exclusion"](spark, str(tmp_path)).collect()) == [("X", 0, 2), ("X", 1, 2)]
+
+
+def test_consensus_difference_at_every_position(spark, tmp_path):
+    text = "A" * 250
+    spark.createDataFrame([(1, text), (2, f"AB{text[2:229]}B{text[230:]}")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert sorted(tuple(r) for r in QUERIES["j13_consensus_difference"](spark, str(tmp_path)).collect()) == [(1, 2, "C", "A"), (1, 230, "C", "A")]
