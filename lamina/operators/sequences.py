@@ -90,26 +90,145 @@ def assembly_stats(seqs: DataFrame, key: str) -> DataFrame:
     return a.join(cumulative_half(c, [key], "_l"), key)
 
 
-def cluster_genes(seqs: DataFrame, k: int = 11, bands: int = 16, rows: int = 4, identity: float = 0.95) -> DataFrame:
+def kmer_set(seq: str, k: int) -> np.ndarray:
+    """Distinct k-mers of a sequence as 64-bit hashes; of a shorter one the whole."""
+    codes = np.frombuffer(seq.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    width = min(k, len(codes))
+    h = np.full(len(codes) - width + 1, width, dtype=np.uint64)
+    for j in range(width):
+        h = (h + codes[j : len(codes) - width + 1 + j]) * np.uint64(0x9E3779B97F4A7C15)
+    return np.unique(h)
+
+
+def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each run, count of them."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
+def _runs(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values, starts and lengths of the runs of a sorted array."""
+    start = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if len(tokens) else np.zeros(0, np.int64)
+    return tokens[start], start, np.diff(np.append(start, len(tokens)))
+
+
+def shared_kmers(one: tuple, two: tuple, chunk: int = 1 << 22, columns: int = 1 << 12) -> np.ndarray:
+    """Sizes of all intersections of two blocks (sorted k-mers, row of each, sizes).
+
+    K-mers of few rows are counted pair by pair, those of many by products of 0/1 matrices.
+    """
+    (ta, wa, na), (tb, wb, nb) = one, two
+    rows, cols = len(na), len(nb)
+    ua, sa, ca = _runs(ta)
+    ub, sb, cb = _runs(tb)
+    at = np.minimum(np.searchsorted(ub, ua), len(ub) - 1)
+    both = ub[at] == ua
+    sa, ca, sb, cb = sa[both], ca[both], sb[at[both]], cb[at[both]]
+    out = np.zeros(rows * cols, dtype=np.int64)
+    many = ca * cb * 256 > rows * cols
+    few = np.flatnonzero(~many)
+    total = np.cumsum((ca * cb)[few])
+    a = 0
+    while a < len(few):
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + chunk, side="right")))
+        t = few[a:b]
+        left, times = wa[_spread(sa[t], ca[t])], np.repeat(cb[t], ca[t])
+        right = wb[_spread(np.repeat(sb[t], ca[t]), times)]
+        out += np.bincount(np.repeat(left, times) * cols + right, minlength=rows * cols)
+        a = b
+    out = out.reshape(rows, cols)
+    dense = np.flatnonzero(many)
+    for a in range(0, len(dense), columns):
+        t = dense[a : a + columns]
+        x, y = np.zeros((rows, len(t)), dtype=np.float32), np.zeros((cols, len(t)), dtype=np.float32)
+        x[wa[_spread(sa[t], ca[t])], np.repeat(np.arange(len(t)), ca[t])] = 1
+        y[wb[_spread(sb[t], cb[t])], np.repeat(np.arange(len(t)), cb[t])] = 1
+        out += np.rint(x @ y.T).astype(np.int64)
+    return out
+
+
+def gene_links(seqs: list[str], sides: np.ndarray, k: int, need: float, rows: int = 2048, tokens: int = 1 << 21) -> list[tuple[int, int]]:
+    """Links that join what pairs of Jaccard similarity need or more join: pairs of the two sides, or all if there is one side.
+
+    Blocks are cut in the order of set sizes, and blocks whose sizes are too far apart aren't compared.
+    """
+    size = np.array([len(kmer_set(s, k)) for s in seqs], dtype=np.int64)
+
+    def blocks(of: np.ndarray) -> list[np.ndarray]:
+        of = of[np.argsort(size[of], kind="stable")]
+        held, cut, out = 0, 0, []
+        for i, n in enumerate(size[of]):
+            if i > cut and (held + n > tokens or i - cut >= rows):
+                out.append(of[cut:i])
+                held, cut = 0, i
+            held += n
+        return [*out, of[cut:]] if len(of) else out
+
+    def load(of: np.ndarray) -> tuple:
+        t, who = np.concatenate([kmer_set(seqs[i], k) for i in of]), np.repeat(np.arange(len(of)), size[of])
+        order = np.argsort(t, kind="stable")
+        return t[order], who[order], size[of]
+
+    single = len(np.unique(sides)) < 2
+    lefts = blocks(np.flatnonzero(sides == sides.min())) if len(sides) else []
+    rights = lefts if single else blocks(np.flatnonzero(sides == sides.max()))
+    root, out = np.arange(len(seqs)), []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for n, left in enumerate(lefts):
+        one = load(left)
+        for right in rights[n:] if single else rights:
+            low, high = (left, right) if size[left[0]] <= size[right[0]] else (right, left)
+            if size[low[-1]] < need * size[high[0]]:
+                continue
+            two = one if right is left else load(right)
+            shared = shared_kmers(one, two)
+            x, y = np.nonzero(shared >= need * (one[2][:, None] + two[2][None, :] - shared))
+            x, y = left[x], right[y]
+            while len(x):
+                # A link of each row a round, until all that link are joined.
+                for i in np.unique(x, return_index=True)[1]:
+                    a, b = find(int(x[i])), find(int(y[i]))
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        out.append((int(x[i]), int(y[i])))
+                flat = np.array([find(i) for i in range(len(root))])
+                apart = flat[x] != flat[y]
+                x, y = x[apart], y[apart]
+    return out
+
+
+def cluster_genes(seqs: DataFrame, k: int = 11, identity: float = 0.95, block: int = 8192) -> DataFrame:
     """(id, cluster): genes linked when the Jaccard similarity of their k-mer sets reaches what the identity implies.
 
-    Min-hash bands propose pairs; each band links its members to one of them, and every proposed
-    pair is verified on the whole sets; the longest gene of a cluster names it.
+    Equal sequences are one node.  The nodes are dealt into blocks, and every two blocks are
+    compared whole in one task, so that no link is missed; the work grows with the square of
+    the nodes.  The longest gene of a cluster names it.
     """
     need = identity**k / (2 - identity**k)
-    sets = seqs.select("id", F.length("seq").alias("len"), F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("seq") - (k - 1), F.lit(1))), lambda i: F.xxhash64(F.substring("seq", i, F.lit(k))))).alias("set"))
-    # One permutation: the least hash of each bin; rows bins make a band.
-    least = sets.select("id", "len", F.explode("set").alias("h")).groupBy("id", "len", F.pmod("h", F.lit(bands * rows)).alias("bin")).agg(F.min("h").alias("m"))
-    buckets = least.groupBy("id", "len", F.floor(F.col("bin") / rows).alias("b")).agg(F.xxhash64(F.array_sort(F.collect_list(F.struct("bin", "m")))).alias("v"))
-    lead = buckets.groupBy("b", "v").agg(F.max(F.struct("len", "id")).alias("top"), F.count("*").alias("n")).filter("n > 1")
-    pairs = buckets.join(lead, ["b", "v"]).select(F.col("top.id").alias("a"), F.col("id").alias("b")).filter("a != b").distinct()
-    x, y = sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    good = pairs.join(x, "a").join(y, "b").filter(both >= need * (F.size("sa") + F.size("sb") - both)).select("a", "b")
-    roots = graph.merge_clusters(good)
-    own = seqs.select("id", F.length("seq").alias("len")).join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
-    top = own.groupBy("root").agg(F.max_by("id", F.struct("len", "id")).alias("cluster"))
-    return own.join(top, "root").select("id", "cluster")
+    own = seqs.select("id", F.length("seq").alias("len"), F.sha2("seq", 256).alias("digest"), "seq")
+    nodes = own.filter("id is not null and seq is not null").groupBy("digest").agg(F.any_value("seq").alias("seq"))
+    count = own.agg(F.approx_count_distinct("digest").alias("n"))
+    dealt = nodes.crossJoin(F.broadcast(count))  # one row
+    dealt = dealt.withColumn("blocks", F.ceil(F.col("n") / block)).withColumn("i", F.pmod(F.xxhash64("digest"), F.greatest("blocks", F.lit(1))))
+    dealt = dealt.select("digest", "seq", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest("blocks", F.lit(1)) - 1)).alias("j"))
+    dealt = dealt.select("digest", "seq", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), (F.col("i") > F.col("j")).alias("side"))
+
+    def compare(g: pd.DataFrame) -> pd.DataFrame:
+        names = g["digest"].to_numpy()
+        if g["p"].iloc[0] != g["q"].iloc[0] and g["side"].nunique() < 2:
+            return pd.DataFrame({"a": [], "b": []}, dtype=object)  # the other block is empty
+        found = gene_links(g["seq"].tolist(), g["side"].to_numpy(), k, need)
+        return pd.DataFrame({"a": [names[x] for x, _ in found], "b": [names[y] for _, y in found]}, dtype=object)
+
+    roots = graph.merge_clusters(dealt.groupBy("p", "q").applyInPandas(compare, "a string, b string"))
+    placed = own.select("id", "len", "digest").join(roots, F.col("digest") == F.col("node"), "left").select("id", "len", F.coalesce("root", "digest", F.col("id").cast("string")).alias("root")).filter("id is not null")
+    top = placed.groupBy("root").agg(F.max_by("id", F.struct("len", "id")).alias("cluster"))
+    return placed.join(top, "root").select("id", "cluster")
 
 
 def interleave(one: DataFrame, two: DataFrame) -> DataFrame:
