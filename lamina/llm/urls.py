@@ -7,9 +7,9 @@ decision passes to every page of its class that no rule judges, unless a page of
 is explicitly allowed: an explicit allow comes before a block that is passed on.
 
 Cases: a null url, or one without ://, has an empty host and path, fits no rule, and is a
-class of its own, unless its html links it to another page; null html has no links; links
-without :// are read against the page's host; repeated pages share a class by their url;
-further columns are ignored.  What has neither a rule nor a blocked class is allowed.
+class of its own, whose links aren't followed; null html has no links; a link is absolute
+if it starts with a scheme, and is else read against the page's host and path; repeated pages
+share a class by their url; further columns are ignored.  What has neither a rule nor a blocked class is allowed.
 """
 
 from __future__ import annotations
@@ -41,6 +41,20 @@ def place_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)))
 
 
+def resolve(to: Column, host: Column, path: Column) -> Column:
+    """A link of the page with this host and path as a url; null for a link within the page."""
+    own = F.regexp_extract(to, r"(?s)^([^?#]*)", 1)
+    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
+    whole = F.when(own.startswith("/"), own).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), own))
+    parts = F.split(F.regexp_replace(whole, "^/", ""), "/")
+    step = lambda kept, s: F.when(s == ".", kept).when(s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(s)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    kept = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    place = F.when(own == "", path).otherwise(F.concat(F.lit("/"), F.array_join(kept, "/")))
+    relative = F.concat(F.lit("http://"), host, place, F.regexp_extract(to, r"(?s)^[^?#]*(.*)", 1))
+    return F.when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), to).when(to.startswith("//"), F.concat(F.lit("http:"), to)).when(~to.startswith("#"), relative)
+
+
 def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     """The longest rule that fits, as a struct of rule and verdict; null where none fits.
 
@@ -66,8 +80,8 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
     low = F.lower("html")
     links = p.filter(F.contains(low, F.lit("canonical")) | F.contains(low, F.lit("refresh")))
     target = F.explode(F.array(F.regexp_extract("html", CANONICAL, 1), F.regexp_extract("html", REFRESH, 1))).alias("to")
-    links = links.select(place_of(F.col("url")).alias("src"), host_of(F.col("url")).alias("host"), target).filter("to != ''")
-    full = F.when(F.instr("to", "://") > 0, F.col("to")).when(F.col("to").startswith("//"), F.concat(F.lit("http:"), F.col("to"))).when(F.col("to").startswith("/"), F.concat(F.lit("http://"), F.col("host"), F.col("to")))
+    links = links.select(place_of(F.col("url")).alias("src"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), target).filter("to != ''")
+    full = resolve(F.col("to"), F.col("host"), F.col("path"))
     edges = links.select("src", place_of(full).alias("dst")).filter("src is not null and dst is not null and src != dst").distinct()
     classes = components(edges, "src", "dst")  # place, root: only places with an edge
 
