@@ -34,7 +34,6 @@ from . import _io
 
 MIN_REVISIT, FILE_BYTES = 1_000, 8 << 20
 MAGIC, END = b"WARC/1.1\r\n", b"\r\n\r\n"
-_MAX_HEADER = 1 << 16
 _DATE = "2024-01-01T00:00:00Z"
 
 
@@ -84,29 +83,31 @@ _CANDIDATES = pa.schema([("file", pa.string()), ("at", pa.int64()), ("successor"
 
 def candidates(content: bytes) -> Iterator[tuple]:
     """(at, successor, page_id, payload_bytes, payload_digest, record_type, refers_to) wherever the magic stands."""
-    at = content.find(MAGIC)
+    at, stop = content.find(MAGIC), -1
     while at >= 0:
-        stop = content.find(END, at, at + _MAX_HEADER)
-        if stop >= 0:
-            head: dict[bytes, bytes] = {}
-            for text in content[at + len(MAGIC) : stop].split(b"\r\n"):
-                key, colon, value = text.partition(b": ")
-                if colon:
-                    head.setdefault(key.lower(), value)
-            size = head.get(b"content-length", b"")
-            if size.isdigit():
-                begin = stop + len(END)
-                end = begin + int(size)
-                if content[end : end + len(END)] == END:
-                    kind, name, refers = head.get(b"warc-type", b""), _ID.search(head.get(b"warc-record-id", b"")), _ID.search(head.get(b"warc-refers-to", b""))
-                    if kind == b"response":
-                        body = content.find(END, begin, end)
-                        body = end if body < 0 else body + len(END)
-                        length, digest = end - body, hashlib.sha1(memoryview(content)[body:end]).hexdigest()
-                    else:
-                        told = head.get(b"warc-payload-length", b"0")
-                        length, digest = int(told) if told.isdigit() else 0, head.get(b"warc-payload-digest", b"").removeprefix(b"sha1:").decode("ascii", "replace")
-                    yield at, end + len(END), int(name[1]) if name else None, length, digest, kind.decode("ascii", "replace"), int(refers[1]) if refers else None
+        if stop < at:
+            stop = content.find(END, at)
+            if stop < 0:
+                return
+        head: dict[bytes, bytes] = {}
+        for text in content[at + len(MAGIC) : stop].split(b"\r\n"):
+            key, colon, value = text.partition(b": ")
+            if colon:
+                head.setdefault(key.lower(), value)
+        size = head.get(b"content-length", b"")
+        if size.isdigit():
+            begin = stop + len(END)
+            end = begin + int(size)
+            if content[end : end + len(END)] == END:
+                kind, name, refers = head.get(b"warc-type", b""), _ID.search(head.get(b"warc-record-id", b"")), _ID.search(head.get(b"warc-refers-to", b""))
+                if kind == b"response":
+                    body = content.find(END, begin, end)
+                    body = end if body < 0 else body + len(END)
+                    length, digest = end - body, hashlib.sha1(memoryview(content)[body:end]).hexdigest()
+                else:
+                    told = head.get(b"warc-payload-length", b"0")
+                    length, digest = int(told) if told.isdigit() else 0, head.get(b"warc-payload-digest", b"").removeprefix(b"sha1:").decode("ascii", "replace")
+                yield at, end + len(END), int(name[1]) if name else None, length, digest, kind.decode("ascii", "replace"), int(refers[1]) if refers else None
         at = content.find(MAGIC, at + 1)
 
 

@@ -7,7 +7,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from lamina.llm import urls
+from lamina.llm import urls, warc
 from lamina.operators import sequences
 from lamina.plans import QUERIES
 
@@ -87,3 +87,8 @@ def test_relative_links_pass_blocks_on(spark):
     rules = [("block", "a.net/bad/"), ("block", "x.com/de/"), ("block", "c.net/bad/")]
     got = urls.judge_urls(spark.createDataFrame(data, "page_id long, url string, html string"), rules).collect()
     assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "allow", 3: "block"}
+
+
+def test_warc_of_a_very_long_url(spark):
+    pages = spark.createDataFrame([(1, "http://a/" + "x" * 70_000, "one"), (2, "http://b", "three")], "page_id long, url string, html string")
+    assert sorted(r[:2] for r in warc.archive_round_trip(pages).collect()) == [(1, 3), (2, 5)]
