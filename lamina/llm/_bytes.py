@@ -2,8 +2,10 @@
 
 Arrow hands a Python worker its strings as one byte buffer plus offsets.  The functions
 here work on that buffer with numpy, so no Python object is made for a word: word limits
-come from byte classes, and a word's identity is a 64-bit polynomial hash taken from
-prefix sums.  A null text counts as an empty one.
+come from byte classes, and a word's identity is a 64-bit hash.  The hash reads a span in
+lanes of eight bytes, each of which goes through a mixer that isn't linear together with
+its place in the span before the lanes are added up.  Where a hash would decide an exact
+result, same_spans compares the bytes.  A null text counts as an empty one.
 """
 
 from __future__ import annotations
@@ -14,32 +16,23 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 20  # bytes of text that are worked on at once; a longer text is one chunk
+LANES = 1 << 17  # lanes of eight bytes that are mixed at once
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 5
 _rng = np.random.Generator(np.random.PCG64(20240229))
-_VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_MIX = _rng.integers(1, 2**63, 16, dtype=np.uint64) * _U(2) + _U(1)
-_powers: dict[int, np.ndarray] = {}
-
-
-def power_table(n: int, base: int = _BASE) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, CHUNK + 4096), base & (2**64 - 1), dtype=np.uint64)
-        steps[0] = 1
-        have = _powers[base] = np.multiply.accumulate(steps)
-    return have[:n]
+_MIX = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_STEP = _U(0x9E3779B97F4A7C15)
+_HEAD = np.append((_U(1) << (_U(8) * np.arange(8, dtype=np.uint64))) - _U(1), _U(2**64 - 1))  # masks of the first 0 to 8 bytes
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: a bijection that spreads all bits."""
     x = x ^ (x >> _U(30))
-    x = x * _U(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> _U(27))
-    x = x * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 def _table(member) -> np.ndarray:
@@ -101,27 +94,54 @@ def word_bounds(data: np.ndarray, offs: np.ndarray, member: np.ndarray) -> tuple
     return starts, ends, np.searchsorted(starts, offs)
 
 
-def prefix_hash(data: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
-    """S with S[j] - S[i] = sum of value(byte k) * base**k over i <= k < j."""
-    values = _VALUES if fold is None else _VALUES[fold]
-    out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(values[data] * power_table(len(data)), out=out[1:])
+def lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one number, zeros after the end; a view of a copy of data."""
+    wide = np.zeros(len(data) + 8, dtype=np.uint8)
+    wide[: len(data)] = data
+    return np.ndarray((len(data) + 1,), np.dtype("<u8"), buffer=wide, strides=(1,))
+
+
+def _lane_blocks(size: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """(spans, of, k, last) for blocks of LANES lanes: which spans, and the span, number and end of each lane."""
+    count = (size + 7) >> 3
+    upto = np.cumsum(count)
+    for low in range(0, int(upto[-1]) if len(upto) else 0, LANES):
+        high = min(low + LANES, int(upto[-1]))
+        part = slice(int(np.searchsorted(upto, low, side="right")), int(np.searchsorted(upto, high, side="left")) + 1)
+        first = upto[part] - count[part]
+        many = np.minimum(upto[part], high) - np.maximum(first, low)
+        of = np.repeat(np.arange(len(many)), many)
+        yield part, of, np.arange(low, high) - first[of], np.cumsum(many)
+
+
+def span_hash(view: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of each byte span of lanes(data), equal for equal bytes wherever they stand."""
+    size = ends - starts
+    out = size.astype(np.uint64) * _MIX[15 + seed]
+    for part, of, k, last in _lane_blocks(size):
+        lane = view[starts[part][of] + 8 * k] & _HEAD[np.minimum(size[part][of] - 8 * k, 8)]
+        lane *= _MIX[17 + seed]
+        lane ^= mix((k.astype(np.uint64) + _U(1)) * _STEP + _MIX[19 + seed])
+        total = np.zeros(len(lane) + 1, dtype=np.uint64)
+        np.cumsum(mix(lane), out=total[1:])
+        total = total[last]
+        out[part] += np.diff(total, prepend=_U(0))
+    return mix(out)
+
+
+def same_spans(one: np.ndarray, a: np.ndarray, two: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the size bytes from a on in one view of lanes equal those from b on in the other."""
+    out = np.ones(len(size), dtype=bool)
+    for part, of, k, last in _lane_blocks(size):
+        differ = ((one[a[part][of] + 8 * k] ^ two[b[part][of] + 8 * k]) & _HEAD[np.minimum(size[part][of] - 8 * k, 8)]) != 0
+        out[part] &= np.bincount(of[differ], minlength=len(last)) == 0
     return out
 
 
-_INVERSE = pow(_BASE, -1, 2**64)
-
-
-def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each byte span, equal for equal bytes wherever they stand."""
-    shift = power_table(len(sums), _INVERSE)
-    return mix((sums[ends] - sums[starts]) * shift[starts] + (ends - starts).astype(np.uint64) * _MIX[15])
-
-
 def word_hashes(data: np.ndarray, offs: np.ndarray, member: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, first); with lower, A-Z count as a-z."""
     starts, ends, first = word_bounds(data, offs, member)
-    return span_hash(prefix_hash(data, LOWER if lower else None), starts, ends), first
+    return span_hash(lanes(LOWER[data] if lower else data), starts, ends), first
 
 
 def rows_of(first: np.ndarray) -> np.ndarray:
@@ -130,12 +150,12 @@ def rows_of(first: np.ndarray) -> np.ndarray:
 
 
 def ngrams(words: np.ndarray, first: np.ndarray, n: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of every run of n words inside a row; with short, a row of fewer words but not none gives one run of them all."""
+    """(hash, row) of every run of n words (under 14) inside a row; with short, a row of fewer words but not none gives one run of them all."""
     rows, total = rows_of(first), len(words)
     at = np.flatnonzero(rows[: total - n + 1] == rows[n - 1 :]) if total >= n else np.zeros(0, np.int64)
     value = np.full(len(at), n, dtype=np.uint64) * _MIX[14]
     for k in range(n):
-        value += words[at + k] * _MIX[k % 14] + _U(k // 14)
+        value += words[at + k] * _MIX[k]
     out, of = mix(value), rows[at]
     if short:
         size = np.diff(first)
@@ -144,7 +164,7 @@ def ngrams(words: np.ndarray, first: np.ndarray, n: int, short: bool = False) ->
             value = size[few].astype(np.uint64) * _MIX[14]
             for k in range(n - 1):
                 has = size[few] > k
-                value[has] += words[first[few[has]] + k] * _MIX[k % 14] + _U(k // 14)
+                value[has] += words[first[few[has]] + k] * _MIX[k]
             out, of = np.concatenate([out, mix(value)]), np.concatenate([of, few])
     return out, of
 

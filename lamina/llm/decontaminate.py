@@ -1,22 +1,24 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-build_index stores, for every segment of the training documents (whole texts, about
-SEGMENT bytes), the sorted positions of each token.  Tokens that no test item has are left
-out, as no list of theirs is ever read.  search intersects the lists of a window's tokens
-after subtracting each token's offset in the window, from the rarest token on: its list
-gives the candidate starts, and each further list removes the ones it doesn't hold.  With
-slop 0 that is the exact phrase; with more, a token may stand up to slop words from its
+build_index stores, for every segment of the training documents (whole texts, about a
+megabyte), the sorted positions of each token.  search intersects the lists of a window's
+tokens after subtracting each token's offset in the window, from the rarest token on: its
+list gives the candidate starts, and each further list removes the ones it doesn't hold.
+With slop 0 that is the exact phrase; with more, a token may stand up to slop words from its
 place (proximity).
 
 The index is split by documents, so a token that a third of all documents hold is spread
-over all segments, and a search moves no postings.  Windows reach the workers in blocks of
-at most BLOCK; more windows mean more passes over the stored index, whose hits are merged
-for each document.
+over all segments, and a search moves no postings.  Distinct windows are numbered and reach
+the workers in blocks of BLOCK; more windows mean more passes over the stored index, whose
+hits are merged for each document.  Which items hold a window is joined afterwards, so that a
+phrase of very many items is one window in the search.
 
 Cases: words are [0-9A-Za-z and all non-ASCII]+ with A-Z lower-cased; a null or empty text has
 no words and isn't contaminated; an item of fewer words than a window is one window, one
-without words none; items that share a window are all reported; repeated rows are reported
-each; an empty benchmark hits nothing; further columns are ignored.
+without words none; items that share a window are all reported; the windows of items without
+an id are hit as all others, and such items count together as one item without a name
+(unnamed); repeated rows are reported each; an empty benchmark hits nothing; further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -32,17 +34,17 @@ from pyspark.sql import functions as F
 from . import _bytes as B
 from . import _io
 
-WINDOW, SEGMENT, BLOCK = 10, 4 << 20, 200_000
+WINDOW, BLOCK = 10, 200_000
 GAP = 64  # free positions between two documents: no phrase or proximity match reaches over them
 _CANDIDATES = 1 << 20
 
-_INDEX = pa.schema([("segment", pa.int64()), ("doc_ids", pa.binary()), ("known", pa.binary()), ("n_words", pa.binary()), ("terms", pa.binary()), ("first", pa.binary()), ("positions", pa.binary())])
+_INDEX = pa.schema([("segment", pa.int64()), ("doc_ids", pa.binary()), ("known", pa.binary()), ("keys", pa.binary()), ("n_words", pa.binary()), ("terms", pa.binary()), ("first", pa.binary()), ("positions", pa.binary())])
 _WINDOWS = pa.schema([("item_id", pa.int64()), ("terms", pa.binary())])
-_HITS = pa.schema([("segment", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.int64()))])
+_HITS = pa.schema([("segment", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.int64())), ("windows", pa.list_(pa.int64()))])
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id") -> DataFrame:
-    """(item_id, terms): the distinct windows of each item, terms as 64-bit hashes in order."""
+    """(item_id, terms): the distinct windows of each item, a null id included, terms as 64-bit hashes in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offs in B.chunks(batches, "text"):
@@ -55,48 +57,38 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item
                     out.append(own[k : k + window].tobytes())
             yield _io.batch(_WINDOWS, out_id, out)
 
-    narrow = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("item_id"), _io.utf8_binary()).filter("item_id is not null")
+    narrow = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("item_id"), _io.utf8_binary())
     return narrow.mapInArrow(run, _io.ddl(_WINDOWS)).distinct()
 
 
 class Windows:
-    """A block of distinct windows: a matrix of terms with each window's length and items."""
+    """A block of distinct windows: their numbers, lengths, and a matrix of terms."""
 
     def __init__(self, rows: list[tuple[int, bytes]], window: int):
-        items: dict[bytes, list[int]] = {}
-        for item, terms in rows:
-            items.setdefault(bytes(terms), []).append(item)
-        keys = sorted(items)
-        self.size = np.array([len(k) // 8 for k in keys], dtype=np.int64)
-        self.terms = np.zeros((len(keys), window), dtype=np.uint64)
-        for i, k in enumerate(keys):
+        self.number = np.array([n for n, _ in rows], dtype=np.int64)
+        self.size = np.array([len(k) // 8 for _, k in rows], dtype=np.int64)
+        self.terms = np.zeros((len(rows), window), dtype=np.uint64)
+        for i, (_, k) in enumerate(rows):
             self.terms[i, : len(k) // 8] = np.frombuffer(k, dtype=np.uint64)
-        self.n_items = np.array([len(items[k]) for k in keys], dtype=np.int64)
-        self.items = np.array([x for k in keys for x in items[k]], dtype=np.int64)
-        self.item_at = np.cumsum(self.n_items) - self.n_items
-        self.vocabulary = np.unique(np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in keys])) if keys else np.zeros(0, np.uint64)
 
 
-def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, segment: int = SEGMENT, id_col: str = "doc_id") -> DataFrame:
-    """One row for each segment: its documents, and the positions of every token (of the vocabulary, if given)."""
+def build_index(docs: DataFrame, segment: int = B.CHUNK, id_col: str = "doc_id") -> DataFrame:
+    """One row for each segment: its documents, and the positions of every token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         number = (task.partitionId() if task else 0) << 32
         for rows, data, offs in B.chunks(batches, "text", segment):
             words, first = B.word_hashes(data, offs, B.ALNUM, lower=True)
-            at = np.arange(len(words)) + GAP * B.rows_of(first)
-            if vocabulary is not None:
-                near = np.searchsorted(vocabulary, words)
-                held = vocabulary[np.minimum(near, len(vocabulary) - 1)] == words if len(vocabulary) else np.zeros(len(words), bool)
-                words, at = words[held], at[held]
             order = np.argsort(words, kind="stable")
-            terms, begin = np.unique(words[order], return_index=True)
+            words = words[order]
+            begin = np.flatnonzero(np.append(True, words[1:] != words[:-1])) if len(words) else np.zeros(0, np.int64)
+            at = (order + GAP * B.rows_of(first)[order]).astype(np.int32 if len(words) + GAP * rows.num_rows < 2**31 else np.int64)
             ids = rows.column("doc_id")
-            yield _io.batch(_INDEX, [number], [np.asarray(ids.fill_null(0)).astype(np.int64).tobytes()], [np.asarray(ids.is_valid().cast("int8")).tobytes()], [np.diff(first).tobytes()], [terms.tobytes()], [np.append(begin, len(order)).astype(np.int64).tobytes()], [at[order].astype(np.int64).tobytes()])
+            yield _io.batch(_INDEX, [number], [np.asarray(ids.fill_null(0)).astype(np.int64).tobytes()], [np.asarray(ids.is_valid().cast("int8")).tobytes()], [rows.column("key").to_numpy().tobytes()], [np.diff(first).tobytes()], [words[begin].tobytes()], [np.append(begin, len(words)).astype(np.int64).tobytes()], [at.tobytes()])
             number += 1
 
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), _io.utf8_binary()).mapInArrow(run, _io.ddl(_INDEX))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), _io.utf8_binary()).mapInArrow(run, _io.ddl(_INDEX))
 
 
 def intersect(terms: np.ndarray, first: np.ndarray, positions: np.ndarray, windows: Windows, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -141,16 +133,17 @@ def intersect(terms: np.ndarray, first: np.ndarray, positions: np.ndarray, windo
     return np.concatenate(out_w), np.concatenate(out_s)
 
 
-def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
-    """Every document of the index with its hit spans (word numbers, begin and end in turn, disjoint) and items."""
+def search(index: DataFrame, windows: Windows, slop: int = 0, all_rows: bool = True) -> DataFrame:
+    """Documents of the index (all, or those with a hit) with their hit spans (word numbers, begin and end in turn, disjoint) and the numbers of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                row = {n: batch.column(n)[r].as_py() for n in batch.schema.names}
-                ids, known, n_words, first, positions = (np.frombuffer(row[n], dtype=t) for n, t in (("doc_ids", np.int64), ("known", np.int8), ("n_words", np.int64), ("first", np.int64), ("positions", np.int64)))
+                cell = lambda n, kind, r=r, batch=batch: np.frombuffer(batch.column(n)[r].as_buffer(), dtype=kind)
+                ids, known, n_words, first = cell("doc_ids", np.int64), cell("known", np.int8), cell("n_words", np.int64), cell("first", np.int64)
+                positions = cell("positions", np.int32 if batch.column("positions")[r].as_buffer().size == 4 * first[-1] else np.int64).astype(np.int64)
                 base = np.cumsum(n_words + GAP) - n_words - GAP
-                w, start = intersect(np.frombuffer(row["terms"], dtype=np.uint64), first, positions, windows, slop)
+                w, start = intersect(cell("terms", np.uint64), first, positions, windows, slop)
                 order = np.lexsort((windows.size[w], start))
                 w, start = w[order], start[order]
                 doc = np.searchsorted(base, np.maximum(start, 0), side="right") - 1
@@ -163,13 +156,12 @@ def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
                 last = np.append(at[1:], len(w)) - 1 if len(w) else at
                 of = doc[at]
                 pairs = np.column_stack([begin[at] - base[of], reach[last] - base[of]]).ravel() if len(at) else np.zeros(0, np.int64)
-                limits = 2 * np.searchsorted(of, np.arange(len(ids) + 1))
-                seen = np.repeat(doc, windows.n_items[w])
-                item = windows.items[B.spread(windows.item_at[w], windows.n_items[w])]
-                both = np.unique(np.column_stack([seen, item]), axis=0) if len(seen) else np.zeros((0, 2), np.int64)
-                cuts = np.searchsorted(both[:, 0], np.arange(len(ids) + 1))
+                both = np.unique(np.column_stack([doc, windows.number[w]]), axis=0) if len(w) else np.zeros((0, 2), np.int64)
+                out = np.arange(len(ids)) if all_rows else np.unique(doc)
+                limits = np.append(2 * np.searchsorted(of, out), 2 * len(of))
+                cuts = np.append(np.searchsorted(both[:, 0], out), len(both))
                 yield _io.batch(
-                    _HITS, np.full(len(ids), row["segment"]), np.arange(len(ids)), pa.array(ids, mask=known == 0), n_words,
+                    _HITS, np.full(len(out), batch.column("segment")[r].as_py()), out, pa.array(ids[out], mask=known[out] == 0), cell("keys", np.int64)[out], n_words[out],
                     pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(pairs, pa.int64())), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(both[:, 1], pa.int64())),
                 )
 
@@ -185,24 +177,31 @@ def _merged(spans: Column) -> Column:
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0, block: int = BLOCK) -> DataFrame:
-    """segment, row, doc_id, n_words, spans and items of every row of docs."""
+    """segment, row, doc_id, key (of the text), n_words, spans, items and unnamed (whether items without an id are hit) of every row of docs."""
     if not 0 < window + slop < GAP:
         raise ValueError(f"window and slop together must stay under {GAP}")
-    rows = _io.cut(item_windows(benchmark, window))
-    blocks = max(1, -(-rows.count() // block))
-    part = F.pmod(F.xxhash64("terms"), F.lit(blocks))
-    if blocks == 1:
-        one = Windows([tuple(r) for r in rows.collect()], window)  # at most block rows
-        return search(_io.cut(build_index(docs, one.vocabulary)), one, slop)
+    of_items = _io.cut(item_windows(benchmark, window))
+    numbered = _io.running(of_items.select("terms").distinct(), ["terms"])
+    n = numbered.count()
     index, found = _io.cut(build_index(docs)), None
-    for b in range(blocks):
-        hits = search(index, Windows([tuple(r) for r in rows.filter(part == b).collect()], window), slop)
+    for low in range(0, max(n, 1), block):
+        own = [(r["pos"], bytes(r["terms"])) for r in numbered.filter(F.col("pos").between(low, low + block - 1)).collect()]  # at most block rows
+        hits = search(index, Windows(own, window), slop, all_rows=found is None)
         found = hits if found is None else found.unionByName(hits)
-    groups = found.groupBy("segment", "row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    return groups.withColumn("spans", _merged(F.col("spans")))
+    if n > block:
+        found = found.groupBy("segment", "row").agg(F.first("doc_id").alias("doc_id"), F.first("key").alias("key"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("windows")).alias("windows")).withColumn("spans", _merged(F.col("spans")))
+    found = _io.cut(found)
+    # Documents with a hit meet the items of their windows.
+    pairs = found.filter(F.size("windows") > 0).select("segment", "row", F.explode("windows").alias("pos")).join(_io.counted(numbered.join(of_items, "terms").select("pos", "item_id")), "pos").select("segment", "row", "item_id").distinct()
+    named = _io.counted(pairs.groupBy("segment", "row").agg(F.array_sort(F.collect_list("item_id")).alias("items"), F.bool_or(F.col("item_id").isNull()).alias("unnamed")))
+    none = F.array().cast("array<long>")
+    return found.drop("windows").join(named, ["segment", "row"], "left").withColumn("items", F.coalesce("items", none)).withColumn("unnamed", F.coalesce("unnamed", F.lit(False)))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of docs, with all their columns, that hold no window of the benchmark; a row without an id stays."""
-    hit = _io.counted(find_contamination(docs, benchmark, window).filter(F.size("items") > 0).select(F.col("doc_id").alias("_hit")).distinct())
-    return docs.join(hit, F.col("doc_id") == F.col("_hit"), "left_anti")
+    """The rows of docs, with all their columns, that hold no window of the benchmark.
+
+    A row is known by its id and its text, so that rows without an id or with a repeated one are judged each.
+    """
+    hit = _io.counted(find_contamination(docs, benchmark, window).filter(F.size("spans") > 0).select(F.col("doc_id").alias("_hit"), F.col("key").alias("_key")).distinct())
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")) & (F.xxhash64("text") == F.col("_key")), "left_anti")

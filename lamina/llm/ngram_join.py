@@ -13,14 +13,18 @@ prefix, and the more shared prefix tokens a pair needs (the lesser of its two l)
 
 Classes need no pair that is joined already.  So each prefix token first links its nodes to
 one pivot, the node in which the token comes earliest; what this leaves apart is then paired
-across classes only, counted, and verified on the whole sets.  Nodes that a token of more than
-DENSE nodes ties together are compared in blocks by matrix products instead, so that a dense
-set of near misses makes no rows of pairs.  Every link between
-nodes of different classes is found in the second step, so that the classes are exact.
+across classes only, counted, and verified on the whole sets.  Nodes meet at a token and two
+classes of sizes, their own and their partner's, each time only with the shorter prefix that
+partners of that size leave.  Nodes that such a place of more than DENSE nodes ties together
+are compared in blocks by matrix products instead, again only with sizes that can link, so
+that a dense set of near misses makes no rows of pairs.  Every link between nodes of different
+classes is found in the second step, so that the classes are exact.
 
 Cases: words are [^ \\t-\\r]+ with A-Z lower-cased; with fewer than five words the whole sequence
 is one shingle; a null or empty text has no shingles and a class of its own; repeated rows are
-in one class; no rows give no rows; further columns are ignored.
+in one class; a row without an id links with nothing and has no component; rows that repeat an
+id with other texts each follow their own text; no rows give no rows; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -38,10 +42,13 @@ from .components import components
 
 WORDS = 5
 LOCAL_MIN, TOTAL_MIN = 2, 8  # a token counts as frequent from so many documents of one task, and of all such tasks, on
-FREQUENT = 2_000_000  # at most so many frequent tokens, the most frequent first, are broadcast (32 MB)
+FREQUENT = 1_000_000  # at most so many frequent tokens, the most frequent first, are broadcast (16 MB)
+FOLD, KNOWN = 2_000_000, 1 << 16  # tokens that a task counts at once, and nodes that it remembers as written
 MAX_L, COST_STEP = 4, 128
 BLOCK_NODES = 64
-DENSE, DENSE_BLOCK = 64, 256  # a token of more nodes makes its nodes a dense set, which is compared in blocks of so many nodes
+DENSE = 64  # a token and sizes of more nodes make their nodes a dense set
+DENSE_BLOCK, DENSE_TOKENS = 1024, 1_000_000  # a block of a dense set has about so many nodes and tokens at most
+RATIO, REACH = 1.12, 2  # sizes of a class differ by less than RATIO; linked nodes are at most REACH classes apart
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("guard", pa.int64())])
 _COUNTS = pa.schema([("token", pa.int64()), ("count", pa.int64())])
@@ -94,7 +101,7 @@ def frequent_tokens(docs: DataFrame) -> DataFrame:
             tokens, _ = shingle_sets(data, offs)
             pending.append(tokens)
             held += len(tokens)
-            if held > 6_000_000:
+            if held > FOLD:
                 yield fold()
                 pending, held = [], 0
         if pending:
@@ -146,7 +153,7 @@ def prefix_rows(docs: DataFrame, order: Order, seed: int) -> DataFrame:
             node, _ = fingerprints(tokens, first, seed)
             _, one = np.unique(node, return_index=True)
             one = one[(np.diff(first)[one] > 0) & ~np.isin(node[one], known)]
-            known = np.concatenate([known, node[one]])
+            known = np.concatenate([known, node[one]])[-KNOWN:]  # later repeats are removed where tokens meet
             one.sort()
             size = np.diff(first)[one]
             own = tokens[B.spread(first[one], size)]
@@ -256,7 +263,7 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, seed: int) ->
     return rows.repartition("key").sortWithinPartitions("key", "b", "a").mapInArrow(run, _io.ddl(_PAIRS)).distinct()
 
 
-def block_links(own: list[tuple[int, int, np.ndarray]], split: int, columns: int = 1 << 14) -> list[tuple[int, int]]:
+def block_links(own: list[tuple[int, int, np.ndarray]], split: int, columns: int = 1 << 11) -> list[tuple[int, int]]:
     """Links between the first split and the other of (node, root, set), or among all if split is their number; roots differ.
 
     Shared tokens are counted by products of 0/1 matrices over slices of the vocabulary.
@@ -286,13 +293,38 @@ def block_links(own: list[tuple[int, int, np.ndarray]], split: int, columns: int
     return [(own[i][0], own[base + j][0]) for i, j in zip(*np.nonzero(ok), strict=True) if base or i < j]
 
 
+def size_class(n: Column) -> Column:
+    return F.floor(F.log(F.greatest(n, F.lit(1)).cast("double")) / float(np.log(RATIO))).cast("long")
+
+
+def _least_size(c: Column) -> Column:
+    """A number that no size of the class is below."""
+    return F.floor(F.pow(F.lit(RATIO), c) * (1 - 1e-9))
+
+
+def by_size(placed: DataFrame) -> DataFrame:
+    """The rows of placed (token, node, meta, ...) once for each class of sizes that a partner can have.
+
+    small and apart name the two classes (apart: how many classes between them), large tells which side the node is on.
+    """
+    own = placed.withColumn("_n", _size("meta")).withColumn("_c", size_class(F.col("_n"))).withColumn("_e", F.explode(F.sequence(F.lit(-REACH).cast("long"), F.lit(REACH).cast("long"))))
+    least = F.greatest(_least_size(F.col("_c") + F.col("_e")), F.ceil(F.col("_n") * 4 / 5), F.when(F.col("_e") > 0, F.col("_n")))
+    most = F.pow(F.lit(RATIO), F.col("_c") + F.col("_e") + 1) * (1 + 1e-9)
+    need = F.floor((4 * (F.col("_n") + least) + 8) / 9)
+    fits = (4 * least <= 5 * F.col("_n")) & (most >= least) & (_place("meta") < F.col("_n") - need + _l("meta"))
+    return own.filter(fits).select(*placed.columns, (F.col("_c") + F.least("_e", F.lit(0))).alias("small"), F.abs("_e").alias("apart"), (F.col("_e") < 0).alias("large"))
+
+
 def verify_dense(members: DataFrame, docs: DataFrame, seed: int) -> DataFrame:
-    """Links between the nodes (node, root, first_id) of each dense set, by all pairs of blocks; no pair is a row unless it links."""
-    size = members.groupBy("dense").agg(F.ceil(F.count("*") / DENSE_BLOCK).alias("blocks"))
-    m = members.join(size, "dense").withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    m = m.select("node", "root", F.col("first_id").alias("_id"), "dense", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"))
-    side = F.when(F.col("i") <= F.col("j"), 0).otherwise(1)
-    asked = _io.counted(m.select("_id", "node", "root", F.xxhash64("dense", F.least("i", "j"), F.greatest("i", "j")).alias("key"), side.alias("side")))
+    """Links between the nodes (node, root, n, first_id) of each dense set, by pairs of blocks whose sizes can link; no pair is a row unless it links."""
+    m = members.withColumn("c", size_class(F.col("n")))
+    size = m.groupBy("dense", "c").agg(F.ceil(F.greatest(F.count("*") / DENSE_BLOCK, F.sum("n") / DENSE_TOKENS)).alias("blocks"))
+    near = size.withColumn("d", F.explode(F.sequence(F.col("c") - REACH, F.col("c") + REACH)))
+    near = near.join(size.select("dense", F.col("c").alias("d"), F.col("blocks").alias("others")), ["dense", "d"])
+    m = m.join(near, ["dense", "c"]).withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    m = m.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)))
+    own, other = F.struct(F.col("c").alias("c"), F.col("i").alias("i")), F.struct(F.col("d").alias("c"), F.col("j").alias("i"))
+    asked = _io.counted(m.select(F.col("first_id").alias("_id"), "node", "root", F.xxhash64("dense", F.least(own, other), F.greatest(own, other)).alias("key"), F.when(own <= other, 0).otherwise(1).alias("side")))
     rows = docs.join(asked, F.col("doc_id") == F.col("_id")).select("key", "side", "node", "root", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,26 +373,29 @@ def duplicate_classes(docs: DataFrame, seed: int = 0) -> DataFrame:
     placed = multi.select("token", "node", "meta")
     placed = placed.withColumn("root", F.col("node")) if joined is None else placed.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = _io.cut(placed)
-    apart = _io.cut(placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("nodes"), F.min("node").alias("lead")).filter("low < high"))
-
-    # A token of many nodes ties them to a dense set; its pairs aren't made, its blocks are compared.
-    thick = apart.filter(F.col("nodes") > DENSE).select("token", "lead")
-    dense = components(placed.join(thick, "token").select(F.col("lead").alias("a"), F.col("node").alias("b")), "a", "b")
+    apart = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+
+    # Nodes meet at a token and two sizes.  Many of them there are tied to a dense set; its pairs aren't made, its blocks are compared.
+    at = ["token", "small", "apart"]
+    met_at = _io.cut(by_size(placed.join(apart.select("token"), "token", "left_semi")))
+    places = met_at.groupBy(*at).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("nodes"), F.min("node").alias("lead"), F.count_if("large").alias("larger"))
+    places = _io.cut(places.filter("low < high and (apart = 0 or (larger > 0 and larger < nodes))").select(*at, "nodes", "lead"))
+    dense = components(met_at.join(places.filter(F.col("nodes") > DENSE), at).select(F.col("lead").alias("a"), F.col("node").alias("b")), "a", "b")
+    thin = met_at.join(places.filter(F.col("nodes") <= DENSE).select(*at), at, "left_semi")
     if dense is not None:
         dense = dense.withColumnRenamed("root", "dense")
-        members = placed.select("node", "root").distinct().join(dense, "node").join(classes.select("node", "first_id"), "node")
+        members = placed.groupBy("node").agg(F.first("root").alias("root"), F.first(_size("meta")).alias("n")).join(dense, "node").join(classes.select("node", "first_id"), "node")
         linked = linked.unionByName(_io.cut(verify_dense(members, texts, seed)))
-        placed = placed.join(dense, "node", "left")
+        thin = thin.join(dense, "node", "left")
     else:
-        placed = placed.withColumn("dense", F.lit(None).cast("long"))
+        thin = thin.withColumn("dense", F.lit(None).cast("long"))
 
-    # All other pairs share no token of a dense set, so that the count over the rest is whole.
-    placed = placed.join(apart.filter(F.col("nodes") <= DENSE).select("token"), "token", "left_semi")
-    x = placed.select("token", F.col("node").alias("a"), F.col("meta").alias("am"), F.col("root").alias("ar"), F.col("dense").alias("ad"))
-    y = placed.select("token", F.col("node").alias("b"), F.col("meta").alias("bm"), F.col("root").alias("br"), F.col("dense").alias("bd"))
+    # Two nodes meet at one place for each token.  Pairs that aren't of one dense set share no crowded place, so that their count is whole.
+    x = thin.select(*at, F.col("node").alias("a"), F.col("meta").alias("am"), F.col("root").alias("ar"), F.col("dense").alias("ad"), F.col("large").alias("al"))
+    y = thin.select(*at, F.col("node").alias("b"), F.col("meta").alias("bm"), F.col("root").alias("br"), F.col("dense").alias("bd"), F.col("large").alias("bl"))
     least = F.least(_l("am"), _l("bm"))
     other = F.col("ad").isNull() | F.col("bd").isNull() | (F.col("ad") != F.col("bd"))
-    met = x.join(y, "token").filter((F.col("ar") < F.col("br")) & other & may_link("am", "bm", least))
+    met = x.join(y, at).filter((F.col("ar") < F.col("br")) & ((F.col("apart") == 0) | (F.col("al") != F.col("bl"))) & other & may_link("am", "bm", least))
     cross = met.groupBy("a", "b").agg(F.count("*").alias("n"), F.first(least).alias("l")).filter("n >= l")
     more = verify(_io.cut(cross.select("a", "b")), texts, classes, seed)
     links = linked.unionByName(more)

@@ -46,6 +46,25 @@ STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 FEATURES = (("log_words", 0), ("mean_word", 0), ("symbols", -1), ("dup_lines", -1), ("repeats", -1), ("words_per_line", 0), ("digits", -1), ("upper", 0), ("stops", 0), ("distinct", 0), ("long_words", -1))
 
 
+def _repeated(view: np.ndarray, start: np.ndarray, stop: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Which spans equal an earlier one of their row; equal hashes are compared byte by byte."""
+    out, rest, seed = np.zeros(len(start), dtype=bool), np.arange(len(start)), 0
+    while len(rest):
+        h = B.span_hash(view, start[rest], stop[rest], seed)
+        order = np.lexsort((rest, h, row[rest]))
+        who, h = rest[order], h[order]
+        head = np.ones(len(who), dtype=bool)
+        head[1:] = (h[1:] != h[:-1]) | (row[who][1:] != row[who][:-1])
+        lead = who[np.maximum.accumulate(np.where(head, np.arange(len(who)), 0))]
+        size = stop[who] - start[who]
+        same = size == stop[lead] - start[lead]
+        same[same] = B.same_spans(view, start[who[same]], view, start[lead[same]], size[same])
+        out[who[same & ~head]] = True
+        rest = np.sort(who[~same])  # others of one hash, which the first one isn't equal to: once more among themselves
+        seed = 1 - seed
+    return out
+
+
 def statistics(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     """Counts of STATS for every row of a chunk."""
     n = len(offs) - 1
@@ -56,8 +75,8 @@ def statistics(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
         return total[offs[1:]] - total[offs[:-1]]
 
     starts, ends, first = B.word_bounds(data, offs, B.NOT_SPACE)
-    sums = B.prefix_hash(data)
-    words, rows = B.span_hash(sums, starts, ends), B.rows_of(first)
+    view = B.lanes(data)
+    words, rows = B.span_hash(view, starts, ends), B.rows_of(first)
     out = {"n_words": np.diff(first), "n_bytes": np.diff(offs)}
     out["word_chars"] = per_row(B.NOT_SPACE[data] & _POINT[data])
     for name, member in (("n_symbols", _SYMBOL), ("n_digits", _DIGIT), ("n_upper", _UPPER), ("n_stops", _STOP)):
@@ -73,8 +92,7 @@ def statistics(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     cut, stop = cut[held], stop[held]
     line_row = np.searchsorted(offs, cut, side="right") - 1
     out["n_lines"] = np.bincount(line_row, minlength=n)
-    _, uniq = B.distinct(B.span_hash(sums, cut, stop), line_row, n)
-    out["n_dup_lines"] = out["n_lines"] - np.diff(uniq)
+    out["n_dup_lines"] = np.bincount(line_row[_repeated(view, cut, stop, line_row)], minlength=n)
     _, uniq = B.distinct(words, rows, n)
     out["n_distinct"] = np.diff(uniq)
 
@@ -83,14 +101,22 @@ def statistics(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     if len(words) >= 3:
         at = np.flatnonzero(rows[:-2] == rows[2:])
         key = B.mix(words[at] * B._MIX[0] + words[at + 1] * B._MIX[1] + words[at + 2] * B._MIX[2] + B.mix(rows[at].astype(np.uint64)) * B._MIX[3])
-        order = np.argsort(key)
-        same = np.zeros(len(key), dtype=bool)
-        same[1:] = key[order][1:] == key[order][:-1]
-        again = same.copy()
-        again[:-1] |= same[1:]
-        hit = at[order[again]]
+        order = np.argsort(key, kind="stable")
+        at, key = at[order], key[order]
+        again = np.zeros(len(key), dtype=bool)
+        again[1:] = key[1:] == key[:-1]
+        again = np.flatnonzero(again)
+        # Equal hashes are compared word by word with the window before.
+        same = rows[at[again]] == rows[at[again - 1]]
+        for k in range(3):
+            x, y = at[again] + k, at[again - 1] + k
+            size = ends[x] - starts[x]
+            fits = same & (size == ends[y] - starts[y])
+            same = fits.copy()
+            same[fits] = B.same_spans(view, starts[x[fits]], view, starts[y[fits]], size[fits])
+        again = again[same]
         for k in range(3):
-            covered[hit + k] = True
+            covered[at[again] + k] = covered[at[again - 1] + k] = True
     out["n_repeat_words"] = np.bincount(rows[covered], minlength=n)
     return out
 

@@ -18,7 +18,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.sequence(F.lit(0), F.size("spans") - 1, F.lit(2))
     n_hit = F.when(F.size("spans") > 0, F.aggregate(at, F.lit(0).cast("long"), lambda n, i: n + F.get("spans", i + 1) - F.get("spans", i))).otherwise(F.lit(0).cast("long"))
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"))
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), (F.size("items") + F.col("unnamed").cast("int")).cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
