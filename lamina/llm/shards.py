@@ -6,7 +6,9 @@ dimensions, and a shard's files have narrow minima and maxima in each.  The orde
 into runs of rows, at most one apart in count (law 'rows').
 
 A categorical dimension is quantised by the rank of its value among all values, weighted by
-rows; a number by the bit length of its value.  Ties on the curve are ordered by the text's
+rows: the values are counted, their running total is taken over sorted ranges, and the steps
+are joined as a table, however many values there are.  A number is quantised by the bit
+length of its value.  Ties on the curve are ordered by the text's
 checksum, so that equal texts stand together, then by id.
 
 Cases: nulls are a value of their own, before all others; a null text has no bytes; no rows
@@ -22,9 +24,6 @@ from pyspark.sql import functions as F
 
 from . import _io
 
-MAX_VALUES = 10_000  # a categorical dimension of more values is quantised by hash instead of rank
-
-
 def hilbert_index(coords: list[np.ndarray], bits: int) -> np.ndarray:
     """Index on the Hilbert curve of cells in len(coords) dimensions of 2**bits steps.
 
@@ -52,24 +51,19 @@ def hilbert_index(coords: list[np.ndarray], bits: int) -> np.ndarray:
     return out
 
 
-def rank_step(df: DataFrame, column: str, bits: int) -> Column:
-    """The value's rank among all values, weighted by rows, in 2**bits steps."""
-    steps = 1 << bits
-    counts = df.groupBy(column).agg(F.count("*").alias("n")).limit(MAX_VALUES + 1).collect()
-    if len(counts) > MAX_VALUES:
-        return F.pmod(F.xxhash64(column), F.lit(steps)).cast("long")
-    counts.sort(key=lambda r: (r[0] is not None, (r[0] or "").encode() if isinstance(r[0], str) or r[0] is None else r[0]))
-    total, before, pairs, null_step = max(1, sum(r["n"] for r in counts)), 0, [], 0
-    for r in counts:
-        step = (before + r["n"] // 2) * steps // total
-        before += r["n"]
-        if r[0] is None:
-            null_step = step
-        else:
-            pairs += [F.lit(r[0]), F.lit(step)]
-    if not pairs:
-        return F.lit(null_step).cast("long")
-    return F.coalesce(F.element_at(F.create_map(*pairs), F.col(column)), F.lit(null_step)).cast("long")
+def rank_steps(df: DataFrame, column: str, bits: int) -> DataFrame:
+    """(_value, step): each value's rank among all values of the column, nulls first, weighted by rows, in 2**bits steps."""
+    counts = df.groupBy(F.col(column).alias("_value")).agg(F.count("*").alias("n"))
+    placed = _io.running(counts.withColumn("known", F.col("_value").isNotNull()), ["known", "_value"], "n", "before")
+    total = placed.agg(F.sum("n").alias("total"))
+    step = F.expr(f"((before + n div 2) * {1 << bits}L) div total")
+    return placed.crossJoin(F.broadcast(total)).select("_value", step.alias("step"))  # one row
+
+
+def with_rank(rows: DataFrame, of: DataFrame, column: str, bits: int, name: str) -> DataFrame:
+    """rows with the step of their value among those of the frame of."""
+    steps = _io.counted(rank_steps(of, column, bits).withColumnRenamed("step", name))
+    return rows.join(steps, F.col(column).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def hilbert_order(rows: DataFrame, dims: dict[str, Column], bits: int) -> DataFrame:
@@ -82,28 +76,24 @@ def hilbert_order(rows: DataFrame, dims: dict[str, Column], bits: int) -> DataFr
     return rows.withColumn("h", index(F.struct(*[c.cast("long").alias(f"d{i}") for i, c in enumerate(dims.values())])))
 
 
-def cut_runs(rows: DataFrame, order: list[str], shards: int, parts: int | None = None) -> DataFrame:
+def cut_runs(rows: DataFrame, order: list[str], shards: int) -> DataFrame:
     """rows with shard, slot and pos: the order is cut into shards runs, at most one apart in count."""
-    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
-    placed = _io.cut(placed)
-    # One row for each partition: its number is a setting, not a property of the data.
-    counts = {r[0]: r[1] for r in placed.groupBy(F.shiftright("_id", 33)).count().collect()}
-    before, total = {}, 0
-    for k in sorted(counts):
-        before[k], total = total, total + counts[k]
-    if not before:
-        start = F.lit(0)
-    else:
-        start = F.element_at(F.create_map(*[F.lit(int(x)) for kv in before.items() for x in kv]), F.shiftright("_id", 33))
-    pos = (start.cast("long") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).alias("pos")
-    kept = [c for c in placed.columns if c != "_id"]
-    out = placed.select(*kept, pos)
-    shard = F.expr(f"(pos * {shards}L) div {max(total, 1)}L")
-    first = F.expr(f"(shard * {max(total, 1)}L + {shards - 1}L) div {shards}L")
+    out = _io.running(rows, order)
+    total = max(out.count(), 1)
+    shard = F.expr(f"(pos * {shards}L) div {total}L")
+    first = F.expr(f"(shard * {total}L + {shards - 1}L) div {shards}L")
     return out.withColumn("shard", shard.cast("int")).withColumn("slot", F.col("pos") - first)
 
 
+def write_shards(placed: DataFrame, path: str) -> None:
+    """Files of each shard in the order of its slots, one folder a shard.
+
+    A file's minima and maxima of every dimension are narrow, as its rows are near on the
+    curve, so that readers that filter by any of them skip most files.
+    """
+    placed.repartitionByRange(int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
 def size_step(column: str, bits: int) -> Column:
     """Bit length of a number, up to 2**bits - 1."""
     return F.least(F.length(F.bin(F.coalesce(F.col(column), F.lit(0)).cast("long"))), F.lit((1 << bits) - 1)).cast("long")
@@ -120,6 +110,9 @@ def shard_documents(docs: DataFrame, shards: int = 24, bits: int = 5, keep: list
     narrow = d.select("doc_id", "lang", "source", *kept, (F.octet_length(bytes_).cast("long") + 8).alias("_size"), F.crc32(bytes_).alias("_crc"))
     if not keep:
         narrow = _io.cut(narrow)
-    dims = {"source": rank_step(narrow if not keep else docs, "source", bits), "lang": rank_step(narrow if not keep else docs, "lang", bits), "size": size_step("_size", bits)}
-    # Two sorts of ties remain: rows that are equal in all of these are interchangeable.
-    return cut_runs(hilbert_order(narrow, dims, bits), ["h", "_crc", "doc_id"], shards)
+    of = docs if keep else narrow
+    for column in ("source", "lang"):
+        narrow = with_rank(narrow, _io.keyed(of, column), column, bits, f"_{column}_step")
+    dims = {"source": F.col("_source_step"), "lang": F.col("_lang_step"), "size": size_step("_size", bits)}
+    # Rows that are equal in all of the order's columns are interchangeable.
+    return cut_runs(hilbert_order(narrow, dims, bits).drop("_source_step", "_lang_step"), ["h", "_crc", "doc_id"], shards)
