@@ -13,9 +13,10 @@ which is rounded at random.  Groups are fixed by hashes of ids and random number
 and the group, so that reruns agree; no group grows with a source.
 
 Cases: a null or empty text has size 0, is taken once and adds nothing; a null source is a
-source of its own, last in order; repeated rows are mixed as rows of their own; no rows give
-no rows; further columns are ignored.  MAX_SOURCES bounds the table of sources that the
-driver weighs (one row each).
+source of its own, last in order; repeated rows, and rows without an id, are numbered and
+mixed as rows of their own, so that no group grows with them; no rows give no rows; further
+columns are ignored.  Sources are a table, however many there are: their order and sums are
+worked out by Spark jobs, and the driver sees one total a round.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ from pyspark.sql import functions as F
 from . import _bytes as B
 from . import _io
 
-GROUP, FAN, MAX_SOURCES = 2_000, 64, 1_000_000
+GROUP, FAN, FEW_SOURCES = 2_000, 64, 10_000  # FEW_SOURCES: so many sources, counted, are broadcast
+REPEATS = 1 << 16  # equal rows that one task numbers
 
 _SIZES = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("size", pa.int64())])
 
@@ -48,21 +50,24 @@ def word_sizes(docs: DataFrame) -> DataFrame:
     return _io.keyed(docs, "doc_id", "source", "text").select(F.col("doc_id").cast("long"), F.col("source").cast("string"), _io.utf8_binary()).mapInArrow(run, _io.ddl(_SIZES))
 
 
-def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0) -> dict[str | None, float]:
-    """Each source's target: all words shared by weight, none above most times its size, the excess reshared by weight."""
-    order = sorted(sizes, key=lambda s: (s is None, [ord(c) for c in s or ""]))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    left, open_, out = float(sum(sizes.values())), list(order), {}
-    while open_:
-        share = left / sum(weight[s] for s in open_)
-        full = [s for s in open_ if share * weight[s] > most * sizes[s]]
-        if not full:
-            out |= {s: share * weight[s] for s in open_}
+def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
+    """sizes (source, source_size, ...) with target: all words shared by weight, none above most times its size, the excess reshared by weight.
+
+    The share of a unit of weight only grows as full sources drop out, so each round is one
+    aggregation of the sources that are over it.
+    """
+    ranked = _io.running(sizes.withColumn("_last", F.col("source").isNull()), ["_last", "source"], None, "_rank")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
+    ranked = _io.cut(ranked.drop("_last").withColumn("_weight", weight).drop("_rank"))
+    share, seen = 0.0, -1
+    while True:
+        full = F.lit(share) * F.col("_weight") > F.lit(float(most)) * F.col("source_size")
+        n, total, held, open_ = ranked.agg(F.count_if(full), F.sum("source_size"), F.sum(F.when(full, F.col("source_size"))), F.sum(F.when(~full, F.col("_weight")))).first()
+        if n == seen or not open_:
             break
-        out |= {s: most * sizes[s] for s in full}
-        left -= sum(out[s] for s in full)
-        open_ = [s for s in open_ if s not in set(full)]
-    return out
+        share, seen = (total - most * (held or 0)) / open_, n
+    full = F.lit(share) * F.col("_weight") > F.lit(float(most)) * F.col("source_size")
+    return ranked.withColumn("target", F.when(full, F.lit(float(most)) * F.col("source_size")).otherwise(F.lit(share) * F.col("_weight"))).drop("_weight")
 
 
 def pivot(size: np.ndarray, part: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, int]:
@@ -89,14 +94,14 @@ def pivot(size: np.ndarray, part: np.ndarray, rng: np.random.Generator) -> tuple
     return p, held
 
 
-_STATE = "doc_id long, source string, size long, whole int, part double, bucket long, done boolean"
+_STATE = "doc_id long, missing boolean, no long, source string, size long, whole int, part double, bucket long, done boolean"
 
 
 def _level(rows: DataFrame, seed: int, level: int, last: bool) -> DataFrame:
     """One level of the tree: each group's fractions become whole but for one, or all at the last level."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["size", "doc_id"], kind="stable", ignore_index=True)
+        group = group.sort_values(["size", "missing", "doc_id", "no"], kind="stable", ignore_index=True)
         name = f"{seed}/{level}/{group['source'].iloc[0]!r}/{group['bucket'].iloc[0]}"
         rng = np.random.Generator(np.random.PCG64([seed, level, zlib.crc32(name.encode()), len(name)]))
         part, held = pivot(group["size"].to_numpy(), group["part"].to_numpy(), rng)
@@ -106,7 +111,7 @@ def _level(rows: DataFrame, seed: int, level: int, last: bool) -> DataFrame:
         group["done"] = True
         if held >= 0 and not last:
             group.loc[held, "done"] = False
-        return group[["doc_id", "source", "size", "whole", "part", "bucket", "done"]]
+        return group[["doc_id", "missing", "no", "source", "size", "whole", "part", "bucket", "done"]]
 
     return rows.groupBy("source", "bucket").applyInPandas(run, _STATE)
 
@@ -114,22 +119,25 @@ def _level(rows: DataFrame, seed: int, level: int, last: bool) -> DataFrame:
 def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, seed: int = 1, group: int = GROUP, fan: int = FAN) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken (copies * size) of every row."""
     sizes = _io.cut(word_sizes(docs))
-    spark = sizes.sparkSession
-    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(per_source) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    goal = targets({r["source"]: r["source_size"] for r in per_source}, weights, most)
-    known = spark.createDataFrame([(r["source"], r["source_size"], float(goal[r["source"]]), max(1, -(-r["n"] // group))) for r in per_source], "_of string, source_size long, target double, buckets long")
-    if len(per_source) <= 10_000:
-        known = F.broadcast(known)  # a row for each source, counted just now
+    # Rows that are equal in all that counts here are interchangeable: they are numbered, so that groups can tell them apart.
+    again = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("_n"))
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / REPEATS)))
+    many = again.filter("_n > 1").withColumn("_b", block).repartition("doc_id", "source", "size", "_b")
+    many = many.withColumn("no", F.explode(F.sequence(F.col("_b") * REPEATS, F.least(F.col("_n"), (F.col("_b") + 1) * REPEATS) - 1))).drop("_b")
+    sizes = _io.cut(many.unionByName(again.filter("_n = 1").withColumn("no", F.lit(0).cast("long"))).drop("_n"))
+    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"))
+    known = targets(per_source, weights, most).withColumn("buckets", F.greatest(F.ceil(F.col("_n") / group), F.lit(1))).withColumnRenamed("source", "_of").drop("_n")
+    known = _io.counted(known, FEW_SOURCES)
+    largest = known.agg(F.max("buckets")).first()[0] or 1
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
     rows = sizes.join(known, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
     rows = rows.withColumn("rate", F.when(F.col("size") > 0, F.least(rate, F.lit(float(most)))).otherwise(F.lit(1.0)))
     rows = rows.withColumn("whole", F.floor(F.col("rate") + 1e-12).cast("int")).withColumn("part", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("buckets")))
-    state = rows.select("doc_id", "source", "size", "whole", "part", "bucket", F.lit(False).alias("done"))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "no", F.lit(seed)), F.col("buckets")))
+    # Pandas would read a column of ids with nulls as floats.
+    state = rows.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("missing"), "no", "source", "size", "whole", "part", "bucket", F.lit(False).alias("done"))
     done, level = [state.filter("part <= 0 or size = 0").withColumn("done", F.lit(True))], 0
-    live, most_buckets = state.filter("part > 0 and size > 0"), max([1, *(-(-r["n"] // group) for r in per_source)])
+    live, most_buckets = state.filter("part > 0 and size > 0"), int(largest)
     while True:
         last = most_buckets == 1
         ran = _io.cut(_level(live, seed, level, last))
@@ -143,7 +151,7 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most:
         out = out.unionByName(d)
     copies = (F.col("whole") + F.col("part").cast("int")).cast("long")
     out = out.join(known, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select(F.when(~F.col("missing"), F.col("doc_id")).alias("doc_id"), "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def take_copies(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, seed: int = 1) -> DataFrame:
