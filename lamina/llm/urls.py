@@ -1,15 +1,18 @@
 """URL rules and redirect equivalence.
 
-Rules (verdict, host/path) judge a url's host and path; the longest that fits wins.  Pages
+Rules (verdict, host/path) judge a url's host and path; the longest that fits wins.  A short
+list is compiled into an expression; a longer one, or a table of rules, is joined by the
+suffixes of the host and the lengths of the rules' paths there.  Pages
 that stand for the same place form a class: equal urls, redirects (meta refresh) and
 canonical links are edges, and connected components over them are the classes.  A block
 decision passes to every page of its class that no rule judges, unless a page of the class
 is explicitly allowed: an explicit allow comes before a block that is passed on.
 
 Cases: a null url, or one without ://, has an empty host and path, fits no rule, and is a
-class of its own, whose links aren't followed; null html has no links; a link is absolute
-if it starts with a scheme, and is else read against the page's host and path; repeated pages
-share a class by their url; further columns are ignored.  What has neither a rule nor a blocked class is allowed.
+class of its own, whose links aren't followed; null html has no links; every canonical link
+and refresh of a page counts, with character references in it read; a link is absolute if it
+starts with a scheme, and is else read against the page's host and path; a rule given twice
+with both verdicts allows; repeated pages share a class by their url; further columns are ignored.  What has neither a rule nor a blocked class is allowed.
 """
 
 from __future__ import annotations
@@ -55,14 +58,54 @@ def resolve(to: Column, host: Column, path: Column) -> Column:
     return F.when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), to).when(to.startswith("//"), F.concat(F.lit("http:"), to)).when(~to.startswith("#"), relative)
 
 
-def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
-    """The longest rule that fits, as a struct of rule and verdict; null where none fits.
+#: The named character references that addresses in html need.
+NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
+
+
+def unescape(text: Column) -> Column:
+    """text with its numeric character references, and those of NAMED, as characters."""
+    for name, char_ in NAMED.items():
+        if name != "&amp;":
+            text = F.replace(text, F.lit(name), F.lit(char_))
+    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});)"), F.lit(1)))
+    code = lambda r: F.when(r.rlike("^&#[xX]"), F.conv(F.substring(r, F.lit(4), F.length(r) - 4), 16, 10)).otherwise(F.substring(r, F.lit(3), F.length(r) - 3)).cast("long")
+    char = lambda r: F.decode(F.unhex(F.lpad(F.hex(code(r)), 8, "0")), "UTF-32")
+    real = lambda r: code(r).between(1, 0xD7FF) | code(r).between(0xE000, 0x10FFFF)
+    out = F.aggregate(refs, text, lambda done, r: F.when(real(r), F.replace(done, r, char(r))).otherwise(done))
+    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+
+
+COMPILED = 500  # rules that are compiled into an expression at most
 
-    rules are (verdict, host/path): a rule list is configuration, checked to have at most 500 entries.
+
+def with_rule(df: DataFrame, rules: list[tuple[str, str]] | DataFrame) -> DataFrame:
+    """df (with host and path) with fit, the longest rule that fits as a struct of rule and verdict, or null.
+
+    rules are (verdict, host/path), as a list or a table.  In a table, a page's host and path are
+    met with rules by equality only: of each suffix of the host, and of the path's prefixes of
+    the lengths that rules of this suffix have.
     """
-    if len(rules) > 500:
-        raise ValueError("a rule list of more than 500 entries should be a table that is joined")
+    if not isinstance(rules, DataFrame):
+        if len(rules) <= COMPILED:
+            return df.withColumn("fit", longest_rule(F.col("host"), F.col("path"), rules))
+        rules = df.sparkSession.createDataFrame(rules, "verdict string, rule string")
+    table = rules.groupBy("rule").agg(F.min("verdict").alias("verdict"))  # allow comes first
+    table = table.select("rule", "verdict", F.substring_index("rule", "/", 1).alias("_suffix"), F.concat(F.lit("/"), F.expr("substring(rule, length(substring_index(rule, '/', 1)) + 2)")).alias("_start"))
+    lengths = table.groupBy("_suffix").agg(F.collect_set(F.length("_start")).alias("_lengths"))
+    places = df.select("host", "path").distinct()
+    labels = F.split("host", r"\.")
+    each = places.select("host", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("_suffix"))
+    each = each.join(lengths, "_suffix").select("host", "path", "_suffix", F.explode("_lengths").alias("_l")).filter(F.col("_l") <= F.length("path"))
+    each = each.withColumn("_start", F.substring("path", F.lit(1), F.col("_l"))).join(table, ["_suffix", "_start"])
+    best = each.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "rule")).alias("fit"))
+    return df.join(best, ["host", "path"], "left")
+
+
+def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
+    """The longest rule of a short list that fits, as a struct of rule and verdict; null where none fits."""
     out = F.lit(None).cast("struct<rule:string,verdict:string>")
+    allowed = {r for v, r in rules if v == "allow"}
+    rules = [(v, r) for v, r in rules if v == "allow" or r not in allowed]
     for verdict, rule in sorted(rules, key=lambda r: (len(r[1]), r[1])):
         own, _, rest = rule.partition("/")
         fits = ((host == own) | host.endswith("." + own)) & path.startswith("/" + rest)
@@ -70,17 +113,17 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Co
     return out
 
 
-def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] | DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, host, path, rule, verdict (allow or block) and passed_on (whether the class decided)."""
     p = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").alias("html"))
     base = p.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    base = base.withColumn("fit", longest_rule(F.col("host"), F.col("path"), rules))
+    base = with_rule(base, rules)
 
     # Edges between places.  Only pages that hold a link make rows here.
     low = F.lower("html")
     links = p.filter(F.contains(low, F.lit("canonical")) | F.contains(low, F.lit("refresh")))
-    target = F.explode(F.array(F.regexp_extract("html", CANONICAL, 1), F.regexp_extract("html", REFRESH, 1))).alias("to")
-    links = links.select(place_of(F.col("url")).alias("src"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), target).filter("to != ''")
+    target = F.explode(F.concat(*[F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in (CANONICAL, REFRESH)])).alias("to")
+    links = links.select(place_of(F.col("url")).alias("src"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), target).withColumn("to", unescape(F.col("to"))).filter("to != ''")
     full = resolve(F.col("to"), F.col("host"), F.col("path"))
     edges = links.select("src", place_of(full).alias("dst")).filter("src is not null and dst is not null and src != dst").distinct()
     classes = components(edges, "src", "dst")  # place, root: only places with an edge
@@ -93,7 +136,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
     judged = base.withColumn("place", place).join(classes.withColumnRenamed("node", "place"), "place", "left")
     per_class = judged.filter("root is not null and fit is not null").groupBy("root").agg(F.bool_or(F.col("fit.verdict") == "allow").alias("allowed"), F.bool_or(F.col("fit.verdict") == "block").alias("blocked"))
     # Places that only links name are judged by the rules as well.
-    named = classes.select("root", longest_rule(F.regexp_extract("node", r"(?s)^([^/?#]*)", 1), F.regexp_extract("node", r"(?s)^[^/?#]*([^?#]*)", 1), rules).alias("fit")).filter("fit is not null")
+    named = with_rule(classes.select("root", F.regexp_extract("node", r"(?s)^([^/?#]*)", 1).alias("host"), F.regexp_extract("node", r"(?s)^[^/?#]*([^?#]*)", 1).alias("path")), rules).filter("fit is not null")
     named = named.groupBy("root").agg(F.bool_or(F.col("fit.verdict") == "allow").alias("allowed"), F.bool_or(F.col("fit.verdict") == "block").alias("blocked"))
     decided = per_class.unionByName(named).groupBy("root").agg((F.bool_or("blocked") & ~F.bool_or("allowed")).alias("alias_blocked"))
     out = judged.join(decided, "root", "left")
