@@ -12,8 +12,11 @@ Text from users can hold the template's own control strings.  The filter escape
 harmless reversibly: a backslash is doubled, and one is put behind the first character of
 each control string; parse_turns takes them out again.
 
-A conversation is rendered turn by turn from rows sorted by conversation and turn within a
-partition, so that a conversation of any number of turns is never held as rows in one list.
+A template runs over a whole conversation, so that what stands outside its loops comes once.
+The messages are a stream of rows sorted by conversation and turn within a partition: a
+template with one loop over them takes a row at a time, and a conversation of any number of
+turns is never held.  A template that uses the messages otherwise (in two loops, one inside
+another, or in a test) has them as a list of one conversation.
 
 Cases: null text or role is empty; turns with equal numbers come in the order of role, then
 text; null conv_id is a conversation of its own; no rows give no conversations; further columns
@@ -384,10 +387,37 @@ def _body(nodes: tuple) -> Callable[[dict, bool], Iterator[Piece]]:
     return run
 
 
+def takes_stream(nodes: tuple) -> bool:
+    """Whether a template reads messages in one loop, once, and nowhere else."""
+
+    def uses(e) -> int:
+        if isinstance(e, Name):
+            return 2 * (e.path[0] == "messages")
+        if isinstance(e, Filter):
+            return uses(e.arg)
+        return sum(uses(a) for a in e.args) if isinstance(e, Op) else 0
+
+    def count(nodes: tuple, depth: int) -> int:
+        n = 0
+        for x in nodes:
+            if isinstance(x, Out):
+                n += uses(x.expr)
+            elif isinstance(x, For):
+                n += (x.over == "messages") * (2 if depth else 1) + count(x.body, depth + 1)
+            elif isinstance(x, Gen):
+                n += count(x.body, depth)
+            elif isinstance(x, If):
+                n += sum(uses(t) + count(b, depth) for t, b in x.arms)
+        return n
+
+    return count(nodes, 0) <= 1
+
+
 def compile_template(source: str) -> Callable[[Iterator[dict]], Iterator[Piece]]:
     """A function from messages (dicts of role and text, any iterable) to pieces of text with their generation mark."""
-    run = _body(fold(parse(source)))
-    return lambda messages: run({"messages": messages}, False)
+    tree = fold(parse(source))
+    run, stream = _body(tree), takes_stream(tree)
+    return lambda messages: run({"messages": messages if stream else list(messages)}, False)
 
 
 def render(source: str, messages: list[dict]) -> tuple[str, list[tuple[int, int]]]:
@@ -435,42 +465,53 @@ def sorted_turns(conversations: DataFrame) -> DataFrame:
 def format_conversations(conversations: DataFrame, template: str = TEMPLATE, part_chars: int = 1 << 22) -> DataFrame:
     """conv_id, part, text and marks (begin and end of generation spans in turn).
 
-    A conversation's text is the texts of its parts in order: parts close after a turn once they
+    A conversation's text is the texts of its parts in order: parts close before a turn once they
     hold part_chars code points, so that only longer conversations have more than one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = compile_template(template)
-        state: dict = {"conv": None, "part": 0, "text": [], "marks": [], "at": 0, "open": False}
-        out: list[tuple] = []
-
-        def close() -> None:
-            if state["open"]:
-                out.append((state["conv"], state["part"], "".join(state["text"]), state["marks"]))
-            state.update(text=[], marks=[], at=0, open=False)
-
-        for batch in batches:
-            held = 0
-            for conv, role, text in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "role", "text")), strict=True):
-                if not state["open"] or conv != state["conv"]:
-                    again = state.get("seen") == (conv,)
-                    close()
-                    state.update(conv=conv, part=state["part"] + 1 if again else 0, open=True, seen=(conv,))
-                for piece, marked in compiled([{"role": role, "text": text}]):
-                    if marked and piece:
-                        state["marks"] += [state["at"], state["at"] + len(piece)]
-                    state["text"].append(piece)
-                    state["at"] += len(piece)
-                    held += len(piece)
-                if state["at"] >= part_chars:
-                    close()
-                if held > part_chars:
-                    yield _io.batch(_FORMATTED, *(list(c) for c in zip(*out, strict=True))) if out else _io.batch(_FORMATTED, [], [], [], [])
-                    out, held = [], 0
-            if out:
+        rows = ((conv, role, text) for batch in batches for conv, role, text in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "role", "text")), strict=True))
+        ahead = next(rows, None)
+
+        def turns(conv: int | None) -> Iterator[dict]:
+            """The rest of the conversation that ahead is in."""
+            nonlocal ahead
+            while ahead is not None and ahead[0] == conv:
+                _, role, text = ahead
+                ahead = next(rows, None)
+                yield {"role": role, "text": text}
+
+        out, held = [], 0
+        while ahead is not None:
+            conv, part, text, marks, at, fresh = ahead[0], 0, [], [], 0, False
+
+            def told(messages: Iterator[dict]) -> Iterator[dict]:
+                nonlocal fresh
+                for m in messages:
+                    fresh = True
+                    yield m
+
+            own = turns(conv)
+            for piece, marked in compiled(told(own)):
+                if fresh and at >= part_chars:
+                    out.append((conv, part, "".join(text), marks))
+                    part, text, marks, at = part + 1, [], [], 0
+                    if held > part_chars:
+                        yield _io.batch(_FORMATTED, *(list(c) for c in zip(*out, strict=True)))
+                        out, held = [], 0
+                fresh = False
+                if marked and piece:
+                    marks += [at, at + len(piece)]
+                text.append(piece)
+                at += len(piece)
+                held += len(piece)
+            for _ in own:  # turns that the template didn't ask for
+                pass
+            out.append((conv, part, "".join(text), marks))
+            if held > part_chars or len(out) >= 4096:
                 yield _io.batch(_FORMATTED, *(list(c) for c in zip(*out, strict=True)))
-                out = []
-        close()
+                out, held = [], 0
         if out:
             yield _io.batch(_FORMATTED, *(list(c) for c in zip(*out, strict=True)))
 
