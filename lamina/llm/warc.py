@@ -6,15 +6,20 @@ response; the others become revisit records, which have no block and refer to it
 own text sink writes the files, so any file system that Spark knows will do; the record end
 (two CRLF) is its line separator.
 
-Reading: every place that holds the magic is a candidate record and names its successor,
-which is where its declared length ends.  A magic inside a payload is a candidate as well,
-and may even carry a well-formed record.  Only what pointer jumping from the start of the
-file reaches is a record; the chain has to end where the file ends.
+Reading: Spark's text source cuts files at the magic, so that a large file is read by many
+tasks, each its own byte ranges, and a gzip file (of one member or one for each record) as a
+stream; no file is ever held whole.  What follows a magic is a candidate record and names its
+successor, which is where its declared length ends.  A magic inside a payload is a candidate
+as well, and may even carry a well-formed record.  Only what pointer jumping from the start of
+the file reaches is a record: each byte range resolves its own chains, the ranges' exits are
+joined and doubled until no more are reached, and every range marks what its entry reaches.
+The chain has to end where the file ends.  A record whose payload holds the magic is put
+together from the pieces that lie within it.
 
 Cases: null html is an empty payload; a null url leaves out the target header, and control
 characters in a url are percent-encoded; a null page_id is a response without an id; repeated
-rows with equal payloads and ids are all the response; no pages give no records; further
-columns are ignored.
+rows with equal payloads and ids are all the response; no pages give no records; a file that
+doesn't start with a record, or whose last one is cut, raises; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import _io
 
@@ -78,75 +84,211 @@ def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, le
 
 
 _ID = re.compile(rb"<urn:page:(-?\d+)>")
-_CANDIDATES = pa.schema([("file", pa.string()), ("at", pa.int64()), ("successor", pa.int64()), ("length", pa.int64()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
-
-
-def candidates(content: bytes) -> Iterator[tuple]:
-    """(at, successor, page_id, payload_bytes, payload_digest, record_type, refers_to) wherever the magic stands."""
-    at, stop = content.find(MAGIC), -1
-    while at >= 0:
-        if stop < at:
-            stop = content.find(END, at)
-            if stop < 0:
-                return
-        head: dict[bytes, bytes] = {}
-        for text in content[at + len(MAGIC) : stop].split(b"\r\n"):
-            key, colon, value = text.partition(b": ")
-            if colon:
-                head.setdefault(key.lower(), value)
-        size = head.get(b"content-length", b"")
-        if size.isdigit():
-            begin = stop + len(END)
-            end = begin + int(size)
-            if content[end : end + len(END)] == END:
-                kind, name, refers = head.get(b"warc-type", b""), _ID.search(head.get(b"warc-record-id", b"")), _ID.search(head.get(b"warc-refers-to", b""))
-                if kind == b"response":
-                    body = content.find(END, begin, end)
-                    body = end if body < 0 else body + len(END)
-                    length, digest = end - body, hashlib.sha1(memoryview(content)[body:end]).hexdigest()
-                else:
-                    told = head.get(b"warc-payload-length", b"0")
-                    length, digest = int(told) if told.isdigit() else 0, head.get(b"warc-payload-digest", b"").removeprefix(b"sha1:").decode("ascii", "replace")
-                yield at, end + len(END), int(name[1]) if name else None, length, digest, kind.decode("ascii", "replace"), int(refers[1]) if refers else None
-        at = content.find(MAGIC, at + 1)
+_SPOTS = pa.schema([("file", pa.string()), ("block", pa.int64()), ("at", pa.int64()), ("successor", pa.int64()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
+_PIECES = pa.schema([("file", pa.string()), ("block", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
+_DIGESTS = pa.schema([("file", pa.string()), ("at", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
+BIN = 1 << 20
 
 
-def reachable(at: np.ndarray, successor: np.ndarray, length: int) -> np.ndarray:
-    """Which candidates (ascending offsets) the chain from offset 0 holds; it has to end at length."""
-    n = len(at)
-    place = np.searchsorted(at, successor)
-    jump = np.append(np.where((place < n) & (at[np.minimum(place, n - 1)] == successor), place, np.where(successor == length, n, n + 1)), [n, n + 1])
-    seen = np.zeros(n + 2, dtype=bool)
-    seen[0] = n > 0 and at[0] == 0
-    for _ in range(max(1, n + 1).bit_length() + 1):
+def candidate(segment: bytes) -> tuple | None:
+    """(length with the record end, page_id, payload_bytes, payload_digest, record_type, refers_to) of the record that starts with a magic and segment; the digest is null if it goes on behind segment."""
+    stop = segment.find(END)
+    if stop < 0:
+        return None
+    head: dict[bytes, bytes] = {}
+    for text in segment[:stop].split(b"\r\n"):
+        key, colon, value = text.partition(b": ")
+        if colon:
+            head.setdefault(key.lower(), value)
+    size = head.get(b"content-length", b"")
+    if not size.isdigit():
+        return None
+    begin = stop + len(END)
+    end = begin + int(size)
+    if end <= len(segment) and segment[end : end + len(END)] != END:
+        return None
+    kind, name, refers = head.get(b"warc-type", b""), _ID.search(head.get(b"warc-record-id", b"")), _ID.search(head.get(b"warc-refers-to", b""))
+    if kind != b"response":
+        told = head.get(b"warc-payload-length", b"0")
+        length, digest = int(told) if told.isdigit() else 0, head.get(b"warc-payload-digest", b"").removeprefix(b"sha1:").decode("ascii", "replace")
+    elif end <= len(segment):
+        body = _body(segment, begin, end)
+        length, digest = end - body, hashlib.sha1(memoryview(segment)[body:end]).hexdigest()
+    else:
+        length, digest = None, None
+    return end + len(END), int(name[1]) if name else None, length, digest, kind.decode("ascii", "replace"), int(refers[1]) if refers else None
+
+
+def _body(block: bytes, begin: int, end: int) -> int:
+    """Where the payload of an HTTP response starts."""
+    at = block.find(END, begin, end)
+    return end if at < 0 else at + len(END)
+
+
+def _jumps(at: np.ndarray, successor: np.ndarray) -> np.ndarray:
+    """The candidate that each one names as its successor, or its own number if none of these stands there."""
+    here = np.arange(len(at))
+    place = np.minimum(np.searchsorted(at, successor), max(len(at) - 1, 0))
+    return np.where(at[place] == successor, place, here) if len(at) else here
+
+
+def exits(at: np.ndarray, successor: np.ndarray) -> np.ndarray:
+    """Where the chain from each candidate (ascending offsets) leaves them; successor is -1 where there is no record."""
+    jump = _jumps(at, successor)
+    for _ in range(max(1, len(at)).bit_length()):
+        jump = jump[jump]
+    return successor[jump]
+
+
+def marks(at: np.ndarray, successor: np.ndarray, entry: np.ndarray) -> np.ndarray:
+    """Which candidates the chains from the entries hold."""
+    jump, seen = _jumps(at, successor), entry.copy()
+    for _ in range(max(1, len(at)).bit_length() + 1):
         seen[jump[np.flatnonzero(seen)]] = True
         jump = jump[jump]
-    if not seen[n]:
+    return seen
+
+
+def reachable(at: np.ndarray, successor: np.ndarray, length: int) -> np.ndarray:
+    """Which candidates the chain from offset 0 holds; it has to end at length."""
+    if not len(at) or at[0] != 0 or exits(at, successor)[0] != length:
         raise ValueError("the chain of records doesn't reach the end of the archive")
-    return seen[:n]
+    return marks(at, successor, at == 0)
+
+
+def segments(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, value): what stands between magics, in order within a block, which is a byte range of a file."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path, lineSep=MAGIC.decode())
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, bytes | None]]:
+    """(file, block, offset in the block, segment) of each magic, and (file, block, length, None) at a block's end."""
+    open_, at = None, 0
+    for batch in batches:
+        for file, block, value in zip(*(batch.column(n) for n in ("file", "block", "value")), strict=True):
+            key, segment = (file.as_py(), block.as_py()), value.as_py()
+            if key != open_:
+                if open_ is not None:
+                    yield *open_, at, None
+                open_, at = key, 0
+                if key[1] == 0:  # what stands before the file's first magic
+                    at = len(segment)
+                    continue
+            yield *key, at, segment
+            at += len(MAGIC) + len(segment)
+    if open_ is not None:
+        yield *open_, at, None
+
+
+def _in_batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 4096) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == most:
+            yield _io.batch(schema, *(list(c) for c in zip(*held, strict=True)))
+            held = []
+    if held:
+        yield _io.batch(schema, *(list(c) for c in zip(*held, strict=True)))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to of every record."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                found = content.as_py()
-                rows = [(name.as_py(), at, after, len(found), *rest) for at, after, *rest in candidates(found)]
-                if rows:
-                    yield _io.batch(_CANDIDATES, *(list(c) for c in zip(*rows, strict=True)))
-                elif found:
-                    raise ValueError(f"no record in {name}")
-
-    def chain(file: pd.DataFrame) -> pd.DataFrame:
-        file = file.sort_values("at", ignore_index=True)
-        held = reachable(file["at"].to_numpy(), file["successor"].to_numpy(), int(file["length"].iloc[0]))
-        return file[held]
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
-    rows = files.mapInArrow(scan, _io.ddl(_CANDIDATES)).groupBy("file").applyInPandas(lambda f: chain(f).astype(object).where(lambda d: d.notna(), None), _io.ddl(_CANDIDATES))
-    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        def rows() -> Iterator[tuple]:
+            for file, block, at, segment in _placed(batches):
+                if segment is None:
+                    yield file, block, -1, at, None, None, None, None, None
+                elif (found := candidate(segment)) is None:
+                    yield file, block, at, None, None, None, None, None, None
+                else:
+                    yield file, block, at, at + len(MAGIC) + found[0], *found[1:]
+
+        return _in_batches(rows(), _SPOTS)
+
+    text = segments(spark, path)
+    found = _io.cut(text.mapInArrow(scan, _io.ddl(_SPOTS)))
+    # A block starts where those before it end: a row for each block.
+    w = Window.partitionBy("file").orderBy("block")
+    lengths = found.filter("at < 0").select("file", "block", F.col("successor").alias("_n"))
+    blocks = lengths.withColumn("_base", F.sum("_n").over(w) - F.col("_n"))
+    base = _io.counted(blocks.select("file", "block", "_base"))
+    spots = found.filter("at >= 0").join(base, ["file", "block"]).withColumn("at", F.col("at") + F.col("_base")).withColumn("successor", F.coalesce(F.col("successor") + F.col("_base"), F.lit(-1).cast("long"))).drop("_base")
+
+    def leave(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("at", ignore_index=True)
+        return g.assign(exit=exits(g["at"].to_numpy(), g["successor"].to_numpy()))
+
+    narrow = spots.select("file", "block", "at", "successor")
+    ways = _io.cut(narrow.groupBy("file", "block").applyInPandas(leave, "file string, block long, at long, successor long, exit long"))
+    # Doubling over the ranges' entries: the start of each file, and where a range's chain enters another.
+    starts = blocks.filter("_n > 0").select("file", F.lit(0).cast("long").alias("at")).distinct()
+    doors = ways.select("file", F.col("exit").alias("at")).filter("at >= 0").unionByName(starts).distinct()
+    jump = _io.cut(ways.join(doors, ["file", "at"], "left_semi").select("file", "at", F.col("exit").alias("to")))
+    reach, n = _io.cut(starts), -1
+    while (now := reach.count()) != n:
+        n = now
+        step = reach.join(jump, ["file", "at"]).select("file", F.col("to").alias("at"))
+        reach = _io.cut(reach.unionByName(step).distinct())
+        far = jump.select("file", F.col("at").alias("to"), F.col("to").alias("_to"))
+        jump = _io.cut(jump.join(far, ["file", "to"], "left").select("file", "at", F.coalesce("_to", "to").alias("to")))
+    ends = blocks.groupBy("file").agg(F.sum("_n").alias("at")).filter("at > 0")
+    broken = ends.join(reach, ["file", "at"], "left_anti").first()
+    if broken is not None:
+        raise ValueError(f"the chain of records doesn't reach the end of {broken['file']}")
+
+    def mark(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("at", ignore_index=True)
+        return g[marks(g["at"].to_numpy(), g["successor"].to_numpy(), g["entry"].to_numpy())][["file", "at"]]
+
+    entered = narrow.join(reach.withColumn("entry", F.lit(True)), ["file", "at"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
+    held = entered.groupBy("file", "block").applyInPandas(mark, "file string, at long")
+    records = _io.cut(spots.join(held, ["file", "at"], "left_semi"))
+    whole = records.filter("payload_digest is not null")
+    parted = _io.counted(records.filter("payload_digest is null").select("file", F.col("at").alias("_from"), F.col("successor").alias("_to")))
+    if not parted.isEmpty():
+        more = _assembled(text, base, parted).withColumnRenamed("payload_bytes", "_b").withColumnRenamed("payload_digest", "_d")
+        rest = records.filter("payload_digest is null").join(more, ["file", "at"]).withColumn("payload_bytes", F.col("_b")).withColumn("payload_digest", F.col("_d"))
+        whole = whole.unionByName(rest.select(*whole.columns))
+    return whole.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _assembled(text: DataFrame, base: DataFrame, records: DataFrame) -> DataFrame:
+    """(file, at, payload_bytes, payload_digest) of records (file, _from, _to) whose payloads hold magics: their pieces in order, as a stream."""
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _in_batches(((f, b, at, s) for f, b, at, s in _placed(batches) if s is not None), _PIECES, 64)
+
+    every = text.mapInArrow(pieces, _io.ddl(_PIECES)).join(base, ["file", "block"]).withColumn("at", F.col("at") + F.col("_base")).withColumn("_bin", F.expr(f"at div {BIN}"))
+    ranges = records.withColumn("_bin", F.explode(F.sequence(F.expr(f"_from div {BIN}"), F.expr(f"(_to - 1) div {BIN}"))))
+    own = every.join(F.broadcast(ranges) if records.count() <= 10_000 else ranges, ["file", "_bin"]).filter("at >= _from and at < _to")
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            key, left, size, sha = None, 0, 0, hashlib.sha1()
+            for batch in batches:
+                for file, start, segment in zip(*(batch.column(n) for n in ("file", "_from", "bytes")), strict=True):
+                    of, part = (file.as_py(), start.as_py()), segment.as_py()
+                    if of != key:
+                        if key is not None:
+                            yield *key, size, sha.hexdigest()
+                        key, size, sha = of, 0, hashlib.sha1()
+                        begin = part.find(END) + len(END)
+                        length = next(int(v) for k, _, v in (x.partition(b": ") for x in part[: begin - len(END)].split(b"\r\n")) if k.lower() == b"content-length")
+                        body = _body(part, begin, len(part))
+                        left, part = length - (body - begin), part[body:]
+                    else:
+                        part = MAGIC + part
+                    part = part[: max(left, 0)]
+                    left, size = left - len(part), size + len(part)
+                    sha.update(part)
+            if key is not None:
+                yield *key, size, sha.hexdigest()
+
+        return _in_batches(rows(), _DIGESTS)
+
+    return own.select("file", "_from", "at", "bytes").repartition("file", "_from").sortWithinPartitions("file", "_from", "at").mapInArrow(digest, _io.ddl(_DIGESTS))
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
