@@ -204,4 +204,5 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     A row is known by its id and its text, so that rows without an id or with a repeated one are judged each.
     """
     hit = _io.counted(find_contamination(docs, benchmark, window).filter(F.size("spans") > 0).select(F.col("doc_id").alias("_hit"), F.col("key").alias("_key")).distinct())
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")) & (F.xxhash64("text") == F.col("_key")), "left_anti")
+    same = F.col("_row.doc_id").eqNullSafe(F.col("_hit")) & (F.xxhash64("_row.text") == F.col("_key"))
+    return docs.select(F.struct("*").alias("_row")).join(hit, same, "left_anti").select("_row.*")

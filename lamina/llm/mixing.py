@@ -158,5 +158,5 @@ def take_copies(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: f
     """The rows of docs, with all their columns, each as often as the mix takes it; ids name documents, a row without an id stays once."""
     mixed = mix_documents(docs, weights, most, seed).filter("doc_id is not null").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
     other = _io.counted(mixed.filter("_copies != 1").withColumnRenamed("doc_id", "_of"))
-    out = docs.join(other, F.col("doc_id") == F.col("_of"), "left").filter("_copies is null or _copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.coalesce("_copies", F.lit(1)).cast("int")))).select(*docs.columns)
+    out = docs.select(F.struct("*").alias("_row")).join(other, F.col("_row.doc_id") == F.col("_of"), "left").filter("_copies is null or _copies > 0")
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.coalesce("_copies", F.lit(1)).cast("int")))).select("_row.*")

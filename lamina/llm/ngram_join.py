@@ -419,10 +419,11 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     """
     judged = _io.cut(duplicate_classes(docs))
     gone = _io.counted(judged.filter("doc_id != component_id").select(F.col("doc_id").alias("_of")).distinct())
-    out = docs.join(gone, F.col("doc_id") == F.col("_of"), "left_anti")
+    same = F.col("_row.doc_id") == F.col("_of")
+    out = docs.select(F.struct("*").alias("_row")).join(gone, same, "left_anti")
     again = judged.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_of"))
     if again.isEmpty():
-        return out
+        return out.select("_row.*")
     again = _io.counted(again)
-    same = F.col("doc_id") == F.col("_of")
-    return out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    once = out.join(again, same, "left_semi").select("_row", F.col("_row.doc_id").alias("_id")).dropDuplicates(["_id"])
+    return out.join(again, same, "left_anti").unionByName(once.drop("_id")).select("_row.*")
