@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 IUPAC = "ACGTUNRYSWKMBDHVacgtunryswkmbdhv"
 IUPAC_COMPLEMENT = "TGCAANYRSWMKVHDBtgcaanyrswmkvhdb"
 GENETIC_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+#: Codes of two alleles at a heterozygous site; fixed values.
+HETEROZYGOUS = {"AG": "R", "CT": "Y", "CG": "S", "AT": "W", "GT": "K", "AC": "M"}
+PIECE = 256  # starts of k-mers that one piece of a sequence holds
 CODONS = {"".join(c): a for c, a in zip(product("TCAG", repeat=3), GENETIC_CODE, strict=True)}
 
 
@@ -52,11 +55,16 @@ def gc3_percent(seq: Column) -> Column:
 
 
 def kmers(df: DataFrame, seq: str, k: int, name: str = "kmer") -> DataFrame:
-    """A row for each k-mer of pure ACGT and its start."""
-    n = F.length(seq)
-    at = F.explode(F.when(n >= k, F.sequence(F.lit(1), n - (k - 1))).otherwise(F.array().cast("array<int>"))).alias("at")
-    out = df.select("*", at)
-    return out.withColumn(name, F.substring(seq, F.col("at"), F.lit(k))).filter(F.col(name).rlike("^[ACGT]+$"))
+    """A row for each k-mer of pure ACGT and its start.
+
+    The sequence is cut into overlapping pieces by one pass of a pattern first, as a substring
+    walks its string from the start.
+    """
+    piece = F.posexplode(F.regexp_extract_all(F.col(seq), F.lit(f"(?s)(?=(.{{1,{PIECE + k - 1}}})).{{1,{PIECE}}}"), F.lit(1))).alias("_c", "_piece")
+    starts = F.least(F.length("_piece") - (k - 1), F.lit(PIECE))
+    out = df.select("*", piece).filter(F.length("_piece") >= k).select("*", F.explode(F.sequence(F.lit(1), starts)).alias("_at"))
+    out = out.withColumn(name, F.substring("_piece", F.col("_at"), F.lit(k))).withColumn("at", F.col("_c") * PIECE + F.col("_at")).drop("_c", "_piece", "_at")
+    return out.filter(F.translate(name, "ACGT", "") == "")
 
 
 def gap_edges_to_unknown(seq: Column) -> Column:
@@ -68,9 +76,7 @@ def gap_edges_to_unknown(seq: Column) -> Column:
 
 def windows(df: DataFrame, seq: str, size: int, name: str = "piece") -> DataFrame:
     """Consecutive pieces of size characters, the last one shorter, with their number."""
-    n = F.length(seq)
-    at = F.explode(F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int"))).otherwise(F.array().cast("array<int>"))).alias("piece_no")
-    return df.select("*", at).withColumn(name, F.substring(seq, F.col("piece_no") * size + 1, F.lit(size)))
+    return df.select("*", F.posexplode(F.regexp_extract_all(F.col(seq), F.lit(f"(?s)(.{{1,{size}}})"), F.lit(1))).alias("piece_no", name))
 
 
 def difference_positions(a: Column, b: Column) -> Column:
@@ -100,3 +106,16 @@ def cigar_length(cigar: Column, kinds: str) -> Column:
 def sum_list(text: Column, sep: str = ",") -> Column:
     """Sum of the numbers in a list text."""
     return F.aggregate(F.split(text, sep), F.lit(0.0), lambda a, x: a + F.coalesce(F.try_to_number(x, F.lit("999999999999.999999")).cast("double"), F.lit(0.0)))
+
+
+def heterozygous_code(one: Column, two: Column) -> Column:
+    """The code that stands for two alleles in upper case; the base itself if they are equal, N if either isn't a base."""
+    table = F.create_map(*[F.lit(x) for kv in HETEROZYGOUS.items() for x in kv])
+    low, high = F.least(F.upper(one), F.upper(two)), F.greatest(F.upper(one), F.upper(two))
+    real = low.isin(*"ACGT") & high.isin(*"ACGT")
+    return F.when(real & (low == high), low).when(real, F.try_element_at(table, F.concat(low, high))).otherwise(F.lit("N"))
+
+
+def prefix_header(header: Column, prefix: str, cut: str | None = None) -> Column:
+    """prefix and the header, which ends where the pattern cut matches."""
+    return F.concat(F.lit(prefix), F.regexp_replace(header, f"(?s)(?:{cut}).*$", "") if cut else header)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..shared import running
+
 
 def round_half_up(x: Column, digits: int = 0) -> Column:
     """floor(x * 10**digits + 1/2) / 10**digits."""
@@ -23,8 +25,11 @@ def quantile_linear(x: Column, q: float) -> Column:
 
 
 def _ordered(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Counts per value with the cumulative count before it: no group's rows are gathered."""
+    """Counts per value with the cumulative count up to it: no group's rows are gathered, and without keys the values are summed up in ranges."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    if not keys:
+        up = running(counts, [value], "_n", "_from").withColumn("_to", F.col("_from") + F.col("_n")).drop("_from")
+        return up.crossJoin(F.broadcast(up.agg(F.sum("_n").alias("_all"))))  # one row
     w = Window.partitionBy(*keys).orderBy(value)
     total = Window.partitionBy(*keys)
     return counts.withColumn("_to", F.sum("_n").over(w)).withColumn("_all", F.sum("_n").over(total))

@@ -7,17 +7,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Completeness, contamination and overlap of the quality tiers, best first.
+# Completeness, contamination and lineage purity of the quality tiers, best first.
 TIERS = ((98, 1, 0.97), (95, 3, 0.95), (80, 5, 0.92), (60, 10, 0.9))
 UNKNOWN_SHARE = (0.75, 0.75, 0.8, 1.1)
 OVERLAP = (0.8, 0.8, 0.9, 0.9)
 
 
-def quality_tier(compl: Column, conta: Column, rounds: int = 3) -> Column:
-    """The first tier whose completeness and contamination hold, from 0; null if none does."""
+def quality_tier(compl: Column, conta: Column, rounds: int = 3, purity: Column | None = None) -> Column:
+    """The first tier whose completeness, contamination and (if given) lineage purity hold, from 0; null if none does."""
     out = F.lit(None).cast("int")
     for i in reversed(range(rounds)):
-        out = F.when((compl >= TIERS[i][0]) & (conta <= TIERS[i][1]), i).otherwise(out)
+        holds = (compl >= TIERS[i][0]) & (conta <= TIERS[i][1])
+        out = F.when(holds if purity is None else holds & (purity >= TIERS[i][2]), i).otherwise(out)
     return out
 
 

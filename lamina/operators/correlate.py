@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import stats
+from ..shared import cut
 
 
 def profile_correlation(pairs: DataFrame, abund: DataFrame, n_samples: int) -> DataFrame:
@@ -86,32 +89,76 @@ def _pearson(x: np.ndarray, y: np.ndarray) -> float:
     return float((a * b).sum() / d) if d > 0 else 0.0
 
 
-def canopies(profiles: DataFrame, distance: float = 0.1, top_share: float = 0.7, least_samples: int = 3, seed_order: str = "total") -> DataFrame:
-    """Canopies of profiles (feature, group, profile array<double>) by Pearson distance, within each group.
+def _unit(profiles: np.ndarray) -> np.ndarray:
+    """Rows centred and scaled to length 1, so that a product is their Pearson correlation; constant rows are 0."""
+    z = profiles - profiles.mean(axis=1, keepdims=True)
+    size = np.sqrt((z * z).sum(axis=1, keepdims=True))
+    return np.divide(z, size, out=np.zeros_like(z), where=size > 1e-150)
 
-    Profiles of too few samples, or with over top_share in their three largest, are left out.
-    The profile of the largest total opens a canopy; all within the distance join it.
+
+def _claimed(points: DataFrame, distance: float, batch: int) -> DataFrame:
+    """(feature, seed): points (feature, rank, profile) in the order of rank; a point that no seed before it claims is one, and claims all later ones within distance.
+
+    A round settles the first batch of open points among themselves on the driver, at most
+    batch profiles, and lets the others find the first of its seeds that claims them, each on
+    its own: no pairs are made.
     """
+    kinds = dict(points.dtypes)
+    open_, done = cut(points), []
+    while True:
+        first = open_.orderBy("rank", "feature").limit(batch).toPandas()
+        if first.empty:
+            break
+        z = _unit(np.stack(first["profile"].to_numpy()).astype(float))
+        seeds: list[int] = []
+        for i in range(len(z)):
+            if not seeds or (1 - z[seeds] @ z[i]).min() > distance:
+                seeds.append(i)
+        names, own = first["feature"].to_numpy()[seeds], z[seeds]
+
+        def claim(parts: Iterator[pd.DataFrame], names=names, own=own) -> Iterator[pd.DataFrame]:
+            for p in parts:
+                if len(p):
+                    near = 1 - _unit(np.stack(p["profile"].to_numpy()).astype(float)) @ own.T <= distance
+                    same = p["feature"].to_numpy()[:, None] == names[None, :]
+                    hit = near | same
+                    p = p.assign(seed=np.where(hit.any(axis=1), names[hit.argmax(axis=1)], None))
+                    yield p
+
+        seen = cut(open_.mapInPandas(claim, f"feature {kinds['feature']}, rank {kinds['rank']}, profile array<double>, seed {kinds['feature']}"))
+        done.append(seen.filter("seed is not null").select("feature", "seed"))
+        open_ = seen.filter("seed is null").drop("seed")
+    if not done:
+        return points.select("feature", F.col("feature").alias("seed"))
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+def _centres(members: DataFrame, points: DataFrame, quantile: float) -> DataFrame:
+    """(canopy, profile): the quantile of the members' values in each sample."""
+    long = members.join(points, "feature").select("canopy", F.posexplode("profile").alias("pos", "value"))
+    per = long.groupBy("canopy", "pos").agg(stats.quantile_linear(F.col("value"), quantile).alias("value"))
+    return per.groupBy("canopy").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda x: x["value"]).alias("profile"))
+
+
+def canopies(profiles: DataFrame, distance: float = 0.1, merge: float = 0.1, quantile: float = 0.75, top_share: float = 0.7, least_samples: int = 3, batch: int = 2048) -> DataFrame:
+    """(feature, canopy, profile): canopies of abundance profiles (feature, profile array<double>) by Pearson distance.
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        x = np.array([np.asarray(p, float) for p in g["profile"]])
-        total = x.sum(axis=1)
-        ok = (x > 0).sum(axis=1) >= least_samples
-        top = np.sort(x, axis=1)[:, -3:].sum(axis=1)
-        ok &= top <= top_share * np.maximum(total, 1e-300)
-        idx = np.flatnonzero(ok)
-        z = x[idx] - x[idx].mean(axis=1, keepdims=True)
-        z /= np.maximum(np.sqrt((z * z).sum(axis=1, keepdims=True)), 1e-300)
-        order = sorted(range(len(idx)), key=lambda i: (-total[idx[i]], g["feature"].iloc[idx[i]]))
-        left, out = set(order), []
-        for i in order:
-            if i not in left:
-                continue
-            near = [j for j in left if j == i or 1 - float(z[i] @ z[j]) <= distance]
-            for j in near:
-                out.append((g["group"].iloc[0], g["feature"].iloc[idx[j]], g["feature"].iloc[idx[i]]))
-            left -= set(near)
-        return pd.DataFrame(out, columns=["group", "feature", "canopy"])
-
-    kinds = dict(profiles.dtypes)
-    return profiles.groupBy("group").applyInPandas(run, f"`group` {kinds['group']}, feature {kinds['feature']}, canopy {kinds['feature']}")
+    Profiles of too few samples, or with over top_share in their three largest, are left out.
+    In the order of descending totals, a profile that no canopy holds yet opens one, which all
+    within distance join.  A canopy's centre is the quantile of its members in each sample;
+    canopies whose centres are within merge of an earlier one's join it, and profile is the
+    centre of what has come together.
+    """
+    three = F.aggregate(F.slice(F.sort_array("profile", False), 1, 3), F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate("profile", F.lit(0.0), lambda a, x: a + x)
+    fit = (F.size(F.filter("profile", lambda x: x > 0)) >= least_samples) & (three <= F.lit(top_share) * total)
+    points = cut(profiles.select("feature", F.col("profile").cast("array<double>").alias("profile")).filter(fit).withColumn("rank", -total).select("feature", "rank", "profile"))
+    own = cut(_claimed(points, distance, batch).withColumnRenamed("seed", "canopy"))
+    centres = _centres(own, points.select("feature", "profile"), quantile)
+    ranked = centres.join(points.select(F.col("feature").alias("canopy"), "rank"), "canopy").select(F.col("canopy").alias("feature"), "rank", "profile")
+    joined = _claimed(ranked, merge, batch).select(F.col("feature").alias("canopy"), F.col("seed").alias("_into"))
+    out = cut(own.join(joined, "canopy").select("feature", F.col("_into").alias("canopy")))
+    return out.join(_centres(out, points.select("feature", "profile"), quantile), "canopy").select("feature", "canopy", "profile")

@@ -10,29 +10,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..shared import cut
+
 
 def merge_clusters(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, root): transitive union of linked ids; root is the smallest. Neighbour minima with pointer jumping.
 
     Each round is cut with checkpoint(), in the folder that the session names.
     """
-    spark = links.sparkSession
-    sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if not folder:
-            import tempfile
-
-            folder = "file://" + tempfile.mkdtemp(prefix="checkpoints-")
-        sc.setCheckpointDir(folder)
     e = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null")
-    e = e.union(e.select(F.col("v"), F.col("u"))).distinct().checkpoint()
-    state = e.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("root")).withColumnRenamed("u", "node").checkpoint()
+    e = cut(e.union(e.select(F.col("v"), F.col("u"))).distinct())
+    state = cut(e.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("root")).withColumnRenamed("u", "node"))
     for _ in range(max_rounds):
         near = e.join(state.select(F.col("node").alias("v"), "root"), "v").groupBy("u").agg(F.min("root").alias("near"))
         step = state.join(near.withColumnRenamed("u", "node"), "node").withColumn("root2", F.least("root", "near"))
         jump = state.select(F.col("node").alias("root2"), F.col("root").alias("up"))
-        new = step.join(jump, "root2").select("node", F.least("root2", "up").alias("root"), F.col("root").alias("old")).checkpoint()
+        new = cut(step.join(jump, "root2").select("node", F.least("root2", "up").alias("root"), F.col("root").alias("old")))
         changed = not new.filter("root != old").isEmpty()
         state = new.select("node", "root")
         if not changed:

@@ -71,7 +71,7 @@ def best_hit(hits: DataFrame, key: str = "q", order: tuple[str, ...] = BEST, tie
 
 
 def best_hit_in_order(hits: DataFrame, order: str = "line_no") -> DataFrame:
-    """The best hit of each query when hits are met in file order, with the running bests that the rule names.
+    """The best hit of each query when hits are met in file order (ties by subject, then by the hit's numbers), with the running bests that the rule names.
 
     Rows stream through a partition in the order of query and file; of a query only its best row is held.
     """
@@ -101,7 +101,7 @@ def best_hit_in_order(hits: DataFrame, order: str = "line_no") -> DataFrame:
         if best is not None:
             yield pd.DataFrame([best], columns=names)
 
-    return hits.repartition("q").sortWithinPartitions("q", order).mapInPandas(run, hits.schema)
+    return hits.repartition("q").sortWithinPartitions("q", order, "s", "bits", "pident", "alen", "evalue").mapInPandas(run, hits.schema)
 
 
 def best_without_ties(hits: DataFrame, key: str, score: str, group: str) -> DataFrame:

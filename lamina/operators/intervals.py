@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..shared import running
+
 
 def interval_join(points: DataFrame, intervals: DataFrame, key: str, pos: str, start: str, end: str, bin_size: int) -> DataFrame:
     """Points within [start, end] of the same key: an equi-join on (key, bin), intervals once for each bin that they touch.
@@ -77,8 +79,12 @@ def pack_regions(contigs: DataFrame, chunks: int, order: list[str], group: list[
     c = contigs.join(mean, keys) if keys else contigs.crossJoin(F.broadcast(mean))  # one row
     factor = F.when(F.col("depth") > 0.85 * F.col("_m"), 1.2).when(F.col("depth") < 0.1 * F.col("_m"), 0.8).otherwise(1.0)
     c = c.withColumn("work", F.col("depth") * F.col("length") * factor)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    c = c.withColumn("_to", F.sum("work").over(w)).withColumn("_all", F.sum("work").over(Window.partitionBy(*keys))).withColumn("_from", F.col("_to") - F.col("work"))
+    if keys:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        c = c.withColumn("_to", F.sum("work").over(w)).withColumn("_all", F.sum("work").over(Window.partitionBy(*keys))).withColumn("_from", F.col("_to") - F.col("work"))
+    else:  # the whole table in order: totals of sorted ranges instead of one window
+        c = running(c, order, "work", "_from").withColumn("_to", F.col("_from") + F.col("work"))
+        c = c.crossJoin(F.broadcast(c.agg(F.sum("work").alias("_all"))))  # one row
     target = F.col("_all") / chunks
     low = F.floor(F.col("_from") / target)
     high = F.greatest(low, F.least(F.ceil(F.col("_to") / target) - 1, F.lit(chunks - 1)))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..schemas import UNKNOWN
 
@@ -32,17 +31,30 @@ def usable_rows(hits: DataFrame, min_bits: float = 120, max_evalue: float = 1e-1
     return j.withColumn("depth", F.least(allowed, F.when(known == 0, F.size("lineage")).otherwise(known - 1))).drop("_id", "_b")
 
 
+def _next_level(state: DataFrame, level: int, share: float) -> DataFrame:
+    """state (q, _out, _n, _live) with the name of one more level in _out, and those in _live that have it."""
+    at = lambda e: F.get(e["lineage"], F.lit(level))
+    known = lambda e: (e["depth"] > level) & at(e).isNotNull()
+    votes = lambda x: F.aggregate(F.filter("_open", lambda e: at(e) == x), F.lit(0).cast("long"), lambda n, e: n + e["k"])
+    state = state.withColumn("_open", F.filter("_live", known))
+    state = state.withColumn("_tally", F.transform(F.array_distinct(F.transform("_open", at)), lambda x: F.struct(votes(x).alias("k"), x.alias("name"))))
+    state = state.withColumn("_top", F.array_max("_tally"))
+    # A tie of two names isn't a majority.
+    alone = F.size(F.filter("_tally", lambda t: t["k"] == F.col("_top.k"))) == 1
+    state = state.withColumn("_won", F.coalesce((F.col("_top.k") >= F.ceil(F.lit(share) * F.col("_n"))) & alone, F.lit(False)))
+    name = F.when(F.col("_won"), F.col("_top.name")).otherwise(F.lit(UNKNOWN))
+    left = F.filter("_open", lambda e: F.col("_won") & (at(e) == F.col("_top.name")))
+    return state.select("q", F.concat("_out", F.array(name)).alias("_out"), F.when(F.col("_won"), F.col("_top.k")).otherwise(F.col("_n")).alias("_n"), left.alias("_live"))
+
+
 def consensus(rows: DataFrame, levels: int, share: float = 0.9) -> DataFrame:
-    """Per query the lineage that ceil(share * n) of its rows support at each level, n being the rows that supported the level above; '?' below."""
-    state = rows.select("q", "lineage", F.least(F.col("depth"), F.lit(levels)).alias("depth")).withColumn("_n", F.count("*").over(Window.partitionBy("q"))).withColumn("_live", F.lit(True)).withColumn("_out", F.array().cast("array<string>"))
+    """Per query the lineage that ceil(share * n) of its rows support at each level, n being the rows that supported the level above; '?' below.
+
+    Equal lineages of a query are counted before they meet; the levels are folded over the
+    array of its different ones, so that there is one grouping for all levels.
+    """
+    counted = rows.groupBy("q", "lineage", F.least(F.col("depth"), F.lit(levels)).alias("depth")).agg(F.count("*").alias("k"))
+    state = counted.groupBy("q").agg(F.collect_list(F.struct("lineage", "depth", "k")).alias("_live"), F.sum("k").alias("_n")).withColumn("_out", F.array().cast("array<string>"))
     for level in range(levels):
-        name = F.when(F.col("_live") & (F.col("depth") > level), F.get("lineage", F.lit(level)))
-        state = state.withColumn("_name", name)
-        state = state.withColumn("_k", F.when(F.col("_name").isNotNull(), F.count("*").over(Window.partitionBy("q", "_name"))))
-        state = state.withColumn("_top", F.max(F.struct("_k", "_name")).over(Window.partitionBy("q"))).withColumn("_second", F.max(F.when(F.col("_name") != F.col("_top._name"), F.col("_k"))).over(Window.partitionBy("q")))
-        # A tie of two names isn't a majority.
-        won = (F.col("_top._k") >= F.ceil(F.lit(share) * F.col("_n"))) & (F.coalesce("_second", F.lit(0)) < F.col("_top._k"))
-        won = F.coalesce(won, F.lit(False))
-        state = state.withColumn("_out", F.concat("_out", F.array(F.when(won, F.col("_top._name")).otherwise(F.lit(UNKNOWN)))))
-        state = state.withColumn("_live", F.coalesce(won & (F.col("_name") == F.col("_top._name")), F.lit(False))).withColumn("_n", F.when(won, F.col("_top._k")).otherwise(F.col("_n")))
-    return state.groupBy("q").agg(F.first("_out").alias("lineage"))
+        state = _next_level(state, level, share)
+    return state.select("q", F.col("_out").alias("lineage"))

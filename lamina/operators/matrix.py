@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..schemas import UNKNOWN
+from ..shared import running
 
 
 def to_long(wide: DataFrame, feature: str) -> DataFrame:
@@ -119,16 +120,7 @@ def vote_majority(votes: DataFrame, keys: list[str], value: str, least: int, sha
 
 def numbered(df: DataFrame, order: list[str], name: str = "no", parts: int = 0) -> DataFrame:
     """Rows numbered from 0 in a total order, without gathering them in one task."""
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    own = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_i", F.monotonically_increasing_id()).persist()
-    ends = {r[0]: r[1] for r in own.groupBy(F.shiftright("_i", 33)).count().collect()}  # a row for each partition
-    start, at = [], 0
-    for k in sorted(ends):
-        start += [F.lit(k), F.lit(at)]
-        at += ends[k]
-    base = F.element_at(F.create_map(*start), F.shiftright("_i", 33)) if start else F.lit(0)
-    return own.select(*df.columns, (base + F.col("_i").bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
+    return running(df, order, None, name, parts)
 
 
 def cumulative_half(df: DataFrame, keys: list[str], value: str, share: float = 0.5, name: str = "n50") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +18,57 @@ def columns(msa: DataFrame) -> DataFrame:
     return msa.select("gene", "id", F.posexplode(F.split("seq", "")).alias("pos", "base")).filter(F.col("base") != "").filter(~F.col("base").isin(*MISSING))
 
 
-def pair_identity(msa: DataFrame) -> DataFrame:
-    """Per gene and pair a < b: columns that both have, equal ones, and percent identity (pairwise complete)."""
-    x, y = msa.select("gene", F.col("id").alias("a"), F.col("seq").alias("sa")), msa.select("gene", F.col("id").alias("b"), F.col("seq").alias("sb"))
-    p = x.join(y, "gene").filter("a < b")
-    marks = F.zip_with(F.split("sa", ""), F.split("sb", ""), lambda i, j: F.when(i.isin("", *MISSING) | j.isin("", *MISSING) | i.isNull() | j.isNull(), 0).when(i == j, 1).otherwise(2))
-    p = p.withColumn("_m", marks)
-    equal, differ = F.size(F.filter("_m", lambda m: m == 1)), F.size(F.filter("_m", lambda m: m == 2))
-    return p.select("gene", "a", "b", (equal + differ).alias("valid"), equal.alias("equal"), F.when(equal + differ > 0, equal * 100.0 / (equal + differ)).alias("pid"))
+def _shared_columns(x: np.ndarray, y: np.ndarray, width: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """(valid, equal) counts of columns of every row of x with every row of y; 0 is missing."""
+    valid, equal = np.zeros((len(x), len(y))), np.zeros((len(x), len(y)))
+    for at in range(0, x.shape[1], width):
+        a, b = x[:, at : at + width], y[:, at : at + width]
+        valid += (a != 0).astype(np.float32) @ (b != 0).astype(np.float32).T
+        for c in np.intersect1d(a, b):
+            if c:
+                equal += (a == c).astype(np.float32) @ (b == c).astype(np.float32).T
+    return np.rint(valid).astype(np.int64), np.rint(equal).astype(np.int64)
+
+
+def _codes(seqs: list[str]) -> np.ndarray:
+    """Code points of sequences as rows, 0 where a base is missing or the sequence has ended."""
+    out = np.zeros((len(seqs), max((len(s) for s in seqs), default=0)), dtype=np.uint32)
+    for i, s in enumerate(seqs):
+        out[i, : len(s)] = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)
+    out[np.isin(out, [ord(c) for c in MISSING])] = 0
+    return out
+
+
+def pair_identity(msa: DataFrame, block: int = 256) -> DataFrame:
+    """Per gene and pair a < b: columns that both have, equal ones, and percent identity (pairwise complete).
+
+    A gene's sequences are dealt into blocks; every two blocks meet once, as matrices of code
+    points whose columns are counted by products, so that one gene is spread over many tasks.
+    """
+    kind = dict(msa.dtypes)
+    rows = msa.select("gene", "id", "seq").filter("gene is not null and id is not null and seq is not null")
+    size = rows.groupBy("gene").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    m = rows.join(size, "gene").withColumn("i", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    m = m.select("gene", "id", "seq", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"))
+    m = m.select("gene", "id", "seq", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), (F.col("i") > F.col("j")).alias("side"))
+
+    def compare(g: pd.DataFrame) -> pd.DataFrame:
+        one = g["p"].iloc[0] == g["q"].iloc[0]
+        left = g if one else g[~g["side"]]
+        right = g if one else g[g["side"]]
+        all_ = _codes(g["seq"].tolist())
+        place = {k: n for n, k in enumerate(g.index)}
+        x, y = all_[[place[k] for k in left.index]], all_[[place[k] for k in right.index]]
+        valid, equal = _shared_columns(x, y)
+        a, b = left["id"].to_numpy(), right["id"].to_numpy()
+        less = a[:, None] < b[None, :]
+        i, j = np.nonzero(less if one else less | (a[:, None] > b[None, :]))
+        swap = ~less[i, j]
+        v, e = valid[i, j], equal[i, j]
+        return pd.DataFrame({"gene": g["gene"].iloc[0], "a": np.where(swap, b[j], a[i]), "b": np.where(swap, a[i], b[j]), "valid": v, "equal": e})
+
+    pairs = m.groupBy("gene", "p", "q").applyInPandas(compare, f"gene {kind['gene']}, a {kind['id']}, b {kind['id']}, valid long, equal long")
+    return pairs.withColumn("pid", F.when(F.col("valid") > 0, F.col("equal") * 100.0 / F.col("valid")))
 
 
 def merge_distances(pids: DataFrame, lengths: DataFrame) -> DataFrame:

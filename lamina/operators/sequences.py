@@ -57,12 +57,68 @@ def completeness(partial: Column) -> Column:
     return F.when(partial == "00", "complete").when(partial == "01", "no3").when(partial == "10", "no5").otherwise("fragment")
 
 
+_CODE = np.full(256, 4, dtype=np.uint8)
+_CODE[np.frombuffer(b"ACGT", dtype=np.uint8)] = np.arange(4)
+
+
+def _kmer_codes(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, code) of every k-mer of pure ACGT in the rows of a byte buffer."""
+    base = _CODE[data]
+    bad = np.concatenate([[0], np.cumsum(base == 4)])
+    at = np.arange(max(len(data) - k + 1, 0))
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    at = at[(row[at] == row[at + k - 1]) & (bad[at + k] == bad[at])] if len(at) else at
+    code = np.zeros(len(at), dtype=np.int64)
+    for j in range(k):
+        code = code * 4 + base[at + j]
+    return row[at] if len(at) else at, code
+
+
+def _counted(row: np.ndarray, code: np.ndarray, rows: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, code, n) of the different pairs."""
+    codes = 4**k
+    if rows * codes <= 4 * len(row) + 65_536:
+        n = np.bincount(row * codes + code, minlength=rows * codes)
+        at = np.flatnonzero(n)
+        return at // codes, at % codes, n[at]
+    order = np.lexsort((code, row))
+    row, code = row[order], code[order]
+    head = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (code[1:] != code[:-1]))) if len(row) else row
+    return row[head], code[head], np.diff(np.append(head, len(row)))
+
+
+def kmer_counts(seqs: DataFrame, key: str, seq: str, k: int, slice_bytes: int = 1 << 20) -> DataFrame:
+    """(key, kmer, n): counts of each row's k-mers of pure ACGT, by a kernel over the bytes of about slice_bytes at once; k is up to 24."""
+    if not 0 < k <= 24:
+        raise ValueError("k-mers of 1 to 24 bases are counted")
+    kind = dict(seqs.dtypes)[key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, text = b.column(0), b.column(1).fill_null("")
+            offs = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+            raw = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)
+            at = 0
+            while at < len(text):
+                to = min(max(int(np.searchsorted(offs, offs[at] + slice_bytes, side="right")) - 1, at + 1), len(text))
+                row, code = _kmer_codes(raw[offs[at] : offs[to]], offs[at : to + 1] - offs[at], k)
+                row, code, n = _counted(row, code, to - at, k)
+                letters = np.stack([np.frombuffer(b"ACGT", dtype=np.uint8)[(code >> (2 * (k - 1 - j))) & 3] for j in range(k)], axis=1)
+                kmers = pa.Array.from_buffers(pa.string(), len(row), [None, pa.py_buffer((np.arange(len(row) + 1) * k).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(letters))])
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(row + at)), kmers, pa.array(n.astype(np.int64))], names=[key, "kmer", "n"])
+                at = to
+
+    return seqs.select(key, seq).mapInArrow(run, f"`{key}` {kind}, kmer string, n long")
+
+
 def kmer_profile(seqs: DataFrame, k: int, min_len: int = 0) -> DataFrame:
     """(id, kmer, percent): k-mers of both strands as percent of all, rounded to five decimals of the share."""
-    rows = S.kmers(seqs.filter(F.length("seq") >= min_len), "seq", k).groupBy("id", "kmer").agg(F.count("*").alias("n"))
-    both = rows.unionByName(rows.select("id", S.reverse_complement(F.col("kmer")).alias("kmer"), "n")).groupBy("id", "kmer").agg(F.sum("n").alias("n"))
-    total = both.groupBy("id").agg(F.sum("n").alias("all"))
-    return both.join(total, "id").select("id", "kmer", (F.floor(F.col("n") * 100000.0 / F.col("all") + 0.5) / 1000.0).alias("percent"))
+    rows = kmer_counts(seqs.filter(F.length("seq") >= min_len), "id", "seq", k)
+    strand = F.explode(F.array("kmer", S.reverse_complement(F.col("kmer"))))
+    # Counts come once for each sequence and k-mer; dealt by id, both sums need no further shuffle.
+    both = rows.select("id", strand.alias("kmer"), "n").repartition("id").groupBy("id", "kmer").agg(F.sum("n").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("id"))
+    return both.select("id", "kmer", (F.floor(F.col("n") * 100000.0 / total + 0.5) / 1000.0).alias("percent"))
 
 
 def member_choice(members: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import stats
 from ..operators import bins as B
 from ..operators import graph, hits as H
 from ..operators import intervals as I
-from ..operators import lca, matrix, variants
+from ..operators import lca, matrix, rules, variants
 from .registry import Tables, query
 from .views import BINS_SQL, HITS_SQL, bins, hits, r, rq
 
@@ -35,7 +35,7 @@ def f3(t: Tables):
 @query("f4_flag_unmapped", "SELECT l_orderkey, l_linenumber, CASE WHEN l_discount > 0.05 OR l_quantity < 10 THEN l_linenumber | 4 ELSE l_linenumber END AS flag FROM lineitem")
 def f4(t: Tables):
     bad = (F.col("l_discount") > 0.05) | (F.col("l_quantity") < 10)
-    return t.lineitem.select("l_orderkey", "l_linenumber", F.when(bad, F.col("l_linenumber").bitwiseOR(4)).otherwise(F.col("l_linenumber")).alias("flag"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", rules.flag_unmapped(F.col("l_linenumber"), bad).alias("flag"))
 
 
 @query("f5_length_split", "SELECT CASE WHEN n_chars < 500 THEN 'short' WHEN n_chars < 2000 THEN 'middle' ELSE 'long' END AS class, count(*) AS n FROM documents GROUP BY 1")
@@ -47,7 +47,7 @@ def f5(t: Tables):
 
 @query("f6_long_or_marker", "SELECT p_partkey FROM part WHERE p_size > 30 OR p_brand = 'Brand#11'")
 def f6(t: Tables):
-    return t.part.filter((F.col("p_size") > 30) | (F.col("p_brand") == "Brand#11")).select("p_partkey")
+    return t.part.filter(rules.long_or_marker(F.col("p_size"), F.col("p_brand") == "Brand#11", 31)).select("p_partkey")
 
 
 @query("f8_bin_filter", f"SELECT bin, compl >= 50 AND conta <= 5 AS passed FROM {BINS_SQL}")
@@ -92,8 +92,8 @@ def f14(t: Tables):
 @query("f18_conspecific", f"WITH n AS (SELECT l_suppkey AS sample, l_partkey AS gene, count(*) AS k FROM lineitem GROUP BY 1, 2), g AS (SELECT sample, p_brand AS mgs, count(*) AS genes, count(*) FILTER (WHERE k > 1) AS multi FROM n JOIN part ON gene = p_partkey GROUP BY 1, 2) SELECT sample, mgs FROM g WHERE multi * 1.0 / genes <= 0.2")
 def f18(t: Tables):
     n = t.lineitem.groupBy(F.col("l_suppkey").alias("sample"), F.col("l_partkey").alias("gene")).agg(F.count("*").alias("k"))
-    g = n.join(t.part, F.col("gene") == F.col("p_partkey")).groupBy("sample", F.col("p_brand").alias("mgs")).agg(F.count("*").alias("genes"), F.count_if(F.col("k") > 1).alias("multi"))
-    return g.filter(F.col("multi") / F.col("genes") <= 0.2).select("sample", "mgs")
+    g = n.join(t.part, F.col("gene") == F.col("p_partkey")).select("sample", F.col("p_brand").alias("mgs"), "k")
+    return rules.single_copy_groups(g, ["sample", "mgs"], "k").select("sample", "mgs")
 
 
 @query("f20_exclude_kingdom", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 5)")
@@ -212,7 +212,7 @@ def j12(t: Tables):
     return I.mean_coverage(d, g, "chr", 50).withColumn("cov", r(F.col("cov")))
 
 
-@query("j15_co_exclusion", "WITH p AS (SELECT DISTINCT c_mktsegment AS g, c_nationkey AS i, o_orderpriority || CAST(o_orderkey % 7 AS VARCHAR) AS w FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderkey % 3 = c_nationkey % 3), n AS (SELECT DISTINCT g, i FROM p) SELECT a.g, a.i AS a, b.i AS b FROM n a JOIN n b ON a.g = b.g AND a.i < b.i WHERE NOT EXISTS (SELECT 1 FROM p x JOIN p y ON x.g = y.g AND x.w = y.w WHERE x.g = a.g AND x.i = a.i AND y.i = b.i)")
+@query("j15_co_exclusion", "WITH p AS (SELECT DISTINCT c_mktsegment AS g, c_nationkey AS i, o_orderpriority || CAST(o_orderkey % 7 AS VARCHAR) AS w FROM customer JOIN orders ON c_custkey = o_custkey), n AS (SELECT DISTINCT g, i FROM p) SELECT a.g, a.i AS a, b.i AS b FROM n a JOIN n b ON a.g = b.g AND a.i < b.i WHERE NOT EXISTS (SELECT 1 FROM p x JOIN p y ON x.g = y.g AND x.w = y.w WHERE x.g = a.g AND x.i = a.i AND y.i = b.i)")
 def j15(t: Tables):
     p = t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey")).select(F.col("c_mktsegment").alias("g"), F.col("c_nationkey").alias("i"), F.concat("o_orderpriority", (F.col("o_orderkey") % 7).cast("string")).alias("w"))
     return B.co_exclusion(p, "g", "i", "w").select("g", "a", "b")
@@ -271,7 +271,19 @@ def w1(t: Tables):
     return H.best_hit(hits(t).withColumn("has_cat", F.col("p_brand") < "Brand#3")).select("q", "s", "line_no", "bits")
 
 
-@query("w1_best_hit_in_order")
+_ORDERED = f"""
+WITH RECURSIVE h AS (SELECT q, s, line_no, bits, pident, alen, evalue, p_brand < 'Brand#3' AS cat, row_number() OVER (PARTITION BY q ORDER BY line_no, s, bits, pident, alen, evalue) AS n FROM {_H}),
+x AS (SELECT q, n, s, line_no, bits, pident, evalue, pident AS top_id, alen AS top_len, cat AS found FROM h WHERE n = 1
+UNION ALL SELECT y.q, y.n, CASE WHEN take THEN y.s ELSE x.s END, CASE WHEN take THEN y.line_no ELSE x.line_no END, CASE WHEN take THEN y.bits ELSE x.bits END, CASE WHEN take THEN y.pident ELSE x.pident END, CASE WHEN take THEN y.evalue ELSE x.evalue END,
+CASE WHEN take THEN greatest(top_id, y.pident) ELSE top_id END, CASE WHEN take THEN greatest(top_len, y.alen) ELSE top_len END, CASE WHEN take THEN y.cat ELSE found END
+FROM x JOIN h y ON y.q = x.q AND y.n = x.n + 1, LATERAL (SELECT NOT (found AND NOT y.cat) AND (
+(x.pident - 5 < y.pident AND x.evalue * 10 > y.evalue AND y.pident >= 0.97::DOUBLE * x.pident AND y.pident >= 0.92::DOUBLE * top_id AND y.alen >= 1.15::DOUBLE * top_len)
+OR (y.pident >= 1.03::DOUBLE * top_id AND y.alen >= 0.9::DOUBLE * top_len) OR y.bits > x.bits OR (y.cat AND NOT found)) AS take))
+SELECT q, s, line_no, bits FROM x QUALIFY row_number() OVER (PARTITION BY q ORDER BY n DESC) = 1
+"""
+
+
+@query("w1_best_hit_in_order", _ORDERED)
 def w1_order(t: Tables):
     return H.best_hit_in_order(hits(t).withColumn("has_cat", F.col("p_brand") < "Brand#3")).select("q", "s", "line_no", "bits")
 
@@ -313,16 +325,13 @@ def a17(t: Tables):
 
 @query("a18_top_taxon", "WITH n AS (SELECT user_id AS mgs, event_type AS taxon, count(*) AS n FROM events GROUP BY 1, 2), t AS (SELECT mgs, max(n) AS n, arg_max(taxon, struct_pack(a := n, b := taxon)) AS taxon FROM n GROUP BY 1) SELECT mgs, taxon, n FROM t WHERE n > 5")
 def a18(t: Tables):
-    n = t.events.groupBy(F.col("user_id").alias("mgs"), F.col("event_type").alias("taxon")).agg(F.count("*").alias("n"))
-    return n.groupBy("mgs").agg(F.max_by("taxon", F.struct("n", "taxon")).alias("taxon"), F.max("n").alias("n")).filter("n > 5")
+    return rules.top_taxon(t.events.select(F.col("user_id").alias("mgs"), F.col("event_type").alias("taxon")), "mgs", "taxon")
 
 
 @query("a19_refinement", f"WITH n AS (SELECT source AS mgs, coalesce(lang, '?') AS name, count(*) AS n FROM documents GROUP BY 1, 2), k AS (SELECT mgs, sum(n) AS allv, sum(n) FILTER (WHERE name <> 'fr') AS known, max(n) FILTER (WHERE name <> 'fr') AS top, arg_max(name, struct_pack(a := n, b := name)) FILTER (WHERE name <> 'fr') AS best FROM n GROUP BY 1) SELECT mgs, CASE WHEN known * 1.0 / allv >= 0.7 AND top * 1.0 / known > 0.3 THEN best ELSE '?' END AS species FROM k")
 def a19(t: Tables):
-    n = t.documents.groupBy(F.col("source").alias("mgs"), F.coalesce("lang", F.lit("?")).alias("name")).agg(F.count("*").alias("n"))
-    known = F.when(F.col("name") != "fr", F.col("n"))
-    k = n.groupBy("mgs").agg(F.sum("n").alias("a"), F.sum(known).alias("k"), F.max(known).alias("t"), F.max_by("name", F.when(F.col("name") != "fr", F.struct("n", "name"))).alias("b"))
-    return k.select("mgs", F.when((F.col("k") / F.col("a") >= 0.7) & (F.col("t") / F.col("k") > 0.3), F.col("b")).otherwise("?").alias("species"))
+    votes = t.documents.select(F.col("source").alias("mgs"), F.coalesce("lang", F.lit("?")).alias("species"))
+    return rules.refine_taxon(votes, "mgs", "species", F.col("species") != "fr", top_share=0.3)
 
 
 @query("a15_purity", f"WITH v AS (SELECT source AS bin, lang AS l0, CAST(n_chars % 3 AS VARCHAR) AS l1 FROM documents), h AS (SELECT bin, count(*) AS hits FROM v GROUP BY 1), n AS (SELECT bin, 0 AS level, l0 AS name, count(*) AS n FROM v GROUP BY 1, 3 UNION ALL SELECT bin, 1, l1, count(*) FROM v WHERE l1 <> '2' GROUP BY 1, 3), p AS (SELECT bin, level, max(n) * 1.0 / sum(n) AS p, sum(n) AS s FROM n GROUP BY 1, 2) SELECT bin, {rq('sum((2 - level) * s / hits * p) / sum((2 - level) * s / hits)')} AS purity FROM p JOIN h USING (bin) GROUP BY 1")
@@ -333,7 +342,25 @@ def a15(t: Tables):
     return B.lineage_purity(v, 2).withColumn("purity", r(F.col("purity")))
 
 
-@query("a16_lca")
+def _lca_sql(levels: int = 7) -> str:
+    """The consensus level by level: who is left, and the name that enough of them have."""
+    tolerance = "CASE " + " ".join(f"WHEN best >= {at} THEN {x}" for at, x in lca.TOLERANCE) + " ELSE 1.5 END"
+    allowed = f"{len(lca.LEVEL_IDENTITY) + 1}" + "".join(f" - CAST(id < {x} AS INTEGER)" for x in lca.LEVEL_IDENTITY)
+    parts = [
+        "h AS (SELECT l_orderkey AS q, CASE WHEN l_extendedprice < 120 THEN 0.0 ELSE CAST(100 * (1 - l_discount) AS DOUBLE) END AS id, l_quantity AS alen, ['part', 'made', 'std', p_type, p_brand, l_returnflag, CAST(p_partkey AS VARCHAR)] AS lin FROM lineitem JOIN part ON l_partkey = p_partkey)",
+        "b AS (SELECT q, max(id) AS best, arg_max(alen, struct_pack(a := id, b := alen)) AS len FROM h GROUP BY 1)",
+        f"r0 AS (SELECT h.q, lin, {allowed} AS depth, count(*) OVER (PARTITION BY h.q) AS n FROM h JOIN b ON h.q = b.q WHERE id >= best - {tolerance} AND alen >= 0.85::DOUBLE * len)",
+    ]
+    for k in range(levels):
+        parts += [
+            f"w{k} AS (SELECT q, name, k FROM (SELECT q, lin[{k + 1}] AS name, count(*) AS k, max(n) AS n FROM r{k} WHERE depth > {k} GROUP BY 1, 2) WHERE k >= ceil(0.9::DOUBLE * n))",
+            f"r{k + 1} AS (SELECT r.q, lin, depth, w.k AS n FROM r{k} r JOIN w{k} w ON r.q = w.q AND depth > {k} AND lin[{k + 1}] = name)",
+        ]
+    names = " || ';' || ".join(f"coalesce(w{k}.name, '?')" for k in range(levels))
+    return f"WITH {', '.join(parts)} SELECT x.q, {names} AS lineage FROM (SELECT DISTINCT q FROM r0) x " + " ".join(f"LEFT JOIN w{k} ON w{k}.q = x.q" for k in range(levels))
+
+
+@query("a16_lca", _lca_sql())
 def a16(t: Tables):
     geo = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     h = geo.select(F.col("l_orderkey").alias("q"), (100 * (1 - F.col("l_discount"))).alias("pident"), F.col("l_quantity").alias("alen"), F.col("l_extendedprice").alias("bits"), F.lit(1e-20).alias("evalue"), F.array(F.lit("part"), F.lit("made"), F.lit("std"), "p_type", "p_brand", F.col("l_returnflag"), F.col("p_partkey").cast("string")).alias("lineage"))
@@ -342,7 +369,7 @@ def a16(t: Tables):
 
 @query("a27_marker_stats", "SELECT p_brand AS mgs, count(*) AS genes, count(DISTINCT p_type) AS markers, max(p_size) AS longest FROM part GROUP BY 1")
 def a27(t: Tables):
-    return t.part.groupBy(F.col("p_brand").alias("mgs")).agg(F.count("*").alias("genes"), F.countDistinct("p_type").alias("markers"), F.max("p_size").alias("longest"))
+    return rules.marker_stats(t.part.withColumnRenamed("p_brand", "mgs"), "mgs", "p_type", "p_size")
 
 
 _OCC = "(SELECT l_partkey AS gene, l_suppkey % 10 AS mgs, count(*) AS occ FROM lineitem GROUP BY 1, 2)"
@@ -409,15 +436,12 @@ def w6_fixed(t: Tables):
 
 @query("w9_priority_limit", "WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_size DESC, p_partkey) AS a FROM part) WHERE a = 1), k AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey) AS b FROM f) SELECT p_brand, p_type, p_partkey FROM k WHERE b <= 2")
 def w9(t: Tables):
-    a = Window.partitionBy("p_brand", "p_type").orderBy(F.desc("p_size"), "p_partkey")
-    b = Window.partitionBy("p_brand").orderBy(F.desc("p_size"), "p_partkey")
-    return t.part.withColumn("_a", F.row_number().over(a)).filter("_a = 1").withColumn("_b", F.row_number().over(b)).filter("_b <= 2").select("p_brand", "p_type", "p_partkey")
+    return rules.priority_limit(t.part, "p_brand", "p_type", [F.desc("p_size"), F.col("p_partkey")], 2).select("p_brand", "p_type", "p_partkey")
 
 
 @query("w10_artificial_ids", "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'uniq' || row_number() OVER (PARTITION BY c_nationkey, c_acctbal < 0 ORDER BY c_custkey) ELSE c_mktsegment END AS cog FROM customer")
 def w10(t: Tables):
-    w = Window.partitionBy("c_nationkey", F.col("c_acctbal") < 0).orderBy("c_custkey")
-    return t.customer.select("c_custkey", F.when(F.col("c_acctbal") < 0, F.concat(F.lit("uniq"), F.row_number().over(w).cast("string"))).otherwise(F.col("c_mktsegment")).alias("cog"))
+    return rules.artificial_ids(t.customer, ["c_nationkey"], ["c_custkey"], F.col("c_acctbal") < 0, F.col("c_mktsegment"), "cog").select("c_custkey", "cog")
 
 
 @query("w13_renumber", "SELECT p_partkey, p_brand || '__C' || row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) || '_L=' || p_size || '=' AS new_id FROM part")
@@ -458,7 +482,7 @@ def u5(t: Tables):
 def u6(t: Tables):
     a = t.lineitem.filter("l_returnflag = 'R'").groupBy(F.col("l_partkey").alias("k")).agg(F.avg("l_discount").alias("x"))
     b = t.lineitem.filter("l_returnflag = 'A'").groupBy(F.col("l_partkey").alias("k")).agg(F.avg("l_tax").alias("y"))
-    return a.join(b, "k", "full").filter((F.col("x").isNotNull() & F.col("y").isNotNull()) | (F.col("x") > 0.06)).select("k")
+    return rules.correlated_union(a, b, "k", "x", "y", 0.06)
 
 
 @query("u7_later_wins", "SELECT k, l_linenumber, l_suppkey FROM (SELECT l_partkey % 500 AS k, l_linenumber, l_suppkey, row_number() OVER (PARTITION BY l_partkey % 500 ORDER BY l_orderkey DESC, l_linenumber DESC) AS n FROM lineitem) WHERE n = 1")

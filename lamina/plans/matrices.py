@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import stats, taxa
-from ..operators import matrix
+from ..operators import matrix, rules
 from .registry import Tables, query
 from .views import BINS_SQL, abund, bins, r, rq
 
@@ -82,8 +82,7 @@ def a12(t: Tables):
 @query("a13_species_profile", f"WITH a AS ({ABUND}), n AS (SELECT p_brand AS species, count(*) AS n FROM part GROUP BY 1) SELECT species, sample, {rq('sum(value) / max(n)')} AS value FROM a JOIN part ON feature = p_partkey JOIN n ON species = p_brand GROUP BY 1, 2")
 def a13(t: Tables):
     m = t.part.select(F.col("p_partkey").alias("feature"), F.col("p_brand").alias("species"))
-    n = m.groupBy("species").agg(F.count("*").alias("n"))
-    return abund(t).join(m, "feature").join(n, "species").groupBy("species", "sample").agg(r(F.sum("value") / F.max("n")).alias("value"))
+    return rules.species_profile(abund(t), m).withColumn("value", r(F.col("value")))
 
 
 @query("a14_rank_profile", "WITH c AS (SELECT o_orderstatus AS sample, o_totalprice AS v, r_name, n_name, c_mktsegment AS s FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey), x AS (SELECT 0 AS level, r_name AS prefix, sample, v FROM c WHERE s <> 'MACHINERY' UNION ALL SELECT 1, r_name || ';' || n_name, sample, v FROM c WHERE s <> 'MACHINERY' UNION ALL SELECT 0, '?', sample, v FROM c WHERE s = 'MACHINERY') SELECT level, prefix, sample, round(sum(v), 0) AS value FROM x GROUP BY 1, 2, 3")
@@ -121,12 +120,8 @@ def a32(t: Tables):
 
 @query("a33_set_overlap", "WITH s AS (SELECT DISTINCT p_brand AS b, l_suppkey AS k FROM lineitem JOIN part ON l_partkey = p_partkey), n AS (SELECT b, count(*) AS n FROM s GROUP BY 1), i AS (SELECT x.b AS a, y.b AS b, count(*) AS inter FROM s x JOIN s y ON x.k = y.k AND x.b < y.b GROUP BY 1, 2) SELECT i.a, i.b, inter, p.n + q.n - inter AS uni FROM i JOIN n p ON p.b = i.a JOIN n q ON q.b = i.b")
 def a33(t: Tables):
-    s = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("b"), F.col("l_suppkey").alias("k")).distinct()
-    n = s.groupBy("b").agg(F.count("*").alias("n"))
-    x, y = s.select(F.col("b").alias("a"), "k"), s.select("b", "k")
-    inter = x.join(y, "k").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("inter"))
-    j = inter.join(n.select(F.col("b").alias("a"), F.col("n").alias("na")), "a").join(n, "b")
-    return j.select("a", "b", "inter", (F.col("na") + F.col("n") - F.col("inter")).alias("uni"))
+    s = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("b"), F.col("l_suppkey").alias("k"))
+    return rules.set_overlap(s, "b", "k")
 
 
 @query("a34_normalize_by_reads", f"WITH a AS ({ABUND}), d AS (SELECT l_suppkey AS sample, count(*) AS n FROM lineitem GROUP BY 1) SELECT feature, sample, {rq('value * 1000.0 / n')} AS value FROM a JOIN d USING (sample)")
@@ -148,7 +143,7 @@ def a39(t: Tables):
 @query("a40_samples_per_group", f"WITH n AS (SELECT p_brand AS mgs, l_suppkey AS s, count(DISTINCT l_partkey) AS g FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2) SELECT mgs, count(*) FILTER (WHERE g > 1) AS samples, {rq('quantile_cont(g, 0.5)')} AS q50, {rq('quantile_cont(g, 0.9)')} AS q90 FROM n GROUP BY 1")
 def a40(t: Tables):
     n = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("p_brand").alias("mgs"), F.col("l_suppkey").alias("s")).agg(F.countDistinct("l_partkey").alias("g"))
-    return n.groupBy("mgs").agg(F.count_if(F.col("g") > 1).alias("samples"), r(F.percentile("g", F.lit(0.5))).alias("q50"), r(F.percentile("g", F.lit(0.9))).alias("q90"))
+    return rules.samples_per_group(n, "mgs", "g", 1).withColumn("q50", r(F.col("q50"))).withColumn("q90", r(F.col("q90")))
 
 
 @query("k1_wide_matrix", "SELECT p_brand AS feature, " + ", ".join(f"coalesce(sum(l_quantity) FILTER (WHERE l_returnflag = '{f}'), 0.0) AS {f}" for f in ("A", "N")) + ", '-' AS R FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
@@ -167,7 +162,8 @@ def k3(t: Tables):
 
 @query("k11_run_statistics", f"SELECT l_suppkey AS sample, count(*) AS reads, sum(l_quantity) AS bases, {rq('avg(l_discount) * 100', 3)} AS rejected, count(DISTINCT l_orderkey) AS templates, max(l_shipdate) AS last_run FROM lineitem GROUP BY 1")
 def k11(t: Tables):
-    return t.lineitem.groupBy(F.col("l_suppkey").alias("sample")).agg(F.count("*").alias("reads"), F.sum("l_quantity").alias("bases"), r(F.avg("l_discount") * 100, 3).alias("rejected"), F.countDistinct("l_orderkey").alias("templates"), F.max("l_shipdate").alias("last_run"))
+    measures = {"reads": F.count("*"), "bases": F.sum("l_quantity"), "rejected": r(F.avg("l_discount") * 100, 3), "templates": F.countDistinct("l_orderkey"), "last_run": F.max("l_shipdate")}
+    return rules.run_statistics(t.lineitem, "l_suppkey", measures)
 
 
 @query("s8_matrix_scan", "SELECT p_brand AS feature, l_returnflag AS sample, sum(l_quantity) AS value FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2")

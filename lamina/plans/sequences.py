@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 from ..functions import seq as S
 from ..functions import stats, taxa
-from ..operators import correlate, graph, matrix, msa as M
+from ..operators import correlate, graph, matrix, msa as M, rules
 from ..operators import sequences as Q
 from ..operators import variants as V
 from ..sources import lines as L
@@ -36,7 +36,7 @@ def x2(t: Tables):
     return dna(t).select("id", F.md5(S.translate_codons(F.col("seq")).cast("binary")).alias("protein"))
 
 
-@query("x3_translate_gene")
+@query("x3_translate_gene", f"WITH a AS (SELECT id, i, seq, MAP {{{_CODE}}}[seq[3 * i + 1:3 * i + 3]] AS aa FROM (SELECT id, seq, unnest(CASE WHEN length(seq) >= 3 THEN range(0, length(seq) // 3) ELSE [NULL] END) AS i FROM {_D})), p AS (SELECT id, any_value(seq) AS seq, coalesce(string_agg(aa, '' ORDER BY i), '') AS raw FROM a GROUP BY 1), s AS (SELECT id, CASE WHEN id % 2 <> 0 AND seq[1:3] IN ('ATG', 'GTG', 'TTG') THEN 'M' || raw[2:] ELSE raw END AS s FROM p) SELECT id, md5(CASE WHEN id % 3 <> 0 THEN regexp_replace(s, '[*]$', '') ELSE s END) AS protein FROM s")
 def x3(t: Tables):
     return dna(t).select("id", F.md5(S.translate_gene(F.col("seq"), F.col("id") % 2 == 0, F.col("id") % 3 == 0).cast("binary")).alias("protein"))
 
@@ -139,7 +139,7 @@ def a21(t: Tables):
 def a22(t: Tables):
     d = dna(t).join(t.documents.select(F.col("doc_id").alias("id"), F.col("lang").alias("cluster_id")), "id")
     chosen = Q.member_choice(d.select("cluster_id", F.col("id").alias("member"), F.length("seq").alias("contig_len")))
-    own = S.kmers(d, "seq", 2).groupBy(F.col("id").alias("member"), "kmer").agg(F.count("*").alias("value"))
+    own = Q.kmer_counts(d, "id", "seq", 2).select(F.col("id").alias("member"), "kmer", F.col("n").alias("value"))
     return Q.cluster_kmers(chosen.select("cluster_id", "member"), own)
 
 
@@ -200,7 +200,7 @@ def a26(t: Tables):
     return V.caller_overlap(_sites(t))
 
 
-@query("j13_consensus_difference", f"WITH m AS {MSA_SQL} SELECT a.id AS contig, i AS pos, b.seq[i] AS ref, a.seq[i] AS alt FROM m a JOIN m b ON b.id = a.id + 1, (SELECT unnest(range(1, 200, 7)) AS i) WHERE a.seq[i] <> b.seq[i] AND a.seq[i] NOT IN ('N', '')")
+@query("j13_consensus_difference", f"WITH m AS {MSA_SQL} SELECT a.id AS contig, i AS pos, b.seq[i] AS ref, a.seq[i] AS alt FROM m a JOIN m b ON b.id = a.id + 1, (SELECT unnest(range(1, (SELECT max(length(seq)) FROM m) + 1)) AS i) WHERE a.seq[i] <> b.seq[i] AND a.seq[i] NOT IN ('N', '')")
 def j13(t: Tables):
     m = msa(t)
     ref = m.select((F.col("id") - 1).alias("contig"), "seq")
@@ -241,7 +241,10 @@ def f16(t: Tables):
     return M.concatenated_rows(t.documents.select(F.col("doc_id").alias("id"), F.col("n_chars").alias("n")), 0.3, 100)
 
 
-@query("f15_filter_cascade")
+_Q90 = "list_sort(list({x}))[CAST(floor((count(*) - 1) * 0.9::DOUBLE + 0.5) AS INTEGER) + 1]"
+
+
+@query("f15_filter_cascade", f"WITH one AS (SELECT lang AS gene, source AS id, max(length(seq)) AS len FROM (SELECT lang, source, seq, row_number() OVER (PARTITION BY lang, source ORDER BY seq DESC) AS n FROM (SELECT lang, source, {DNA_SQL} AS seq FROM documents)) WHERE n = 1 GROUP BY 1, 2), q AS (SELECT gene, {_Q90.format(x='len')} AS q FROM one GROUP BY 1), m AS (SELECT one.* FROM one JOIN q USING (gene) WHERE len >= q * 0.3::DOUBLE), n AS (SELECT gene, count(*) AS n FROM m GROUP BY 1), g AS (SELECT {_Q90.format(x='n')} AS q FROM n), m2 AS (SELECT * FROM m WHERE gene IN (SELECT gene FROM n, g WHERE n >= q * 0.5::DOUBLE AND n > 3)), s AS (SELECT id, sum(len) AS nt, count(*) AS g FROM m2 GROUP BY 1), z AS (SELECT {_Q90.format(x='nt')} AS qn, {_Q90.format(x='g')} AS qg FROM s) SELECT gene, id, len FROM m2 WHERE id IN (SELECT id FROM s, z WHERE (nt >= qn * 0.3::DOUBLE AND nt / 3 >= 10 AND g >= qg * 0.5::DOUBLE) OR id = 'src0')")
 def f15_cascade(t: Tables):
     d = dna(t).join(t.documents.select(F.col("doc_id").alias("id"), F.col("lang").alias("gene"), F.col("source").alias("sp")), "id")
     one = d.groupBy("gene", F.col("sp").alias("id")).agg(F.max("seq").alias("seq"))
@@ -262,7 +265,7 @@ def f25(t: Tables):
     return d.filter(Q.read_filter(F.col("seq"), F.col("qual"), min_len=100, min_avg=20, max_ambiguous=0, max_homopolymer=4)).select("id")
 
 
-@query("f25_window_trim")
+@query("f25_window_trim", f"WITH d AS {_D}, s AS (SELECT id, i, length(seq) AS n, CASE seq[i] WHEN 'C' THEN 20 WHEN 'T' THEN 10 ELSE 40 END AS q FROM (SELECT id, seq, unnest(range(1, length(seq) + 1)) AS i FROM d)), w AS (SELECT id, i, n, sum(q) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS t FROM s), k AS (SELECT id, min(i) - 1 AS k FROM w WHERE i <= n - 9 AND t < 240 GROUP BY 1) SELECT CAST(d.id AS VARCHAR) AS id, CAST(coalesce(k, length(seq)) AS INTEGER) AS kept FROM d LEFT JOIN k ON d.id = k.id")
 def f25_trim(t: Tables):
     d = dna(t).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("mate"), "seq", F.translate("seq", "ACGT", "I5I+").alias("qual"))
     return Q.window_trim(d, 10, 24).select("id", F.length("seq").alias("kept"))
@@ -353,7 +356,7 @@ def s15(t: Tables):
 def s16(t: Tables):
     m = t.part.select(F.substring("p_brand", 7, 9).cast("long").alias("cluster_id"), F.col("p_partkey").alias("member"))
     keep = t.lineitem.filter("l_returnflag = 'R' and l_quantity > 45").select(F.col("l_partkey").alias("member"))
-    return m.join(keep, "member", "left_semi").select("cluster_id", "member")
+    return rules.cluster_subset(m, keep).select("cluster_id", "member")
 
 
 @query("s17_cluster_blocks", "SELECT CAST(p_partkey // 10 AS BIGINT) AS cluster_id, 'g' || p_partkey AS member, p_size AS len, p_partkey % 10 = 0 AS is_seed FROM part")
@@ -367,7 +370,7 @@ def s17(t: Tables):
 
 @query("s18_gene_index", "SELECT p_brand AS smpl, count(*) AS genes, count(*) - count(DISTINCT p_name) AS doubles FROM part GROUP BY 1")
 def s18(t: Tables):
-    return t.part.groupBy(F.col("p_brand").alias("smpl")).agg(F.count("*").alias("genes"), (F.count("*") - F.countDistinct("p_name")).alias("doubles"))
+    return rules.gene_counts(t.part.withColumnRenamed("p_brand", "smpl"), ["smpl"], "p_name")
 
 
 @query("s19_bin_assignments", "SELECT 'c' || c_custkey AS contig, CAST(c_nationkey AS VARCHAR) AS bin FROM customer WHERE c_nationkey <> 0")
@@ -522,8 +525,9 @@ def m7(t: Tables):
 
 @query("m10_canopies")
 def m10(t: Tables):
-    p = _candidates(t).select(F.col("gene").alias("feature"), F.col("species").alias("group"), "profile")
-    return correlate.canopies(p, distance=0.4)
+    p = _candidates(t).select(F.col("gene").alias("feature"), "profile")
+    own = correlate.canopies(p)
+    return own.select("feature", "canopy", F.transform("profile", lambda x: r(x, 6)).alias("profile"))
 
 
 @query("m11_gene_clusters")

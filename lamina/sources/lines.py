@@ -9,9 +9,19 @@ from pyspark.sql.window import Window
 from ..schemas import UNKNOWN
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines of plain or gzip text (by suffix) with their file."""
-    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+def read_lines(spark: SparkSession, path: str | list[str], numbered: bool = False) -> DataFrame:
+    """Lines of plain or gzip text (by suffix) with their file, and with numbered their line_no from 0.
+
+    A line's number is its place within its byte range of the file plus the lines of the ranges
+    before it, which one count for each range gives: files stay split, and no line moves.
+    """
+    if not numbered:
+        return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_i"))
+    ranges = raw.groupBy("file", "_block").agg(F.min("_i").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_block")) - F.col("_n")
+    ranges = ranges.select(F.col("file").alias("_file"), F.col("_block").alias("_at"), (F.col("_first") - before).alias("_shift"))
+    return raw.join(ranges, (F.col("file") == F.col("_file")) & (F.col("_block") == F.col("_at"))).select("value", "file", (F.col("_i") - F.col("_shift")).alias("line_no"))
 
 
 def read_records(spark: SparkSession, path: str | list[str], sep: str) -> DataFrame:
@@ -45,6 +55,19 @@ def fastq(records: DataFrame) -> DataFrame:
     return records.filter(F.size(p) >= 4).select(F.regexp_replace(name, "/[12]$", "").alias("id"), F.when(name.rlike("/[12]$"), F.substring(name, -1, 1)).cast("int").alias("mate"), F.get(p, F.lit(1)).alias("seq"), F.get(p, F.lit(3)).alias("qual"))
 
 
+def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(id, mate, seq, qual, file) of FASTQ files: lines are grouped in fours by their number, as a quality line can start with any character."""
+    lines = read_lines(spark, path, numbered=True)
+    part = lambda k: F.max(F.when(F.col("line_no") % 4 == k, F.regexp_replace("value", "\r$", "")))
+    four = lines.groupBy("file", F.expr("line_no div 4").alias("_no")).agg(*[part(k).alias(f"_{k}") for k in range(4)]).filter("_0 is not null and _0 != ''")
+    joined = four.select("file", F.concat_ws("\n", *[F.coalesce(f"_{k}", F.lit("")) for k in range(4)]).alias("value"))
+    p = F.split("value", "\n")
+    name = F.regexp_extract(F.get(p, F.lit(0)), r"^@?(\S+)", 1)
+    broken = ~F.get(p, F.lit(0)).startswith("@") | (F.length(F.get(p, F.lit(1))) != F.length(F.get(p, F.lit(3))))
+    checked = F.when(broken, F.raise_error(F.concat(F.lit("not a record of four lines: "), F.get(p, F.lit(0))))).otherwise(F.get(p, F.lit(1)))
+    return joined.select(F.regexp_replace(name, "/[12]$", "").alias("id"), F.when(name.rlike("/[12]$"), F.substring(name, -1, 1)).cast("int").alias("mate"), checked.alias("seq"), F.get(p, F.lit(3)).alias("qual"), "file")
+
+
 def header_limit(name: Column, most: int = 255) -> Column:
     return F.when(F.length(name) >= most, F.substring(name, 1, most - 1)).otherwise(name)
 
@@ -110,7 +133,7 @@ def vcf(lines: DataFrame) -> DataFrame:
     """Sites with depth and allele counts from the sample's sub-fields (last one: depth; AD: counts)."""
     c = columns(lines).filter(F.size("f") >= 10)
     keys, vals = F.split(field(8), ":"), F.split(field(9), ":")
-    m = F.map_from_arrays(keys, F.slice(F.concat(vals, F.array_repeat(F.lit(""), 20)), F.lit(1), F.size(keys)))
+    m = F.map_from_arrays(keys, F.slice(F.concat(vals, F.array_repeat(F.lit(""), F.size(keys))), F.lit(1), F.size(keys)))
     counts = F.transform(F.split(F.coalesce(F.try_element_at(m, F.lit("AD")), F.lit("")), ","), lambda x: F.when(x.rlike("^[0-9]+$"), x).cast("long"))
     depth = F.regexp_extract(field(7), r"(?:^|;)DP=(\d+)", 1)
     return c.select(field(0).alias("chrom"), field(1, "long").alias("pos"), field(3).alias("ref"), F.split(field(4), ",").alias("alt"), F.when(field(5) != ".", field(5)).cast("double").alias("qual"), field(7).rlike("(^|;)INDEL").alias("is_indel"), F.when(depth != "", depth).cast("long").alias("depth"), counts.alias("alt_counts"))
@@ -129,7 +152,18 @@ def cluster_blocks(lines: DataFrame) -> DataFrame:
     """Members of '>Cluster n' blocks: (cluster_id, member, len, is_seed, identity); lines need line_no and file."""
     w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     no = F.regexp_extract("value", r"^>Cluster (\d+)", 1)
-    c = lines.withColumn("cluster_id", F.last(F.when(no != "", no), True).over(w).cast("long")).filter(~F.col("value").startswith(">"))
+    return _cluster_members(lines.withColumn("cluster_id", F.last(F.when(no != "", no), True).over(w).cast("long")).filter(~F.col("value").startswith(">")))
+
+
+def read_cluster_blocks(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The same from files: each block is a record of the text source, so that a large file is read in ranges and needs no order."""
+    records = read_records(spark, path, "\n>Cluster ")
+    lines = F.split(F.regexp_replace("value", "^>Cluster ", ""), "\r?\n")
+    c = records.select(F.trim(F.get(lines, F.lit(0))).cast("long").alias("cluster_id"), F.explode(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))).alias("value"))
+    return _cluster_members(c.filter("value != ''"))
+
+
+def _cluster_members(c: DataFrame) -> DataFrame:
     ident = F.regexp_extract("value", r"at (?:[+-]/)?([0-9.]+)%", 1)
     return c.select("cluster_id", F.regexp_extract("value", r">(.+?)\.\.\.", 1).alias("member"), F.regexp_extract("value", r"\t(\d+)(?:nt|aa),", 1).cast("int").alias("len"), F.col("value").endswith("*").alias("is_seed"), F.when(ident != "", ident).cast("double").alias("identity"))
 
@@ -234,6 +268,15 @@ def sample_sheet(lines: DataFrame, header: list[str]) -> DataFrame:
     return out.withColumn("seq", F.row_number().over(Window.partitionBy("file").orderBy("line_no")) - 1)
 
 
+def read_sample_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """The samples of a sheet file, whose header is its line that starts with #SmplID."""
+    lines = read_lines(spark, path, numbered=True).withColumn("value", F.regexp_replace("value", "\r$", ""))
+    head = lines.filter(F.col("value").startswith("#SmplID")).orderBy("line_no").first()  # one line
+    if head is None:
+        raise ValueError("a sample sheet needs the column #SmplID")
+    return sample_sheet(lines, head["value"].split("\t"))
+
+
 def sheet_faults(samples: DataFrame) -> DataFrame:
     """(smpl_id, fault) of ids that repeat or hold characters that aren't allowed."""
     twice = samples.groupBy("smpl_id").agg(F.count("*").alias("n")).filter("n > 1").select("smpl_id", F.lit("repeated").alias("fault"))
