@@ -2,38 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
+from ..shared import cut, running, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that spark.checkpoint.dir names; a folder of one machine wouldn't do, so without it this raises."""
-    sc = spark.sparkContext
-    told = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if told:
-        return told.rstrip("/")
-    have = sc._jsc.sc().getCheckpointDir()
-    if have.isDefined():
-        return have.get()
-    if sc.master.startswith("local[") or sc.master == "local":  # one machine is the whole cluster
-        return f"file://{tempfile.mkdtemp(prefix='checkpoints-')}"
-    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+__all__ = ["batch", "counted", "cut", "ddl", "keyed", "running", "shared_dir", "table", "utf8_binary"]
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared folder and cut its lineage."""
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def keyed(df: DataFrame, *names: str) -> DataFrame:
@@ -62,27 +41,3 @@ def counted(ids: DataFrame, most: int = FEW) -> DataFrame:
     """ids, materialised, and marked for broadcast only if a count shows that they are few."""
     ids = cut(ids)
     return F.broadcast(ids) if ids.count() <= most else ids
-
-
-def running(df: DataFrame, order: list[str], value: str | None = None, name: str = "pos") -> DataFrame:
-    """df, materialised, with the total of value (or the number of rows) that comes before each row in a total order.
-
-    Rows are sorted in ranges; the driver sees one total for each range, whose number is a
-    setting.  No rows meet in one task beyond their range.
-    """
-    spark = df.sparkSession
-    sorted_ = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
-    own = cut(sorted_.withColumn("_at", F.monotonically_increasing_id()))
-    part = F.shiftright("_at", 33)
-    totals = {r[0]: r[1] for r in own.groupBy(part).agg(F.count("*") if value is None else F.sum(value)).collect()}
-    start, before = [F.lit(-1).cast("long"), F.lit(0).cast("long")], 0
-    for k in sorted(totals):
-        start += [F.lit(k).cast("long"), F.lit(before).cast("long")]
-        before += totals[k] or 0
-    base = F.element_at(F.create_map(*start), part)
-    if value is None:
-        inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    else:
-        w = Window.partitionBy(part).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-        inside = F.coalesce(F.sum(value).over(w), F.lit(0))
-    return own.select(*df.columns, (base + inside).cast("long").alias(name))
