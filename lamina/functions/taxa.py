@@ -35,3 +35,19 @@ def prefixes(df: DataFrame, lineage: str) -> DataFrame:
     """A row for each level (0-based) with the lineage up to it."""
     out = df.select("*", F.posexplode(lineage).alias("level", "_name"))
     return out.withColumn("prefix", F.array_join(F.slice(F.col(lineage), F.lit(1), F.col("level") + 1), ";")).drop("_name")
+
+
+def ranked_taxonomy(text: Column, depth: int) -> Column:
+    """Levels of a text such as k__A; p__[B]; s__: prefixes, quotes and brackets go, empty and unidentified ranks are unknown."""
+    plain = lambda x: F.regexp_replace(F.regexp_replace(F.trim(F.replace(x, F.lit('"'), F.lit(""))), "^[kpcofgsd]__", ""), r"^\s*\[|\]\s*$", "")
+    return pad_lineage(F.transform(F.split(text, ";"), lambda x: F.when(plain(x) == "unidentified", F.lit(UNKNOWN)).otherwise(plain(x))), depth)
+
+
+#: Codes of kingdoms by the words of a taxonomy line; fixed values.
+KINGDOMS = {"bacteria": 0, "Archaea": 1, "Eukaryota": 2, "Fungi": 3}
+
+
+def kingdom_code(text: Column) -> Column:
+    """The code of the kingdom that a taxonomy line names; fungi only within eukaryotes, bacteria where none is named."""
+    fungi = F.when(F.contains(text, F.lit("Fungi")), KINGDOMS["Fungi"]).otherwise(KINGDOMS["Eukaryota"])
+    return F.when(F.contains(text, F.lit("Eukaryota")), fungi).when(F.contains(text, F.lit("Archaea")), KINGDOMS["Archaea"]).otherwise(KINGDOMS["bacteria"])

@@ -123,6 +123,16 @@ def numbered(df: DataFrame, order: list[str], name: str = "no", parts: int = 0)
     return running(df, order, None, name, parts)
 
 
+def sorted_by(df: DataFrame, *order: tuple[str, bool] | str) -> DataFrame:
+    """Rows in the order of columns, each ascending or (name, True) descending; Spark sorts in ranges and spills."""
+    return df.orderBy(*[F.desc(c[0]) if isinstance(c, tuple) and c[1] else F.asc(c[0] if isinstance(c, tuple) else c) for c in order])
+
+
+def grouped_order(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """Rows of a key together and in order within their partition, as a merge of sorted files would need."""
+    return df.repartition(key).sortWithinPartitions(key, *order)
+
+
 def cumulative_half(df: DataFrame, keys: list[str], value: str, share: float = 0.5, name: str = "n50") -> DataFrame:
     """The length at which the running total of descending lengths reaches share of all (N50 at one half).
 

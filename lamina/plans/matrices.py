@@ -223,6 +223,27 @@ def o2(t: Tables):
     return matrix.numbered(s, ["_v", "p_brand"], "place").select("p_brand", "v", (F.col("place") + 1).alias("place"))
 
 
+@query("o1_grouped_order", "SELECT l_orderkey, string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) AS numbers FROM lineitem GROUP BY 1")
+def o1(t: Tables):
+    rows = matrix.grouped_order(t.lineitem.select("l_orderkey", "l_linenumber"), "l_orderkey", "l_linenumber").withColumn("_at", F.monotonically_increasing_id())
+    own = F.array_sort(F.collect_list(F.struct("_at", "l_linenumber")))  # places as dealt tell the order
+    return rows.groupBy("l_orderkey").agg(F.array_join(F.transform(own, lambda x: x["l_linenumber"].cast("string")), ",").alias("numbers"))
+
+
+@query("o3_several_keys", "SELECT s_suppkey, row_number() OVER (ORDER BY n DESC, s_name DESC) AS place FROM supplier JOIN (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_suppkey = s_suppkey")
+def o3(t: Tables):
+    n = t.lineitem.groupBy("l_suppkey").agg(F.count("*").alias("n"))
+    rows = t.supplier.join(n, F.col("s_suppkey") == F.col("l_suppkey")).select("s_suppkey", "s_name", "n")
+    placed = matrix.sorted_by(rows, ("n", True), ("s_name", True)).withColumn("_at", F.monotonically_increasing_id())
+    return matrix.numbered(placed, ["_at"], "_no").select("s_suppkey", (F.col("_no") + 1).alias("place"))
+
+
+@query("o4_length_order", "SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS place FROM documents")
+def o4(t: Tables):
+    placed = matrix.sorted_by(t.documents.select("doc_id", "n_chars"), ("n_chars", True), "doc_id").withColumn("_at", F.monotonically_increasing_id())
+    return matrix.numbered(placed, ["_at"], "_no").select("doc_id", (F.col("_no") + 1).alias("place"))
+
+
 @query("o7_lowest_groups", "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n, l_suppkey LIMIT 5")
 def o7(t: Tables):
     return t.lineitem.groupBy("l_suppkey").agg(F.count("*").alias("n")).orderBy("n", "l_suppkey").limit(5)

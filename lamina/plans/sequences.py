@@ -346,6 +346,32 @@ def s11(t: Tables):
     return L.key_row(row, last=True).select("key", "joined", "width")
 
 
+@query("s10_key_column", "SELECT CAST(l_suppkey AS VARCHAR) AS key, max(l_linestatus) AS value FROM lineitem GROUP BY 1")
+def s10(t: Tables):
+    return L.key_value(lines(t.lineitem, F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_linestatus")), 2)
+
+
+@query("s12_rows_after_header", "SELECT CAST(p_partkey AS VARCHAR) AS key, p_brand || chr(9) || CAST(p_size AS VARCHAR) AS joined FROM part WHERE p_partkey > 3 AND p_brand <> 'Brand#11'")
+def s12(t: Tables):
+    value = F.concat_ws("\t", F.concat(F.when(F.col("p_brand") == "Brand#11", "#").otherwise(""), F.col("p_partkey")), "p_brand", "p_size")
+    rows = t.part.select(value.alias("value"), F.col("p_partkey").alias("line_no"))
+    c = L.columns(rows, skip=4)
+    return L.key_row(c.select("value")).select("key", "joined")
+
+
+@query("s23_ranked_lineages", "SELECT CAST(c_custkey AS VARCHAR) AS id, r_name || ';' || n_name || ';?' AS lineage FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+def s23(t: Tables):
+    geo = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    text = F.concat(F.lit("k__"), "r_name", F.lit('; p__["'), "n_name", F.lit('"]; s__'))
+    return L.ranked_lineages(lines(geo, F.col("c_custkey"), text), 3).select("id", F.array_join("lineage", ";").alias("lineage"))
+
+
+@query("s23_kingdoms", "SELECT CAST(p_partkey AS VARCHAR) AS id, CASE p_size % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 3 END AS kingdom FROM part")
+def s23_kingdoms(t: Tables):
+    names = F.element_at(F.array(*[F.lit(x) for x in ("cellular; Bacteria", "cellular; Archaea", "cellular; Eukaryota", "cellular; Eukaryota; Fungi")]), F.col("p_size") % 4 + 1)
+    return L.kingdoms(lines(t.part, F.col("p_partkey"), names))
+
+
 @query("s15_clusters", "SELECT CAST(substring(p_brand, 7) AS BIGINT) AS cluster_id, 'g' || p_partkey AS member FROM part")
 def s15(t: Tables):
     m = t.part.select(F.substring("p_brand", 7, 9).cast("long").alias("cluster_id"), F.concat(F.lit("g"), "p_partkey").alias("member"))

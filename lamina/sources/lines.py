@@ -197,6 +197,41 @@ def lineages(lines: DataFrame, depth: int) -> DataFrame:
     return columns(lines).select(field(0).alias("id"), pad_lineage(F.slice("f", 2, depth), depth).alias("lineage"))
 
 
+def ranked_lineages(lines: DataFrame, depth: int) -> DataFrame:
+    """(id, lineage) of lines id, tab, k__A; p__B; ...; a line without a tab is an error when it is read."""
+    from ..functions.taxa import ranked_taxonomy
+
+    c = columns(lines, comment=None).withColumn("f", F.when(F.size("f") >= 2, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("no taxonomy: "), F.col("value")))))
+    return c.select(field(0).alias("id"), ranked_taxonomy(field(1), depth).alias("lineage"))
+
+
+def header_lineages(headers: DataFrame, depth: int) -> DataFrame:
+    """(id, lineage) of sequence headers '>id A;B;C'."""
+    from ..functions.taxa import pad_lineage
+
+    h = F.regexp_replace("value", "^>", "")
+    rest = F.when(F.instr(h, " ") > 0, F.substring(h, F.instr(h, " ") + 1, F.length(h))).otherwise(F.lit(""))
+    return headers.filter(F.col("value").startswith(">")).select(F.substring_index(h, " ", 1).alias("id"), pad_lineage(F.split(rest, ";"), depth).alias("lineage"))
+
+
+def species_lineages(lines: DataFrame, ids: DataFrame, depth: int) -> DataFrame:
+    """(id, lineage) of lines species, a field that is left out, rank 1, ...; ids (species, id) has to know every species."""
+    from ..functions.taxa import pad_lineage
+
+    c = columns(lines).select(field(0).alias("species"), pad_lineage(F.slice("f", 3, depth), depth).alias("lineage"))
+    known = F.when(F.col("id").isNull(), F.raise_error(F.concat(F.lit("no id of "), F.col("species")))).otherwise(F.col("id"))
+    return c.join(ids, "species", "left").select(known.alias("id"), "lineage")
+
+
+def kingdoms(lines: DataFrame, numbered: bool = True) -> DataFrame:
+    """(id, kingdom code): of lines that start with a number and name a taxonomy, or of lines id, tab, name with euka for eukaryotes."""
+    from ..functions.taxa import KINGDOMS, kingdom_code
+
+    if numbered:
+        return lines.filter(F.col("value").rlike(r"^\d+\s")).select(F.regexp_extract("value", r"^(\d+)", 1).alias("id"), kingdom_code(F.col("value")).alias("kingdom"))
+    return columns(lines).select(field(0).alias("id"), F.when(field(1) == "euka", 1).otherwise(KINGDOMS["bacteria"]).alias("kingdom"))
+
+
 def yes_matrix(wide: DataFrame, key: str, sep: str = ",") -> DataFrame:
     """(key, property) of a matrix of YES marks."""
     cols = [c for c in wide.columns if c != key]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -82,3 +82,10 @@ def write_chunks(df: DataFrame, path: str, n: int | None = None, max_rows: int |
     """n files of about equal row counts, or files of at most max_rows."""
     w = (df.repartition(n) if n else df).write.mode("overwrite")
     (w.option("maxRecordsPerFile", max_rows) if max_rows else w).text(path)
+
+
+def write_split(df: DataFrame, test: Column, path: str, other: str) -> None:
+    """Text rows that pass the test to path, all others (null counts as not passed) to other; df is read twice."""
+    passed = F.coalesce(test, F.lit(False))
+    df.filter(passed).write.mode("overwrite").text(path)
+    df.filter(~passed).write.mode("overwrite").text(other)

@@ -13,6 +13,7 @@ from lamina.functions import stats
 from lamina.operators import bins, correlate, intervals, lca, msa, rules, sequences
 from lamina.shared import running
 from lamina.sources import lines as L
+from lamina.sources import writers as K
 
 
 @pytest.fixture
@@ -257,3 +258,36 @@ def test_rules(spark):
     a = spark.createDataFrame([("f", "x", 4.0), ("g", "x", 8.0)], "feature string, sample string, value double")
     m = spark.createDataFrame([("f", "S"), ("g", "S"), ("h", "S")], "feature string, species string")
     assert rules.species_profile(a, m).first().value == 4.0 and rules.species_profile(a, m, True).first().value == 6.0
+
+
+def test_taxonomy_readers(spark):
+    lines = lambda *x: spark.createDataFrame([(v,) for v in x], "value string")
+    got = L.ranked_lineages(lines('a\tk__B; p__[Firm]; c__unidentified; o__"X"; s__', "b\tk__;p__Q"), 5).collect()
+    assert {r.id: r.lineage for r in got} == {"a": ["B", "Firm", "?", "X", "?"], "b": ["?", "Q", "?", "?", "?"]}
+    with pytest.raises(Exception, match="no taxonomy"):
+        L.ranked_lineages(lines("only"), 3).collect()
+    assert [tuple(r) for r in L.header_lineages(lines(">AB.1.9 Bacteria;Firm;x y", "ACGT"), 4).collect()] == [("AB.1.9", ["Bacteria", "Firm", "x y", "?"])]
+    ids = spark.createDataFrame([("sp1", 7)], "species string, id int")
+    assert [tuple(r) for r in L.species_lineages(lines("sp1\tz\tA\tB"), ids, 3).collect()] == [(7, ["A", "B", "?"])]
+    with pytest.raises(Exception, match="no id of"):
+        L.species_lineages(lines("sp2\tz\tA"), ids, 3).collect()
+    assert {r.id: r.kingdom for r in L.kingdoms(lines("1 x Bacteria", "2 Archaea", "3 Eukaryota", "4 Eukaryota Fungi", "no")).collect()} == {"1": 0, "2": 1, "3": 2, "4": 3}
+    assert {r.id: r.kingdom for r in L.kingdoms(lines("hsa\teuka", "eco\tprok"), numbered=False).collect()} == {"hsa": 1, "eco": 0}
+
+
+def test_other_sinks(spark, tmp_path):
+    df = spark.createDataFrame([(f"k{i}", i % 5) for i in range(20)], "k string, v int")
+    read = lambda p, **o: spark.read.options(sep="\t", header="true", **o).csv(f"{tmp_path}/{p}").collect()
+    K.write_hash(df, "k", "v", f"{tmp_path}/h")
+    assert [r.v for r in read("h")][:4] == ["4"] * 4
+    K.write_table(df, f"{tmp_path}/z", gzip=True)
+    assert len(read("z")) == 20 and all(str(p).endswith(".gz") for p in (tmp_path / "z").glob("part-*"))
+    K.write_partitioned(df, ["v"], f"{tmp_path}/p")
+    assert sorted(p.name for p in (tmp_path / "p").glob("v=*")) == [f"v={i}" for i in range(5)]
+    text = df.select("k")
+    K.write_chunks(text, f"{tmp_path}/c", n=4)
+    assert len(list((tmp_path / "c").glob("part-*"))) == 4
+    K.write_chunks(text.coalesce(1), f"{tmp_path}/m", max_rows=6)
+    assert len(list((tmp_path / "m").glob("part-*"))) == 4
+    K.write_split(text, F.col("k") < "k15", f"{tmp_path}/one", f"{tmp_path}/two")
+    assert spark.read.text(f"{tmp_path}/one").count() + spark.read.text(f"{tmp_path}/two").count() == 20
