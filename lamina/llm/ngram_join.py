@@ -317,7 +317,9 @@ def by_size(placed: DataFrame) -> DataFrame:
 
 def verify_dense(members: DataFrame, docs: DataFrame, seed: int) -> DataFrame:
     """Links between the nodes (node, root, n, first_id) of each dense set, by pairs of blocks whose sizes can link; no pair is a row unless it links."""
-    m = members.withColumn("c", size_class(F.col("n")))
+    # A set that fits one block is one; a larger one is cut by sizes, so that sizes that can't link don't meet.
+    whole = members.groupBy("dense").agg(((F.count("*") <= DENSE_BLOCK) & (F.sum("n") <= DENSE_TOKENS)).alias("one"))
+    m = members.join(whole, "dense").withColumn("c", F.when(F.col("one"), F.lit(0).cast("long")).otherwise(size_class(F.col("n")))).drop("one")
     size = m.groupBy("dense", "c").agg(F.ceil(F.greatest(F.count("*") / DENSE_BLOCK, F.sum("n") / DENSE_TOKENS)).alias("blocks"))
     near = size.withColumn("d", F.explode(F.sequence(F.col("c") - REACH, F.col("c") + REACH)))
     near = near.join(size.select("dense", F.col("c").alias("d"), F.col("blocks").alias("others")), ["dense", "d"])
