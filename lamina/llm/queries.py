@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import _io, chat, decontaminate, mixing, ngram_join, quality, shards, substrings, tokens, urls, warc
+from . import _io, chat, decontaminate, html_text, infill, mixing, ngram_join, quality, repair, shards, substrings, tokens, urls, warc
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 TOKEN_LIMIT = 1024
@@ -65,4 +65,16 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_formatted(chat.format_conversations(rows))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_token_counts, op4_ngram_join, op5_url_filter, op6_shards, op7_mixing, op8_substrings, op9_warc, op10_chat)}
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_io.table(spark, sf_dir, "pages"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest_forms(infill.transform(_io.table(spark, sf_dir, "documents")))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(repair.damage(_io.table(spark, sf_dir, "conversations")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_token_counts, op4_ngram_join, op5_url_filter, op6_shards, op7_mixing, op8_substrings, op9_warc, op10_chat, op11_html_text, op12_fill_in_middle, op13_conversation_repair)}
