@@ -77,27 +77,70 @@ def tree_nodes(trees: DataFrame, key: str, text: str) -> DataFrame:
     return trees.select(key, text).mapInPandas(run, f"{key} {dict(trees.dtypes)[key]}, {_TREE}")
 
 
-def patristic(nodes: DataFrame, key: str, max_depth: int = 512) -> DataFrame:
-    """Distances along the tree between its leaves a < b: paths to the root, cut at the deepest common node."""
-    spark = nodes.sparkSession
-    nodes = nodes.select(key, "node", "parent", "name", "len")
-    nodes.createOrReplaceTempView("_lamina_tree")
-    depth = spark.sql(f"""
-        WITH RECURSIVE d(k, node, dist, level) AS (
-          SELECT {key}, node, CAST(0 AS DOUBLE), 0 FROM _lamina_tree WHERE parent IS NULL
-          UNION ALL SELECT d.k, t.node, d.dist + t.len, d.level + 1 FROM _lamina_tree t JOIN d ON t.{key} = d.k AND t.parent = d.node)
-        SELECT k AS {key}, node, dist FROM d""")
-    path = spark.sql(f"""
-        WITH RECURSIVE p(k, leaf, node) AS (
-          SELECT {key}, name, node FROM _lamina_tree WHERE name IS NOT NULL AND node NOT IN (SELECT parent FROM _lamina_tree x WHERE parent IS NOT NULL AND x.{key} = _lamina_tree.{key})
-          UNION ALL SELECT p.k, p.leaf, t.parent FROM _lamina_tree t JOIN p ON t.{key} = p.k AND t.node = p.node WHERE t.parent IS NOT NULL)
-        SELECT k AS {key}, leaf, node FROM p""")
-    up = path.join(depth, [key, "node"])
-    own = up.groupBy(key, "leaf").agg(F.max("dist").alias("full"))
-    x, y = up.select(key, "node", F.col("leaf").alias("a"), "dist"), up.select(key, "node", F.col("leaf").alias("b"))
-    meet = x.join(y, [key, "node"]).filter("a < b").groupBy(key, "a", "b").agg(F.max("dist").alias("meet"))
-    fa, fb = own.select(key, F.col("leaf").alias("a"), F.col("full").alias("fa")), own.select(key, F.col("leaf").alias("b"), F.col("full").alias("fb"))
-    return meet.join(fa, [key, "a"]).join(fb, [key, "b"]).select(key, "a", "b", (F.col("fa") + F.col("fb") - 2 * F.col("meet")).alias("dist"))
+_TOUR = "name string, rank int, dist double, turn double"
+
+
+def leaf_tour(nodes: DataFrame, key: str) -> DataFrame:
+    """Leaves of each tree in the order of an Euler tour: (key, name, rank, dist, turn).
+
+    dist is the distance from the root, and turn that of the node at which the tour turns
+    towards the next leaf, the deepest node above both (null at the last leaf).  A tree that
+    came as one text is one group; the tour is a walk without recursion.
+    """
+    kind = dict(nodes.dtypes)[key]
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        children: dict[int, list[int]] = {}
+        length, name, roots = {}, {}, []
+        for node, parent, called, long in zip(g["node"].tolist(), g["parent"].tolist(), g["name"].tolist(), g["len"].tolist(), strict=True):
+            length[node], name[node] = long or 0.0, called
+            if parent is None or parent != parent:
+                roots.append(node)
+            else:
+                children.setdefault(int(parent), []).append(node)
+        out: list[list] = []
+        todo = [(r, 0.0, None) for r in sorted(roots, reverse=True)]
+        while todo:
+            node, dist, turned = todo.pop()
+            if turned is not None and out and out[-1][3] is None:
+                out[-1][3] = turned
+            below = sorted(children.get(node, ()), reverse=True)
+            if not below:
+                if name[node] is not None:
+                    out.append([name[node], len(out), dist, None])
+                continue
+            todo += [(c, dist + length[c], dist) for c in below]
+        frame = pd.DataFrame(out, columns=["name", "rank", "dist", "turn"]).astype({"dist": float, "turn": float})
+        frame.insert(0, key, g[key].iloc[0])
+        return frame
+
+    return nodes.select(key, "node", "parent", "name", F.coalesce("len", F.lit(0.0)).alias("len")).groupBy(key).applyInPandas(run, f"`{key}` {kind}, {_TOUR}")
+
+
+def patristic(nodes: DataFrame, key: str) -> DataFrame:
+    """Distances along the tree between its leaves a < b.
+
+    The deepest common node of two leaves is the least of the tour's turns between them.  A
+    sparse table holds the least turn of 1, 2, 4, ... turns from each leaf on, by doubling, and
+    two of its entries cover what stands between any two leaves; so depth costs nothing.  Pairs
+    are made by ranks in blocks of both leaves, spread over tasks.
+    """
+    tour = cut(leaf_tour(nodes, key))
+    most = tour.agg(F.max("rank")).first()[0]
+    level = tour.filter("turn is not null").select(key, F.col("rank").alias("at"), F.lit(0).alias("k"), F.col("turn").alias("least"))
+    table, k = [level], 0
+    while most is not None and 2 << k <= most:
+        other = table[-1].select(key, (F.col("at") - (1 << k)).alias("at"), F.col("least").alias("_next"))
+        table.append(cut(table[-1].join(other, [key, "at"]).select(key, "at", F.lit(k + 1).alias("k"), F.least("least", "_next").alias("least"))))
+        k += 1
+    known = table[0]
+    for t in table[1:]:
+        known = known.unionByName(t)
+    a, b = tour.select(key, F.col("name").alias("_a"), F.col("rank").alias("i"), F.col("dist").alias("da")), tour.select(key, F.col("name").alias("_b"), F.col("rank").alias("j"), F.col("dist").alias("db"))
+    pairs = a.join(b, key).filter("i < j and _a != _b").withColumn("k", F.length(F.bin(F.col("j") - F.col("i"))) - 1).withColumn("_from", F.expr("j - shiftleft(1, k)"))
+    one, two = known.select(key, F.col("at").alias("i"), "k", F.col("least").alias("_l1")), known.select(key, F.col("at").alias("_from"), "k", F.col("least").alias("_l2"))
+    met = pairs.join(one, [key, "i", "k"]).join(two, [key, "_from", "k"])
+    return met.select(key, F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), (F.col("da") + F.col("db") - 2 * F.least("_l1", "_l2")).alias("dist"))
 
 
 def nearest(distances: DataFrame, n: int = 10, least: float = 0.01) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.seq import windows
+
 
 def site_call(ref: Column, alt: Column, depth: Column, freq: Column, qual: Column, min_depth: int = 1, min_qual: float = 20, least: float = 0.501) -> Column:
     """N under min_depth, the alternative above the least frequency at that quality, else the reference."""
@@ -21,13 +23,20 @@ def merge_calls(calls: DataFrame) -> DataFrame:
 def consensus(calls: DataFrame, contigs: DataFrame, block: int = 10_000) -> DataFrame:
     """The sequence of each contig block (contig, block, seq): called bases, n where there is no call.
 
-    A contig is made in blocks, so that no contig has to fit a task; joined in order they are its sequence.
+    A contig is made in blocks, so that no contig has to fit a task; joined in order they are its
+    sequence.  A block is written from its sorted calls and the gaps before them, so its time
+    grows with its length; of several calls at a position the largest base stands.
     """
     blocks = contigs.select("contig", "length", F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / block).cast("int"))).alias("block"))
-    own = calls.withColumn("block", F.floor((F.col("pos") - 1) / block).cast("int")).groupBy("contig", "block").agg(F.map_from_entries(F.collect_list(F.struct(F.col("pos").cast("int").alias("k"), F.col("base").alias("v")))).alias("m"))
-    first, last = F.col("block") * block + 1, F.least((F.col("block") + 1) * block, F.col("length")).cast("int")
-    bases = F.transform(F.sequence(first, last), lambda p: F.coalesce(F.element_at(F.coalesce("m", F.create_map().cast("map<int,string>")), p), F.lit("n")))
-    return blocks.join(own, ["contig", "block"], "left").select("contig", "block", F.array_join(bases, "").alias("seq"))
+    own = calls.withColumn("block", F.floor((F.col("pos") - 1) / block).cast("int")).groupBy("contig", "block").agg(F.array_sort(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), "base"))).alias("sites"))
+    first, last = F.col("block") * block, F.least((F.col("block") + 1) * block, F.col("length")).cast("int")
+    j = blocks.join(own, ["contig", "block"], "left").withColumn("sites", F.filter(F.coalesce("sites", F.array().cast("array<struct<pos:int,base:string>>")), lambda x: x["pos"] <= last))
+    before = lambda i: F.when(i == 0, first).otherwise(F.get("sites", i - 1)["pos"])
+    repeated = lambda x, i: F.coalesce(F.get("sites", i + 1)["pos"] == x["pos"], F.lit(False))
+    gap = lambda n: F.repeat(F.lit("n"), F.greatest(n, F.lit(0)).cast("int"))
+    pieces = F.transform("sites", lambda x, i: F.concat(gap(x["pos"] - before(i) - 1), F.when(repeated(x, i), F.lit("")).otherwise(F.coalesce(x["base"], F.lit("n")))))
+    end = gap(last - F.when(F.size("sites") > 0, F.element_at("sites", -1)["pos"]).otherwise(first))
+    return j.select("contig", "block", F.concat(F.array_join(pieces, ""), end).alias("seq"))
 
 
 def frequency_histogram(calls: DataFrame) -> DataFrame:
@@ -60,8 +69,19 @@ def conspecific_score(sites: DataFrame, bases: DataFrame) -> DataFrame:
     return low.join(bases, "gene").select("gene", (F.col("low") * F.col("conta") * 100 / F.col("bases")).alias("csp"))
 
 
-def consensus_differences(consensus_: DataFrame, reference: DataFrame, positions: DataFrame) -> DataFrame:
-    """Positions (contig, pos) at which two sequences differ, with both bases."""
-    b = positions.join(consensus_.withColumnRenamed("seq", "_c"), "contig").join(reference.withColumnRenamed("seq", "_r"), "contig")
-    out = b.select("contig", "pos", F.substring("_r", F.col("pos"), F.lit(1)).alias("ref"), F.substring("_c", F.col("pos"), F.lit(1)).alias("alt"))
-    return out.filter((F.col("ref") != F.col("alt")) & ~F.upper("alt").isin("N", ""))
+def consensus_differences(consensus_: DataFrame, reference: DataFrame, positions: DataFrame, block: int = 4096) -> DataFrame:
+    """Positions (contig, pos) at which two sequences differ, with both bases.
+
+    Both sequences are cut into blocks by one pass; equal blocks go as wholes, others give their
+    differing positions, which are then looked up in those asked for.
+    """
+    c = windows(consensus_.select("contig", "seq"), "seq", block).select("contig", "piece_no", F.col("piece").alias("_c"))
+    r = windows(reference.select("contig", "seq"), "seq", block).select("contig", "piece_no", F.col("piece").alias("_r"))
+    both = c.join(r, ["contig", "piece_no"], "left").withColumn("_r", F.coalesce("_r", F.lit(""))).filter("_c != _r")
+    sites = F.filter(F.zip_with(F.sequence(F.lit(1), F.length("_c")), F.arrays_zip(_letters("_c").alias("alt"), _letters("_r").alias("ref")), lambda i, x: F.struct(i.alias("i"), F.coalesce(x["ref"], F.lit("")).alias("ref"), x["alt"].alias("alt"))), lambda x: (x["ref"] != x["alt"]) & ~F.upper(x["alt"]).isin("N", ""))
+    found = both.select("contig", "piece_no", F.explode(sites).alias("x")).select("contig", (F.col("piece_no").cast("long") * block + F.col("x.i")).alias("pos"), "x.ref", "x.alt")
+    return found.join(positions.select("contig", F.col("pos").alias("_p")).withColumnRenamed("contig", "_k"), (F.col("contig") == F.col("_k")) & (F.col("pos") == F.col("_p"))).select("contig", F.col("_p").alias("pos"), "ref", "alt")
+
+
+def _letters(piece: str) -> Column:
+    return F.regexp_extract_all(piece, F.lit("(?s)(.)"), F.lit(1))
