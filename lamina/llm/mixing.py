@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _bytes as B
@@ -117,7 +117,7 @@ def _level(rows: DataFrame, seed: int, level: int, last: bool) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, seed: int = 1, group: int = GROUP, fan: int = FAN) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and taken (copies * size) of every row."""
+    """doc_id, no (of rows that are equal in doc_id, source and size), source, size, source_size, target, copies and taken (copies * size) of every row."""
     sizes = _io.cut(word_sizes(docs))
     # Rows that are equal in all that counts here are interchangeable: they are numbered, so that groups can tell them apart.
     again = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("_n"))
@@ -151,12 +151,42 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most:
         out = out.unionByName(d)
     copies = (F.col("whole") + F.col("part").cast("int")).cast("long")
     out = out.join(known, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
-    return out.select(F.when(~F.col("missing"), F.col("doc_id")).alias("doc_id"), "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select(F.when(~F.col("missing"), F.col("doc_id")).alias("doc_id"), "no", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def _words(text: Column) -> Column:
+    """The number of words, as word_sizes counts them: each becomes one letter, all else goes."""
+    marked = F.regexp_replace(text, r"[^\x20\x09-\x0D]+", "w")
+    return F.coalesce(F.length(F.regexp_replace(marked, r"[\x20\x09-\x0D]+", "")), F.lit(0)).cast("long")
 
 
 def take_copies(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, seed: int = 1) -> DataFrame:
-    """The rows of docs, with all their columns, each as often as the mix takes it; ids name documents, a row without an id stays once."""
-    mixed = mix_documents(docs, weights, most, seed).filter("doc_id is not null").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    other = _io.counted(mixed.filter("_copies != 1").withColumnRenamed("doc_id", "_of"))
-    out = docs.select(F.struct("*").alias("_row")).join(other, F.col("_row.doc_id") == F.col("_of"), "left").filter("_copies is null or _copies > 0")
+    """The rows of docs, with all their columns, each as often as the mix takes it.
+
+    Rows that share id (or lack one), source and size are numbered, in the order of a hash of
+    their text, as the mix numbers them, so that each row takes the copies of one place.
+    """
+    mixed = _io.cut(mix_documents(docs, weights, most, seed))
+    key = ["_id", "_source", "_size"]
+    named = {n: F.col(f"`{n}`") if n in docs.columns else F.lit(None) for n in ("doc_id", "source", "text")}
+    rows = docs.select(F.struct("*").alias("_row"), named["doc_id"].cast("long").alias("_id"), named["source"].cast("string").alias("_source"), named["text"].cast("string").alias("_text"))
+    rows = rows.select("_row", "_id", "_source", _words(F.col("_text")).alias("_size"), F.xxhash64("_text").alias("_hash"))
+    places = mixed.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("no").alias("_no"), F.col("copies").alias("_copies"))
+    again = _io.counted(places.filter("_no > 0").select(*key).distinct())
+
+    def same(other: DataFrame, on: list[str]) -> tuple[DataFrame, Column]:
+        other = other.select(*[F.col(k).alias(f"{k}2") if k in on else F.col(k) for k in other.columns])
+        test = F.lit(True)
+        for k in on:
+            test &= F.col(k).eqNullSafe(F.col(f"{k}2"))
+        return other, test
+
+    other, test = same(again, key)
+    single = rows.join(other, test, "left_anti").withColumn("_no", F.lit(0).cast("long")).drop("_hash")
+    # Equal rows are many keys of the range sort, by a draw that a repeated task repeats.
+    sorted_ = _io.running(rows.join(other, test, "left_semi").withColumn("_draw", F.rand(seed)), [*key, "_hash", "_draw"], None, "_pos")
+    first, test = same(_io.counted(sorted_.groupBy(*key).agg(F.min("_pos").alias("_first"))), key)
+    numbered = sorted_.join(first, test).withColumn("_no", F.col("_pos") - F.col("_first")).select("_row", *key, "_no")
+    changed, test = same(_io.counted(places.filter("_copies != 1")), [*key, "_no"])
+    out = single.unionByName(numbered).join(changed, test, "left").filter("_copies is null or _copies > 0")
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.coalesce("_copies", F.lit(1)).cast("int")))).select("_row.*")

@@ -49,3 +49,26 @@ def test_run_is_the_stages_in_turn(spark, folder):
     again = corpus_pipeline.run(spark, folder).collect()
     key = lambda r: (r.shard, r.slot, r.doc_id)
     assert sorted(map(key, rows)) == sorted(map(key, again))
+
+
+def test_mix_of_rows_without_or_with_repeated_ids(spark):
+    """Each source's words come near its target whatever ids its rows have, and each row takes the copies of its place."""
+    text = lambda i, n: " ".join(f"t{i}x{k}" for k in range(n))
+    rows = [(None, text(i, 20), "en", "a", i) for i in range(40)] + [(100 + i, text(i, 20), "en", "b", i) for i in range(40)]
+    rows += [(7, text(i % 5, 30), "en", "c", i) for i in range(30)] + [(None, None, None, None, None)] * 3 + [(8, "", "en", "c", 0)] * 2
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    places = mixing.mix_documents(docs).collect()
+    got = mixing.take_copies(docs)
+    assert got.columns == docs.columns
+    got = got.collect()
+    words, target = Counter(), {p.source: p.target for p in places}
+    for r in got:
+        words[r.source] += len((r.text or "").split())
+    for source in ("a", "b", "c"):
+        assert abs(words[source] - target[source]) <= 30, (source, words, target)
+    assert Counter((r.doc_id, r.source, len((r.text or "").split())) for r in got) == sum((Counter({(p.doc_id, p.source, p.size): p.copies}) for p in places), Counter())
+    most = Counter((r.doc_id, r.source, r.text, r.n_chars) for r in got)
+    assert max(most.values()) <= 3 * max(Counter(rows).values())
+    again = Counter((r.doc_id, r.source, r.text) for r in mixing.take_copies(docs).collect())
+    assert again == Counter((r.doc_id, r.source, r.text) for r in got)
+    assert mixing.take_copies(docs.limit(0)).collect() == []
