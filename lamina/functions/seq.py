@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,3 +121,67 @@ def heterozygous_code(one: Column, two: Column) -> Column:
 def prefix_header(header: Column, prefix: str, cut: str | None = None) -> Column:
     """prefix and the header, which ends where the pattern cut matches."""
     return F.concat(F.lit(prefix), F.regexp_replace(header, f"(?s)(?:{cut}).*$", "") if cut else header)
+
+
+def longest_shared(a: str, b: str) -> str:
+    """The longest substring that two texts share, of ties the first in a.
+
+    Texts that share one of a length share shorter ones, so its length is found by halving; at a
+    length, substrings meet by a hash of theirs, and hits are compared as text.
+    """
+    if not a or not b:
+        return ""
+    x, y = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) for t in (a, b))
+
+    def hashes(codes: np.ndarray, n: int) -> np.ndarray:
+        """Hashes of all substrings of n letters, by joining halves."""
+        out, width = (codes + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), 1
+        parts = []
+        left = n
+        while left:
+            if left & width:
+                parts.append((width, out))
+                left -= width
+            if left:
+                out = _joined(out[: len(out) - width], out[width:])
+                width *= 2
+        at, total = 0, None
+        for width, h in parts:
+            piece = h[at : at + len(codes) - n + 1]
+            total = piece if total is None else _joined(total, piece)
+            at += width
+        return total
+
+    def first(n: int) -> int:
+        """Where a's first substring of n letters that b has begins, or -1."""
+        if n > min(len(x), len(y)):
+            return -1
+        for i in np.flatnonzero(np.isin(hashes(x, n), hashes(y, n))):
+            if a[i : i + n] in b:
+                return int(i)
+        return -1
+
+    low, high, at = 0, min(len(a), len(b)), 0
+    while low < high:
+        middle = (low + high + 1) // 2
+        found = first(middle)
+        if found >= 0:
+            low, at = middle, found
+        else:
+            high = middle - 1
+    return a[at : at + low]
+
+
+def _joined(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    h = one * np.uint64(0xBF58476D1CE4E5B9) + two
+    return (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+
+
+def common_substring(a: Column, b: Column) -> Column:
+    """The longest substring that two texts share, of ties the first in a; null if either is."""
+
+    @F.pandas_udf("string")
+    def shared(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None or q is None else longest_shared(p, q) for p, q in zip(x, y, strict=True)], dtype=object)
+
+    return shared(a, b)

@@ -43,11 +43,17 @@ def run_lengths(df: DataFrame, keys: list[str], order: list[str], value: str) ->
 
 
 def depth_to_bed(depth: DataFrame) -> DataFrame:
-    """Per-base depths (chr, pos, depth), 1-based, as half-open runs, the last one included; a gap ends a run."""
-    w = Window.partitionBy("chr").orderBy("pos")
-    new = (F.lag("depth").over(w) == F.col("depth")) & (F.lag("pos").over(w) == F.col("pos") - 1)
-    marked = depth.withColumn("_r", F.sum(F.when(new, 0).otherwise(1)).over(w))
-    return marked.groupBy("chr", "_r").agg((F.min("pos") - 1).alias("start"), F.max("pos").alias("end"), F.first("depth").alias("value")).drop("_r")
+    """Per-base depths (chr, pos, depth), 1-based, as half-open runs, the last one included; a gap ends a run.
+
+    A position without its like before it begins a run, one without its like behind ends one;
+    the n-th beginning and the n-th end, both numbered over sorted ranges, are of one run, so
+    that a chromosome is no task's.  A position stands once in its chromosome.
+    """
+    own = depth.select("chr", F.col("pos").cast("long").alias("pos"), "depth").filter("chr is not null and pos is not null and depth is not null")
+    like = lambda shift: own.select("chr", (F.col("pos") + shift).alias("pos"), "depth")
+    begins = running(own.join(like(1), ["chr", "pos", "depth"], "left_anti"), ["chr", "pos"], None, "_r").select("_r", "chr", (F.col("pos") - 1).alias("start"), F.col("depth").alias("value"))
+    ends = running(own.join(like(-1), ["chr", "pos", "depth"], "left_anti").select("chr", "pos"), ["chr", "pos"], None, "_r").select("_r", F.col("pos").alias("end"))
+    return begins.join(ends, "_r").select("chr", "start", "end", "value")
 
 
 def forward_fill(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:

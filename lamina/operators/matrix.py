@@ -142,3 +142,22 @@ def cumulative_half(df: DataFrame, keys: list[str], value: str, share: float = 0
     w = Window.partitionBy(*keys).orderBy(F.desc(value))
     run = c.withColumn("_to", F.sum("_s").over(w)).withColumn("_all", F.sum("_s").over(Window.partitionBy(*keys)))
     return run.filter(F.col("_to") >= share * F.col("_all")).groupBy(*keys).agg(F.max(value).alias(name))
+
+
+def length_ladder(df: DataFrame, keys: list[str], value: str, total: str | None = None) -> DataFrame:
+    """(keys, x, nx, lx) for x from 1 to 100: the length and the number of sequences at which descending lengths reach x percent of all.
+
+    With total, a column that is constant within a key (an assumed genome size), x is of that, and
+    what the lengths don't reach has no row.  Lengths are counted first; each different
+    length gives the x that it reaches, so nothing is compared a hundred times.
+    """
+    size = F.first(total).alias("_size") if total else F.lit(None).cast("bigint").alias("_size")
+    c = df.filter(F.col(value) > 0).groupBy(*keys, value).agg(F.count("*").alias("_n"), size)
+    w = Window.partitionBy(*keys).orderBy(F.desc(value))
+    run = c.withColumn("_to", F.sum(F.col("_n") * F.col(value)).over(w)).withColumn("_count", F.sum("_n").over(w) - F.col("_n"))
+    run = run.withColumn("_all", F.coalesce("_size", F.sum(F.col("_n") * F.col(value)).over(Window.partitionBy(*keys))))
+    run = run.withColumn("_from", F.col("_to") - F.col("_n") * F.col(value))
+    low, high = F.expr("_from * 100 div _all + 1"), F.least(F.expr("_to * 100 div _all"), F.lit(100).cast("bigint"))
+    run = run.filter(low <= high).withColumn("x", F.explode(F.sequence(low, high)))
+    need = F.expr(f"(x * _all - _from * 100 + 100 * `{value}` - 1) div (100 * `{value}`)")
+    return run.select(*keys, F.col("x").cast("int").alias("x"), F.col(value).alias("nx"), (F.col("_count") + need).alias("lx"))

@@ -86,9 +86,16 @@ def parse_definition(text: str) -> Node | None:
 
 def canonical(node: Node) -> str:
     """Equal for trees that say the same up to the order of parts."""
-    if node[0] == LEAF:
-        return node[1]
-    return f"{node[0]}[" + " ".join(sorted(("" if need else "?") + canonical(n) for need, n in node[1])) + "]"
+    return _ordered(node)[0]
+
+
+def _ordered(node: Node) -> tuple[str, Node]:
+    """(canonical form, the tree with its parts in the form's order)."""
+    kind, rest = node
+    if kind == LEAF:
+        return rest, node
+    parts = sorted(((("" if need else "?") + form, (need, own)) for need, (form, own) in ((need, _ordered(n)) for need, n in rest)), key=lambda x: x[0])
+    return f"{kind}[" + " ".join(form for form, _ in parts) + "]", (kind, [part for _, part in parts])
 
 
 def _rows(node: Node) -> Iterator[tuple[int, int, int, str, str | None, bool, int]]:
@@ -116,7 +123,7 @@ def definition_nodes(definitions: DataFrame) -> DataFrame:
             for module, text in zip(p["module"], p["definition"], strict=True):
                 tree = parse_definition(text) if text else None
                 if tree is not None:
-                    form = canonical(tree)
+                    form, tree = _ordered(tree)  # so that equal forms number their nodes alike
                     out += [(module, form, *row) for row in _rows(tree)]
             yield pd.DataFrame(out, columns=["module", "form", "node", "parent", "level", "kind", "feature", "required", "needed"])
 

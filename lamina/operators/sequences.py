@@ -87,40 +87,118 @@ def _counted(row: np.ndarray, code: np.ndarray, rows: int, k: int) -> tuple[np.n
     return row[head], code[head], np.diff(np.append(head, len(row)))
 
 
-def kmer_counts(seqs: DataFrame, key: str, seq: str, k: int, slice_bytes: int = 1 << 20) -> DataFrame:
-    """(key, kmer, n): counts of each row's k-mers of pure ACGT, by a kernel over the bytes of about slice_bytes at once; k is up to 24."""
+def _reversed_codes(code: np.ndarray, k: int) -> np.ndarray:
+    """Codes of the reverse complements: A, C, G, T are 0 to 3, so a complement is 3 less the code."""
+    out = np.zeros_like(code)
+    for _ in range(k):
+        out = out * 4 + (3 - (code & 3))
+        code = code >> 2
+    return out
+
+
+def _kmer_names(code: np.ndarray, k: int) -> pa.Array:
+    letters = np.stack([np.frombuffer(b"ACGT", dtype=np.uint8)[(code >> (2 * (k - 1 - j))) & 3] for j in range(k)], axis=1)
+    return pa.Array.from_buffers(pa.string(), len(code), [None, pa.py_buffer((np.arange(len(code) + 1) * k).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(letters))])
+
+
+def _byte_slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Array, int, np.ndarray, np.ndarray]]:
+    """(names, first row, bytes, offsets) of slices of whole rows with about size bytes."""
+    for b in batches:
+        names, text = b.column(0), b.column(1).fill_null("")
+        offs = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+        raw = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)
+        at = 0
+        while at < len(text):
+            to = min(max(int(np.searchsorted(offs, offs[at] + size, side="right")) - 1, at + 1), len(text))
+            yield names, at, raw[offs[at] : offs[to]], offs[at : to + 1] - offs[at]
+            at = to
+
+
+def kmer_counts(seqs: DataFrame, key: str, seq: str, k: int, slice_bytes: int = 1 << 20, both_strands: bool = False) -> DataFrame:
+    """(key, kmer, n): counts of each row's k-mers of pure ACGT, by a kernel over the bytes of about slice_bytes at once; k is up to 24.
+
+    With both_strands each k-mer's reverse complement is counted, too.
+    """
     if not 0 < k <= 24:
         raise ValueError("k-mers of 1 to 24 bases are counted")
     kind = dict(seqs.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            names, text = b.column(0), b.column(1).fill_null("")
-            offs = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
-            raw = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)
-            at = 0
-            while at < len(text):
-                to = min(max(int(np.searchsorted(offs, offs[at] + slice_bytes, side="right")) - 1, at + 1), len(text))
-                row, code = _kmer_codes(raw[offs[at] : offs[to]], offs[at : to + 1] - offs[at], k)
-                row, code, n = _counted(row, code, to - at, k)
-                letters = np.stack([np.frombuffer(b"ACGT", dtype=np.uint8)[(code >> (2 * (k - 1 - j))) & 3] for j in range(k)], axis=1)
-                kmers = pa.Array.from_buffers(pa.string(), len(row), [None, pa.py_buffer((np.arange(len(row) + 1) * k).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(letters))])
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(row + at)), kmers, pa.array(n.astype(np.int64))], names=[key, "kmer", "n"])
-                at = to
+        for names, at, data, offs in _byte_slices(batches, slice_bytes):
+            row, code = _kmer_codes(data, offs, k)
+            if both_strands:
+                row, code = np.concatenate([row, row]), np.concatenate([code, _reversed_codes(code, k)])
+            row, code, n = _counted(row, code, len(offs) - 1, k)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(row + at)), _kmer_names(code, k), pa.array(n.astype(np.int64))], names=[key, "kmer", "n"])
 
     return seqs.select(key, seq).mapInArrow(run, f"`{key}` {kind}, kmer string, n long")
 
 
 def kmer_profile(seqs: DataFrame, k: int, min_len: int = 0) -> DataFrame:
     """(id, kmer, percent): k-mers of both strands as percent of all, rounded to five decimals of the share."""
-    rows = kmer_counts(seqs.filter(F.length("seq") >= min_len), "id", "seq", k)
-    strand = F.explode(F.array("kmer", S.reverse_complement(F.col("kmer"))))
-    # Counts come once for each sequence and k-mer; dealt by id, both sums need no further shuffle.
-    both = rows.select("id", strand.alias("kmer"), "n").repartition("id").groupBy("id", "kmer").agg(F.sum("n").alias("n"))
+    rows = kmer_counts(seqs.filter(F.length("seq") >= min_len), "id", "seq", k, both_strands=True)
+    # Counts come once for each row and k-mer; dealt by id, both sums need no further shuffle.
+    both = rows.repartition("id").groupBy("id", "kmer").agg(F.sum("n").alias("n"))
     total = F.sum("n").over(Window.partitionBy("id"))
     return both.select("id", "kmer", (F.floor(F.col("n") * 100000.0 / total + 0.5) / 1000.0).alias("percent"))
 
 
+def window_counts(data: np.ndarray, offs: np.ndarray, k: int, size: int, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, window, code, n) of the k-mers of both strands in windows of size letters, one every step letters.
+
+    A k-mer is added in the first window that holds it whole and taken away behind the last; the
+    running sum of these changes is a k-mer's count from window to window.
+    """
+    row, code = _kmer_codes(data, offs, k)
+    bad = np.concatenate([[0], np.cumsum(_CODE[data] == 4)])
+    at = np.arange(max(len(data) - k + 1, 0))
+    of = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    at = at[(of[at] == of[at + k - 1]) & (bad[at + k] == bad[at])] if len(at) else at
+    pos, length = at - offs[row], np.diff(offs)[row]
+    last = np.maximum(length - size, 0) // step  # the last whole window, or the only one of a short row
+    low, high = np.maximum(-((size - k - pos) // step), 0), np.minimum(pos // step, last)
+    low = np.where(length < size, 0, low)
+    high = np.where(length < size, 0, high)
+    inside = low <= high
+    row, code, low, high = row[inside], code[inside], low[inside], high[inside]
+    row, low, high, code = np.tile(row, 2), np.tile(low, 2), np.tile(high, 2), np.concatenate([code, _reversed_codes(code, k)])
+    r, c, w, d = np.tile(row, 2), np.tile(code, 2), np.concatenate([low, high + 1]), np.repeat([1, -1], len(row))
+    order = np.lexsort((w, c, r))
+    r, c, w, d = r[order], c[order], w[order], d[order]
+    total = np.cumsum(d)  # each k-mer of a row adds up to 0
+    follows = np.append(w[1:], 0) - w
+    follows = np.where((total > 0), follows, 0)
+    runs = np.flatnonzero(follows > 0)
+    times = follows[runs]
+    return np.repeat(r[runs], times), _spread(w[runs], times), np.repeat(c[runs], times), np.repeat(total[runs], times)
+
+
+def kmer_windows(seqs: DataFrame, k: int, size: int, step: int | None = None, slice_bytes: int = 1 << 18) -> DataFrame:
+    """(id, start, kmer, n, percent): k-mers of both strands in sliding windows; start is 0-based, a shorter row is one window.
+
+    Only whole windows count in a row of size letters or more.
+    """
+    step = step or size
+    if not (0 < k <= 24 and k <= size and step > 0):
+        raise ValueError("windows hold a k-mer of 1 to 24 bases and move on")
+    kind = dict(seqs.dtypes)["id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, at, data, offs in _byte_slices(batches, slice_bytes):
+            row, window, code, n = window_counts(data, offs, k, size, step)
+            order = np.lexsort((code, window, row))
+            row, window, code, n = row[order], window[order], code[order], n[order]
+            new = np.append(True, (row[1:] != row[:-1]) | (window[1:] != window[:-1])) if len(row) else np.zeros(0, bool)
+            group = np.cumsum(new) - 1
+            total = np.bincount(group, weights=n) if len(row) else np.zeros(0)
+            percent = np.floor(n * 100000.0 / total[group] + 0.5) / 1000.0 if len(row) else np.zeros(0)
+            for low in range(0, len(row), 1 << 16):
+                part = slice(low, low + (1 << 16))
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(row[part] + at)), pa.array(window[part] * step), _kmer_names(code[part], k), pa.array(n[part]), pa.array(percent[part])], names=["id", "start", "kmer", "n", "percent"])
+
+    return seqs.select("id", "seq").mapInArrow(run, f"id {kind}, start long, kmer string, n long, percent double")
+
+
 def member_choice(members: DataFrame) -> DataFrame:
     """Members (cluster_id, member, contig_len) that stand for their cluster: those on contigs above 10k if more than two, else above 5k, 2k, 1k, else any above 1k, else all."""
     limits = (10_000, 5_000, 2_000, 1_000)
@@ -142,7 +220,7 @@ def assembly_stats(seqs: DataFrame, key: str) -> DataFrame:
     """Count, total, extremes, mean, median, N50, counts above powers of ten, and base composition per key."""
     c = seqs.withColumn("_l", F.length("seq"))
     base = {b: F.sum(F.regexp_count("seq", F.lit(f"[{b}{b.lower()}]"))).alias(f"n_{b.lower()}") for b in "ACGTN"}
-    a = c.groupBy(key).agg(F.count("*").alias("n"), F.sum("_l").alias("total"), F.max("_l").alias("longest"), F.min("_l").alias("shortest"), F.avg("_l").alias("mean"), F.percentile("_l", F.lit(0.5)).alias("median"), *[F.count_if(F.col("_l") > x).alias(f"over_{x}") for x in (1_000, 10_000, 100_000)], *base.values())
+    a = c.groupBy(key).agg(F.count("*").alias("n"), F.sum("_l").alias("total"), F.max("_l").alias("longest"), F.min("_l").alias("shortest"), F.avg("_l").alias("mean"), F.percentile("_l", F.lit(0.5)).alias("median"), *[F.count_if(F.col("_l") > x).alias(f"over_{x}") for x in (1_000, 10_000, 100_000, 1_000_000, 10_000_000)], *base.values())
     return a.join(cumulative_half(c, [key], "_l"), key)
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import modules, pileup
+from ..functions import seq as S
+from ..operators import association, homology, matrix, modules, pileup
+from ..operators import sequences as Q
 from .registry import Tables, query
-from .views import r, rq
+from .views import DNA_SQL, dna, r, rq
 
 # Modules: a brand's parts by size make its steps, a step's parts of one type a complex of it, types that begin with PROMO are optional parts of the others' complex.
 _TEN = "SELECT l_partkey AS feature, l_suppkey % 10 AS sample, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2"
@@ -88,3 +90,78 @@ def c2_calls(t: Tables):
     counts = pileup.base_counts(_reads(t), 14).filter("depth > 0")
     reference = t.part.select(F.col("p_partkey").alias("contig"), F.repeat(F.lit("GATTACA"), F.lit(80)).alias("seq"))
     return pileup.pileup_calls(counts, reference).withColumn("freq", r(F.col("freq")))
+
+
+# Edit distances of whole texts are too slow in SQL for all pairs; tests hold this against them on small fixtures.
+@query("m11_identity_clusters")
+def m11_identity(t: Tables):
+    return homology.identity_clusters(dna(t))
+
+
+_TEXTS = f"(SELECT doc_id AS id, lang, source, {DNA_SQL} AS seq FROM documents)"
+
+
+@query(
+    "m9_co_exclusion",
+    f"""WITH o AS (SELECT DISTINCT l_suppkey AS f, l_partkey AS s FROM lineitem), t AS (SELECT count(DISTINCT s) AS n FROM o), k AS (SELECT f, count(*) AS n FROM o GROUP BY 1),
+p AS (SELECT x.f AS a, y.f AS b, x.n AS na, y.n AS nb FROM k x JOIN k y ON x.f < y.f), h AS (SELECT x.f AS a, y.f AS b, count(*) AS shared FROM o x JOIN o y ON x.s = y.s AND x.f < y.f GROUP BY 1, 2),
+j AS (SELECT a, b, na, nb, coalesce(shared, 0) AS shared, t.n AS n, na * 1.0 * nb / t.n AS mean FROM p LEFT JOIN h USING (a, b), t),
+q AS (SELECT a, b, na, nb, shared, sum(exp(lgamma(na + 1) - lgamma(i + 1) - lgamma(na - i + 1) + lgamma(n - na + 1) - lgamma(nb - i + 1) - lgamma(n - na - nb + i + 1) - lgamma(n + 1) + lgamma(nb + 1) + lgamma(n - nb + 1))) AS p FROM (SELECT *, unnest(range(greatest(0, na + nb - n), shared + 1)) AS i FROM j WHERE shared <= mean) GROUP BY 1, 2, 3, 4, 5)
+SELECT a, b, CAST(na AS INTEGER) AS na, CAST(nb AS INTEGER) AS nb, CAST(shared AS INTEGER) AS shared, {rq('p', 8)} AS p FROM q WHERE p <= 0.01""",
+)
+def m9(t: Tables):
+    own = t.lineitem.select(F.col("l_suppkey").alias("feature"), F.col("l_partkey").alias("sample"))
+    return association.co_exclusion_test(own, 0.01).withColumn("p", r(F.col("p"), 8))
+
+
+@query(
+    "m13_sample_distance",
+    f"""WITH k AS (SELECT sample, seq[i:i + 2] AS w FROM (SELECT coalesce(source, '?') AS sample, seq, unnest(range(1, length(seq) - 1)) AS i FROM {_TEXTS})),
+c AS (SELECT sample, w, count(*) AS n FROM (SELECT sample, w FROM k UNION ALL SELECT sample, reverse(translate(w, 'ACGT', 'TGCA')) FROM k) GROUP BY 1, 2),
+words AS (SELECT x || y || z AS w, x, y, z FROM (VALUES ('A'), ('C'), ('G'), ('T')) a(x), (VALUES ('A'), ('C'), ('G'), ('T')) b(y), (VALUES ('A'), ('C'), ('G'), ('T')) c(z)),
+f AS (SELECT sample, b, sum(n) * 1.0 / sum(sum(n)) OVER (PARTITION BY sample) AS p FROM (SELECT sample, unnest(string_split(w, '')) AS b, n FROM c) GROUP BY 1, 2),
+z AS (SELECT s.sample, words.w, coalesce(c.n, 0) - s.n * coalesce(fx.p, 0) * coalesce(fy.p, 0) * coalesce(fz.p, 0) AS v FROM (SELECT sample, sum(n) AS n FROM c GROUP BY 1) s CROSS JOIN words LEFT JOIN c ON c.sample = s.sample AND c.w = words.w LEFT JOIN f fx ON fx.sample = s.sample AND fx.b = x LEFT JOIN f fy ON fy.sample = s.sample AND fy.b = y LEFT JOIN f fz ON fz.sample = s.sample AND fz.b = z),
+g AS (SELECT a.sample AS a, b.sample AS b, sum(a.v * b.v / sqrt(a.v * a.v + b.v * b.v)) AS xy, sum(a.v * a.v / sqrt(a.v * a.v + b.v * b.v)) AS xx, sum(b.v * b.v / sqrt(a.v * a.v + b.v * b.v)) AS yy FROM z a JOIN z b ON a.w = b.w AND a.sample < b.sample WHERE a.v * a.v + b.v * b.v > 0 GROUP BY 1, 2)
+SELECT a, b, {rq('0.5 * (1 - xy / sqrt(xx * yy))', 6)} AS dist FROM g""",
+)
+def m13(t: Tables):
+    own = t.documents.select("doc_id", F.coalesce("source", F.lit("?")).alias("sample")).join(dna(t), F.col("doc_id") == F.col("id")).select("sample", "seq")
+    return association.sample_distances(own, 3).withColumn("dist", r(F.col("dist"), 6))
+
+
+# Newton's steps aren't expressed in SQL; tests hold the fit against a search.
+@query("m16_depth_model")
+def m16(t: Tables):
+    own = t.lineitem.select(F.col("l_suppkey").alias("contig"), F.col("l_quantity").cast("long").alias("depth"))
+    return association.depth_model(own, "contig")
+
+
+@query(
+    "a21_kmer_windows",
+    f"""WITH w AS (SELECT id, seq, 50 * unnest(range(0, greatest((length(seq) - 100) // 50, 0) + 1)) AS start FROM {_TEXTS}), k AS (SELECT id, start, s[i:i + 1] AS k FROM (SELECT id, start, seq[start + 1:start + 100] AS s, unnest(range(1, least(length(seq) - start, 100))) AS i FROM w)),
+n AS (SELECT id, start, kmer, count(*) AS n FROM (SELECT id, start, k AS kmer FROM k UNION ALL SELECT id, start, reverse(translate(k, 'ACGT', 'TGCA')) FROM k) GROUP BY 1, 2, 3)
+SELECT id, CAST(start AS BIGINT) AS start, kmer, n, floor(n * 100000.0 / sum(n) OVER (PARTITION BY id, start) + 0.5) / 1000 AS percent FROM n""",
+)
+def a21_windows(t: Tables):
+    return Q.kmer_windows(dna(t), 2, 100, 50)
+
+
+@query(
+    "a24_length_ladder",
+    f"""WITH c AS (SELECT lang, length(seq) AS l FROM {_TEXTS} WHERE length(seq) > 0), w AS (SELECT lang, l, sum(l) OVER (PARTITION BY lang ORDER BY l DESC ROWS UNBOUNDED PRECEDING) AS upto, row_number() OVER (PARTITION BY lang ORDER BY l DESC) AS k, sum(l) OVER (PARTITION BY lang) AS total FROM c)
+SELECT lang, CAST(x AS INTEGER) AS x, max(l) AS nx, min(k) AS lx FROM w, (SELECT unnest(range(1, 101)) AS x) WHERE upto * 100 >= x * total GROUP BY 1, 2""",
+)
+def a24_ladder(t: Tables):
+    d = dna(t).join(t.documents.select(F.col("doc_id").alias("id"), "lang"), "id").select("lang", F.length("seq").cast("long").alias("l"))
+    return matrix.length_ladder(d, ["lang"], "l")
+
+
+@query(
+    "x5_common_substring",
+    """WITH p AS (SELECT a.s_suppkey AS a, b.s_suppkey AS b, a.s_name AS x, b.s_name AS y FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey),
+s AS (SELECT a, b, y, i, x[i:j] AS t FROM (SELECT *, unnest(range(i, length(x) + 1)) AS j FROM (SELECT *, unnest(range(1, length(x) + 1)) AS i FROM p)))
+SELECT a, b, arg_max(t, {'n': length(t), 'i': -i}) AS shared FROM s WHERE contains(y, t) GROUP BY 1, 2""",
+)
+def x5_substring(t: Tables):
+    x, y = t.supplier.select("s_nationkey", F.col("s_suppkey").alias("a"), F.col("s_name").alias("na")), t.supplier.select("s_nationkey", F.col("s_suppkey").alias("b"), F.col("s_name").alias("nb"))
+    return x.join(y, "s_nationkey").filter("a < b").select("a", "b", S.common_substring(F.col("na"), F.col("nb")).alias("shared"))

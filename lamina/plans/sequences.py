@@ -486,11 +486,11 @@ def w14(t: Tables):
     return graph.nearest(_dist(t)).withColumn("dist", r(F.col("dist"), 2))
 
 
-@query("w15_outgroup", f"WITH d AS (SELECT a, b, dist FROM {_DIST} UNION ALL SELECT b, a, dist FROM {_DIST}), c AS (SELECT DISTINCT l_suppkey AS id, l_partkey % 50 AS cog FROM lineitem WHERE l_discount > 0.08), n AS (SELECT a, b, dist, count(*) AS shared FROM d JOIN c x ON x.id = a JOIN c y ON y.id = b AND x.cog = y.cog GROUP BY 1, 2, 3 HAVING count(*) >= 10) SELECT a, b, {rq('dist', 2)} AS dist, shared FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY dist, b) AS k FROM n) WHERE k = 1")
+@query("w15_outgroup", f"WITH d AS (SELECT a, b, dist FROM {_DIST} UNION ALL SELECT b, a, dist FROM {_DIST}), c AS (SELECT DISTINCT l_suppkey AS id, l_partkey % 50 AS cog FROM lineitem), n AS (SELECT a, b, dist, count(*) AS shared FROM d JOIN c x ON x.id = a JOIN c y ON y.id = b AND x.cog = y.cog GROUP BY 1, 2, 3 HAVING count(*) >= 10) SELECT a, b, {rq('dist', 2)} AS dist, shared FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY dist, b) AS k FROM n) WHERE k = 1")
 def w15(t: Tables):
     d = _dist(t)
     both = d.unionByName(d.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist"))
-    c = t.lineitem.filter("l_discount > 0.08").select(F.col("l_suppkey").alias("id"), (F.col("l_partkey") % 50).alias("cog"))
+    c = t.lineitem.select(F.col("l_suppkey").alias("id"), (F.col("l_partkey") % 50).alias("cog"))
     return graph.outgroup(both, c).withColumn("dist", r(F.col("dist"), 2))
 
 
