@@ -107,12 +107,16 @@ def shard_documents(docs: DataFrame, shards: int = 24, bits: int = 5, keep: list
     d = _io.keyed(docs, *dict.fromkeys(["doc_id", "text", "lang", "source", *(keep or [])]))
     bytes_ = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     kept = [c for c in (keep or []) if c not in ("doc_id", "lang", "source")]
-    narrow = d.select("doc_id", "lang", "source", *kept, (F.octet_length(bytes_).cast("long") + 8).alias("_size"), F.crc32(bytes_).alias("_crc"))
+    narrow = d.select("doc_id", "lang", "source", *kept, (F.octet_length(bytes_).cast("long") + 8).alias("_size"), F.crc32(bytes_).alias("_crc"), F.xxhash64(bytes_).alias("_hash"))
     if not keep:
         narrow = _io.cut(narrow)
     of = docs if keep else narrow
     for column in ("source", "lang"):
         narrow = with_rank(narrow, _io.keyed(of, column), column, bits, f"_{column}_step")
     dims = {"source": F.col("_source_step"), "lang": F.col("_lang_step"), "size": size_step("_size", bits)}
+    placed = hilbert_order(narrow, dims, bits).drop("_source_step", "_lang_step")
+    group = ["_hash", "_crc", "_size"]
+    groups = _io.counted(placed.select("h", *group).groupBy(*group).agg(F.min("h").alias("_least"), F.count("*").alias("_n")).filter("_n > 1").drop("_n"))
+    placed = placed.join(groups, group, "left").withColumn("h", F.coalesce("_least", "h")).drop("_least")
     # Rows that are equal in all of the order's columns are interchangeable.
-    return cut_runs(hilbert_order(narrow, dims, bits).drop("_source_step", "_lang_step"), ["h", "_crc", "doc_id"], shards)
+    return cut_runs(placed, ["h", "_hash", "_crc", "doc_id"], shards).drop("_hash")
