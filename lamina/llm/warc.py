@@ -6,8 +6,9 @@ response; the others become revisit records, which have no block and refer to it
 own text sink writes the files, so any file system that Spark knows will do; the record end
 (two CRLF) is its line separator.
 
-Reading: Spark's text source cuts files at the magic, so that a large file is read by many
-tasks, each its own byte ranges, and a gzip file (of one member or one for each record) as a
+Reading: records of any version and type are read (the others' payload is their block, a
+request's what follows its HTTP header; a revisit's is what it tells).  Spark's text source cuts
+files at the magic, so that a large file is read by many tasks, each its own byte ranges, and a gzip file (of one member or one for each record) as a
 stream; no file is ever held whole.  What follows a magic is a candidate record and names its
 successor, which is where its declared length ends.  A magic inside a payload is a candidate
 as well, and may even carry a well-formed record.  Only what pointer jumping from the start of
@@ -16,7 +17,8 @@ joined and doubled until no more are reached, and every range marks what its ent
 The chain has to end where the file ends.  A record whose payload holds the magic is put
 together from the pieces that lie within it.
 
-Cases: null html is an empty payload; a null url leaves out the target header, and control
+Cases: record ids that aren't of pages give a null page_id and are told as record_id; a digest in
+base 32 is told in hex; header lines may be folded; null html is an empty payload; a null url leaves out the target header, and control
 characters in a url are percent-encoded; a null page_id is a response without an id; repeated
 rows with equal payloads and ids are all the response; no pages give no records; a file that
 doesn't start with a record, or whose last one is cut, raises; further columns are ignored.
@@ -24,6 +26,8 @@ doesn't start with a record, or whose last one is cut, raises; further columns a
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import re
 import uuid
@@ -39,7 +43,7 @@ from pyspark.sql.window import Window
 from . import _io
 
 MIN_REVISIT, FILE_BYTES = 1_000, 8 << 20
-MAGIC, END = b"WARC/1.1\r\n", b"\r\n\r\n"
+MAGIC, VERSION, END = b"WARC/", b"1.1", b"\r\n\r\n"
 _DATE = "2024-01-01T00:00:00Z"
 
 
@@ -74,7 +78,7 @@ def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, le
     is_again = F.col("refers_to").isNotNull()
     block = F.when(is_again, F.lit("")).otherwise(F.concat(http, F.col("html")))
     record = F.concat(
-        F.lit(MAGIC.decode()), line("WARC-Type", F.when(is_again, F.lit("revisit")).otherwise(F.lit("response"))), line("WARC-Record-ID", name), line("WARC-Date", F.lit(_DATE)), line("WARC-Target-URI", uri),
+        F.lit((MAGIC + VERSION).decode() + crlf), line("WARC-Type", F.when(is_again, F.lit("revisit")).otherwise(F.lit("response"))), line("WARC-Record-ID", name), line("WARC-Date", F.lit(_DATE)), line("WARC-Target-URI", uri),
         line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))), line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))), line("WARC-Payload-Length", F.col("payload_bytes").cast("string")),
         line("WARC-Profile", F.when(is_again, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))), line("Content-Type", F.when(is_again, F.lit("message/http")).otherwise(F.lit("application/http;msgtype=response"))),
         line("Content-Length", F.octet_length(block).cast("string")), F.lit(crlf), block,
@@ -84,43 +88,74 @@ def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, le
 
 
 _ID = re.compile(rb"<urn:page:(-?\d+)>")
-_SPOTS = pa.schema([("file", pa.string()), ("block", pa.int64()), ("at", pa.int64()), ("successor", pa.int64()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
+_SPOTS = pa.schema([("file", pa.string()), ("block", pa.int64()), ("at", pa.int64()), ("successor", pa.int64()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("record_id", pa.string()), ("refers_to_id", pa.string()), ("target_uri", pa.string())])
 _PIECES = pa.schema([("file", pa.string()), ("block", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
 _DIGESTS = pa.schema([("file", pa.string()), ("at", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
 BIN = 1 << 20
 
 
-def candidate(segment: bytes) -> tuple | None:
-    """(length with the record end, page_id, payload_bytes, payload_digest, record_type, refers_to) of the record that starts with a magic and segment; the digest is null if it goes on behind segment."""
+_VERSION = re.compile(rb"\d+\.\d+[ \t]*$")
+
+
+def header(segment: bytes) -> tuple[dict[bytes, bytes], int] | None:
+    """(named fields, where the block begins) of the record whose magic segment follows, or None; of a repeated field the first counts."""
     stop = segment.find(END)
     if stop < 0:
         return None
+    version, *lines = segment[:stop].split(b"\r\n")
+    if not _VERSION.match(version):
+        return None
     head: dict[bytes, bytes] = {}
-    for text in segment[:stop].split(b"\r\n"):
-        key, colon, value = text.partition(b": ")
-        if colon:
-            head.setdefault(key.lower(), value)
-    size = head.get(b"content-length", b"")
-    if not size.isdigit():
+    last = b""
+    for text in lines:
+        if text[:1] in (b" ", b"\t") and last:
+            head[last] += b" " + text.strip()
+            continue
+        key, colon, value = text.partition(b":")
+        last = b""
+        if colon and (key := key.strip().lower()) not in head:
+            head[last := key] = value.strip()
+    return head, stop + len(END)
+
+
+def _hex_digest(told: bytes) -> str:
+    """A told digest without its algorithm; SHA-1 in base 32 becomes hex."""
+    text = told.rpartition(b":")[2].decode("ascii", "replace")
+    if len(text) == 32:
+        try:
+            return base64.b32decode(text.upper()).hex()
+        except binascii.Error:
+            pass
+    return text
+
+
+def candidate(segment: bytes) -> tuple | None:
+    """(length with the record end, page_id, payload_bytes, payload_digest, record_type, refers_to, record_id, refers_to_id, target_uri) of the record that starts with a magic and segment; the digest is null if it goes on behind segment."""
+    read = header(segment)
+    if read is None or not read[0].get(b"content-length", b"").isdigit():
         return None
-    begin = stop + len(END)
-    end = begin + int(size)
+    head, begin = read
+    end = begin + int(head[b"content-length"])
     if end <= len(segment) and segment[end : end + len(END)] != END:
         return None
-    kind, name, refers = head.get(b"warc-type", b""), _ID.search(head.get(b"warc-record-id", b"")), _ID.search(head.get(b"warc-refers-to", b""))
-    if kind != b"response":
-        told = head.get(b"warc-payload-length", b"0")
-        length, digest = int(told) if told.isdigit() else 0, head.get(b"warc-payload-digest", b"").removeprefix(b"sha1:").decode("ascii", "replace")
+    kind, ids = head.get(b"warc-type", b"").lower(), [head.get(k) for k in (b"warc-record-id", b"warc-refers-to")]
+    name, refers = (_ID.search(x or b"") for x in ids)
+    if kind == b"revisit":
+        told = head.get(b"warc-payload-length", b"")
+        length, digest = int(told) if told.isdigit() else None, _hex_digest(head.get(b"warc-payload-digest", b""))
     elif end <= len(segment):
-        body = _body(segment, begin, end)
+        body = _body(kind, segment, begin, end)
         length, digest = end - body, hashlib.sha1(memoryview(segment)[body:end]).hexdigest()
     else:
         length, digest = None, None
-    return end + len(END), int(name[1]) if name else None, length, digest, kind.decode("ascii", "replace"), int(refers[1]) if refers else None
+    said = lambda x: None if x is None else x.decode("utf-8", "replace")
+    return end + len(END), int(name[1]) if name else None, length, digest, said(kind), int(refers[1]) if refers else None, *(x and x.strip("<>") for x in map(said, ids)), said(head.get(b"warc-target-uri"))
 
 
-def _body(block: bytes, begin: int, end: int) -> int:
-    """Where the payload of an HTTP response starts."""
+def _body(kind: bytes, block: bytes, begin: int, end: int) -> int:
+    """Where the payload starts: in HTTP messages behind their header."""
+    if kind not in (b"response", b"request"):
+        return begin
     at = block.find(END, begin, end)
     return end if at < 0 else at + len(END)
 
@@ -193,15 +228,15 @@ def _in_batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 4096) -> I
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type and refers_to of every record."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to, record_id, refers_to_id and target_uri of every record."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for file, block, at, segment in _placed(batches):
                 if segment is None:
-                    yield file, block, -1, at, None, None, None, None, None
+                    yield file, block, -1, at, *[None] * 8
                 elif (found := candidate(segment)) is None:
-                    yield file, block, at, None, None, None, None, None, None
+                    yield file, block, at, None, *[None] * 8
                 else:
                     yield file, block, at, at + len(MAGIC) + found[0], *found[1:]
 
@@ -251,7 +286,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         more = _assembled(text, base, parted).withColumnRenamed("payload_bytes", "_b").withColumnRenamed("payload_digest", "_d")
         rest = records.filter("payload_digest is null").join(more, ["file", "at"]).withColumn("payload_bytes", F.col("_b")).withColumn("payload_digest", F.col("_d"))
         whole = whole.unionByName(rest.select(*whole.columns))
-    return whole.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return whole.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "refers_to_id", "target_uri")
 
 
 def _assembled(text: DataFrame, base: DataFrame, records: DataFrame) -> DataFrame:
@@ -274,9 +309,9 @@ def _assembled(text: DataFrame, base: DataFrame, records: DataFrame) -> DataFram
                         if key is not None:
                             yield *key, size, sha.hexdigest()
                         key, size, sha = of, 0, hashlib.sha1()
-                        begin = part.find(END) + len(END)
-                        length = next(int(v) for k, _, v in (x.partition(b": ") for x in part[: begin - len(END)].split(b"\r\n")) if k.lower() == b"content-length")
-                        body = _body(part, begin, len(part))
+                        head, begin = header(part)
+                        length = int(head[b"content-length"])
+                        body = _body(head.get(b"warc-type", b"").lower(), part, begin, len(part))
                         left, part = length - (body - begin), part[body:]
                     else:
                         part = MAGIC + part
@@ -296,7 +331,7 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = f"{_io.shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(pages, path)
-    out = _io.cut(read_archives(spark, path))
+    out = _io.cut(read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
     return out
