@@ -203,7 +203,7 @@ def test_url_rules_and_aliases(spark):
         (11, "http://mid.net/a", page.format("http://x.com/de/9")), (12, "http://end.net/z", page.format("http://mid.net/a")), (13, "http://ok.net/a", page.format("http://y.org/b")), (14, "http://w.com/de/3", page.format("http://ok.net/a")),
     ]
     got = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(data, "page_id long, url string, html string"), rules).collect()}
-    assert {k: r.verdict for k, r in got.items()} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow", 7: "allow", 8: "allow", 9: "allow", 10: "allow", 11: "block", 12: "block", 13: "allow", 14: "block"}
+    assert {k: r.verdict for k, r in got.items()} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow", 7: "allow", 8: "block", 9: "allow", 10: "allow", 11: "block", 12: "block", 13: "allow", 14: "block"}
     assert (got[1].host, got[1].path, got[1].rule) == ("a.example.org", "/es/x", "example.org/es/") and got[2].rule == "example.org/en/1" and got[4].rule is None
     assert (got[8].host, got[8].path, got[10].rule) == ("", "", None)
     assert urls.judge_urls(spark.createDataFrame([], "page_id long, url string, html string"), rules).count() == 0
