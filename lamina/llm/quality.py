@@ -236,7 +236,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, reject_goo
     marked = _io.keyed(labels, "doc_id", "quality").filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     marked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     near = _io.keyed(docs, "doc_id", "text").join(F.broadcast(marked), "doc_id", "left_semi")  # at most rows ids
-    table = document_statistics(near).join(F.broadcast(marked), "doc_id").orderBy("doc_id", *STATS).limit(2 * rows).toPandas()
+    table = document_statistics(near).join(F.broadcast(marked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(2 * rows).orderBy("doc_id", *STATS).toPandas()
     if table.empty or table["quality"].nunique() < 2:
         return None
     x, y = features({n: table[n].to_numpy() for n in STATS}), (table["quality"].to_numpy() > 0).astype(float)
