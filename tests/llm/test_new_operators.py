@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.llm import html_text, infill, pages, queries, repair
+from lamina.llm import html_text, infill, pages, queries, repair, shards, urls, warc
 from lamina.llm import sql as llm_sql
 
 PAGES = "page_id long, url string, html string"
@@ -288,3 +288,107 @@ def test_repair(spark):
 def test_queries_are_registered():
     for name in ("op11_html_text", "op12_fill_in_middle", "op13_conversation_repair"):
         assert name in queries.QUERIES and name in llm_sql.SQL
+
+
+# Earlier operators: what this round added to them.
+
+
+def test_equal_texts_share_a_shard(spark):
+    rng = random.Random(4)
+    rows = [(i, f"text {i} " + "x" * rng.randrange(200), ("en", "de", None)[i % 3], f"s{i % 7}") for i in range(600)]
+    rows += [(1000 + i, f"copied {i % 40} " + "y" * (i % 40), ("en", "fr")[i % 2], f"s{i % 5}") for i in range(240)]
+    rows += [(2000 + i, None, None, None) for i in range(5)] + [(3000, "", "en", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    for keep in (None, ["doc_id", "text", "lang", "source"]):
+        got = shards.shard_documents(docs, 8, keep=keep).collect()
+        per = Counter(r.shard for r in got)
+        assert len(got) == len(rows) and max(per.values()) - min(per.values()) <= 1
+        text = {d: t or "" for d, t, *_ in rows}
+        where = defaultdict(set)
+        for r in got:
+            where[text[r.doc_id]].add(r.shard)
+        assert sum(len(w) > 1 for w in where.values()) <= 7  # borders
+
+
+def old_record(kind, name, block, version=b"WARC/1.0", extra=b"", colon=b": "):
+    head = [version, b"WARC-Type" + colon + kind, b"WARC-Record-ID" + colon + name, b"WARC-Date: 2011-02-25T18:32:19Z", b"Content-Length" + colon + str(len(block)).encode()]
+    return b"\r\n".join(head) + b"\r\n" + extra + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_other_archives_are_read(spark, tmp_path):
+    """WARC/1.0 and 1.1, other record types and ids, folded headers, base-32 digests, gzip members, and magics in payloads."""
+    import base64
+    import gzip
+
+    html = b"<p>WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n</p>"
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    again = hashlib.sha1(b"zzz").digest()
+    records = [
+        old_record(b"warcinfo", b"<urn:uuid:0>", b"software: x\r\nformat: WARC File Format 1.0\r\n"),
+        old_record(b"request", b"<urn:uuid:1>", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", extra=b"WARC-Target-URI: http://a/\r\n"),
+        old_record(b"response", b"<urn:uuid:2>", http + html, extra=b"WARC-Target-URI:http://a/\r\nX-Long: one\r\n two\r\n", colon=b":"),
+        old_record(b"metadata", b"<urn:uuid:3>", b"fetchTimeMs: 3\r\n\r\n", b"WARC/1.1"),
+        old_record(b"revisit", b"<urn:uuid:4>", b"", extra=b"WARC-Refers-To: <urn:uuid:2>\r\nWARC-Payload-Digest: sha1:" + base64.b32encode(again) + b"\r\n"),
+        old_record(b"response", b"<urn:page:77>", http + b"plain", b"WARC/1.1"),
+        old_record(b"resource", b"<urn:uuid:5>", "é".encode() * 900),
+    ]
+    h = lambda b: hashlib.sha1(b).hexdigest()
+    want = Counter(
+        [
+            ("warcinfo", None, "urn:uuid:0", h(b"software: x\r\nformat: WARC File Format 1.0\r\n"), None), ("request", None, "urn:uuid:1", h(b""), None), ("response", None, "urn:uuid:2", h(html), None),
+            ("metadata", None, "urn:uuid:3", h(b"fetchTimeMs: 3\r\n\r\n"), None), ("revisit", None, "urn:uuid:4", again.hex(), "urn:uuid:2"), ("response", 77, "urn:page:77", h(b"plain"), None), ("resource", None, "urn:uuid:5", h("é".encode() * 900), None),
+        ]
+    )
+    for name, data in (("plain.warc", b"".join(records)), ("whole.warc.gz", gzip.compress(b"".join(records))), ("members.warc.gz", b"".join(map(gzip.compress, records)))):
+        folder = tmp_path / name.replace(".", "-")
+        folder.mkdir()
+        (folder / name).write_bytes(data)
+        got = warc.read_archives(spark, f"file://{folder}").collect()
+        assert Counter((r.record_type, r.page_id, r.record_id, r.payload_digest, r.refers_to_id) for r in got) == want
+        assert {r.target_uri for r in got} == {None, "http://a/"}
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "x.warc").write_bytes(b"".join(records)[:-10])
+    with pytest.raises(ValueError, match="chain"):
+        warc.read_archives(spark, f"file://{tmp_path}/cut").collect()
+
+
+def test_links_of_pages_without_url_and_base_addresses(spark):
+    rules = [("block", "bad.com/"), ("allow", "good.org/")]
+    link = '<link rel="canonical" href="{}">'
+    rows = [
+        (1, None, link.format("http://bad.com/x")), (2, None, link.format("http://bad.com/x")), (3, None, link.format("/nowhere")), (4, None, "<p>"), (5, None, link.format("http://good.org/") + link.format("http://bad.com/x2")),
+        (6, "http://a.net/d/p", '<base href="http://bad.com/dir/">' + link.format("q")), (7, "http://b.net/d/p", '<base href="/e/">' + link.format("q")), (8, "http://b.net/e/q", link.format("http://bad.com/z")), (9, "http://c.net/", '<base target="_top">' + link.format("q")),
+        (10, None, link.format("http://d.net/1") + link.format("http://bad.com/y")), (11, "http://d.net/1", ""),
+    ]
+    got = {r.page_id: r.verdict for r in urls.judge_urls(spark.createDataFrame(rows, PAGES), rules).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "block", 7: "block", 8: "block", 9: "allow", 10: "block", 11: "block"}
+
+
+def test_classes_on_a_generated_graph(spark):
+    """Redirect classes of random pages against a plain union of links."""
+    rng = random.Random(6)
+    hosts = [f"h{i}.net" for i in range(60)] + ["bad.com", "x.bad.com", "good.org"]
+    rows, links = [], []
+    for i in range(150):
+        host, to = hosts[i % len(hosts)], rng.choice(hosts)
+        url = f"http://{host}/{i % 4}"
+        html = "" if rng.random() < 0.4 else f'<meta http-equiv="refresh" content="0; url=//{to}/{rng.randrange(4)}">'
+        rows.append((i, url, html))
+        if html:
+            links.append((url[7:], html.split("url=//")[1][:-2]))
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    said = defaultdict(set)
+    judge = lambda place: "block" if (h := place.split("/")[0]) == "bad.com" or h.endswith(".bad.com") else "allow" if h == "good.org" else None
+    for place in list(root):
+        said[find(place)].add(judge(place))
+    want = {i: judge(u[7:]) or ("block" if "block" in said[find(u[7:])] and "allow" not in said[find(u[7:])] else "allow") for i, u, _ in rows}
+    got = {r.page_id: r.verdict for r in urls.judge_urls(spark.createDataFrame(rows, PAGES), [("block", "bad.com/"), ("allow", "good.org/")]).collect()}
+    assert got == want and len(set(want.values())) == 2
