@@ -96,7 +96,23 @@ def _unit(profiles: np.ndarray) -> np.ndarray:
     return np.divide(z, size, out=np.zeros_like(z), where=size > 1e-150)
 
 
-def _claimed(points: DataFrame, distance: float, batch: int) -> DataFrame:
+def _ranks(profiles: np.ndarray) -> np.ndarray:
+    """Ranks within each row, ties sharing the mean of theirs, so that Pearson's correlation of them is Spearman's."""
+    order = np.argsort(profiles, axis=1, kind="stable")
+    at = np.arange(profiles.shape[1])
+    sorted_ = np.take_along_axis(profiles, order, axis=1)
+    new = np.ones(profiles.shape, dtype=bool)
+    new[:, 1:] = sorted_[:, 1:] != sorted_[:, :-1]
+    first = np.maximum.accumulate(np.where(new, at, 0), axis=1)
+    ends = np.ones(profiles.shape, dtype=bool)
+    ends[:, :-1] = new[:, 1:]
+    last = np.minimum.accumulate(np.where(ends, at, profiles.shape[1])[:, ::-1], axis=1)[:, ::-1]
+    out = np.empty(profiles.shape)
+    np.put_along_axis(out, order, (first + last) / 2, axis=1)
+    return out
+
+
+def _claimed(points: DataFrame, distance: float, batch: int, ranked: bool = False) -> DataFrame:
     """(feature, seed): points (feature, rank, profile) in the order of rank; a point that no seed before it claims is one, and claims all later ones within distance.
 
     A round settles the first batch of open points among themselves on the driver, at most
@@ -105,11 +121,15 @@ def _claimed(points: DataFrame, distance: float, batch: int) -> DataFrame:
     """
     kinds = dict(points.dtypes)
     open_, done = cut(points), []
+
+    def unit(profiles: np.ndarray) -> np.ndarray:
+        return _unit(_ranks(profiles) if ranked else profiles)
+
     while True:
         first = open_.orderBy("rank", "feature").limit(batch).toPandas()
         if first.empty:
             break
-        z = _unit(np.stack(first["profile"].to_numpy()).astype(float))
+        z = unit(np.stack(first["profile"].to_numpy()).astype(float))
         seeds: list[int] = []
         for i in range(len(z)):
             if not seeds or (1 - z[seeds] @ z[i]).min() > distance:
@@ -119,7 +139,7 @@ def _claimed(points: DataFrame, distance: float, batch: int) -> DataFrame:
         def claim(parts: Iterator[pd.DataFrame], names=names, own=own) -> Iterator[pd.DataFrame]:
             for p in parts:
                 if len(p):
-                    near = 1 - _unit(np.stack(p["profile"].to_numpy()).astype(float)) @ own.T <= distance
+                    near = 1 - unit(np.stack(p["profile"].to_numpy()).astype(float)) @ own.T <= distance
                     same = p["feature"].to_numpy()[:, None] == names[None, :]
                     hit = near | same
                     p = p.assign(seed=np.where(hit.any(axis=1), names[hit.argmax(axis=1)], None))
@@ -143,8 +163,8 @@ def _centres(members: DataFrame, points: DataFrame, quantile: float) -> DataFram
     return per.groupBy("canopy").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda x: x["value"]).alias("profile"))
 
 
-def canopies(profiles: DataFrame, distance: float = 0.1, merge: float = 0.1, quantile: float = 0.75, top_share: float = 0.7, least_samples: int = 3, batch: int = 2048) -> DataFrame:
-    """(feature, canopy, profile): canopies of abundance profiles (feature, profile array<double>) by Pearson distance.
+def canopies(profiles: DataFrame, distance: float = 0.1, merge: float = 0.1, quantile: float = 0.75, top_share: float = 0.7, least_samples: int = 3, batch: int = 2048, method: str = "pearson") -> DataFrame:
+    """(feature, canopy, profile): canopies of abundance profiles (feature, profile array<double>) by the distance 1 - r, with Pearson's or Spearman's correlation.
 
     Profiles of too few samples, or with over top_share in their three largest, are left out.
     In the order of descending totals, a profile that no canopy holds yet opens one, which all
@@ -152,13 +172,16 @@ def canopies(profiles: DataFrame, distance: float = 0.1, merge: float = 0.1, qua
     canopies whose centres are within merge of an earlier one's join it, and profile is the
     centre of what has come together.
     """
+    if method not in ("pearson", "spearman"):
+        raise ValueError(f"method: pearson or spearman, not {method}")
+    ranked = method == "spearman"
     three = F.aggregate(F.slice(F.sort_array("profile", False), 1, 3), F.lit(0.0), lambda a, x: a + x)
     total = F.aggregate("profile", F.lit(0.0), lambda a, x: a + x)
     fit = (F.size(F.filter("profile", lambda x: x > 0)) >= least_samples) & (three <= F.lit(top_share) * total)
     points = cut(profiles.select("feature", F.col("profile").cast("array<double>").alias("profile")).filter(fit).withColumn("rank", -total).select("feature", "rank", "profile"))
-    own = cut(_claimed(points, distance, batch).withColumnRenamed("seed", "canopy"))
+    own = cut(_claimed(points, distance, batch, ranked).withColumnRenamed("seed", "canopy"))
     centres = _centres(own, points.select("feature", "profile"), quantile)
-    ranked = centres.join(points.select(F.col("feature").alias("canopy"), "rank"), "canopy").select(F.col("canopy").alias("feature"), "rank", "profile")
-    joined = _claimed(ranked, merge, batch).select(F.col("feature").alias("canopy"), F.col("seed").alias("_into"))
+    centred = centres.join(points.select(F.col("feature").alias("canopy"), "rank"), "canopy").select(F.col("canopy").alias("feature"), "rank", "profile")
+    joined = _claimed(centred, merge, batch, ranked).select(F.col("feature").alias("canopy"), F.col("seed").alias("_into"))
     out = cut(own.join(joined, "canopy").select("feature", F.col("_into").alias("canopy")))
     return out.join(_centres(out, points.select("feature", "profile"), quantile), "canopy").select("feature", "canopy", "profile")

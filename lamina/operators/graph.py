@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -64,6 +64,18 @@ def parse_newick(text: str) -> Iterator[tuple[int, int | None, str | None, float
         yield node, up, name.get(node), length.get(node, 0.0)
 
 
+@F.udtf(returnType=_TREE)
+class NewickNodes:
+    """A table function of one Newick text: its nodes, for FROM newick_nodes(text) in SQL after register_newick."""
+
+    def eval(self, text: str):
+        yield from parse_newick(text or "")
+
+
+def register_newick(spark: SparkSession) -> None:
+    spark.udtf.register("newick_nodes", NewickNodes)
+
+
 def tree_nodes(trees: DataFrame, key: str, text: str) -> DataFrame:
     """The nodes of each tree (one Newick text a row)."""
 

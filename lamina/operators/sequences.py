@@ -30,22 +30,30 @@ def read_filter(seq: Column, qual: Column, min_len: int = 0, min_avg: float = 0,
     return ok
 
 
+def kept_lengths(data: np.ndarray, offs: np.ndarray, window: int, least: float, offset: int) -> np.ndarray:
+    """Where the first window of each row of qualities begins whose mean is under least; a row's length where there is none."""
+    total = np.concatenate([[0], np.cumsum(data, dtype=np.int64)])
+    at = np.arange(max(len(data) - window + 1, 0))
+    ends = np.repeat(offs[1:], np.diff(offs))
+    bad = at[((total[at + window] - total[at] - offset * window) / window < least) & (at + window <= ends[at])]
+    first = np.searchsorted(bad, offs[:-1])
+    found = np.append(bad, len(data) + window)[first]
+    return np.minimum(np.where(found < offs[1:], found, offs[1:]), offs[1:]) - offs[:-1]
+
+
 def window_trim(reads: DataFrame, window: int, least: float, offset: int = 33) -> DataFrame:
-    """Reads cut before the first window whose mean quality is under least; batches of Arrow strings."""
+    """Reads cut before the first window whose mean quality is under least; only qualities leave the JVM."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cols = {n: b.column(n).to_pylist() for n in b.schema.names}
-            for i, q in enumerate(cols["qual"]):
-                s = np.frombuffer((q or "").encode("latin-1"), dtype=np.uint8).astype(float) - offset
-                if len(s) >= window:
-                    c = np.concatenate([[0.0], np.cumsum(s)])
-                    bad = np.flatnonzero((c[window:] - c[:-window]) / window < least)
-                    if len(bad):
-                        cols["seq"][i], cols["qual"][i] = cols["seq"][i][: bad[0]], q[: bad[0]]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[n], t.type) for n, t in zip(b.schema.names, b.schema, strict=True)], schema=b.schema)
-
-    return reads.mapInArrow(run, reads.schema)
+    @F.arrow_udf("int")
+    def kept(qual: pa.Array) -> pa.Array:
+        text = qual.fill_null("")
+        offs = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+        data = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)[offs[0] : offs[-1]]
+        return pa.array(kept_lengths(data, offs - offs[0], window, least, offset).astype(np.int32))
+
+    cut = reads.withColumn("_kept", kept("qual"))
+    shorter = F.col("_kept") < F.length("qual")
+    return cut.select(*[F.when(shorter, F.substring(c, F.lit(1), F.col("_kept"))).otherwise(F.col(c)).alias(c) if c in ("seq", "qual") else F.col(f"`{c}`") for c in reads.columns])
 
 
 def length_class(length: Column, low: int, high: int) -> Column:

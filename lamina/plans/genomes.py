@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import seq as S
-from ..operators import association, homology, matrix, modules, pileup
+from ..operators import association, correlate, homology, matrix, modules, pileup
 from ..operators import sequences as Q
 from .registry import Tables, query
 from .views import DNA_SQL, dna, r, rq
@@ -165,3 +165,12 @@ SELECT a, b, arg_max(t, {'n': length(t), 'i': -i}) AS shared FROM s WHERE contai
 def x5_substring(t: Tables):
     x, y = t.supplier.select("s_nationkey", F.col("s_suppkey").alias("a"), F.col("s_name").alias("na")), t.supplier.select("s_nationkey", F.col("s_suppkey").alias("b"), F.col("s_name").alias("nb"))
     return x.join(y, "s_nationkey").filter("a < b").select("a", "b", S.common_substring(F.col("na"), F.col("nb")).alias("shared"))
+
+
+# Greedy order isn't expressed in SQL; tests hold canopies against a plain loop.
+@query("m10_canopies_spearman")
+def m10_spearman(t: Tables):
+    from .sequences import _candidates
+
+    own = correlate.canopies(_candidates(t).select(F.col("gene").alias("feature"), "profile"), method="spearman")
+    return own.select("feature", "canopy", F.transform("profile", lambda x: r(x, 6)).alias("profile"))

@@ -147,11 +147,11 @@ def pearson(x, y):
     return (a * b).sum() / d if d > 1e-150 else 0.0
 
 
-def plain_canopies(profiles, distance, merge):
+def plain_canopies(profiles, distance, merge, r=pearson):
     def claimed(order, points, limit):
         seeds, out = [], {}
         for f in order:
-            near = [s for s in seeds if 1 - pearson(points[s], points[f]) <= limit]
+            near = [s for s in seeds if 1 - r(points[s], points[f]) <= limit]
             out[f] = near[0] if near else f
             if not near:
                 seeds.append(f)

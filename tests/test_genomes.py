@@ -14,7 +14,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.functions import seq as S
-from lamina.operators import association, graph, homology, intervals, matrix, modules, pileup, sequences, variants
+from lamina.operators import association, correlate, graph, homology, intervals, matrix, modules, pileup, sequences, variants
+from tests.test_files_and_plain_versions import pearson, plain_canopies
 
 # Modules.
 
@@ -497,3 +498,45 @@ def test_common_substring(spark):
     long = "".join(rng.choice("ACGT") for _ in range(60_000))
     assert S.longest_shared(long, "T" * 50 + long[1000:31_000] + "G" * 50) in long
     assert len(S.longest_shared(long, "T" * 50 + long[1000:31_000] + "G" * 50)) >= 30_000
+
+
+def test_canopies_by_ranks(spark):
+    rng = random.Random(17)
+    base = [[rng.randrange(0, 40) for _ in range(12)] for _ in range(9)]
+    profiles = {i: [float(max(0, x * rng.choice([1, 2, 3]) / 2 + rng.randrange(-4, 5))) for x in rng.choice(base)] for i in range(120)}
+
+    def rank(p):
+        return [sum(y < x for y in p) + (sum(y == x for y in p) - 1) / 2 for x in p]
+
+    own, centres = plain_canopies(profiles, 0.2, 0.15, lambda x, y: pearson(rank(x), rank(y)))
+    assert 1 < len(set(own.values())) < len(own) and own != plain_canopies(profiles, 0.2, 0.15)[0]
+    df = spark.createDataFrame(list(profiles.items()), "feature long, profile array<double>")
+    for batch in (2048, 7):
+        got = correlate.canopies(df, 0.2, 0.15, batch=batch, method="spearman").collect()
+        assert {r.feature: r.canopy for r in got} == own
+        assert all(np.allclose(r.profile, centres[r.canopy]) for r in got)
+    with pytest.raises(ValueError):
+        correlate.canopies(df, method="kendall")
+
+
+def test_window_trim(spark):
+    rng = random.Random(5)
+    quals = [None, "", "I", "III", "!!!!", "IIII!!!!", "!!!!IIII"] + ["".join(chr(33 + rng.randrange(41)) for _ in range(rng.randrange(30))) for _ in range(300)]
+    rows = [(i, None if q is None else "A" * len(q), q) for i, q in enumerate(quals)]
+
+    def plain(q, window, least):
+        for i in range(len(q or "") - window + 1):
+            if sum(ord(c) - 33 for c in q[i : i + window]) / window < least:
+                return q[:i]
+        return q
+
+    df = spark.createDataFrame(rows, "id int, seq string, qual string").repartition(3)
+    for window, least in ((4, 20.0), (1, 5.0), (10, 18.5)):
+        got = {r.id: (r.seq, r.qual) for r in sequences.window_trim(df, window, least).collect()}
+        assert got == {i: (None if q is None else "A" * len(plain(q, window, least)), plain(q, window, least)) for i, _, q in rows}
+
+
+def test_newick_in_sql(spark):
+    graph.register_newick(spark)
+    got = spark.sql("SELECT t.id, n.node, n.parent, n.name, n.len FROM VALUES (1, '((a:1,b:2):3,c:4);'), (2, 'x;'), (3, NULL) AS t(id, text), LATERAL newick_nodes(t.text) n").collect()
+    assert {(r.id, r.name, r.len) for r in got if r.name} == {(1, "a", 1.0), (1, "b", 2.0), (1, "c", 4.0), (2, "x", 0.0)}
