@@ -56,11 +56,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; a stage's folder goes once the next one is written."""
+    """The last stage's rows, whose files are cut by shard; a stage's folder goes once the next one is written."""
     docs, folder = _io.table(spark, sf_dir, "documents"), f"{_io.shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
-        docs = spark.read.parquet(f"{folder}/{k}")
+        out = stage(spark, docs, sf_dir)
+        write = out.write.partitionBy("shard") if k == len(STAGES) - 1 else out.write  # its tasks hold runs of the order, and so of a shard or two
+        write.parquet(f"{folder}/{k}")
+        docs = spark.read.schema(out.schema).parquet(f"{folder}/{k}").select(*out.columns)
         if k:
             old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{k - 1}")
             old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)

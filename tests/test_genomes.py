@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import random
+import subprocess
+import sys
 import time
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lamina.functions import seq as S
 from lamina.operators import association, correlate, graph, homology, intervals, matrix, modules, pileup, sequences, variants
+from tests.conftest import ROOT
 from tests.test_files_and_plain_versions import pearson, plain_canopies
 
 # Modules.
@@ -540,3 +544,17 @@ def test_newick_in_sql(spark):
     graph.register_newick(spark)
     got = spark.sql("SELECT t.id, n.node, n.parent, n.name, n.len FROM VALUES (1, '((a:1,b:2):3,c:4);'), (2, 'x;'), (3, NULL) AS t(id, text), LATERAL newick_nodes(t.text) n").collect()
     assert {(r.id, r.name, r.len) for r in got if r.name} == {(1, "a", 1.0), (1, "b", 2.0), (1, "c", 4.0), (2, "x", 0.0)}
+
+
+def test_shipped_from_another_folder(tmp_path):
+    """Python workers find the package when only the driver's path has it."""
+    script = tmp_path / "run.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {ROOT!r})\n"
+        "from lamina.session import get_spark, ship\nfrom lamina.operators import sequences\n"
+        "spark = get_spark('shipped', 'local[2]', spark__ui__enabled='false')\nship(spark)\n"
+        "print('COUNT', sequences.kmer_profile(spark.createDataFrame([(1, 'ACGTT')], 'id int, seq string'), 2).count())\nspark.stop()\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300, check=False)
+    assert "COUNT 5" in out.stdout, out.stderr[-2000:]
