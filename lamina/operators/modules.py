@@ -2,7 +2,7 @@
 
 A definition reads like K1 (K2,K3 K4) K5+K6-K7: spaces separate steps that are all needed,
 commas separate alternatives, + joins the parts of a complex and - adds an optional part to
-it (a step of optional parts alone is optional); parentheses group, and a comma binds weakest, + and - strongest.  Definitions become
+it (what has optional parts alone is optional); parentheses group, and a comma binds weakest, + and - strongest.  Definitions become
 rows of a table of nodes.  The scores of all modules in all samples are worked out together,
 a level of the trees at a time from the deepest up, by joins and aggregations over what is
 present only: an absent feature has no row and scores 0.
@@ -29,9 +29,14 @@ class DefinitionError(ValueError):
     pass
 
 
+def _needs(node: Node) -> bool:
+    """Whether a node has a part that isn't optional."""
+    return node[0] == LEAF or any(need for need, _ in node[1])
+
+
 def _single(kind: str, children: list[tuple[bool, Node]]) -> Node:
-    """A node that stands for its only, required child is that child."""
-    return children[0][1] if len(children) == 1 and children[0][0] else (kind, children)
+    """A node with one child is that child, unless the child is needed where it stands alone but not here."""
+    return children[0][1] if len(children) == 1 and (children[0][0] or not _needs(children[0][1])) else (kind, children)
 
 
 def parse_definition(text: str) -> Node | None:
@@ -47,7 +52,7 @@ def parse_definition(text: str) -> Node | None:
         if node is not None:
             if steps[-1] and not joined:
                 steps.append([])
-            steps[-1].append((required, node))
+            steps[-1].append((required and _needs(node), node))
         required, joined = True, False
 
     def closed() -> Node | None:
@@ -56,7 +61,7 @@ def parse_definition(text: str) -> Node | None:
             own = [(any(need for need, _ in parts), _single(COMPLEX, parts)) for parts in steps if parts]
             if own:
                 choices.append(_single(STEPS, own))
-        return _single(CHOICE, [(True, n) for n in choices]) if choices else None
+        return choices[0] if len(choices) == 1 else (CHOICE, [(_needs(n), n) for n in choices]) if choices else None
 
     for token in _TOKEN.findall(text):
         if token.isspace():

@@ -33,7 +33,8 @@ from tests.test_files_and_plain_versions import pearson, plain_canopies
         (" K1 + K2 -(K3,K4) ", "complex[?choice[K3 K4] K1 K2]"),
         ("K1,K2 K3", "choice[K1 steps[K2 K3]]"),
         ("K1 -K2", "complex[?K2 K1]"),
-        ("K1 () (-K2)", None),
+        ("K1 () (-K2)", "steps[?complex[?K2] K1]"),
+        ("(-K1,K2) (-K3,-K4)", "steps[?choice[?complex[?K3] ?complex[?K4]] choice[?complex[?K1] K2]]"),
         ("", None),
     ],
 )
