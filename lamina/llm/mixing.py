@@ -167,26 +167,36 @@ def take_copies(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: f
     their text, as the mix numbers them, so that each row takes the copies of one place.
     """
     mixed = _io.cut(mix_documents(docs, weights, most, seed))
-    key = ["_id", "_source", "_size"]
     named = {n: F.col(f"`{n}`") if n in docs.columns else F.lit(None) for n in ("doc_id", "source", "text")}
     rows = docs.select(F.struct("*").alias("_row"), named["doc_id"].cast("long").alias("_id"), named["source"].cast("string").alias("_source"), named["text"].cast("string").alias("_text"))
-    rows = rows.select("_row", "_id", "_source", _words(F.col("_text")).alias("_size"), F.xxhash64("_text").alias("_hash"))
     places = mixed.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("no").alias("_no"), F.col("copies").alias("_copies"))
-    again = _io.counted(places.filter("_no > 0").select(*key).distinct())
+    again = _io.counted(places.filter("_id is not null").groupBy("_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("_id"))
 
-    def same(other: DataFrame, on: list[str]) -> tuple[DataFrame, Column]:
-        other = other.select(*[F.col(k).alias(f"{k}2") if k in on else F.col(k) for k in other.columns])
-        test = F.lit(True)
-        for k in on:
-            test &= F.col(k).eqNullSafe(F.col(f"{k}2"))
-        return other, test
+    def taken(own: DataFrame, on: list[str]) -> DataFrame:
+        """Rows with the copies of their place; most places have one copy, and only the others are looked up."""
+        return _matched(own, _io.counted(places.filter("_copies != 1").join(again, "_id", "left_anti").select("_id", "_copies") if on == ["_id"] else others.filter("_copies != 1")), on, "left")
 
-    other, test = same(again, key)
-    single = rows.join(other, test, "left_anti").withColumn("_no", F.lit(0).cast("long")).drop("_hash")
+    # An id that stands once is enough to know a row by.
+    known = taken(rows.filter("_id is not null").join(again, "_id", "left_anti"), ["_id"]).select("_row", "_copies")
+    others = places.join(again, "_id", "left_semi").unionByName(places.filter("_id is null"))
+    key = ["_id", "_source", "_size"]
+    rest = rows.filter("_id is null").unionByName(rows.join(again, "_id", "left_semi").select(*rows.columns))
+    rest = rest.select("_row", "_id", "_source", _words(F.col("_text")).alias("_size"), F.xxhash64("_text").alias("_hash"), F.rand(seed).alias("_draw"))
     # Equal rows are many keys of the range sort, by a draw that a repeated task repeats.
-    sorted_ = _io.running(rows.join(other, test, "left_semi").withColumn("_draw", F.rand(seed)), [*key, "_hash", "_draw"], None, "_pos")
-    first, test = same(_io.counted(sorted_.groupBy(*key).agg(F.min("_pos").alias("_first"))), key)
-    numbered = sorted_.join(first, test).withColumn("_no", F.col("_pos") - F.col("_first")).select("_row", *key, "_no")
-    changed, test = same(_io.counted(places.filter("_copies != 1")), [*key, "_no"])
-    out = single.unionByName(numbered).join(changed, test, "left").filter("_copies is null or _copies > 0")
+    placed = _io.running(rest, [*key, "_hash", "_draw"], None, "_pos")
+    first = _io.counted(placed.groupBy(*key).agg(F.min("_pos").alias("_first")))
+    numbered = _matched(placed, first, key, "inner").withColumn("_no", F.col("_pos") - F.col("_first"))
+    numbered = taken(numbered, [*key, "_no"]).select("_row", "_copies")
+    out = known.unionByName(numbered).filter("_copies is null or _copies > 0")
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.coalesce("_copies", F.lit(1)).cast("int")))).select("_row.*")
+
+
+def _matched(own: DataFrame, other: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A join on columns where null equals null; on one column it is a plain one."""
+    if len(on) == 1:
+        return own.join(other, on, how)
+    other = other.select(*[F.col(k).alias(f"{k}2") if k in on else F.col(k) for k in other.columns])
+    test = F.lit(True)
+    for k in on:
+        test &= F.col(k).eqNullSafe(F.col(f"{k}2"))
+    return own.join(other, test, how).drop(*[f"{k}2" for k in on])
