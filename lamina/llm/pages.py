@@ -8,7 +8,8 @@ block-level elements; its character references are decoded, its white space (lin
 A block is
 - ARTICLE inside the page's main text: its <article> elements; where there are none, <main> or
   an element with that role or name; an article or main element isn't judged by the class of a
-  container around it, unless that is one of reader comments or adverts;
+  container around it, unless that is one of reader comments or adverts (an element that is only
+  named like content is);
 - FURNITURE where markup names it a menu, header, footer, sidebar, notice, advert, form or
   reader comment, by element, role or class and id words (inside the main text, too, but for
   headers, which there hold the headline);
@@ -43,20 +44,21 @@ CLOSES = {  # an opening tag ends these open elements, up to the elements that h
 STRONG_TAGS, WEAK_TAGS = frozenset("nav footer aside menu dialog".split()), frozenset("form search".split())
 STRONG_ROLES, WEAK_ROLES = frozenset("navigation contentinfo complementary dialog alertdialog alert menu menubar toolbar".split()), frozenset("banner search form".split())
 # Words of class and id names.
-STRONG_WORDS = frozenset("comment comments commentlist disqus ad ads adsbygoogle adsense advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr".split())
+STRONG_WORDS = frozenset("comment comments commentlist disqus ad ads adbox adslot adunit adsbygoogle adsense advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr".split())
 WEAK_WORDS = frozenset(
     "alert nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar footer masthead topbar banner promo notice popup modal overlay newsletter subscribe signup share sharing social related recommended "
     "recommendations trending widget widgets toolbar pagination pager skip skiplink login search replies respond tags".split()
 )
 MAIN_NAMES = frozenset({"article-body", "articlebody", "article-content", "post-body", "post-content", "entry-content", "main-content", "story-body"})
+CONTENT_NAMES = frozenset({"content", "main", "article", "post", "story", "entry", "maincontent", "page-content", "article-text", "main-text"})
 
 _NONE, _WEAK, _STRONG = 0, 1, 2
 
 
-def _judge(name: str, attributes: str, inside: bool) -> tuple[int, bool]:
-    """(how strongly the tag says furniture, whether it says main text)."""
+def _judge(name: str, attributes: str, inside: bool) -> tuple[int, int]:
+    """(how strongly the tag says furniture, how strongly it says main text)."""
     mark = _STRONG if name in STRONG_TAGS else _WEAK if name in WEAK_TAGS or (name == "header" and not inside) else _NONE
-    main = name == "main"
+    main = _STRONG if name == "main" else _NONE
     if not attributes or attributes.isspace():
         return mark, main
     for m in _ATTRIBUTE.finditer(attributes):
@@ -64,13 +66,13 @@ def _judge(name: str, attributes: str, inside: bool) -> tuple[int, bool]:
         if key == "role":
             role = value.strip().lower()
             mark = max(mark, _STRONG if role in STRONG_ROLES else _WEAK if role in WEAK_ROLES and not inside else _NONE)
-            main = main or role == "main"
+            main = _STRONG if role == "main" else main
         elif key == "itemprop":
-            main = main or value == "articleBody"
+            main = _STRONG if value == "articleBody" else main
             mark = _STRONG if value == "comment" else mark
         elif key in ("class", "id"):
             names = value.lower().replace("_", "-").split()
-            main = main or any(v in MAIN_NAMES for v in names)
+            main = _STRONG if any(v in MAIN_NAMES for v in names) else max(main, _WEAK) if any(v in CONTENT_NAMES for v in names) else main
             if name == "article":  # blogs put all they know of an article into its class
                 mark = _STRONG if any(v in STRONG_WORDS for v in names) else mark
                 continue
@@ -79,7 +81,7 @@ def _judge(name: str, attributes: str, inside: bool) -> tuple[int, bool]:
                 mark = _STRONG
             elif words & WEAK_WORDS or (not inside and "header" in words):
                 mark = max(mark, _WEAK)
-    return mark, main and mark == _NONE
+    return mark, main if mark == _NONE else _NONE
 
 
 def blocks_of(page: str | None) -> list[tuple[str, int]]:
@@ -150,13 +152,13 @@ def blocks_of(page: str | None) -> list[tuple[str, int]]:
             closing = RAW[name].search(page, at)
             at = closing.start() if closing else len(page)
             continue
-        said, main = _judge(name, m[3] or m[6] or "", articles > 0 or mains > 0) if name not in ("html", "body") else (_NONE, False)
+        said, main = _judge(name, m[3] or m[6] or "", articles > 0 or mains > 0) if name not in ("html", "body") else (_NONE, _NONE)
         if said or main or name in BLOCK or name in UNREAD:
             stack.append((name, articles, mains, mark, unread))
             held[name] += 1
             if name == "article" and mark != _STRONG and said != _STRONG:
                 articles, mark = articles + 1, mark if articles else _NONE
-            elif main and mark != _STRONG and not articles:
+            elif main and mark < main and not articles:
                 mains, mark = mains + 1, _NONE
             else:
                 mark = max(mark, said)

@@ -35,6 +35,8 @@ sha = lambda b: hashlib.sha256(b).hexdigest()
         ("<div class='wrap has-sidebar'><article class='post comments-open'>x</article></div><div class='sidebar'>y</div>", [("x", 0), ("y", 2)]),
         ("<form id=aspnet><article>x</article><p>rest</form>", [("x", 0), ("rest", 2)]),
         ("<main><div>a</div><nav>n</nav></main><div>o</div>", [("a", 0), ("n", 2), ("o", 1)]),
+        ("<div class='sidebar'><div class='content'>s</div></div><div id=content><p>a</p><div class=adbox>b</div></div><p>o", [("s", 2), ("a", 0), ("b", 2), ("o", 1)]),
+        ("<div class='widget'><div class='entry-content'>a</div></div><div class=content>b</div>", [("a", 0), ("b", 0)]),
         ("<header><h1>Site</h1></header><article><header><h1>Head</h1></header>t</article>", [("Site", 2), ("Head", 0), ("t", 0)]),
         ("<div class=cookie-notice>c</div><div role=navigation>n</div><p>3 < 4 and 5 > 4", [("c", 2), ("n", 2), ("3 < 4 and 5 > 4", 1)]),
         ("<p title='a>b'>x</p><p title=\"un>y", [("x", 1), ("y", 1)]),
