@@ -189,7 +189,7 @@ def f15(t: Tables):
 @query("f17_outliers", "WITH q AS (SELECT o_orderpriority, quantile_cont(o_totalprice, 0.1) AS lo, quantile_cont(o_totalprice, 0.9) AS hi FROM orders GROUP BY 1) SELECT o_orderkey, o_totalprice FROM orders JOIN q USING (o_orderpriority) WHERE o_totalprice > 0.9 * lo AND o_totalprice < 1.1 * hi")
 def f17(t: Tables):
     q = t.orders.groupBy("o_orderpriority").agg(stats.quantile_linear(F.col("o_totalprice"), 0.1).alias("lo"), stats.quantile_linear(F.col("o_totalprice"), 0.9).alias("hi"))
-    return t.orders.join(F.broadcast(q), "o_orderpriority").filter((F.col("o_totalprice") > 0.9 * F.col("lo")) & (F.col("o_totalprice") < 1.1 * F.col("hi"))).select("o_orderkey", "o_totalprice")
+    return t.orders.join(q, "o_orderpriority").filter((F.col("o_totalprice") > 0.9 * F.col("lo")) & (F.col("o_totalprice") < 1.1 * F.col("hi"))).select("o_orderkey", "o_totalprice")
 
 
 @query("m1_pearson", f"SELECT p_brand AS key, count(*) AS n, {rq('corr(l_quantity, l_extendedprice)')} AS r FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1 HAVING count(*) > 2")
