@@ -172,21 +172,23 @@ def take_copies(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: f
     places = mixed.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("no").alias("_no"), F.col("copies").alias("_copies"))
     again = _io.counted(places.filter("_id is not null").groupBy("_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("_id"))
 
-    def taken(own: DataFrame, on: list[str]) -> DataFrame:
+    def taken(own: DataFrame, of: DataFrame, on: list[str]) -> DataFrame:
         """Rows with the copies of their place; most places have one copy, and only the others are looked up."""
-        return _matched(own, _io.counted(places.filter("_copies != 1").join(again, "_id", "left_anti").select("_id", "_copies") if on == ["_id"] else others.filter("_copies != 1")), on, "left")
+        return _matched(own, _io.counted(of.filter("_copies != 1").select(*on, "_copies")), on, "left")
 
     # An id that stands once is enough to know a row by.
-    known = taken(rows.filter("_id is not null").join(again, "_id", "left_anti"), ["_id"]).select("_row", "_copies")
+    once = places.filter("_id is not null").join(again, "_id", "left_anti")
+    known = taken(rows.filter("_id is not null").join(again, "_id", "left_anti"), once, ["_id"]).select("_row", "_copies")
     others = places.join(again, "_id", "left_semi").unionByName(places.filter("_id is null"))
     key = ["_id", "_source", "_size"]
-    rest = rows.filter("_id is null").unionByName(rows.join(again, "_id", "left_semi").select(*rows.columns))
-    rest = rest.select("_row", "_id", "_source", _words(F.col("_text")).alias("_size"), F.xxhash64("_text").alias("_hash"), F.rand(seed).alias("_draw"))
-    # Equal rows are many keys of the range sort, by a draw that a repeated task repeats.
+    # Equal rows are many keys of the range sort, by a draw; made where rows are read, a repeated task repeats it.
+    drawn = rows.withColumn("_draw", F.rand(seed))
+    rest = drawn.filter("_id is null").unionByName(drawn.join(again, "_id", "left_semi").select(*drawn.columns))
+    rest = rest.select("_row", "_id", "_source", _words(F.col("_text")).alias("_size"), F.xxhash64("_text").alias("_hash"), "_draw")
     placed = _io.running(rest, [*key, "_hash", "_draw"], None, "_pos")
     first = _io.counted(placed.groupBy(*key).agg(F.min("_pos").alias("_first")))
     numbered = _matched(placed, first, key, "inner").withColumn("_no", F.col("_pos") - F.col("_first"))
-    numbered = taken(numbered, [*key, "_no"]).select("_row", "_copies")
+    numbered = taken(numbered, others, [*key, "_no"]).select("_row", "_copies")
     out = known.unionByName(numbered).filter("_copies is null or _copies > 0")
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.coalesce("_copies", F.lit(1)).cast("int")))).select("_row.*")
 
