@@ -9,7 +9,8 @@ decision passes to every page of its class that no rule judges, unless a page of
 is explicitly allowed: an explicit allow comes before a block that is passed on.
 
 Cases: a null url, or one without ://, has an empty host and path and fits no rule; its page is a
-place of its own, named by its html, so that its links are followed; null html has no links;
+place of its own, named by its id, so that its links are followed (without an id, too, they
+aren't); null html has no links;
 every canonical link and refresh of a page counts, with character references in it read; a link
 is absolute if it starts with a scheme, and is else read against the page's first base address
 (<base href>, itself read against the url), or without one against the url's host and path; a rule given twice
@@ -47,9 +48,9 @@ def place_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)))
 
 
-def own_place(url: Column, html: Column) -> Column:
-    """A page's place; without a url the html names it, behind a host that no url has."""
-    return F.coalesce(place_of(url), F.concat(F.lit("/"), F.sha1(html.cast("binary"))))
+def own_place(url: Column, page_id: Column) -> Column:
+    """A page's place; without a url the id names it, behind a host that no url has."""
+    return F.coalesce(place_of(url), F.concat(F.lit("/"), page_id.cast("string")))
 
 
 def resolve(to: Column, host: Column, path: Column) -> Column:
@@ -124,19 +125,22 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Co
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] | DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, host, path, rule, verdict (allow or block) and passed_on (whether the class decided)."""
     p = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").alias("html"))
-    base = p.select("page_id", own_place(F.col("url"), F.col("html")).alias("place"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    base = p.select("page_id", own_place(F.col("url"), F.col("page_id")).alias("place"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     base = with_rule(base, rules)
 
     # Edges between places.  Only pages that hold a link make rows here.
     low = F.lower("html")
     links = p.filter(F.contains(low, F.lit("canonical")) | F.contains(low, F.lit("refresh")))
     target = F.explode(F.concat(*[F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in (CANONICAL, REFRESH)])).alias("to")
-    links = links.select(own_place(F.col("url"), F.col("html")).alias("src"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.regexp_extract("html", BASE, 1).alias("_base"), target)
-    # Base addresses are rare; resolved and cut, they are plain columns for the links read against them.
-    based = _io.cut(links.filter("_base != ''").withColumn("_base", unescape(F.col("_base"))))
-    based = _io.cut(based.withColumn("_full", resolve(F.col("_base"), F.col("host"), F.col("path"))))
-    based = based.select("src", F.when(F.col("_full").isNull(), F.col("host")).otherwise(host_of(F.col("_full"))).alias("host"), F.when(F.col("_full").isNull(), F.col("path")).otherwise(path_of(F.col("_full"))).alias("path"), "to")
-    links = links.filter("_base = ''").drop("_base").unionByName(_io.cut(based)).withColumn("to", unescape(F.col("to"))).filter("to != ''")
+    links = _io.cut(links.select(own_place(F.col("url"), F.col("page_id")).alias("src"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.regexp_extract("html", BASE, 1).alias("_base"), target))
+    based = links.filter("_base != ''")
+    links = links.filter("_base = ''").drop("_base")
+    if not based.isEmpty():  # resolved in steps that are cut, so that links are read against plain columns
+        based = _io.cut(based.withColumn("_base", unescape(F.col("_base"))))
+        based = _io.cut(based.withColumn("_full", resolve(F.col("_base"), F.col("host"), F.col("path"))))
+        based = _io.cut(based.select("src", F.when(F.col("_full").isNull(), F.col("host")).otherwise(host_of(F.col("_full"))).alias("host"), F.when(F.col("_full").isNull(), F.col("path")).otherwise(path_of(F.col("_full"))).alias("path"), "to"))
+        links = links.unionByName(based)
+    links = links.withColumn("to", unescape(F.col("to"))).filter("to != ''")
     full = resolve(F.col("to"), F.col("host"), F.col("path"))
     edges = links.select("src", place_of(full).alias("dst")).filter("substr(dst, 1, 1) != '/'")  # without a host it names no place
     edges = edges.filter("src is not null and dst is not null and src != dst").distinct()
