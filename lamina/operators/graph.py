@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -155,19 +155,79 @@ def patristic(nodes: DataFrame, key: str) -> DataFrame:
     return met.select(key, F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), (F.col("da") + F.col("db") - 2 * F.least("_l1", "_l2")).alias("dist"))
 
 
+def pairs_within(rows: DataFrame, key: str, ident: str, values: list[str], block: int = 512, task_pairs: int = 1 << 21) -> DataFrame:
+    """(a, b, x_<value>, y_<value> ...): every two rows a < b of one key, each pair once.
+
+    A key's rows are dealt into blocks, and every two blocks meet once.  The number of tasks
+    follows the number of pairs, which a count tells first, so that none makes more than
+    about task_pairs of them; the rows alone would fit in one task.
+    """
+    own = rows.filter(F.col(key).isNotNull() & F.col(ident).isNotNull()).select(F.col(key).alias("_key"), F.col(ident).alias("_id"), *values)
+    size = own.groupBy("_key").agg(F.count("*").alias("_n"))
+    pairs = size.agg(F.sum(F.col("_n").cast("double") * F.col("_n") / 2)).first()[0] or 0
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(pairs // task_pairs) + 1)
+    dealt = own.join(size.select("_key", F.ceil(F.col("_n") / block).alias("_blocks")), "_key").withColumn("_i", F.pmod(F.xxhash64("_id"), "_blocks"))
+    dealt = dealt.select(*own.columns, "_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_j"))
+    dealt = dealt.select("_key", "_id", *values, "_i", F.least("_i", "_j").alias("_p"), F.greatest("_i", "_j").alias("_q"))
+    meet = ["_key", "_p", "_q"]
+    side = lambda at, name: dealt.filter(F.col("_i") == F.col(at)).select(*meet, F.col("_id").alias(name), *[F.col(v).alias(f"{name}{v}") for v in values]).repartition(parts, *meet)
+    met = side("_p", "_l").join(side("_q", "_r"), meet).filter((F.col("_p") < F.col("_q")) | (F.col("_l") < F.col("_r")))
+    met = met.filter("_l != _r").withColumn("_up", F.col("_l") < F.col("_r"))
+    of = lambda one, two, v: F.when(F.col("_up"), F.col(f"{one}{v}")).otherwise(F.col(f"{two}{v}"))
+    return met.select(of("_l", "_r", "").alias("a"), of("_r", "_l", "").alias("b"), *[of("_l", "_r", v).alias(f"x_{v}") for v in values], *[of("_r", "_l", v).alias(f"y_{v}") for v in values])
+
+
+def both_ways(pairs: DataFrame, *values: str) -> DataFrame:
+    """Each pair (a, b) in both directions, made in one pass."""
+    way = lambda one, two: F.struct(F.col(one).alias("a"), F.col(two).alias("b"))
+    return pairs.select(F.explode(F.array(way("a", "b"), way("b", "a"))).alias("_w"), *values).select("_w.a", "_w.b", *values)
+
+
 def nearest(distances: DataFrame, n: int = 10, least: float = 0.01) -> DataFrame:
-    """Per a the n nearest b at a distance of at least least (both directions of each pair)."""
-    both = distances.select("a", "b", "dist").unionByName(distances.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist"))
+    """Per a the n nearest b at a distance of at least least (both directions of each pair); each task keeps its n before the shuffle."""
+    w = Window.partitionBy("a").orderBy("dist", "b")
+    return both_ways(distances.filter(F.col("dist") >= least), "dist").withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
+def category_words(cogs: DataFrame, most: int = 1024) -> tuple[DataFrame, int]:
+    """(id, w0, w1, ...) of cogs (id, cog), and how many words: a bit for each different category; beyond most categories (id, set) with none."""
+    own = cogs.filter("id is not null and cog is not null")
+    names = cut(own.select("cog").distinct())
+    count = names.count()
+    if count > most:
+        return own.groupBy("id").agg(F.collect_set("cog").alias("set")), 0
+    at = {r.cog: i for i, r in enumerate(names.collect())}  # at most most
+    number = F.element_at(F.create_map(*[F.lit(x) for pair in at.items() for x in pair]), F.col("cog")) if at else F.lit(0)
+    bits = own.select("id", number.alias("_n"))
+    word = lambda i: F.coalesce(F.bit_or(F.when(F.floor(F.col("_n") / 64) == i, F.expr("shiftleft(1L, cast(_n % 64 as int))"))), F.lit(0).cast("long"))
+    words = max(1, -(-count // 64))
+    return bits.groupBy("id").agg(*[word(i).alias(f"w{i}") for i in range(words)]), words
+
+
+def outgroup_within(rows: DataFrame, key: str, ident: str, distance: Callable[[DataFrame], Column], values: list[str], cogs: DataFrame, least: int = 10) -> DataFrame:
+    """outgroup() among all rows of one key: shared categories are counted where a pair is made, so no pair meets its categories as rows.
+
+    distance gives a pair's distance from its columns x_<value> and y_<value>.
+    """
+    sets, words = category_words(cogs)
+    names = [f"w{i}" for i in range(words)] or ["set"]
+    own = rows.join(sets.withColumnRenamed("id", ident), ident)
+    made = pairs_within(own, key, ident, [*values, *names])
+    shared = sum((F.bit_count(F.col(f"x_{w}").bitwiseAND(F.col(f"y_{w}"))) for w in names), F.lit(0)) if words else F.size(F.array_intersect("x_set", "y_set"))
+    found = made.select("a", "b", distance(made).alias("dist"), shared.cast("long").alias("shared")).filter(F.col("shared") >= least)
+    return _first(both_ways(found, "dist", "shared"))
+
+
+def _first(found: DataFrame) -> DataFrame:
     w = Window.partitionBy("a").orderBy("dist", "b")
-    return both.filter(F.col("dist") >= least).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return found.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
 def outgroup(neighbours: DataFrame, cogs: DataFrame, least: int = 10) -> DataFrame:
     """Per a the nearest b that shares at least least categories (cogs: id, cog); shared ones are counted per candidate."""
     x, y = cogs.select(F.col("id").alias("a"), "cog").distinct(), cogs.select(F.col("id").alias("b"), "cog").distinct()
     n = neighbours.join(x, "a").join(y, ["b", "cog"]).groupBy("a", "b", "dist").agg(F.count("*").alias("shared")).filter(F.col("shared") >= least)
-    w = Window.partitionBy("a").orderBy("dist", "b")
-    return n.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    return _first(n)
 
 
 def average_distance(distances: DataFrame) -> DataFrame:
