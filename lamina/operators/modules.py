@@ -10,8 +10,10 @@ present only: an absent feature has no row and scores 0.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -124,13 +126,14 @@ def definition_nodes(definitions: DataFrame) -> DataFrame:
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            out = []
             for module, text in zip(p["module"], p["definition"], strict=True):
                 tree = parse_definition(text) if text else None
                 if tree is not None:
                     form, tree = _ordered(tree)  # so that equal forms number their nodes alike
-                    out += [(module, form, *row) for row in _rows(tree)]
-            yield pd.DataFrame(out, columns=["module", "form", "node", "parent", "level", "kind", "feature", "required", "needed"])
+                    # A form is as long as its definition: each of its nodes holds the form's digest instead.
+                    rows, digest = _rows(tree), hashlib.sha256(form.encode()).hexdigest()
+                    while some := list(islice(rows, 1 << 16)):
+                        yield pd.DataFrame([(module, digest, *row) for row in some], columns=["module", "form", "node", "parent", "level", "kind", "feature", "required", "needed"])
 
     nodes = definitions.select("module", "definition").filter("module is not null").mapInPandas(run, f"module {name}, " + _NODES.removeprefix("variant long, "))
     return nodes.withColumn("variant", F.xxhash64("module", "form"))

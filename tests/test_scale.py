@@ -6,7 +6,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from lamina.operators import graph
+from lamina.functions import seq as S
+from lamina.operators import bins, graph, modules, sequences
 
 
 def test_outgroup_among_rows_of_a_key(spark):
@@ -36,3 +37,72 @@ def test_pairs_of_a_key_are_dealt_by_their_number(spark):
     assert "Partial" in plan.split("WindowGroupLimit", 1)[1] or plan.count("WindowGroupLimit") == 2  # each task keeps its own nearest
     want = {(a, b, i + 1) for a in range(300) for i, (_, b) in enumerate(sorted((abs(a * 7 % 50 - b * 7 % 50), b) for b in range(a % 2, 300, 2) if a * 7 % 50 != b * 7 % 50)[:3])}
     assert {(r.a, r.b, r["rank"]) for r in near.collect()} == want
+
+
+def test_nodes_hold_a_digest_of_their_form(spark):
+    text = "+".join(f"K{i}" for i in range(5000))
+    nodes = modules.definition_nodes(spark.createDataFrame([("a", text), ("b", "+".join(reversed(text.split("+")))), ("c", "K1,K2")], "module string, definition string"))
+    assert nodes.count() == 2 * 5001 + 3 and nodes.agg(F.max(F.length("form"))).first()[0] == 64
+    assert nodes.groupBy("module").agg(F.first("form").alias("f")).select("f").distinct().count() == 2
+
+
+def test_limits_of_bins_dont_hang_on_the_order_of_sums(spark):
+    rows = [(i, "m", 10, v, m) for i, (v, m) in enumerate([(2.2, True), (2.2 + 1e-15, True), (2.2, False), (2.4200000000000004, False), (2.42, False), (2.43, False), (2.201, True)])]
+    got = bins.gene_importance(spark.createDataFrame(rows * 1, "gene int, mgs string, occ long, multibin double, is_marker boolean"))
+    q75 = 2.42
+    assert {r.gene for r in got.collect()} == {i for i, (_, _, _, v, m) in enumerate(rows) if round(v, 9) <= (2.2 if m else round(1.1 * q75, 9))}
+
+
+def test_window_trim_in_slices(spark):
+    rng = random.Random(2)
+    rows = [(i, "A" * n, "".join(rng.choice("I+5") for _ in range(n))) for i, n in enumerate([0, 3, 900, 10, 40, 5000] * 5)]
+    df = spark.createDataFrame(rows, "id int, seq string, qual string")
+    whole = sequences.window_trim(df, 5, 20).collect()
+    assert sequences.window_trim(df, 5, 20, slice_bytes=64).collect() == whole
+
+
+def test_short_texts_are_compared_many_at_once(spark):
+    rng = random.Random(3)
+    words = ["", "\0", "a\0", "é😀a", "aé😀", *["".join(rng.choice("abc") for _ in range(rng.randrange(64))) for _ in range(60)]]
+    pairs = [(rng.choice(words), rng.choice(words)) for _ in range(500)]
+    at, size = S.shared_spans([p for p, _ in pairs], [q for _, q in pairs])
+    for (p, q), s, n in zip(pairs, at.tolist(), size.tolist(), strict=True):
+        want = max((p[i:j] for i in range(len(p)) for j in range(i, len(p) + 1) if p[i:j] in q), key=len, default="")
+        assert p[s : s + n] == want
+
+
+def test_common_prefix_by_halving(spark):
+    rng = random.Random(4)
+    pairs = [("".join(rng.choice("ab") for _ in range(rng.randrange(9))), "".join(rng.choice("ab") for _ in range(rng.randrange(9)))) for _ in range(300)] + [("é😀x", "é😀y"), (None, "a"), ("a", None)]
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", S.common_prefix(F.col("a"), F.col("b")).alias("p"))
+    import os
+
+    for r in df.collect():
+        assert r.p == (None if r.a is None or r.b is None else os.path.commonprefix([r.a, r.b]))
+    assert "filter" not in df._jdf.queryExecution().optimizedPlan().toString()  # no list of all places that differ
+
+
+def test_windows_of_few_codes_are_counted_without_sorting():
+    import numpy as np
+
+    calls, real = [], np.lexsort
+    rng = random.Random(6)
+    data = np.frombuffer("".join(rng.choice("ACGTN") for _ in range(3000)).encode(), dtype=np.uint8)
+    offs = np.array([0, 0, 5, 1200, 1203, 3000])
+    np.lexsort = lambda *a: calls.append(1) or real(*a)
+    try:
+        got = sequences.window_counts(data, offs, 2, 100, 30)
+    finally:
+        np.lexsort = real
+    assert not calls
+    want = {}
+    for row in range(5):
+        text = data[offs[row] : offs[row + 1]].tobytes().decode()
+        for w in range(max(len(text) - 100, 0) // 30 + 1):
+            part = text[30 * w : 30 * w + 100]
+            for i in range(len(part) - 1):
+                if "N" not in part[i : i + 2]:
+                    a, b = ("ACGT".index(x) for x in part[i : i + 2])
+                    for code in (4 * a + b, 4 * (3 - b) + 3 - a):
+                        want[row, w, code] = want.get((row, w, code), 0) + 1
+    assert dict(zip(zip(*(x.tolist() for x in got[:3]), strict=True), got[3].tolist(), strict=True)) == want
