@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.stats import round_half_up
+
 # Completeness, contamination and lineage purity of the quality tiers, best first.
 TIERS = ((98, 1, 0.97), (95, 3, 0.95), (80, 5, 0.92), (60, 10, 0.9))
 UNKNOWN_SHARE = (0.75, 0.75, 0.8, 1.1)
@@ -49,12 +51,16 @@ def core_range(values: DataFrame, key: str, value: str, bins: int = 40) -> DataF
 
 
 def gene_importance(genes: DataFrame) -> DataFrame:
-    """Genes of each cluster that are kept: markers up to least(q75, 2.2) bins, others up to 1.1 q75 and near the mean occurrence."""
-    s = genes.groupBy("mgs").agg(F.percentile("multibin", F.lit(0.75)).alias("q75"), F.avg("occ").alias("avg_occ"))
-    g = genes.join(s, "mgs")
-    marker = F.col("is_marker") & (F.col("multibin") <= F.least("q75", F.lit(2.2)))
-    other = ~F.col("is_marker") & (F.col("multibin") <= 1.1 * F.col("q75")) & F.col("occ").between(0.5 * F.col("avg_occ"), 1.5 * F.col("avg_occ"))
-    return g.filter(marker | other).drop("q75", "avg_occ")
+    """Genes of each cluster that are kept: markers up to least(q75, 2.2) bins, others up to 1.1 q75 and near the mean occurrence.
+
+    Bins and their limits are compared at nine decimals, so that the order in which a mean was summed decides nothing.
+    """
+    own = genes.withColumn("_bins", round_half_up(F.col("multibin"), 9))
+    s = own.groupBy("mgs").agg(F.percentile("_bins", F.lit(0.75)).alias("q75"), F.avg("occ").alias("avg_occ"))
+    g = own.join(s, "mgs")
+    marker = F.col("is_marker") & (F.col("_bins") <= round_half_up(F.least("q75", F.lit(2.2)), 9))
+    other = ~F.col("is_marker") & (F.col("_bins") <= round_half_up(1.1 * F.col("q75"), 9)) & F.col("occ").between(0.5 * F.col("avg_occ"), 1.5 * F.col("avg_occ"))
+    return g.filter(marker | other).drop("q75", "avg_occ", "_bins")
 
 
 def declutter(counts: DataFrame, share: float = 0.7) -> DataFrame:

@@ -84,7 +84,7 @@ def f13(t: Tables):
     return B.core_range(v, "k", "x").withColumn("core_low", r(F.col("core_low"))).withColumn("core_high", r(F.col("core_high")))
 
 
-@query("f14_gene_importance", f"WITH c AS {_CORE}, s AS (SELECT mgs, quantile_cont(multibin, 0.75) AS q75, avg(occ) AS a FROM c GROUP BY 1) SELECT gene FROM c JOIN s USING (mgs) WHERE (is_marker AND multibin <= least(q75, 2.2)) OR (NOT is_marker AND multibin <= 1.1 * q75 AND occ BETWEEN 0.5 * a AND 1.5 * a)")
+@query("f14_gene_importance", f"WITH c AS (SELECT gene, mgs, occ, is_marker, {rq('multibin', 9)} AS bins FROM {_CORE}), s AS (SELECT mgs, quantile_cont(bins, 0.75) AS q75, avg(occ) AS a FROM c GROUP BY 1) SELECT gene FROM c JOIN s USING (mgs) WHERE (is_marker AND bins <= {rq('least(q75, 2.2)', 9)}) OR (NOT is_marker AND bins <= {rq('1.1 * q75', 9)} AND occ BETWEEN 0.5 * a AND 1.5 * a)")
 def f14(t: Tables):
     return B.gene_importance(_core(t)).select("gene")
 
