@@ -88,10 +88,11 @@ def difference_positions(a: Column, b: Column) -> Column:
 
 
 def common_prefix(a: Column, b: Column) -> Column:
-    """The longest prefix that two strings share."""
+    """The longest prefix that two strings share, found by halving its length's possible range."""
     n = F.least(F.length(a), F.length(b))
-    diff = F.array_min(difference_positions(F.substring(a, F.lit(1), n), F.substring(b, F.lit(1), n)))
-    return F.substring(a, F.lit(1), F.coalesce(diff, n))
+    powers = F.transform(F.sequence(F.length(F.bin(n)) - 1, F.lit(0), F.lit(-1)), lambda i: F.pow(F.lit(2), i).cast("int"))
+    longer = lambda k, x: F.when((k + x <= n) & (F.substring(a, k + 1, x) == F.substring(b, k + 1, x)), k + x).otherwise(k)
+    return F.when(a == b, a).when(a.isNotNull() & b.isNotNull(), F.substring(a, F.lit(1), F.aggregate(powers, F.lit(0), longer)))
 
 
 def clean_header(header: Column, most: int = 40) -> Column:
@@ -177,11 +178,48 @@ def _joined(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
 
 
+_SHORT = 64  # letters of texts that are compared many at once
+
+
+def shared_spans(x: list[str], y: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Start in x and length of the longest substring of each pair of texts of at most 64 letters, of ties the first in x."""
+    n = len(x)
+    lx, ly = np.fromiter(map(len, x), np.int64, n), np.fromiter(map(len, y), np.int64, n)
+    wx, wy = max(int(lx.max(initial=0)), 1), max(int(ly.max(initial=0)), 1)
+    cx = np.ascontiguousarray(np.array(x, dtype=f"U{wx}").view(np.uint32).reshape(n, wx).T)
+    cy = np.ascontiguousarray(np.array(y, dtype=f"U{wy}").view(np.uint32).reshape(n, wy).T)
+    cx[np.arange(wx)[:, None] >= lx] = 0xFFFFFFFF  # no letters, and not equal to each other
+    cy[np.arange(wy)[:, None] >= ly] = 0xFFFFFFFE
+    run = np.zeros((wy + 1, n), dtype=np.uint8)
+    best, end = np.zeros(n, dtype=np.uint8), np.zeros(n, dtype=np.int64)
+    for i in range(wx):
+        run[1:] = (run[:-1] + 1) * (cy == cx[i])
+        top = run.max(axis=0)
+        more = top > best
+        end[more] = i + 1
+        np.maximum(best, top, out=best)
+    return end - best, best.astype(np.int64)
+
+
 def common_substring(a: Column, b: Column) -> Column:
-    """The longest substring that two texts share, of ties the first in a; null if either is."""
+    """The longest substring that two texts share, of ties the first in a; null if either is.  Short texts are compared many pairs at once."""
 
     @F.pandas_udf("string")
     def shared(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else longest_shared(p, q) for p, q in zip(x, y, strict=True)], dtype=object)
+        x, y = x.tolist(), y.tolist()
+        out: list[str | None] = [None] * len(x)
+        few = []
+        for i, (p, q) in enumerate(zip(x, y, strict=True)):
+            if isinstance(p, str) and isinstance(q, str):
+                if len(p) <= _SHORT and len(q) <= _SHORT:
+                    few.append(i)
+                else:
+                    out[i] = longest_shared(p, q)
+        for low in range(0, len(few), 4096):
+            part = few[low : low + 4096]
+            at, size = shared_spans([x[i] for i in part], [y[i] for i in part])
+            for i, s, n in zip(part, at.tolist(), size.tolist(), strict=True):
+                out[i] = x[i][s : s + n]
+        return pd.Series(out, dtype=object)
 
     return shared(a, b)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import seq as S
-from ..operators import association, correlate, homology, matrix, modules, pileup
+from ..operators import association, correlate, graph, homology, matrix, modules, pileup
 from ..operators import sequences as Q
 from .registry import Tables, query
 from .views import DNA_SQL, dna, r, rq
@@ -171,8 +171,8 @@ s AS (SELECT a, b, y, i, x[i:j] AS t FROM (SELECT *, unnest(range(i, length(x) +
 SELECT a, b, arg_max(t, {'n': length(t), 'i': -i}) AS shared FROM s WHERE contains(y, t) GROUP BY 1, 2""",
 )
 def x5_substring(t: Tables):
-    x, y = t.supplier.select("s_nationkey", F.col("s_suppkey").alias("a"), F.col("s_name").alias("na")), t.supplier.select("s_nationkey", F.col("s_suppkey").alias("b"), F.col("s_name").alias("nb"))
-    return x.join(y, "s_nationkey").filter("a < b").select("a", "b", S.common_substring(F.col("na"), F.col("nb")).alias("shared"))
+    made = graph.pairs_within(t.supplier, "s_nationkey", "s_suppkey", ["s_name"])
+    return made.select("a", "b", S.common_substring(F.col("x_s_name"), F.col("y_s_name")).alias("shared"))
 
 
 # Greedy order isn't expressed in SQL; tests hold canopies against a plain loop.
