@@ -30,6 +30,15 @@ def read_filter(seq: Column, qual: Column, min_len: int = 0, min_avg: float = 0,
     return ok
 
 
+def _row_slices(offs: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """First and last row, that one excluded, of slices of whole rows with about size bytes."""
+    at, rows = 0, len(offs) - 1
+    while at < rows:
+        to = min(max(int(np.searchsorted(offs, offs[at] + size, side="right")) - 1, at + 1), rows)
+        yield at, to
+        at = to
+
+
 def kept_lengths(data: np.ndarray, offs: np.ndarray, window: int, least: float, offset: int) -> np.ndarray:
     """Where the first window of each row of qualities begins whose mean is under least; a row's length where there is none."""
     total = np.concatenate([[0], np.cumsum(data, dtype=np.int64)])
@@ -41,15 +50,16 @@ def kept_lengths(data: np.ndarray, offs: np.ndarray, window: int, least: float,
     return np.minimum(np.where(found < offs[1:], found, offs[1:]), offs[1:]) - offs[:-1]
 
 
-def window_trim(reads: DataFrame, window: int, least: float, offset: int = 33) -> DataFrame:
-    """Reads cut before the first window whose mean quality is under least; only qualities leave the JVM."""
+def window_trim(reads: DataFrame, window: int, least: float, offset: int = 33, slice_bytes: int = 1 << 18) -> DataFrame:
+    """Reads cut before the first window whose mean quality is under least; only qualities leave the JVM, and about slice_bytes of them are worked on at once."""
 
     @F.arrow_udf("int")
     def kept(qual: pa.Array) -> pa.Array:
         text = qual.fill_null("")
         offs = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
-        data = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)[offs[0] : offs[-1]]
-        return pa.array(kept_lengths(data, offs - offs[0], window, least, offset).astype(np.int32))
+        raw = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)
+        own = [kept_lengths(raw[offs[at] : offs[to]], offs[at : to + 1] - offs[at], window, least, offset) for at, to in _row_slices(offs, slice_bytes)]
+        return pa.array(np.concatenate([*own, np.zeros(0, np.int64)]).astype(np.int32))
 
     cut = reads.withColumn("_kept", kept("qual"))
     shorter = F.col("_kept") < F.length("qual")
@@ -115,11 +125,8 @@ def _byte_slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple
         names, text = b.column(0), b.column(1).fill_null("")
         offs = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
         raw = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)
-        at = 0
-        while at < len(text):
-            to = min(max(int(np.searchsorted(offs, offs[at] + size, side="right")) - 1, at + 1), len(text))
+        for at, to in _row_slices(offs, size):
             yield names, at, raw[offs[at] : offs[to]], offs[at : to + 1] - offs[at]
-            at = to
 
 
 def kmer_counts(seqs: DataFrame, key: str, seq: str, k: int, slice_bytes: int = 1 << 20, both_strands: bool = False) -> DataFrame:
@@ -169,6 +176,15 @@ def window_counts(data: np.ndarray, offs: np.ndarray, k: int, size: int, step: i
     high = np.where(length < size, 0, high)
     inside = low <= high
     row, code, low, high = row[inside], code[inside], low[inside], high[inside]
+    first = np.cumsum(np.append(0, np.maximum(np.diff(offs) - size, 0) // step + 1))  # each row's first window, numbered over all rows
+    spread = int((high - low + 1).sum())
+    if first[-1] * 4**k <= 4 * spread + 65_536:  # few codes: each is counted in every window that holds it
+        times = high - low + 1
+        window = _spread(first[row] + low, times) * 4**k
+        n = np.bincount(np.concatenate([window + np.repeat(code, times), window + np.repeat(_reversed_codes(code, k), times)]), minlength=int(first[-1]) * 4**k)
+        at = np.flatnonzero(n)
+        of = np.repeat(np.arange(len(offs) - 1), np.diff(first))[at // 4**k]
+        return of, at // 4**k - first[of], at % 4**k, n[at]
     row, low, high, code = np.tile(row, 2), np.tile(low, 2), np.tile(high, 2), np.concatenate([code, _reversed_codes(code, k)])
     r, c, w, d = np.tile(row, 2), np.tile(code, 2), np.concatenate([low, high + 1]), np.repeat([1, -1], len(row))
     order = np.lexsort((w, c, r))
@@ -194,8 +210,9 @@ def kmer_windows(seqs: DataFrame, k: int, size: int, step: int | None = None, sl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for names, at, data, offs in _byte_slices(batches, slice_bytes):
             row, window, code, n = window_counts(data, offs, k, size, step)
-            order = np.lexsort((code, window, row))
-            row, window, code, n = row[order], window[order], code[order], n[order]
+            if len(row) and (np.diff(row) < 0).any() | ((np.diff(row) == 0) & (np.diff(window) < 0)).any():
+                order = np.lexsort((code, window, row))
+                row, window, code, n = row[order], window[order], code[order], n[order]
             new = np.append(True, (row[1:] != row[:-1]) | (window[1:] != window[:-1])) if len(row) else np.zeros(0, bool)
             group = np.cumsum(new) - 1
             total = np.bincount(group, weights=n) if len(row) else np.zeros(0)
