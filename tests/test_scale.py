@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from lamina.functions import seq as S
-from lamina.operators import bins, graph, modules, sequences
+from lamina.operators import bins, graph, modules, pileup, sequences
 
 
 def test_outgroup_among_rows_of_a_key(spark):
@@ -106,3 +106,48 @@ def test_windows_of_few_codes_are_counted_without_sorting():
                     for code in (4 * a + b, 4 * (3 - b) + 3 - a):
                         want[row, w, code] = want.get((row, w, code), 0) + 1
     assert dict(zip(zip(*(x.tolist() for x in got[:3]), strict=True), got[3].tolist(), strict=True)) == want
+
+
+def test_bases_are_counted_where_blocks_meet(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        a, d, b, n, c = (rng.randrange(1, 9) for _ in range(5))
+        size = a + b + c + 2
+        rows.append((f"c{rng.randrange(3)}", rng.randrange(1, 60), f"{a}M{d}D{b}M2I{c}M" if i % 3 else f"{a}M{d}N{b}M2I{c}M", "".join(rng.choice("ACGTacgtNé") for _ in range(size)), rng.choice([None, "*", "".join(rng.choice("!5I") for _ in range(size))]), 20, a, d, b, c))
+    df = spark.createDataFrame([r[:6] for r in rows], "contig string, pos long, cigar string, seq string, qual string, mapq int")
+    want = {}
+    for contig, pos, _, seq, qual, _, a, d, b, c in rows:
+        gone = "deleted" if "D" in _of(rows, contig, pos, seq) else None
+        at, read = pos, 0
+        for kind, n in (("m", a), (gone, d), ("m", b), ("i", 2), ("m", c)):
+            for j in range(n if kind != "i" else 1):
+                if kind == "m":
+                    base = seq[read + j].upper()
+                    if qual in (None, "*") or ord(qual[read + j]) - 33 >= 20:
+                        want.setdefault((contig, at + j), []).append(base.lower() if base in "ACGT" else "n")
+                elif kind == "i":
+                    want.setdefault((contig, at - 1), []).append("inserted")
+                elif kind:
+                    want.setdefault((contig, at + j), []).append(kind)
+            at += 0 if kind == "i" else n
+            read += n if kind in ("m", "i") else 0
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # bins go on from batch to batch
+    try:
+        for size in (5, 4096):
+            out = pileup.base_counts(df, 10, 20, size)
+            got = {(r.contig, r.pos): r for r in out.collect()}
+            assert got.keys() == want.keys()
+            for key, r in got.items():
+                assert all(r[k] == want[key].count(k) for k in ("a", "c", "g", "t", "n", "deleted", "inserted")) and r.depth == r.a + r.c + r.g + r.t + r.n
+            ref = spark.createDataFrame([("c0", "ACGTN" * 9), ("c1", "acg" * 30)], "contig string, seq string")
+            plain = {tuple(r) for r in pileup.pileup_calls(out.filter("depth > 0"), ref).collect()}
+            assert {tuple(r) for r in pileup.alignment_calls(df, ref, 10, 20, size).collect()} == plain and plain
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "posexplode" not in plan and "Aggregate" not in plan  # no row a base
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def _of(rows, contig, pos, seq):
+    return next(r[2] for r in rows if r[0] == contig and r[1] == pos and r[3] == seq)
