@@ -87,9 +87,8 @@ o AS (SELECT *, list_sort(list_filter([{{'n': -A, 'b': 'A'}}, {{'n': -C, 'b': 'C
 SELECT contig, pos, ref, coalesce(top.b, '.') AS alt, depth, {rq('coalesce(-top.n, 0) * 1.0 / depth')} AS freq FROM o""",
 )
 def c2_calls(t: Tables):
-    counts = pileup.base_counts(_reads(t), 14).filter("depth > 0")
     reference = t.part.select(F.col("p_partkey").alias("contig"), F.repeat(F.lit("GATTACA"), F.lit(80)).alias("seq"))
-    return pileup.pileup_calls(counts, reference).withColumn("freq", r(F.col("freq")))
+    return pileup.alignment_calls(_reads(t), reference, 14).withColumn("freq", r(F.col("freq")))
 
 
 # Edit distances of whole texts are too slow in SQL for all pairs; tests hold this against them on small fixtures.
