@@ -149,13 +149,48 @@ def kmer_counts(seqs: DataFrame, key: str, seq: str, k: int, slice_bytes: int =
     return seqs.select(key, seq).mapInArrow(run, f"`{key}` {kind}, kmer string, n long")
 
 
-def kmer_profile(seqs: DataFrame, k: int, min_len: int = 0) -> DataFrame:
-    """(id, kmer, percent): k-mers of both strands as percent of all, rounded to five decimals of the share."""
-    rows = kmer_counts(seqs.filter(F.length("seq") >= min_len), "id", "seq", k, both_strands=True)
-    # Counts come once for each row and k-mer; dealt by id, both sums need no further shuffle.
-    both = rows.repartition("id").groupBy("id", "kmer").agg(F.sum("n").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("id"))
-    return both.select("id", "kmer", (F.floor(F.col("n") * 100000.0 / total + 0.5) / 1000.0).alias("percent"))
+def kmer_profile(seqs: DataFrame, k: int, min_len: int = 0, slice_bytes: int = 1 << 20) -> DataFrame:
+    """(id, kmer, percent): k-mers of both strands as percent of all, rounded to five decimals of the share.
+
+    Sequences are dealt by id, not the rows of their k-mers; a task holds the counts of one id
+    besides a slice, as an id's sequences may go on in the next.
+    """
+    if not 0 < k <= 24:
+        raise ValueError("k-mers of 1 to 24 bases are counted")
+    own = seqs.filter(F.length("seq") >= min_len).select("id", "seq")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # (id, codes, counts)
+
+        def given(names: pa.Array, row: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            total = np.bincount(row, weights=n)
+            return pa.RecordBatch.from_arrays([names.take(pa.array(row)), _kmer_names(code, k), pa.array(np.floor(n * 100000.0 / total[row] + 0.5) / 1000.0)], names=["id", "kmer", "percent"])
+
+        def one() -> pa.RecordBatch:
+            return given(held[0], np.zeros(len(held[1]), np.int64), held[1], held[2])
+
+        for names, at, data, offs in _byte_slices(batches, slice_bytes):
+            names = names.slice(at, len(offs) - 1)
+            ids = names.dictionary_encode(null_encoding="encode").indices.to_numpy()
+            new = np.append(True, ids[1:] != ids[:-1])
+            heads, group = names.take(pa.array(np.flatnonzero(new))), np.cumsum(new) - 1
+            row, code = _kmer_codes(data, offs, k)
+            row, code, n = _counted(np.tile(group[row], 2), np.concatenate([code, _reversed_codes(code, k)]), len(heads), k)
+            if held is not None and held[0][0].as_py() == heads[0].as_py():
+                first = int(np.searchsorted(row, 1))
+                codes, index = np.unique(np.concatenate([held[1], code[:first]]), return_inverse=True)
+                sums = np.bincount(index, weights=np.concatenate([held[2], n[:first]])).astype(np.int64)
+                row, code, n = np.concatenate([np.zeros(len(codes), np.int64), row[first:]]), np.concatenate([codes, code[first:]]), np.concatenate([sums, n[first:]])
+            elif held is not None and len(held[1]):
+                yield one()
+            last = int(np.searchsorted(row, len(heads) - 1))
+            if last:
+                yield given(heads, row[:last], code[:last], n[:last])
+            held = (heads.slice(len(heads) - 1), code[last:], n[last:])
+        if held is not None and len(held[1]):
+            yield one()
+
+    return own.repartition("id").sortWithinPartitions("id").mapInArrow(run, f"id {dict(own.dtypes)['id']}, kmer string, percent double")
 
 
 def window_counts(data: np.ndarray, offs: np.ndarray, k: int, size: int, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -151,3 +151,22 @@ def test_bases_are_counted_where_blocks_meet(spark):
 
 def _of(rows, contig, pos, seq):
     return next(r[2] for r in rows if r[0] == contig and r[1] == pos and r[3] == seq)
+
+
+def test_profiles_are_made_where_sequences_of_an_id_meet(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice([1, 2, 3, 4, 5, None]), "".join(rng.choice("ACGTN") for _ in range(rng.randrange(80)))) for _ in range(120)] + [(6, ""), (7, "A")]
+    counts = {}
+    for i, text in rows:
+        for j in range(len(text) - 2):
+            w = text[j : j + 3]
+            if "N" not in w:
+                for x in (w, w[::-1].translate(str.maketrans("ACGT", "TGCA"))):
+                    counts.setdefault(i, {})[x] = counts.get(i, {}).get(x, 0) + 1
+    want = {(i, w): int(n * 100000.0 / sum(c.values()) + 0.5) / 1000.0 for i, c in counts.items() for w, n in c.items()}
+    df = spark.createDataFrame(rows, "id int, seq string")
+    for size in (50, 1 << 20):
+        out = sequences.kmer_profile(df, 3, 0, size)
+        got = [(r.id, r.kmer, r.percent) for r in out.collect()]
+        assert len(got) == len(want) and {(i, w): p for i, w, p in got} == want
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
