@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import seq as S
-from . import graph
+from . import blocks, graph
 from .matrix import cumulative_half
 
 
@@ -340,86 +340,148 @@ def shared_kmers(one: tuple, two: tuple, chunk: int = 1 << 22, columns: int = 1
     return out
 
 
-def gene_links(seqs: list[str], sides: np.ndarray, k: int, need: float, rows: int = 2048, tokens: int = 1 << 21) -> list[tuple[int, int]]:
+def block_kmers(seqs: list[str], k: int, plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(k-mers sorted, row of each, set sizes) of a block; plain: all letters are ACGT, and k-mers are numbers of two bits a letter instead of hashes."""
+    if not plain:
+        sets = [kmer_set(s, k) for s in seqs]
+        size = np.array([len(x) for x in sets], dtype=np.int64)
+        t, who = np.concatenate([*sets, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(sets)), size)
+        order = np.argsort(t, kind="stable")
+        return t[order], who[order], size
+    length = np.array([len(s) for s in seqs], dtype=np.int64)
+    letters = _TWO_BITS[np.frombuffer("".join(seqs).encode(), dtype=np.uint8)]
+    code = np.zeros(len(letters), dtype=np.int64)
+    for j in range(k):
+        code[: len(code) - j] |= letters[j:] << (2 * (k - 1 - j))
+    row = np.repeat(np.arange(len(seqs)), length)
+    inside = np.arange(len(letters)) <= np.repeat(np.cumsum(length) - k, length)
+    key = (code[inside] << 24) | row[inside]
+    short = [((1 << 2 * k) + int("1" + s.translate(_DIGITS), 4)) << 24 | i for i, s in enumerate(seqs) if len(s) < k]
+    key = np.sort(np.concatenate([key, np.array(short, dtype=np.int64)]))
+    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+    who = key & ((1 << 24) - 1)
+    return key >> 24, who, np.bincount(who, minlength=len(seqs))
+
+
+_TWO_BITS = np.zeros(256, dtype=np.int64)
+_TWO_BITS[[ord(c) for c in "ACGT"]] = range(4)
+_DIGITS = str.maketrans("ACGT", "0123")
+_PLAIN = re.compile("[ACGT]*")
+
+
+def _near_rows(one: tuple, two: tuple, need: float, label: np.ndarray, left: np.ndarray, right: np.ndarray, out: list, most: int = 32) -> None:
+    """Add to out, and to the labels, links between the rows of two blocks that aren't joined yet.
+
+    A row of n k-mers needs at least m in common with any row of the other block.  Its c < m most
+    common k-mers are left out, so that m - c of the others must be shared; only rows that have
+    a partner of so many are counted whole.  Rows of too many common k-mers go to products of matrices.
+    """
+    (ta, wa, na), (tb, wb, nb) = one, two
+    if not len(ta) or not len(tb):
+        return
+    cols = len(nb)
+    ub, sb, cb = _runs(tb)
+    at = np.minimum(np.searchsorted(ub, ta), len(ub) - 1)
+    hit = ub[at] == ta
+    at, who = at[hit], wa[hit]
+    order = np.lexsort((cb[at], who)) if len(ub) >= 1 << 24 else np.argsort((who.astype(np.int64) << 24) | cb[at])
+    at, bounds = at[order], np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(na)))])
+    least = np.ceil(need / (1 + need) * (na + nb.min()) - 1e-6).astype(np.int64)
+    weight = np.concatenate([[0], np.cumsum(cb[at])])
+    dense = []
+
+    def join(i: int, js: np.ndarray) -> None:
+        for j in js:
+            x, y = label[left[i]], label[right[j]]
+            if x != y:
+                label[label == max(x, y)] = min(x, y)
+                out.append((int(left[i]), int(right[j])))
+
+    for i in range(len(na)):
+        a, b = bounds[i], bounds[i + 1]
+        if b - a < least[i]:
+            continue
+        c = 4 * int(least[i]) // 5
+        if weight[b - c] - weight[a] > most * cols or weight[b] - weight[a] > 64 * most * cols:
+            dense.append(i)
+            continue
+        few = at[a : b - c]
+        near = np.flatnonzero(np.bincount(wb[_spread(sb[few], cb[few])], minlength=cols) >= least[i] - c)
+        near = near[label[right[near]] != label[left[i]]]
+        if len(near):
+            every = at[a:b]
+            shared = np.bincount(wb[_spread(sb[every], cb[every])], minlength=cols)[near]
+            join(i, near[shared >= need * (na[i] + nb[near] - shared)])
+    for low in range(0, len(dense), 256):
+        rows = np.array(dense[low : low + 256])
+        place = np.full(len(na), -1)
+        place[rows] = np.arange(len(rows))
+        own = place[wa] >= 0
+        shared = shared_kmers((ta[own], place[wa[own]], na[rows]), two)
+        linked = shared >= need * (na[rows][:, None] + nb[None, :] - shared)
+        for x, i in enumerate(rows):
+            js = np.flatnonzero(linked[x])
+            js = js[label[right[js]] != label[left[i]]]
+            # One link for each cluster that the row meets.
+            join(i, js[np.unique(label[right[js]], return_index=True)[1]])
+
+
+def gene_links(seqs: list[str], sides: np.ndarray, k: int, need: float, rows: int = 1 << 14, tokens: int = 1 << 24) -> list[tuple[int, int]]:
     """Links that join what pairs of Jaccard similarity need or more join: pairs of the two sides, or all if there is one side.
 
     Blocks are cut in the order of set sizes, and blocks whose sizes are too far apart aren't compared.
     """
-    size = np.array([len(kmer_set(s, k)) for s in seqs], dtype=np.int64)
-
-    def blocks(of: np.ndarray) -> list[np.ndarray]:
-        of = of[np.argsort(size[of], kind="stable")]
-        held, cut, out = 0, 0, []
-        for i, n in enumerate(size[of]):
+    plain = k <= 12 and all(_PLAIN.fullmatch(s) for s in seqs)
+
+    def blocks(of: np.ndarray) -> list[tuple]:
+        whole = block_kmers([seqs[i] for i in of], k, plain)
+        if len(of) <= rows and len(whole[0]) <= tokens:
+            return [(of, whole)] if len(of) else []
+        order = np.argsort(whole[2], kind="stable")
+        cut, held, out = 0, 0, []
+        for i, n in enumerate(whole[2][order]):
             if i > cut and (held + n > tokens or i - cut >= rows):
-                out.append(of[cut:i])
+                out.append(of[order[cut:i]])
                 held, cut = 0, i
             held += n
-        return [*out, of[cut:]] if len(of) else out
-
-    def load(of: np.ndarray) -> tuple:
-        t, who = np.concatenate([kmer_set(seqs[i], k) for i in of]), np.repeat(np.arange(len(of)), size[of])
-        order = np.argsort(t, kind="stable")
-        return t[order], who[order], size[of]
+        return [(x, block_kmers([seqs[i] for i in x], k, plain)) for x in [*out, of[order[cut:]]]]
 
     single = len(np.unique(sides)) < 2
     lefts = blocks(np.flatnonzero(sides == sides.min())) if len(sides) else []
     rights = lefts if single else blocks(np.flatnonzero(sides == sides.max()))
-    root, out = np.arange(len(seqs)), []
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for n, left in enumerate(lefts):
-        one = load(left)
-        for right in rights[n:] if single else rights:
-            low, high = (left, right) if size[left[0]] <= size[right[0]] else (right, left)
-            if size[low[-1]] < need * size[high[0]]:
-                continue
-            two = one if right is left else load(right)
-            shared = shared_kmers(one, two)
-            x, y = np.nonzero(shared >= need * (one[2][:, None] + two[2][None, :] - shared))
-            x, y = left[x], right[y]
-            while len(x):
-                # A link of each row a round, until all that link are joined.
-                for i in np.unique(x, return_index=True)[1]:
-                    a, b = find(int(x[i])), find(int(y[i]))
-                    if a != b:
-                        root[max(a, b)] = min(a, b)
-                        out.append((int(x[i]), int(y[i])))
-                flat = np.array([find(i) for i in range(len(root))])
-                apart = flat[x] != flat[y]
-                x, y = x[apart], y[apart]
+    label, out = np.arange(len(seqs)), []
+    for n, (left, one) in enumerate(lefts):
+        for right, two in rights[n:] if single else rights:
+            low, high = (one[2], two[2]) if one[2].max() <= two[2].max() else (two[2], one[2])
+            if low.max() >= need * high.min():
+                _near_rows(one, two, need, label, left, right, out)
     return out
 
 
-def cluster_genes(seqs: DataFrame, k: int = 11, identity: float = 0.95, block: int = 8192) -> DataFrame:
+def cluster_genes(seqs: DataFrame, k: int = 11, identity: float = 0.95, block: int = 1 << 14, letters: int = 1 << 23) -> DataFrame:
     """(id, cluster): genes linked when the Jaccard similarity of their k-mer sets reaches what the identity implies.
 
-    Equal sequences are one node.  The nodes are dealt into blocks, and every two blocks are
-    compared whole in one task, so that no link is missed; the work grows with the square of
-    the nodes.  The longest gene of a cluster names it.
+    Equal sequences are one node.  The nodes are kept once, in blocks of like set sizes, and
+    every two blocks whose sizes can link are compared whole in one task, which reads them;
+    no link is missed, and the work grows with the square of the nodes, the disk with the
+    nodes.  The longest gene of a cluster names it.
     """
     need = identity**k / (2 - identity**k)
     own = seqs.select("id", F.length("seq").alias("len"), F.sha2("seq", 256).alias("digest"), "seq")
     nodes = own.filter("id is not null and seq is not null").groupBy("digest").agg(F.any_value("seq").alias("seq"))
-    count = own.agg(F.approx_count_distinct("digest").alias("n"))
-    dealt = nodes.crossJoin(F.broadcast(count))  # one row
-    dealt = dealt.withColumn("blocks", F.ceil(F.col("n") / block)).withColumn("i", F.pmod(F.xxhash64("digest"), F.greatest("blocks", F.lit(1))))
-    dealt = dealt.select("digest", "seq", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest("blocks", F.lit(1)) - 1)).alias("j"))
-    dealt = dealt.select("digest", "seq", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), (F.col("i") > F.col("j")).alias("side"))
-
-    def compare(g: pd.DataFrame) -> pd.DataFrame:
-        names = g["digest"].to_numpy()
-        if g["p"].iloc[0] != g["q"].iloc[0] and g["side"].nunique() < 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype=object)  # the other block is empty
-        found = gene_links(g["seq"].tolist(), g["side"].to_numpy(), k, need)
-        return pd.DataFrame({"a": [names[x] for x, _ in found], "b": [names[y] for _, y in found]}, dtype=object)
-
-    roots = graph.merge_clusters(dealt.groupBy("p", "q").applyInPandas(compare, "a string, b string"))
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = [len(kmer_set(s, k)) for s in batch.column("seq").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("seq"), pa.array(size, pa.int64())], names=["digest", "seq", "size"])
+
+    def compare(one: list[str], two: list[str] | None) -> list[tuple[int, int]]:
+        n = len(one)
+        found = gene_links(one + (two or []), np.arange(n + len(two or [])) >= n, k, need)
+        return found if two is None else [(x, y - n) for x, y in found]
+
+    held = blocks.sized_blocks(nodes.mapInArrow(sizes, "digest string, seq string, size long"), letters, block)
+    roots = graph.merge_clusters(blocks.compare_blocks(held, need, compare))
     placed = own.select("id", "len", "digest").join(roots, F.col("digest") == F.col("node"), "left").select("id", "len", F.coalesce("root", "digest", F.col("id").cast("string")).alias("root")).filter("id is not null")
     top = placed.groupBy("root").agg(F.max_by("id", F.struct("len", "id")).alias("cluster"))
     return placed.join(top, "root").select("id", "cluster")

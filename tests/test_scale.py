@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from lamina.functions import seq as S
@@ -170,3 +171,38 @@ def test_profiles_are_made_where_sequences_of_an_id_meet(spark):
         got = [(r.id, r.kmer, r.percent) for r in out.collect()]
         assert len(got) == len(want) and {(i, w): p for i, w, p in got} == want
     assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def sent_bytes(spark) -> int:
+    """Bytes that all stages so far have written for shuffles."""
+    g = spark.sparkContext._gateway
+    empty = g.jvm.java.util.ArrayList
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(empty(), False, False, g.new_array(g.jvm.double, 0), empty()).iterator()
+    total = 0
+    while stages.hasNext():
+        total += stages.next().shuffleWriteBytes()
+    return total
+
+
+def test_gene_blocks_are_read_not_copied(spark):
+    rng = random.Random(5)
+    one = ["".join(rng.choice("ACGT") for _ in range(600)) for _ in range(300)]
+    seqs = [x for s in one for x in (s, s[:590])]
+    before = sent_bytes(spark)
+    got = {r.id: r.cluster for r in sequences.cluster_genes(spark.createDataFrame(list(enumerate(seqs)), "id long, seq string"), block=16).collect()}
+    assert got == {i: i // 2 * 2 for i in range(600)}
+    # 38 blocks: a copy for each block that a gene meets would be 38 times the letters.
+    assert sent_bytes(spark) - before < 6 * sum(map(len, seqs))
+
+
+def test_kmers_as_numbers_and_as_hashes_agree():
+    rng = random.Random(6)
+    seqs = ["".join(rng.choice("ACGT") for _ in range(n)) for n in (0, 1, 3, 10, 11, 12, 50, 300)] + ["A", "AA", "A" * 11, "A" * 30]
+    sets = []
+    for plain in (True, False):
+        t, who, size = sequences.block_kmers(seqs, 11, plain)
+        assert (np.diff(t.astype(object)) >= 0).all()
+        sets.append([set(t[who == i].tolist()) for i in range(len(seqs))])
+        assert [len(x) for x in sets[-1]] == size.tolist() == [len(sequences.kmer_set(s, 11)) for s in seqs]
+    for a in range(len(seqs)):
+        assert [len(sets[0][a] & x) for x in sets[0]] == [len(sets[1][a] & x) for x in sets[1]]
