@@ -3,29 +3,23 @@
 Two genes link if the edit distance of their whole sequences is at most e, the share
 1 - identity of the longer one's length (so both are covered).  Candidates are exact:
 e edits touch at most e of the longer gene's disjoint pieces, so of any e + 1 pieces one at
-least stands unchanged in the shorter gene, at most e places away.  Each gene offers its e + 1
-rarest pieces, and all its substrings of the piece lengths that longer partners may have.
-Pairs that meet there and pass a count of all pieces are aligned in a band that doubles
-until it holds the distance or exceeds e.
-
-Families share their pieces, so pairs are made twice: first each gene with the longest that
-offers a piece of it, then only between genes that the first links leave in different
-clusters.  Links that those pairs would repeat are never made.
+least stands unchanged in the shorter gene, at most e places away.  Genes are kept once, in
+blocks sorted by length, and only blocks whose lengths lie within e of each other meet: a task
+reads both and looks up the pieces of one in the other, so no piece is ever sent.  Pairs that
+share enough pieces, and pass a count of all, are aligned in a band that doubles until it
+holds the distance or exceeds e.
+
+Families share their pieces: within a task pairs that links have joined already are neither
+looked up nor aligned.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
-
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..shared import cut
+from .blocks import compare_blocks, sized_blocks
 from .graph import merge_clusters
 
 SEED = 16  # a piece's length at most
@@ -41,16 +35,6 @@ def piece_length(length: int, identity: float) -> int:
     return min(SEED, length // (edits_allowed(length, identity) + 1))
 
 
-@lru_cache(maxsize=1 << 16)
-def partner_pieces(length: int, identity: float) -> tuple[int, ...]:
-    """Piece lengths of the genes of this length or longer that may link to one of this length."""
-    found, at = set(), length
-    while at - edits_allowed(at, identity) <= length:
-        found.add(piece_length(at, identity))
-        at += 1
-    return tuple(sorted(found))
-
-
 def codes_of(seq: str) -> np.ndarray:
     return np.frombuffer(seq.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
@@ -140,59 +124,85 @@ def linked(a: str, b: str, identity: float) -> bool:
     return banded_distance(x, y, e) <= e
 
 
-_OFFERED = pa.schema([("digest", pa.string()), ("size", pa.int32()), ("key", pa.int64()), ("at", pa.int32())])
-
-
-def _keys(nodes: DataFrame, identity: float, pieces: bool) -> DataFrame:
-    """(digest, size, key, at): each gene's disjoint pieces, or its substrings of the lengths that partners' pieces have."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        many = 0
-
-        def given() -> pa.RecordBatch:
-            counts = [len(h[2]) for h in held]
-            names = pa.array([h[0] for h in held]).take(pa.array(np.repeat(np.arange(len(held)), counts)))
-            keys, at = np.concatenate([h[2] for h in held]), np.concatenate([h[3] for h in held])
-            return pa.RecordBatch.from_arrays([names, pa.array(np.repeat([h[1] for h in held], counts).astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(at.astype(np.int32))], schema=_OFFERED)
-
-        for batch in batches:
-            for digest, seq in zip(batch.column("digest").to_pylist(), batch.column("seq").to_pylist(), strict=True):
-                codes = codes_of(seq)
-                if not len(codes):
-                    continue
-                if pieces:
-                    width = piece_length(len(codes), identity)
-                    keys = np.ascontiguousarray(seed_hashes(codes, width)[::width][: len(codes) // width])
-                    held.append((digest, len(codes), keys, np.arange(len(keys)) * width))
-                else:
-                    for width in partner_pieces(len(codes), identity):
-                        keys = seed_hashes(codes, width)
-                        held.append((digest, len(codes), keys, np.arange(len(keys))))
-                        many += len(keys)
-                many += len(held[-1][2])
-                if many > 1 << 18:
-                    yield given()
-                    held, many = [], 0
-        if held:
-            yield given()
-
-    return nodes.select("digest", "seq").mapInArrow(run, "digest string, size int, key long, at int")
-
-
-def _verified(pairs: DataFrame, nodes: DataFrame, identity: float) -> DataFrame:
-    """The pairs (a, b) of digests that link."""
-    j = pairs.join(nodes.select(F.col("digest").alias("a"), F.col("seq").alias("x")), "a").join(nodes.select(F.col("digest").alias("b"), F.col("seq").alias("y")), "b")
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            good = [linked(x, y, identity) for x, y in zip(p["x"], p["y"], strict=True)]
-            yield p.loc[good, ["a", "b"]]
+def piece_hashes(codes: np.ndarray, width: int) -> np.ndarray:
+    """seed_hashes of the disjoint pieces only."""
+    cut = codes[: len(codes) // width * width].reshape(-1, width)
+    h = np.full(len(cut), width, dtype=np.uint64)
+    for j in range(width):
+        h = (h ^ cut[:, j]) * _ODD
+        h ^= h >> np.uint64(29)
+    return h
 
-    return j.select("a", "b", "x", "y").mapInPandas(run, "a string, b string")
 
+def block_links(one: list[str], two: list[str] | None, identity: float, chunk: int = 1 << 21) -> list[tuple[int, int]]:
+    """(place in one, place in two) of links that join what all links between two blocks join; two: the longer genes, or none for the links inside one.
 
-def identity_clusters(seqs: DataFrame, identity: float = 0.95) -> DataFrame:
+    Both are sorted by length.  Of a gene's p pieces, p - e at least stand in a partner; its
+    most common ones are left out, half of those that must be found.  Pieces that stand only in
+    genes that are joined with it already aren't looked up.
+    """
+    longs = one if two is None else two
+    short, long = [codes_of(s) for s in one], [codes_of(s) for s in longs]
+    lb, la = (np.array([len(x) for x in c], dtype=np.int64) for c in (short, long))
+    first = 0 if two is None else len(one)
+    label, out = np.arange(first + len(longs)), []
+    widths = np.array([piece_length(int(n), identity) if n else 0 for n in la])
+    for width in np.unique(widths[widths > 0]).tolist():
+        rows = np.flatnonzero(widths == width)
+        least = la[rows[0]] - edits_allowed(int(la[rows[0]]), identity)
+        pieces = [piece_hashes(long[i], width) for i in rows]
+        names, ids = np.unique(np.concatenate(pieces), return_inverse=True)
+        ids = np.split(ids, np.cumsum([len(x) for x in pieces])[:-1])
+        found, where, whose = [], [], []
+        for j in np.flatnonzero((lb >= least) & (lb <= la[rows[-1]])):
+            subs = seed_hashes(short[j], width)
+            at = np.minimum(np.searchsorted(names, subs), len(names) - 1)
+            hit = np.flatnonzero(names[at] == subs)
+            found.append(at[hit])
+            where.append(hit.astype(np.int32))
+            whose.append(np.full(len(hit), j, dtype=np.int32))
+        if not found:
+            continue
+        key = np.concatenate(found)
+        order = np.argsort(key, kind="stable")
+        where, whose = np.concatenate(where)[order], np.concatenate(whose)[order]
+        count = np.bincount(key, minlength=len(names))
+        start = np.cumsum(count) - count
+        some = np.flatnonzero(count)
+        low, high = np.full(len(names), -1), np.full(len(names), -1)  # labels of the genes that a piece stands in
+        stale = len(some) > 0
+        for n, (i, own) in enumerate(zip(rows[::-1].tolist(), ids[::-1], strict=True)):
+            if stale and n % 64 == 0:
+                of, stale = label[whose], False
+                low[some], high[some] = np.minimum.reduceat(of, start[some]), np.maximum.reduceat(of, start[some])
+            e = edits_allowed(int(la[i]), identity)
+            spare = (len(own) - e - 1) // 2
+            take = np.argsort(count[own], kind="stable")[: len(own) - spare]
+            k = own[take]
+            use = (count[k] > 0) & ~((low[k] == high[k]) & (low[k] == label[first + i]))
+            k, place = k[use], take[use] * width
+            if len(k) < len(own) - e - spare:
+                continue
+            hits, total, a = np.zeros(len(one), dtype=np.int64), np.cumsum(count[k]), 0
+            while a < len(k):
+                b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + chunk, side="right")))
+                size = count[k[a:b]]
+                at = np.repeat(start[k[a:b]] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+                near = np.abs(where[at] - np.repeat(place[a:b], size)) <= e
+                hits += np.bincount(whose[at[near]], minlength=len(one))
+                a = b
+            near = np.flatnonzero((hits >= len(own) - e - spare) & (lb >= la[i] - e) & (lb <= la[i]))
+            near = near[near < i] if two is None else near
+            for j in near[np.argsort(-hits[near], kind="stable")].tolist():
+                x, y = label[j], label[first + i]
+                if x != y and linked(longs[i], one[j], identity):
+                    label[label == max(x, y)] = min(x, y)
+                    out.append((j, i))
+                    stale = True
+    return out
+
+
+def identity_clusters(seqs: DataFrame, identity: float = 0.95, letters: int = 1 << 21, rows: int = 1 << 13) -> DataFrame:
     """(id, cluster) of genes (id, seq): clusters are what links join, named by their longest gene (of ties the largest id).
 
     Equal sequences are one node.  Null ids and null sequences are left out; empty sequences
@@ -201,23 +211,9 @@ def identity_clusters(seqs: DataFrame, identity: float = 0.95) -> DataFrame:
     if not 0.5 <= identity <= 1:
         raise ValueError("identity: from 0.5 to 1")
     own = seqs.select("id", F.length("seq").alias("len"), F.sha2("seq", 256).alias("digest"), "seq").filter("id is not null and seq is not null")
-    nodes = cut(own.groupBy("digest").agg(F.any_value("seq").alias("seq")))
-    subs, pieces = _keys(nodes, identity, False), _keys(nodes, identity, True)
-    common = subs.groupBy("key").agg(F.count("*").alias("n"))
-    allowed = F.floor(F.lit(1 - identity) * F.col("size") + F.lit(1e-9))
-    w = Window.partitionBy("digest").orderBy("n", "key", "at")
-    offered = pieces.join(common, "key", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= allowed + 1).select("key", F.col("digest").alias("a"), F.col("size").alias("la"), F.col("at").alias("pa"))
-    offered = cut(offered)
-    near = cut(subs.join(offered.select("key").distinct(), "key", "left_semi").select("key", F.col("digest").alias("b"), F.col("size").alias("lb"), F.col("at").alias("pb")))
-    reach = F.floor(F.lit(1 - identity) * F.col("la") + F.lit(1e-9))
-    fits = ((F.col("la") > F.col("lb")) | ((F.col("la") == F.col("lb")) & (F.col("a") > F.col("b")))) & (F.col("la") - F.col("lb") <= reach) & (F.abs(F.col("pa") - F.col("pb")) <= reach)
-    first = offered.groupBy("key").agg(F.max(F.struct("la", "a", "pa")).alias("_top")).select("key", "_top.*")
-    links = cut(_verified(near.join(first, "key").filter(fits).select("a", "b").distinct(), nodes, identity))
-    roots = merge_clusters(links).select("node", "root")
-    side = lambda df, k: df.join(roots.withColumnRenamed("root", f"_{k}"), F.col(k) == F.col("node"), "left").withColumn(f"_{k}", F.coalesce(f"_{k}", k)).drop("node")
-    across = side(near, "b").join(side(offered, "a"), "key").filter(fits & (F.col("_a") != F.col("_b"))).select("a", "b").distinct()
-    links = links.unionByName(_verified(across, nodes, identity))
-    roots = merge_clusters(links)
+    nodes = own.groupBy("digest").agg(F.any_value("seq").alias("seq")).withColumn("size", F.length("seq"))
+    held = sized_blocks(nodes, letters, rows)
+    roots = merge_clusters(compare_blocks(held, identity - 1e-6, lambda one, two: block_links(one, two, identity)))
     placed = own.join(roots, F.col("digest") == F.col("node"), "left").select("id", "len", F.coalesce("root", "digest").alias("root"))
     top = placed.groupBy("root").agg(F.max_by("id", F.struct("len", "id")).alias("cluster"))
     return placed.join(top, "root").select("id", "cluster")

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lamina.functions import seq as S
-from lamina.operators import bins, graph, modules, pileup, sequences
+from lamina.operators import bins, graph, homology, modules, pileup, sequences
 
 
 def test_outgroup_among_rows_of_a_key(spark):
@@ -206,3 +206,21 @@ def test_kmers_as_numbers_and_as_hashes_agree():
         assert [len(x) for x in sets[-1]] == size.tolist() == [len(sequences.kmer_set(s, 11)) for s in seqs]
     for a in range(len(seqs)):
         assert [len(sets[0][a] & x) for x in sets[0]] == [len(sets[1][a] & x) for x in sets[1]]
+
+
+def test_identity_blocks_are_read_and_no_piece_is_sent(spark):
+    rng = random.Random(7)
+    seqs = []
+    for n in (200, 210, 400, 800):
+        for _ in range(30):
+            s = "".join(rng.choice("ACGT") for _ in range(n))
+            t = list(s)
+            for i in rng.sample(range(n), n // 20):
+                t[i] = "ACGT"["ACGT".index(t[i]) - 1]
+            seqs += [s, "".join(t), s[: n - n // 20]]
+    df = spark.createDataFrame(list(enumerate(seqs)), "id long, seq string")
+    before = sent_bytes(spark)
+    got = {r.id: r.cluster for r in homology.identity_clusters(df).collect()}
+    assert sent_bytes(spark) - before < 16 * sum(map(len, seqs))
+    assert got == {i: i // 3 * 3 + 1 for i in range(len(seqs))}
+    assert {r.id: r.cluster for r in homology.identity_clusters(df, rows=11).collect()} == got
