@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import running
+from ..shared import cut
 from .intervals import interval_join
 
 #: Operations that go along the reference, along the read, and along both.
@@ -59,11 +59,38 @@ def depth_runs(alignments: DataFrame, min_mapq: int = 0, deletions: bool = False
     blocks = aligned_blocks(alignments, min_mapq, ALIGNED + ("D" if deletions else ""))
     events = blocks.select("contig", F.explode(F.array(F.struct(F.col("start").alias("pos"), F.lit(1).cast("long").alias("delta")), F.struct((F.col("end") + 1).alias("pos"), F.lit(-1).cast("long").alias("delta")))).alias("e"))
     steps = events.groupBy("contig", "e.pos").agg(F.sum("e.delta").alias("delta")).filter("delta != 0")
-    # Totals give the depth, a second running number the next event, wherever the ranges' borders are.
-    total = running(steps, ["contig", "pos"], "delta", "before")
-    own = running(total.select("contig", "pos", (F.col("before") + F.col("delta")).alias("depth")), ["contig", "pos"], None, "no")
-    following = own.select((F.col("no") - 1).alias("no"), F.col("pos").alias("_next"))
-    return own.filter("depth > 0").join(following, "no").select("contig", F.col("pos").alias("start"), (F.col("_next") - 1).alias("end"), "depth")
+    parts = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = cut(steps.repartitionByRange(parts, "contig", "pos").sortWithinPartitions("contig", "pos").withColumn("_at", F.monotonically_increasing_id()))
+    # What each range adds up to and where it begins; the last event of one is followed by the first of the next.
+    told = {r[0]: (r[1], r[2]) for r in own.groupBy(F.shiftright("_at", 33)).agg(F.sum("delta"), F.min_by("pos", "_at")).collect()}
+    starts, before = {}, 0
+    for k, after in zip(sorted(told), [*sorted(told)[1:], None], strict=False):
+        starts[k] = (before, 0 if after is None else told[after][1])
+        before += told[k][0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # (contig, pos, depth) of the last event so far
+        depth = behind = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pos, delta = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            if held is None:
+                depth, behind = starts[batch.column(3)[0].as_py() >> 33]
+            elif held[2] > 0:
+                yield given(held[0], held[1], pos[:1] - 1, np.array([held[2]]))
+            total = depth + np.cumsum(delta)
+            depth = int(total[-1])
+            yield given(batch.column(0).filter(pa.array(np.append(total[:-1] > 0, False))), pos[:-1][total[:-1] > 0], pos[1:][total[:-1] > 0] - 1, total[:-1][total[:-1] > 0])
+            held = (batch.column(0).slice(batch.num_rows - 1), pos[-1:], depth)
+        if held is not None and held[2] > 0:
+            yield given(held[0], held[1], np.array([behind - 1]), np.array([held[2]]))
+
+    def given(contig: pa.Array, start: np.ndarray, end: np.ndarray, depth: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([contig, pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(depth, pa.int64())], names=["contig", "start", "end", "depth"])
+
+    kind = dict(own.dtypes)["contig"]
+    return own.select("contig", "pos", "delta", "_at").mapInArrow(run, f"contig {kind}, start long, end long, depth long")
 
 
 _KINDS = ("a", "c", "g", "t", "n", "deleted", "inserted")

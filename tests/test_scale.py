@@ -224,3 +224,15 @@ def test_identity_blocks_are_read_and_no_piece_is_sent(spark):
     assert sent_bytes(spark) - before < 16 * sum(map(len, seqs))
     assert got == {i: i // 3 * 3 + 1 for i in range(len(seqs))}
     assert {r.id: r.cluster for r in homology.identity_clusters(df, rows=11).collect()} == got
+
+
+def test_depth_runs_cut_lineage_once_and_number_no_events(spark):
+    reads = spark.range(500).select(F.when(F.col("id") < 300, "c").otherwise("d").alias("contig"), (F.col("id") * 7 + 1).alias("pos"), F.lit("10M").alias("cigar"), F.lit("ACGTACGTAC").alias("seq"))
+    runs = pileup.depth_runs(reads)
+    plan = runs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    depth = {}
+    for i in range(500):
+        for p in range(i * 7 + 1, i * 7 + 11):
+            depth["c" if i < 300 else "d", p] = depth.get(("c" if i < 300 else "d", p), 0) + 1
+    assert {(r.contig, p): r.depth for r in runs.collect() for p in range(r.start, r.end + 1)} == depth
