@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..schemas import UNKNOWN
-from ..shared import running
+from ..shared import dealt, running
 
 
 def to_long(wide: DataFrame, feature: str) -> DataFrame:
@@ -25,20 +25,23 @@ def merge_samples(parts: list[DataFrame]) -> DataFrame:
     return out.groupBy("feature", "sample").agg(F.sum("value").alias("value"))
 
 
-def roll_up(abund: DataFrame, levels: DataFrame, mean: bool = False) -> DataFrame:
+def roll_up(abund: DataFrame, levels: DataFrame, mean: bool = False, rows: int | None = None) -> DataFrame:
     """Sums per prefix of each hierarchy level and sample.
 
     levels: (feature, levels array, weight).  Before the prefixes are made, values are added
     per (levels, sample), so that the many features of one annotation meet once.  Features
-    without annotation go to the prefix '?'.
+    without annotation go to the prefix '?'.  Tasks follow rows, about how many rows the join of
+    abund and levels has; if that isn't known, they are counted.  levels are joined by merging,
+    as a copy of them in each task would grow with the features.
     """
-    joined = abund.join(levels, "feature", "left")
-    lv = F.coalesce("levels", F.array(F.lit(UNKNOWN)))
-    own = joined.groupBy(lv.alias("levels"), "sample").agg(F.sum(F.col("value") * F.coalesce("weight", F.lit(1.0))).alias("value"), F.count("*").alias("n"))
-    rows = own.select("sample", "value", "n", "levels", F.explode(F.sequence(F.lit(0), F.size("levels") - 1)).alias("level"))
-    rows = rows.withColumn("prefix", F.array_join(F.slice("levels", F.lit(1), F.col("level") + 1), ";"))
+    weighted = (F.col("value") * F.coalesce("weight", F.lit(1.0))).alias("value")
+    joined = abund.join(levels.hint("merge"), "feature", "left").select("sample", weighted, F.coalesce("levels", F.array(F.lit(UNKNOWN))).alias("levels"))
+    rows = joined.count() if rows is None else rows
+    own = dealt(joined, rows, "levels", "sample").groupBy("levels", "sample").agg(F.sum("value").alias("value"), F.count("*").alias("n"))
+    every = own.select("sample", "value", "n", "levels", F.explode(F.sequence(F.lit(0), F.size("levels") - 1)).alias("level"))
+    every = every.select("sample", "value", "n", "level", F.array_join(F.slice("levels", F.lit(1), F.col("level") + 1), ";").alias("prefix"))
     total = F.sum("value") / F.sum("n") if mean else F.sum("value")
-    return rows.groupBy("level", "prefix", "sample").agg(total.alias("value"))
+    return dealt(every, rows, "level", "prefix", "sample").groupBy("level", "prefix", "sample").agg(total.alias("value"))
 
 
 def credit_terms(anno: DataFrame, column: str = "terms") -> DataFrame:
@@ -79,12 +82,12 @@ def module_scores(modules: DataFrame, abund: DataFrame, least: float = 0.5) -> D
     return here.join(size, "module").withColumn("complete", F.col("_k") / F.col("_n")).filter(F.col("complete") >= least).select("module", "sample", "complete", "value")
 
 
-def rank_profile(assigned: DataFrame, lineage: DataFrame, background: DataFrame | None = None) -> DataFrame:
-    """Abundance per lineage prefix, with a '?' row per sample for what isn't assigned."""
-    rows = roll_up(assigned, lineage)
+def rank_profile(assigned: DataFrame, lineage: DataFrame, background: DataFrame | None = None, rows: int | None = None) -> DataFrame:
+    """Abundance per lineage prefix, with a '?' row per sample for what isn't assigned; rows as in roll_up."""
+    known = roll_up(assigned, lineage, rows=rows)
     if background is None:
-        return rows
-    return rows.unionByName(background.select(F.lit(0).alias("level"), F.lit(UNKNOWN).alias("prefix"), "sample", "value")).groupBy("level", "prefix", "sample").agg(F.sum("value").alias("value"))
+        return known
+    return known.unionByName(background.select(F.lit(0).alias("level"), F.lit(UNKNOWN).alias("prefix"), "sample", "value")).groupBy("level", "prefix", "sample").agg(F.sum("value").alias("value"))
 
 
 def wide(abund: DataFrame, samples: list, failed: list | None = None) -> DataFrame:

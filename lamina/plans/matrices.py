@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from ..functions import stats, taxa
 from ..operators import matrix, rules
+from ..shared import dealt
 from .registry import Tables, query
 from .views import BINS_SQL, abund, bins, r, rq
 
@@ -23,7 +24,8 @@ def a1(t: Tables):
 @query("a2_roll_up", "WITH j AS (SELECT l_suppkey AS sample, l_quantity q, p_type, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey), v AS (SELECT 0 AS level, p_type AS prefix, sample, q FROM j UNION ALL SELECT 1, p_type || ';' || p_brand, sample, q FROM j) SELECT level, prefix, sample, round(sum(q), 2) AS value FROM v GROUP BY 1, 2, 3")
 def a2(t: Tables):
     lv = t.part.select(F.col("p_partkey").alias("feature"), F.array("p_type", "p_brand").alias("levels"), F.lit(1.0).alias("weight"))
-    return matrix.roll_up(abund(t), lv).withColumn("value", F.round("value", 2))
+    n = t.lineitem.count()
+    return matrix.roll_up(abund(t, n), lv, rows=n).withColumn("value", F.round("value", 2))
 
 
 @query("a2_and_or_credit", f"WITH x AS (SELECT l_suppkey AS sample, l_quantity AS q, string_split(p_name, ' ') AS w FROM lineitem JOIN part ON l_partkey = p_partkey), y AS (SELECT sample, q, unnest(w) AS item, len(w) AS n FROM x) SELECT item, sample, {rq('sum(q / n)')} AS shared, {rq('sum(q)')} AS full_credit FROM y GROUP BY 1, 2")
@@ -89,10 +91,12 @@ def a13(t: Tables):
 def a14(t: Tables):
     geo = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     lin = geo.select(F.col("c_custkey").alias("feature"), F.array("r_name", "n_name").alias("levels"), F.lit(1.0).alias("weight"), "c_mktsegment")
-    a = t.orders.groupBy(F.col("o_custkey").alias("feature"), F.col("o_orderstatus").alias("sample")).agg(F.sum("o_totalprice").alias("value"))
+    n = t.orders.count()
+    o = t.orders.select(F.col("o_custkey").alias("feature"), F.col("o_orderstatus").alias("sample"), F.col("o_totalprice").alias("value"))
+    a = dealt(o, n, "feature").groupBy("feature", "sample").agg(F.sum("value").alias("value"))
     known, rest = lin.filter("c_mktsegment != 'MACHINERY'").drop("c_mktsegment"), lin.filter("c_mktsegment = 'MACHINERY'").select("feature")
     back = a.join(rest, "feature", "left_semi").groupBy("sample").agg(F.sum("value").alias("value"))
-    return matrix.rank_profile(a.join(rest, "feature", "left_anti"), known, back).withColumn("value", F.round("value", 0))
+    return matrix.rank_profile(a.join(rest, "feature", "left_anti"), known, back, n).withColumn("value", F.round("value", 0))
 
 
 @query("a20_label_counts", "SELECT array_to_string([coalesce(lang, '?'), coalesce(source, '?'), '?', '?', '?', '?', '?'], ';') AS lineage, count(*) AS n FROM documents GROUP BY 1")

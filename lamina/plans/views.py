@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import round_half_up
+from ..shared import dealt
 from .registry import Tables
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -29,8 +30,10 @@ def hits(t: Tables) -> DataFrame:
     return j.select(F.col("l_orderkey").alias("q"), F.col("l_partkey").alias("s"), (100 * (1 - F.col("l_discount"))).alias("pident"), F.col("l_quantity").alias("alen"), F.col("l_extendedprice").alias("bits"), F.col("l_tax").alias("evalue"), F.col("p_size").alias("slen"), F.col("l_linenumber").alias("line_no"), "l_suppkey", "p_type", "p_brand", "l_returnflag")
 
 
-def abund(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy(F.col("l_partkey").alias("feature"), F.col("l_suppkey").alias("sample")).agg(F.sum("l_quantity").alias("value"))
+def abund(t: Tables, rows: int | None = None) -> DataFrame:
+    """Lines as a matrix; tasks by feature follow the number of lines, and a join on the feature finds them so."""
+    lines = t.lineitem.select(F.col("l_partkey").alias("feature"), F.col("l_suppkey").alias("sample"), "l_quantity")
+    return dealt(lines, t.lineitem.count() if rows is None else rows, "feature").groupBy("feature", "sample").agg(F.sum("l_quantity").alias("value"))
 
 
 def dna(t: Tables) -> DataFrame:

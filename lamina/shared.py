@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Rows that dealt() gives to a task; a hash table of them takes some tens of MB.
+ROWS_A_TASK = 1 << 18
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder that spark.checkpoint.dir names; a folder of one machine wouldn't do on a cluster, so without it this raises."""
@@ -31,6 +34,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """df by keys, in as many tasks as its number of rows needs.
+
+    Left alone, Spark makes a set number of partitions and merges them up to a size in packed
+    bytes or down to the number of cores, so that a task's rows grow with the input.
+    """
+    spark = df.sparkSession
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(max(least, -(-rows // ROWS_A_TASK)), *keys)
+
+
 def running(df: DataFrame, order: list[str], value: str | None = None, name: str = "pos", parts: int = 0) -> DataFrame:
     """df, materialised, with the total of value (or the number of rows) that comes before each row in a total order.
 

@@ -8,7 +8,10 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lamina.functions import seq as S
-from lamina.operators import bins, graph, homology, modules, pileup, sequences
+from lamina import shared
+from lamina.operators import bins, graph, homology, matrix, modules, pileup, sequences
+from lamina.plans.registry import Tables
+from lamina.plans.views import abund
 
 
 def test_outgroup_among_rows_of_a_key(spark):
@@ -236,3 +239,25 @@ def test_depth_runs_cut_lineage_once_and_number_no_events(spark):
         for p in range(i * 7 + 1, i * 7 + 11):
             depth["c" if i < 300 else "d", p] = depth.get(("c" if i < 300 else "d", p), 0) + 1
     assert {(r.contig, p): r.depth for r in runs.collect() for p in range(r.start, r.end + 1)} == depth
+
+
+def test_tasks_of_a_roll_up_follow_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(shared, "ROWS_A_TASK", 100)
+    rows = [(i % 700, i // 700, float(i % 13)) for i in range(3000)] + [(None, 1, 2.0)]
+    names = {f: [f"a{f % 7}", None if f % 50 == 3 else f"b{f % 300}"] for f in range(600)}
+    m = spark.createDataFrame(rows, "feature int, sample int, value double")
+    lv = spark.createDataFrame([(f, v, 0.5 if f % 2 else None) for f, v in names.items()], "feature int, levels array<string>, weight double")
+    want, n = {}, {}
+    for f, s, v in rows:
+        own = names.get(f, ["?"])
+        for k in range(len(own)):
+            at = (k, ";".join(x for x in own[: k + 1] if x is not None), s)
+            want[at], n[at] = want.get(at, 0) + v * (0.5 if f in names and f % 2 else 1), n.get(at, 0) + 1
+    for known in (None, len(rows)):
+        got = matrix.roll_up(m, lv, rows=known)
+        assert got.rdd.getNumPartitions() == 31  # not as many as are set, nor merged by their bytes
+        assert {(r.level, r.prefix, r.sample): r.value for r in got.collect()} == want
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {(r.level, r.prefix, r.sample): r.value for r in matrix.roll_up(m, lv, mean=True).collect()} == {k: want[k] / n[k] for k in want}
+    t = Tables(spark, "/root/testdata/sf0.001")
+    assert abund(t).rdd.getNumPartitions() == -(-t.lineitem.count() // 100)
