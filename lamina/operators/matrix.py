@@ -17,12 +17,15 @@ def to_long(wide: DataFrame, feature: str) -> DataFrame:
     return long.unpivot("feature", samples, "sample", "value").filter("value != 0")
 
 
-def merge_samples(parts: list[DataFrame]) -> DataFrame:
-    """Tables of single samples as one matrix: rows are added, never joined."""
+def merge_samples(parts: list[DataFrame], rows: int | None = None) -> DataFrame:
+    """Tables of single samples as one matrix: rows are added, never joined.
+
+    Tasks, by feature, follow rows, about how many the parts have together; if that isn't known, they are counted.
+    """
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("feature", "sample").agg(F.sum("value").alias("value"))
+    return dealt(out, out.count() if rows is None else rows, "feature").groupBy("feature", "sample").agg(F.sum("value").alias("value"))
 
 
 def roll_up(abund: DataFrame, levels: DataFrame, mean: bool = False, rows: int | None = None) -> DataFrame:

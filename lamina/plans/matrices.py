@@ -18,7 +18,8 @@ ABUND = "SELECT l_partkey AS feature, l_suppkey AS sample, sum(l_quantity) AS va
 def a1(t: Tables):
     lv = t.part.select(F.col("p_partkey").alias("feature"), F.array("p_type", "p_brand", "p_name").alias("levels"), F.lit(1.0).alias("weight"))
     parts = [t.lineitem.filter(F.col("l_linenumber") % 2 == k).select(F.col("l_partkey").alias("feature"), F.col("l_suppkey").alias("sample"), F.col("l_quantity").alias("value")) for k in (0, 1)]
-    return matrix.roll_up(matrix.merge_samples(parts), lv)
+    n = t.lineitem.count()
+    return matrix.roll_up(matrix.merge_samples(parts, n), lv, rows=n)
 
 
 @query("a2_roll_up", "WITH j AS (SELECT l_suppkey AS sample, l_quantity q, p_type, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey), v AS (SELECT 0 AS level, p_type AS prefix, sample, q FROM j UNION ALL SELECT 1, p_type || ';' || p_brand, sample, q FROM j) SELECT level, prefix, sample, round(sum(q), 2) AS value FROM v GROUP BY 1, 2, 3")

@@ -261,3 +261,17 @@ def test_tasks_of_a_roll_up_follow_its_rows(spark, monkeypatch):
     assert {(r.level, r.prefix, r.sample): r.value for r in matrix.roll_up(m, lv, mean=True).collect()} == {k: want[k] / n[k] for k in want}
     t = Tables(spark, "/root/testdata/sf0.001")
     assert abund(t).rdd.getNumPartitions() == -(-t.lineitem.count() // 100)
+
+
+def test_tasks_of_merged_samples_follow_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(shared, "ROWS_A_TASK", 100)
+    rows = [(i * 7 % 500, i % 9, float(i % 5)) for i in range(2000)] + [(None, None, 1.0), (None, None, 2.0)]
+    whole = spark.createDataFrame(rows, "feature int, sample int, value double")
+    parts = [whole.filter(f"coalesce(feature, 0) % 3 = {k}").select(*order) for k, order in enumerate((["feature", "sample", "value"], ["value", "sample", "feature"], ["sample", "feature", "value"]))]
+    want = {}
+    for f, s, v in rows:
+        want[f, s] = want.get((f, s), 0) + v
+    for known in (None, len(rows)):
+        got = matrix.merge_samples(parts, known)
+        assert got.rdd.getNumPartitions() == 21  # not as many as are set, nor merged by their bytes
+        assert {(r.feature, r.sample): r.value for r in got.collect()} == want
