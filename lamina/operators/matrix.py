@@ -35,16 +35,20 @@ def roll_up(abund: DataFrame, levels: DataFrame, mean: bool = False, rows: int |
     per (levels, sample), so that the many features of one annotation meet once.  Features
     without annotation go to the prefix '?'.  Tasks follow rows, about how many rows the join of
     abund and levels has; if that isn't known, they are counted.  levels are joined by merging,
-    as a copy of them in each task would grow with the features.
+    as a copy of them in each task would grow with the features.  A sample's rows under one parent
+    meet in a task, at most one for each feature, so that sums of the levels above are made before
+    they are sent.
     """
     weighted = (F.col("value") * F.coalesce("weight", F.lit(1.0))).alias("value")
     joined = abund.join(levels.hint("merge"), "feature", "left").select("sample", weighted, F.coalesce("levels", F.array(F.lit(UNKNOWN))).alias("levels"))
     rows = joined.count() if rows is None else rows
-    own = dealt(joined, rows, "levels", "sample").groupBy("levels", "sample").agg(F.sum("value").alias("value"), F.count("*").alias("n"))
-    every = own.select("sample", "value", "n", "levels", F.explode(F.sequence(F.lit(0), F.size("levels") - 1)).alias("level"))
-    every = every.select("sample", "value", "n", "level", F.array_join(F.slice("levels", F.lit(1), F.col("level") + 1), ";").alias("prefix"))
+    over = F.xxhash64(F.slice("levels", F.lit(1), F.greatest(F.size("levels") - 1, F.lit(1))))
+    own = dealt(joined, rows, over, "sample").withColumn("_over", over).groupBy("_over", "levels", "sample").agg(F.sum("value").alias("value"), F.count("*").alias("n"))
+    every = own.select("_over", "sample", "value", "n", "levels", F.explode(F.sequence(F.lit(0), F.size("levels") - 1)).alias("level"))
+    every = every.select("_over", "sample", "value", "n", "level", F.array_join(F.slice("levels", F.lit(1), F.col("level") + 1), ";").alias("prefix"))
+    some = every.groupBy("_over", "level", "prefix", "sample").agg(F.sum("value").alias("value"), F.sum("n").alias("n"))  # where they are, before they are sent
     total = F.sum("value") / F.sum("n") if mean else F.sum("value")
-    return dealt(every, rows, "level", "prefix", "sample").groupBy("level", "prefix", "sample").agg(total.alias("value"))
+    return dealt(some, rows, "level", "prefix", "sample").groupBy("level", "prefix", "sample").agg(total.alias("value"))
 
 
 def credit_terms(anno: DataFrame, column: str = "terms") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -34,7 +34,7 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+def dealt(df: DataFrame, rows: int, *keys: str | Column) -> DataFrame:
     """df by keys, in as many tasks as its number of rows needs.
 
     Left alone, Spark makes a set number of partitions and merges them up to a size in packed
