@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import seq as S
-from . import blocks, graph
+from . import graph, overlap
+from ..shared import cut
 from .matrix import cumulative_half
 
 
@@ -284,14 +285,19 @@ def assembly_stats(seqs: DataFrame, key: str) -> DataFrame:
     return a.join(cumulative_half(c, [key], "_l"), key)
 
 
-def kmer_set(seq: str, k: int) -> np.ndarray:
-    """Distinct k-mers of a sequence as 64-bit hashes; of a shorter one the whole."""
+def kmer_hashes(seq: str, k: int) -> np.ndarray:
+    """K-mers of a sequence as 64-bit hashes; of a shorter one the whole."""
     codes = np.frombuffer(seq.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
     width = min(k, len(codes))
     h = np.full(len(codes) - width + 1, width, dtype=np.uint64)
     for j in range(width):
         h = (h + codes[j : len(codes) - width + 1 + j]) * np.uint64(0x9E3779B97F4A7C15)
-    return np.unique(h)
+    return h
+
+
+def kmer_set(seq: str, k: int) -> np.ndarray:
+    """Distinct k-mers of a sequence, sorted."""
+    return overlap.distinct(kmer_hashes(seq, k))
 
 
 def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -458,16 +464,18 @@ def gene_links(seqs: list[str], sides: np.ndarray, k: int, need: float, rows: in
     return out
 
 
-def cluster_genes(seqs: DataFrame, k: int = 11, identity: float = 0.95, block: int = 1 << 14, letters: int = 1 << 23) -> DataFrame:
+def cluster_genes(seqs: DataFrame, k: int = 11, identity: float = 0.95, block: int = 1 << 13, entries: int = overlap.ENTRIES) -> DataFrame:
     """(id, cluster): genes linked when the Jaccard similarity of their k-mer sets reaches what the identity implies.
 
-    Equal sequences are one node.  The nodes are kept once, in blocks of like set sizes, and
-    every two blocks whose sizes can link are compared whole in one task, which reads them;
-    no link is missed, and the work grows with the square of the nodes, the disk with the
-    nodes.  The longest gene of a cluster names it.
+    Equal sequences are one node.  The rare k-mers of the nodes are kept once, in blocks of like
+    set sizes, and every two blocks whose sizes can link are counted in one task; pairs that
+    share enough of them are compared whole.  No link is missed; the work still grows with the
+    square of the nodes, by some nanoseconds for each rare k-mer that two of them share, the
+    disk with the nodes.  The longest gene of a cluster names it.
     """
     need = identity**k / (2 - identity**k)
-    own = seqs.select("id", F.length("seq").alias("len"), F.sha2("seq", 256).alias("digest"), "seq")
+    law = overlap.Law(need / (1 + need), need / (1 + need), 0.0, need, 0.0)
+    own = cut(seqs.select("id", F.length("seq").alias("len"), F.sha2("seq", 256).alias("digest"), "seq"))
     nodes = own.filter("id is not null and seq is not null").groupBy("digest").agg(F.any_value("seq").alias("seq"))
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -475,13 +483,13 @@ def cluster_genes(seqs: DataFrame, k: int = 11, identity: float = 0.95, block: i
             size = [len(kmer_set(s, k)) for s in batch.column("seq").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("seq"), pa.array(size, pa.int64())], names=["digest", "seq", "size"])
 
-    def compare(one: list[str], two: list[str] | None) -> list[tuple[int, int]]:
-        n = len(one)
-        found = gene_links(one + (two or []), np.arange(n + len(two or [])) >= n, k, need)
-        return found if two is None else [(x, y - n) for x, y in found]
+    def links(one: overlap.Block, i: int, two: overlap.Block, j: int) -> bool:
+        x, y = (of.once(n, lambda s: kmer_set(s, k)) for of, n in ((one, i), (two, j)))
+        shared = len(np.intersect1d(x, y, assume_unique=True))
+        return shared >= need * (len(x) + len(y) - shared)
 
-    held = blocks.sized_blocks(nodes.mapInArrow(sizes, "digest string, seq string, size long"), letters, block)
-    roots = graph.merge_clusters(blocks.compare_blocks(held, need, compare))
+    sized = cut(nodes.mapInArrow(sizes, "digest string, seq string, size long"))
+    roots = graph.merge_clusters(overlap.linked_pairs(overlap.in_parts(sized, lambda s: kmer_hashes(s, k), law, block, entries), law, links))
     placed = own.select("id", "len", "digest").join(roots, F.col("digest") == F.col("node"), "left").select("id", "len", F.coalesce("root", "digest", F.col("id").cast("string")).alias("root")).filter("id is not null")
     top = placed.groupBy("root").agg(F.max_by("id", F.struct("len", "id")).alias("cluster"))
     return placed.join(top, "root").select("id", "cluster")

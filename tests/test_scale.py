@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -229,6 +230,16 @@ def test_identity_blocks_are_read_and_no_piece_is_sent(spark):
     assert {r.id: r.cluster for r in homology.identity_clusters(df, rows=11).collect()} == got
 
 
+def test_blocks_of_genes_are_counted_not_made_again(spark):
+    rng = random.Random(8)
+    one = ["".join(rng.choice("ACGT") for _ in range(300)) for _ in range(2000)]
+    df = spark.createDataFrame(list(enumerate(x for s in one for x in (s, s[:295]))), "id long, seq string").repartition(4)
+    begin = time.monotonic()
+    got = {r.id: r.cluster for r in sequences.cluster_genes(df, block=16).collect()}
+    assert time.monotonic() - begin < 60  # 250 blocks, 31,000 pairs of blocks
+    assert got == {i: i // 2 * 2 for i in range(4000)}
+
+
 def test_depth_runs_cut_lineage_once_and_number_no_events(spark):
     reads = spark.range(500).select(F.when(F.col("id") < 300, "c").otherwise("d").alias("contig"), (F.col("id") * 7 + 1).alias("pos"), F.lit("10M").alias("cigar"), F.lit("ACGTACGTAC").alias("seq"))
     runs = pileup.depth_runs(reads)
