@@ -2,12 +2,13 @@
 
 Two genes link if the edit distance of their whole sequences is at most e, the share
 1 - identity of the longer one's length (so both are covered).  Candidates are exact:
-e edits touch at most e of the longer gene's disjoint pieces, so of any e + 1 pieces one at
-least stands unchanged in the shorter gene, at most e places away.  Genes are kept once, in
-blocks sorted by length, and only blocks whose lengths lie within e of each other meet: a task
-reads both and looks up the pieces of one in the other, so no piece is ever sent.  Pairs that
-share enough pieces, and pass a count of all, are aligned in a band that doubles until it
-holds the distance or exceeds e.
+e edits change at most q e of the longer gene's substrings of q letters, so that the others
+are in the shorter gene too, as often; overlap.py finds the pairs that share so many.  Of short
+genes, and where so many edits are allowed that no substring need be shared, disjoint pieces are
+looked up: e edits touch at most e of them, so of any e + 1 pieces one at least stands unchanged
+in the other gene, at most e places away.  Those genes are kept once, in blocks sorted by length,
+and only blocks whose lengths lie within e of each other meet.  Pairs that pass the count are
+aligned in a band that doubles until it holds the distance or exceeds e.
 
 Families share their pieces: within a task pairs that links have joined already are neither
 looked up nor aligned.
@@ -19,10 +20,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import cut
+from . import overlap
 from .blocks import compare_blocks, sized_blocks
 from .graph import merge_clusters
 
 SEED = 16  # a piece's length at most
+LEAST = 64  # letters of a gene that is compared by its substrings
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,45 +71,90 @@ def pieces_found(a: np.ndarray, b: np.ndarray, width: int, shift: int) -> int:
     return int(((names[at] == pieces) & (high > low)).sum())
 
 
-def banded_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """The edit distance of a and b, or most + 1 if it is larger, in bands that double."""
+def banded_distance(a: np.ndarray, b: np.ndarray, most: int, guess: int = 0) -> int:
+    """The edit distance of a and b, or most + 1 if it is larger, in bands that double from a guess of it on."""
     if abs(len(a) - len(b)) > most:
         return most + 1
-    k = max(8, abs(len(a) - len(b)))
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(a[:n] != b[:n])
+    start = int(differ[0]) if len(differ) else n
+    a, b = a[start:], b[start:]
+    n -= start
+    differ = np.flatnonzero(a[len(a) - n :][::-1] != b[len(b) - n :][::-1])
+    end = int(differ[0]) if len(differ) else n
+    a, b = a[: len(a) - end], b[: len(b) - end]
+    k = max(32, guess, abs(len(a) - len(b)))
     while True:
-        k = min(k, most)
+        k = most if 3 * k >= 2 * most else k
+        if 4 * k >= len(a):
+            return min(_by_columns(a, b, most), most + 1)
         d = _in_band(a, b, k)
         if d <= k or k >= most:
             return min(d, most + 1)
         k *= 2
 
 
-def _in_band(a: np.ndarray, b: np.ndarray, k: int) -> int:
-    far = 1 << 30
-    steps = np.arange(2 * k + 1)
-    # Column o of row i stands for b's first i + o - k letters.
-    row = np.where(steps >= k, steps - k, far)
-    row[steps - k > len(b)] = far
-    wide = np.full(len(a) + len(b) + 4 * k + 2, -1, dtype=np.int64)
-    wide[k + 1 : k + 1 + len(b)] = b
-    for i in range(1, len(a) + 1):
-        letters = wide[i : i + 2 * k + 1]  # b[i + o - k - 1]
-        best = row + (letters != a[i - 1])
-        best[:-1] = np.minimum(best[:-1], row[1:] + 1)
-        low, high = k - i, len(b) - i + k
-        if low >= 0:
-            best[:low] = far
-            best[low] = i
-        if high < 2 * k:
-            best[high + 1 :] = far
-        row = np.minimum.accumulate(best - steps) + steps
-        if low > 0:
-            row[:low] = far
-        if high < 2 * k:
-            row[high + 1 :] = far
-        if row.min() > k:
-            return k + 1
-    return int(row[len(b) - len(a) + k])
+def _bits(a: np.ndarray) -> dict[int, int]:
+    """Where each letter stands, as the bits of a number."""
+    return {c: int.from_bytes(np.packbits(a == c, bitorder="little").tobytes(), "little") for c in np.unique(a).tolist()}
+
+
+def _by_columns(a: np.ndarray, b: np.ndarray, most: int) -> int:
+    """The edit distance, or more than most if it is larger; a column of the table is two numbers, the steps up and down in it."""
+    if not len(a):
+        return len(b)
+    where, whole, last = _bits(a), (1 << len(a)) - 1, len(a) - 1
+    up, down, d, left = whole, 0, len(a), len(b)
+    for c in b.tolist():
+        x = where.get(c, 0)
+        v = x | down
+        h = (((x & up) + up) ^ up) | x
+        plus = down | (~(h | up) & whole)
+        minus = up & h
+        d += (plus >> last & 1) - (minus >> last & 1)
+        left -= 1
+        if d - left > most:
+            return most + 1
+        plus = plus << 1 | 1
+        up = (minus << 1 | ~(v | plus)) & whole
+        down = plus & v & whole
+    return d
+
+
+def _in_band(a: np.ndarray, b: np.ndarray, k: int, columns: int = 512) -> int:
+    """The edit distance, or k + 1 if it is larger, for a longer than k: only places at most k off the diagonal, of which the columns slide down by one letter of b each."""
+    width = 2 * k + 2
+    whole, first, last = (1 << width) - 1, width - 1, width - 2
+    where = _bits(a)
+    up, down, d, most = whole ^ ((1 << (width - k - 1)) - 1), 0, k, 2 * k + len(b) - len(a)
+    for at in range(0, len(b), columns):
+        # Letters that these columns can meet, so that shifts are as short as the band.
+        begin = at + k + 1 - width
+        some = {c: (x >> begin if begin >= 0 else x << -begin) & ((1 << (width + columns)) - 1) for c, x in where.items()}
+        for j, c in enumerate(b[at : at + columns].tolist()):
+            x = (some.get(c, 0) >> j) & whole
+            z = ((((x & up) + up) ^ up) | x | down) & whole
+            plus = down | (~(z | up) & whole)
+            minus = z & up
+            if at + j < len(a) - k:
+                d += 1 - (z >> first)
+            else:
+                d += (plus >> last & 1) - (minus >> last & 1)
+                last -= 1
+            if d > most:
+                return k + 1
+            z >>= 1
+            up = minus | (~(z | plus) & whole)
+            down = z & plus
+        done = min(at + columns, len(b))
+        if done < len(a) - k:
+            # No place of this column that the end can be reached from by k edits.
+            steps = [np.unpackbits(np.frombuffer(x.to_bytes(width // 8 + 1, "little"), dtype=np.uint8), bitorder="little")[last - 2 * k + 1 : last + 1].astype(np.int64) for x in (up, down)]
+            here = d - np.append(0, np.cumsum((steps[0] - steps[1])[::-1]))
+            rows = done + k - np.arange(2 * k + 1)
+            if (here + np.abs((len(a) - rows) - (len(b) - done)))[rows >= 0].min() > k:
+                return k + 1
+    return min(d, k + 1)
 
 
 def linked(a: str, b: str, identity: float) -> bool:
@@ -202,7 +251,36 @@ def block_links(one: list[str], two: list[str] | None, identity: float, chunk: i
     return out
 
 
-def identity_clusters(seqs: DataFrame, identity: float = 0.95, letters: int = 1 << 21, rows: int = 1 << 13) -> DataFrame:
+def gram_width(identity: float) -> int:
+    """Length of the substrings that are counted: links share nearly half of them at least."""
+    return min(SEED, int(0.55 / (1 - identity) + 1e-9)) if identity < 1 else SEED
+
+
+def grams(codes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all substrings of width letters, one that comes again with the number of its time."""
+    h = np.sort(seed_hashes(codes, width))
+    first = np.append(True, h[1:] != h[:-1])[: len(h)]
+    at = np.arange(len(h))
+    return h + (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def gram_law(identity: float, width: int) -> overlap.Law:
+    """An edit changes at most width substrings; a sequence of n letters has n - width + 1."""
+    lost = (1 - identity) * width
+    return overlap.Law(0.0, 1 - lost, -lost * (width - 1), identity, (identity - 1) * (width - 1))
+
+
+def gram_links(one: overlap.Block, i: int, two: overlap.Block, j: int, identity: float, width: int) -> bool:
+    """Whether two sequences link, by counting all substrings and then aligning."""
+    (x, s), (y, t) = (of.once(n, lambda seq: ((c := codes_of(seq)), np.sort(grams(c, width)))) for of, n in ((one, i), (two, j)))
+    e = edits_allowed(max(len(x), len(y)), identity)
+    if abs(len(x) - len(y)) > e:
+        return False
+    lost = max(len(s), len(t)) - len(np.intersect1d(s, t, assume_unique=True))
+    return lost <= width * e and banded_distance(x, y, e, 3 * lost // (2 * width)) <= e
+
+
+def identity_clusters(seqs: DataFrame, identity: float = 0.95, letters: int = 1 << 21, rows: int = 1 << 13, entries: int = overlap.ENTRIES) -> DataFrame:
     """(id, cluster) of genes (id, seq): clusters are what links join, named by their longest gene (of ties the largest id).
 
     Equal sequences are one node.  Null ids and null sequences are left out; empty sequences
@@ -210,10 +288,19 @@ def identity_clusters(seqs: DataFrame, identity: float = 0.95, letters: int = 1
     """
     if not 0.5 <= identity <= 1:
         raise ValueError("identity: from 0.5 to 1")
-    own = seqs.select("id", F.length("seq").alias("len"), F.sha2("seq", 256).alias("digest"), "seq").filter("id is not null and seq is not null")
-    nodes = own.groupBy("digest").agg(F.any_value("seq").alias("seq")).withColumn("size", F.length("seq"))
-    held = sized_blocks(nodes, letters, rows)
-    roots = merge_clusters(compare_blocks(held, identity - 1e-6, lambda one, two: block_links(one, two, identity)))
+    own = cut(seqs.select("id", F.length("seq").alias("len"), F.sha2("seq", 256).alias("digest"), "seq").filter("id is not null and seq is not null"))
+    nodes = cut(own.groupBy("digest").agg(F.any_value("seq").alias("seq")).withColumn("size", F.length("seq")))
+    width = gram_width(identity)
+    # Of short genes, and where many edits are allowed, too few substrings must be shared.
+    least = LEAST if width >= 8 else 1 << 62
+    held = sized_blocks(nodes.filter(F.col("size") * identity - 1 < least), letters, rows)
+    links = compare_blocks(held, identity - 1e-6, lambda one, two: block_links(one, two, identity))
+    if width >= 8:
+        law = gram_law(identity, width)
+        long = nodes.filter(F.col("size") >= least).withColumn("size", (F.col("size") - (width - 1)).cast("long"))
+        parts = overlap.in_parts(long, lambda s: grams(codes_of(s), width), law, rows, entries)
+        links = links.union(overlap.linked_pairs(parts, law, lambda one, i, two, j: gram_links(one, i, two, j, identity, width)))
+    roots = merge_clusters(links)
     placed = own.join(roots, F.col("digest") == F.col("node"), "left").select("id", "len", F.coalesce("root", "digest").alias("root"))
     top = placed.groupBy("root").agg(F.max_by("id", F.struct("len", "id")).alias("cluster"))
     return placed.join(top, "root").select("id", "cluster")

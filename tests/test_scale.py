@@ -6,11 +6,12 @@ import random
 import time
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lamina.functions import seq as S
 from lamina import shared
-from lamina.operators import bins, graph, homology, matrix, modules, pileup, sequences
+from lamina.operators import bins, graph, homology, matrix, modules, overlap, pileup, sequences
 from lamina.plans.registry import Tables
 from lamina.plans.views import abund
 
@@ -240,6 +241,80 @@ def test_blocks_of_genes_are_counted_not_made_again(spark):
     assert got == {i: i // 2 * 2 for i in range(4000)}
 
 
+@pytest.mark.parametrize("rare", [True, False])
+def test_no_pair_that_shares_enough_is_missed(rare):
+    """Whatever the order, the part and the block: pairs at the limit are found, by both laws."""
+    rng = random.Random(9)
+    need = 0.95**11 / (2 - 0.95**11)
+    width = homology.gram_width(0.95)
+    laws = [(overlap.Law(need / (1 + need), need / (1 + need), 0.0, need, 0.0), lambda s: sequences.kmer_set(s, 11)), (homology.gram_law(0.95, width), lambda s: homology.grams(homology.codes_of(s), width))]
+    seqs = []
+    for _ in range(60):
+        s = [rng.choice("ACGT") for _ in range(rng.choice((64, 90, 200, 700)))]
+        for n in range(5):
+            t = list(s)
+            for i in rng.sample(range(len(s)), len(s) * n // 60):
+                t[i] = rng.choice("ACGT")
+            seqs.append("".join(t) + "ACG" * rng.randrange(9))
+    for law, members in laws:
+        sets = sorted((overlap.distinct(members(s)) for s in seqs), key=len)
+        held = np.bincount(np.concatenate([overlap._ids(x) for x in sets]), minlength=1 << overlap.BITS)
+        grade = np.minimum(16 * np.log2(1 + held), 255).astype(np.uint8) if rare else np.zeros(1 << overlap.BITS, dtype=np.uint8)
+        blocks = []
+        for a in range(0, len(sets), 40):
+            some = [(len(x), *overlap._in_order(x, grade, law, 300.0)) for x in sets[a : a + 40]]
+            size, want, codes = zip(*some, strict=True)
+            blocks.append(overlap.Block({"names": None, "seqs": None, "sizes": np.array(size).tobytes(), "wants": np.array(want).tobytes(), "ends": np.cumsum([len(x) for x in codes]).tobytes(), "codes": np.concatenate(codes).tobytes()}))
+        first = np.arange(0, len(sets), 40)
+        assert 3 * sum(len(b.codes) for b in blocks) < 2.9 * sum(map(len, sets))
+        told = set()
+        for x in range(len(blocks)):
+            for i, js in overlap.Places(blocks[:x], law, blocks[0].lo, 0).near(blocks[x]) if x else ():
+                told |= {(int(j), first[x] + i) for j in js}
+            for i, js in overlap.Places(blocks[x : x + 1], law, blocks[x].lo, int(first[x])).near(blocks[x], 0):
+                told |= {(int(first[x] + j), first[x] + i) for j in js}
+        want = {(a, b) for b in range(len(sets)) for a in range(b) if len(sets[a]) >= law.partner(len(sets[b])) and len(np.intersect1d(sets[a], sets[b])) >= law.least(len(sets[a]), len(sets[b]))}
+        assert len(want) > 100 and want <= told and len(told) < 3 * len(want) + 500
+
+
+def test_parts_and_blocks_give_the_same_clusters(spark):
+    rng = random.Random(10)
+    seqs = []
+    for n in (70, 150, 400, 405, 1200):
+        for _ in range(5):
+            s = "".join(rng.choice("ACGT") for _ in range(n))
+            for edits in (n // 25, n // 18, n // 12):
+                t = list(s)
+                for i in rng.sample(range(n), edits):
+                    t[i] = rng.choice(("", "A", "CG", "T"))
+                seqs.append("".join(t))
+            seqs.append(s)
+    df = spark.createDataFrame(list(enumerate(seqs)), "id long, seq string")
+    root = list(range(len(seqs)))
+    for b in range(len(seqs)):
+        for a in range(b):
+            e = homology.edits_allowed(max(len(seqs[a]), len(seqs[b])), 0.95)
+            if root[a] != root[b] and abs(len(seqs[a]) - len(seqs[b])) <= e and homology.banded_distance(homology.codes_of(seqs[a]), homology.codes_of(seqs[b]), e) <= e:
+                root = [root[a] if r == root[b] else r for r in root]
+    best = {r: max((len(seqs[i]), i) for i in range(len(seqs)) if root[i] == r)[1] for r in set(root)}
+    for entries, rows in ((overlap.ENTRIES, 1 << 13), (1 << 14, 7)):
+        assert {r.id: r.cluster for r in homology.identity_clusters(df, entries=entries, rows=rows).collect()} == {i: best[r] for i, r in enumerate(root)}
+    assert {r.id: r.cluster for r in sequences.cluster_genes(df, entries=1 << 14, block=7).collect()} == {r.id: r.cluster for r in sequences.cluster_genes(df).collect()}
+
+
+def test_long_sequences_are_aligned_by_columns_of_bits():
+    rng = random.Random(11)
+    a = [rng.choice("ACGT") for _ in range(30_000)]
+    b = list(a)
+    for i in range(10, 30_000, 30):
+        b[i] = "ACGT"["ACGT".index(b[i]) - 1]
+    a, b = (homology.codes_of("".join(x)) for x in (a, b))
+    begin = time.monotonic()
+    assert homology.banded_distance(a, b, 1500) == 1000
+    assert homology.banded_distance(a, b, 700) == 701
+    assert time.monotonic() - begin < 1
+
+
 def test_depth_runs_cut_lineage_once_and_number_no_events(spark):
     reads = spark.range(500).select(F.when(F.col("id") < 300, "c").otherwise("d").alias("contig"), (F.col("id") * 7 + 1).alias("pos"), F.lit("10M").alias("cigar"), F.lit("ACGTACGTAC").alias("seq"))
     runs = pileup.depth_runs(reads)
