@@ -24,7 +24,7 @@ from .blocks import pack, unpack
 
 BITS = 22  # members are told apart by so many bits of their hash; more in common than there is costs a check only
 SAMPLE = 1 << 13  # sets that the order is taken from
-ENTRIES = 48 << 20  # members of a part, each set counted as some more
+ENTRIES = 16 << 20  # members of a part, each set counted as some more
 _ROW = 1 << 10
 _HITS = 1 << 16
 _LOW = (1 << 32) - 1
@@ -143,17 +143,18 @@ class Places:
         self.sizes = np.concatenate([b.sizes for b in blocks])
         self.lo = int(self.sizes.min())
         self.want = min(int(b.wants.min()) for b in blocks)
-        drop, keys = [], []
+        drop, held = [], 0
+        key = np.empty(sum(len(b.codes) for b in blocks), dtype=np.int64)
         for b, first in zip(blocks, self.first.tolist(), strict=False):
             own, codes, ends = b.kept(law, low)
             codes <<= 32
             codes |= np.repeat(np.arange(first, first + len(ends)), np.diff(ends, prepend=0))
             drop.append(own)
-            keys.append(codes)
-        self.drop, key = np.concatenate(drop), np.concatenate(keys)
-        del keys
+            key[held : held + len(codes)] = codes
+            held += len(codes)
+        self.drop, key = np.concatenate(drop), key[:held]
         key.sort()
-        self.sets = (key & _LOW).astype(np.uint16 if len(self.sizes) <= 1 << 16 else np.uint32)
+        self.sets = key.astype(np.uint16 if len(self.sizes) <= 1 << 16 else np.uint32)  # the lower bits
         key >>= 32
         times = np.bincount(key, minlength=1 << BITS)
         self.spans = ((np.cumsum(times) - times) << 32) | times
@@ -260,7 +261,7 @@ def in_parts(nodes: DataFrame, members: Callable[[str], np.ndarray], law: Law, r
             for at, name, seq, size in zip(*(batch.column(c).to_pylist() for c in ("part", "digest", "seq", "size")), strict=True):
                 lo, hi, part = (lo if part >= 0 else size), size, at
                 want, codes = _in_order(members(seq), grade, law, mean)
-                if block and (len(block) >= rows or law.partner(size) > block[0][2] or held + len(codes) > entries // 8):
+                if block and (len(block) >= rows or law.partner(size) > block[0][2] or held + len(codes) > entries // 16):
                     yield given()
                     block, held = [], 0
                 block.append((name, seq, size, want, codes))
